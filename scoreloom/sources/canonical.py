@@ -161,22 +161,15 @@ def to_tables(decoded: DataFrame) -> SeqSet:
     }
     types = {f.name: f.dataType for f in EVENTS.fields}
     # All four lists become one list of event structs per file, so the files are read once.
-    lists = []
-    for kind, (name, fields) in parts.items():
-        lists.append(
-            F.transform(
-                F.coalesce(doc[name], F.array().cast(decoded.schema["document"].dataType[name].dataType)),
-                lambda e, kind=kind, fields=fields: F.struct(
-                    F.lit(kind).alias("kind"),
-                    e["time"].alias("time"),
-                    *[
-                        (e[fields[n]] if n in fields else F.lit(None)).cast(types[n]).alias(n)
-                        for n in types
-                        if n not in ("seq_id", "kind", "time")
-                    ],
-                ),
-            )
-        )
+    def event_list(kind: str, name: str, fields: dict[str, str]) -> Column:
+        def event(e: Column) -> Column:
+            rest = [n for n in types if n not in ("seq_id", "kind", "time")]
+            values = [(e[fields[n]] if n in fields else F.lit(None)).cast(types[n]).alias(n) for n in rest]
+            return F.struct(F.lit(kind).alias("kind"), e["time"].alias("time"), *values)
+
+        return F.coalesce(F.transform(doc[name], event), F.array())
+
+    lists = [event_list(kind, name, fields) for kind, (name, fields) in parts.items()]
     events = decoded.select("seq_id", F.inline(F.concat(*lists)))
     return SeqSet(
         sequences.select(*SEQUENCES.names), notes.select(*NOTES.names), events.select(*EVENTS.names)
