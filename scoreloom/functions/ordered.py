@@ -207,7 +207,9 @@ def asof(
     )
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.select(*keys, "_block", F.last("_hit", ignorenulls=True).over(earlier).alias("_carry"))
-    return local.join(carry, [*keys, "_block"]).select(
+    # Repeated per salt, the carry joins on the partitioning the rows already have.
+    carry = carry.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return local.join(carry, [*keys, "_block", "_salt"]).select(
         *left.columns, F.coalesce("_local", "_carry").alias(name)
     )
 

@@ -81,7 +81,7 @@ def amounts(seqs: SeqSet, o: Mapping[str, Any]) -> DataFrame:
         invalid = F.lit(False)
     else:
         rows = clamped_bounds(rows, o)
-        invalid = F.coalesce(F.col("low") > F.col("high"), F.lit(True))
+        invalid = F.col("lowest").isNull() | (F.col("low") > F.col("high"))
         amount = F.when(~invalid, drawn_amount(o["seed"], F.col("seq_id"), F.col("low"), F.col("high")))
         rows = rows.withColumns({"amount": amount, "deleted": F.lit(0).cast("bigint")})
     nothing_left = F.coalesce(F.col("notes") - F.col("deleted"), F.lit(0)) == 0

@@ -62,7 +62,7 @@ def quantized(source: str = "n", name: str = "q", rate: str = "4e0", bar: str =
 {name} as (select *, {bar} as bar, max(q_end) over (partition by seq_id) as total_steps from {name}_)"""
 
 
-def slices(source: str, name: str = "s", size: int = 4, hop: int = 1, where: str = "not short") -> str:
+def slices(source: str, name: str = "s", size: int = 4, hop: int = 1, where: str = "not short", extra: str = "") -> str:
     """Notes in their slices by trying every slice number, with the flags that the options look at."""
     return f"""{name}_k as (
   select seq_id, max(bar) as bar, max(total_steps) as total, unnest(range(0, cast(ceil(max(total_steps) / max(bar)) as bigint) + 1)) as k
@@ -77,7 +77,7 @@ def slices(source: str, name: str = "s", size: int = 4, hop: int = 1, where: str
     exists (select 1 from {source} y where y.seq_id = {name}_all.seq_id and y.q_start < s0 and y.q_end > s0) as cut_start
   from {name}_all),
 {name} as (
-  select seq_id || '#slice' || k as seq_id, note_idx, pitch, velocity, bar, q_start - cast(s0 as bigint) as q_start,
+  select seq_id || '#slice' || k as seq_id, note_idx{extra}, pitch, velocity, bar, q_start - cast(s0 as bigint) as q_start,
     least(q_end, cast(s1 as bigint)) - cast(s0 as bigint) as q_end,
     cast(least(s1, ceil(total_steps / bar) * bar) as bigint) - cast(s0 as bigint) as total_steps
   from {name}_cut where {where})"""
@@ -566,17 +566,17 @@ ORACLE["distinct_examples"] = (
     with_(
         notes(FEW),
         quantized(),
-        slices("q", size=1, where="true"),
-        line("s"),
-        """b as (select s.seq_id, -least(min(pitch) - 21, 3) as lo, least(108 - max(pitch), 3) as hi
-  from l s group by s.seq_id)""",
-        f"""d as (select l.*, {SPLIT.replace("seq_id", "l.seq_id")} as split,
-    case when {uniform("gate", key="l.seq_id")} > 0.7e0 and lo <= hi then
-    case when lo = hi then lo else lo + cast(floor({uniform("amount", key="l.seq_id")} * (hi - lo)) as int) end end as a
-  from l join b on l.seq_id = b.seq_id)""",
-        """t as (select seq_id, split, q_start, q_end, total_steps,
-    cast(pitch + case when split = 'train' then coalesce(a, 0) else 0 end as int) as pitch from d)""",
-        tokens("t"),
+        slices("q", size=1, where="true", extra=", is_drum"),
+        """b as (select seq_id, -least(min(pitch) - 21, 3) as lo, least(108 - max(pitch), 3) as hi
+  from s where not is_drum group by seq_id)""",
+        f"""d as (select s.*, {SPLIT.replace("seq_id", "s.seq_id")} as split,
+    case when {uniform("gate", key="s.seq_id")} > 0.7e0 and lo <= hi then
+    case when lo = hi then lo else lo + cast(floor({uniform("amount", key="s.seq_id")} * (hi - lo)) as int) end end as a
+  from s left join b on s.seq_id = b.seq_id)""",
+        """t as (select seq_id, note_idx, split, q_start, q_end, velocity, bar, total_steps,
+    pitch + case when split = 'train' and not is_drum then coalesce(a, 0) else 0 end as pitch from d)""",
+        line("t"),
+        tokens("l"),
         "names as (select distinct seq_id, split from t)",
     )
     + "select distinct split, tokens from tok join names using (seq_id)"
