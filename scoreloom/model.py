@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,11 @@ DEFAULT_QPM = 120.0
 DEFAULT_NUMERATOR, DEFAULT_DENOMINATOR = 4, 4
 MELODY_PROGRAMS = tuple(range(112))
 
+# Tempo and signature, where they are known to be the same for all of a sequence and kept on its notes.
+GRID = ("qpm", "num", "den")
+# Column of derived notes that keeps the id of the sequence they come from in the first place.
+ROOT = "root_id"
+
 # A sequence of up to this many rows may be ordered by one window in one task.
 WINDOW_ROWS = 1_000_000
 # A melody of up to this many bars is far below that, having at most one note per step.
@@ -121,6 +126,22 @@ class SeqSet:
     def short(self) -> bool:
         return self.max_bars is not None and self.max_bars <= WINDOW_BARS
 
+    @property
+    def keys(self) -> list[str]:
+        """What identifies a sequence in ``notes``.
+
+        Derived notes of a bounded set keep ``root_id``, the id before the first derivation. Grouping by
+        (root, id) is the same as grouping by id, and rows partitioned by the root once need no exchange for any
+        later operator of a chain.
+        """
+        return [ROOT, "seq_id"] if self.bounded and ROOT in self.notes.columns else ["seq_id"]
+
+    def renamed(self, notes: DataFrame, seq_id: Column, **columns: Column) -> DataFrame:
+        """Notes under new ids, with the root kept; the other columns are set in the same projection."""
+        if self.bounded and ROOT not in notes.columns:
+            columns[ROOT] = F.col("seq_id")
+        return notes.withColumns({**columns, "parent_id": F.col("seq_id"), "seq_id": seq_id})
+
     def measured(self) -> SeqSet:
         """Count the rows of the largest sequence. One small job over the id columns, worth it once per source."""
         ids = self.notes.select("seq_id").unionByName(self.events.select("seq_id"))
@@ -131,7 +152,7 @@ class SeqSet:
         """The same set, written once to the shared folder, so that later branches do not compute it again."""
         return self.with_(
             sequences=settled(self.sequences, "sequences"),
-            notes=settled(self.notes, "notes"),
+            notes=settled(self.notes.drop(ROOT), "notes"),
             events=settled(self.events, "events"),
         )
 
@@ -149,9 +170,12 @@ class SeqSet:
         def larger(a: int | None, b: int | None) -> int | None:
             return None if a is None or b is None else max(a, b)
 
+        def alike(a: DataFrame, b: DataFrame) -> DataFrame:
+            return a.drop(*[c for c in (*GRID, ROOT) if c not in b.columns])
+
         return SeqSet(
             self.sequences.unionByName(other.sequences, allowMissingColumns=True),
-            self.notes.unionByName(other.notes, allowMissingColumns=True),
+            alike(self.notes, other.notes).unionByName(alike(other.notes, self.notes), allowMissingColumns=True),
             self.events.unionByName(other.events, allowMissingColumns=True),
             max_rows=larger(self.max_rows, other.max_rows),
             max_bars=larger(self.max_bars, other.max_bars),
@@ -170,7 +194,7 @@ def derive_sequences(parents: DataFrame, derived: DataFrame) -> DataFrame:
         aggregates.append(F.max("total_steps").alias("total_steps"))
     if "end_time" in derived.columns:
         aggregates.append(F.max("end_time").alias("total_time"))
-    heads = derived.groupBy("seq_id").agg(*aggregates)
+    heads = derived.groupBy(*[k for k in (ROOT, "seq_id") if k in derived.columns]).agg(*aggregates).drop(ROOT)
     inherited = parents.drop("parent_id", "total_time", "total_steps").withColumnRenamed("seq_id", "parent_id")
     return (
         heads.join(inherited, "parent_id")

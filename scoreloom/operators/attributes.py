@@ -31,13 +31,13 @@ def melody_line(seqs: SeqSet) -> DataFrame:
     if not seqs.quantized:
         raise ValueError("attributes need quantized sequences")
     notes = seqs.notes.select(
-        "seq_id", "note_idx", "q_start", "q_end", "pitch", "velocity", "steps_per_bar", "total_steps"
+        *seqs.keys, "note_idx", "q_start", "q_end", "pitch", "velocity", "steps_per_bar", "total_steps"
     )
     if not seqs.monophonic:
-        notes = one_note_per_step(notes, ["seq_id"]).drop("voices")
+        notes = one_note_per_step(notes, seqs.keys).drop("voices")
     return scan(
         notes.drop("note_idx"),
-        ["seq_id"],
+        seqs.keys,
         "q_start",
         ["q_end", "pitch"],
         block=block_of("q_start", BLOCK_STEPS, seqs.bounded or seqs.short),
@@ -177,7 +177,8 @@ def attribute_columns(config: Mapping[str, Mapping[str, Any]] | Sequence[str] |
 def attribute_table(seqs: SeqSet, config: Mapping[str, Mapping[str, Any]] | Sequence[str] | None = None) -> DataFrame:
     """``seq_id`` and one column per attribute, for every sequence that has a note."""
     columns = attribute_columns(config)
-    return melody_line(seqs).groupBy("seq_id").agg(*[c.alias(n) for n, c in columns.items()])
+    table = melody_line(seqs).groupBy(*seqs.keys).agg(*[c.alias(n) for n, c in columns.items()])
+    return table.select("seq_id", *columns)
 
 
 def compute_attributes(seqs: SeqSet, config: Mapping[str, Mapping[str, Any]] | Sequence[str] | None = None) -> SeqSet:

@@ -25,8 +25,13 @@ DEFAULTS = {
     "valid_programs": MELODY_PROGRAMS,
 }
 
-TRACK = ["seq_id", "instrument"]
-MELODY = [*TRACK, "melody_start"]
+
+def track(seqs: SeqSet) -> list[str]:
+    return [*seqs.keys, "instrument"]
+
+
+def melody_of(seqs: SeqSet) -> list[str]:
+    return [*track(seqs), "melody_start"]
 
 
 def top_rank() -> Column:
@@ -71,14 +76,14 @@ def candidates(seqs: SeqSet, options: dict) -> DataFrame:
     return seqs.notes.filter(keep)
 
 
-def track_discards(line: DataFrame, ignore_polyphonic_notes: bool) -> DataFrame:
+def track_discards(seqs: SeqSet, line: DataFrame, ignore_polyphonic_notes: bool) -> DataFrame:
     """Tracks left out as a whole: ``seq_id, instrument, reason``."""
     uneven = F.max(F.col("steps_per_bar") != F.floor("steps_per_bar"))
-    tracks = line.groupBy(*TRACK).agg(uneven.alias("uneven"), F.max("voices").alias("voices"))
+    tracks = line.groupBy(*track(seqs)).agg(uneven.alias("uneven"), F.max("voices").alias("voices"))
     reason = F.when(F.col("uneven"), "non_integer_steps_per_bar_tracks_discarded")
     if not ignore_polyphonic_notes:
         reason = reason.when(F.col("voices") > 1, "polyphonic_tracks_discarded")
-    return tracks.select(*TRACK, reason.alias("reason")).filter("reason is not null")
+    return tracks.select("seq_id", "instrument", reason.alias("reason")).filter("reason is not null")
 
 
 def melody_notes(seqs: SeqSet, options: dict) -> DataFrame:
@@ -87,15 +92,16 @@ def melody_notes(seqs: SeqSet, options: dict) -> DataFrame:
     A rest of ``gap_bars`` bars or more ends a melody; the next one starts on the bar line before its first
     onset. With one note per step and track, a block of steps bounds the rows of each window.
     """
-    line = one_note_per_step(candidates(seqs, options), TRACK)
+    line = one_note_per_step(candidates(seqs, options), track(seqs))
     if options["ignore_polyphonic_notes"]:
         line = line.filter(F.col("steps_per_bar") == F.floor("steps_per_bar"))
     else:
-        line = line.join(track_discards(line, False).select(*TRACK), TRACK, "left_anti")
+        lost = track_discards(seqs, line, False).select("seq_id", "instrument")
+        line = line.join(lost, ["seq_id", "instrument"], "left_anti")
     gap = options["gap_bars"]
     placed = scan(
         line,
-        TRACK,
+        track(seqs),
         "q_start",
         ["q_end", "steps_per_bar"],
         block=block_of("q_start", BLOCK_STEPS, seqs.bounded),
@@ -142,11 +148,11 @@ def melody_verdict(options: dict) -> dict[str, Column]:
     }
 
 
-def melody_checks(lines: DataFrame, options: dict) -> DataFrame:
+def melody_checks(seqs: SeqSet, options: dict) -> DataFrame:
     """One row per melody: its bars, the ``reason`` if it is discarded, and whether it is truncated."""
     extent = {**melody_extent(options), "steps_per_bar": F.max("steps_per_bar")}
-    melodies = lines.groupBy(*MELODY).agg(*[c.alias(n) for n, c in extent.items()])
-    return melodies.select(*MELODY, *[c.alias(n) for n, c in melody_verdict(options).items()])
+    melodies = melody_notes(seqs, options).groupBy(*melody_of(seqs)).agg(*[c.alias(n) for n, c in extent.items()])
+    return melodies.select(*melody_of(seqs), *[c.alias(n) for n, c in melody_verdict(options).items()])
 
 
 @operator("processor", "melody_extractor", **DEFAULTS)
@@ -159,26 +165,18 @@ def extract_melodies(seqs: SeqSet, **given) -> SeqSet:
     """
     options = {**DEFAULTS, **given}
     lines = melody_notes(seqs, options)
-    lines = with_group(lines, MELODY, melody_extent(options), bounded=seqs.bounded)
+    lines = with_group(lines, melody_of(seqs), melody_extent(options), bounded=seqs.bounded)
     start = F.col("melody_start")
-    notes = (
-        lines.withColumns(melody_verdict(options))
-        .filter("reason is null")
-        .filter(F.col("q_start") - start < F.col("melody_steps"))
-        .select(
-            F.concat("seq_id", F.lit("#melody"), "instrument", F.lit("@"), start).alias("seq_id"),
-            "note_idx",
-            "pitch",
-            "velocity",
-            "instrument",
-            F.lit(False).alias("is_drum"),
-            (F.col("q_start") - start).alias("q_start"),
-            F.least(F.col("q_end") - start, F.col("melody_steps")).alias("q_end"),
-            "steps_per_bar",
-            F.col("melody_steps").alias("total_steps"),
-            F.col("seq_id").alias("parent_id"),
-        )
-    )
+    kept = lines.withColumns(melody_verdict(options)).filter("reason is null")
+    kept = kept.filter(F.col("q_start") - start < F.col("melody_steps"))
+    notes = seqs.renamed(
+        kept,
+        F.concat("seq_id", F.lit("#melody"), "instrument", F.lit("@"), start),
+        is_drum=F.lit(False),
+        q_start=F.col("q_start") - start,
+        q_end=F.least(F.col("q_end") - start, F.col("melody_steps")),
+        total_steps=F.col("melody_steps"),
+    ).drop("voices", "melody_start", "last_end", "pitches", "bars", "melody_steps", "reason", "truncated")
     sequences = derive_sequences(
         seqs.sequences, notes.withColumn("start_offset", F.lit(0.0))
     )
@@ -195,9 +193,9 @@ def extract_melodies(seqs: SeqSet, **given) -> SeqSet:
 def melody_audit(seqs: SeqSet, **given) -> DataFrame:
     """Counters of the extraction: ``metric, value``."""
     options = {**DEFAULTS, **given}
-    line = one_note_per_step(candidates(seqs, options), TRACK)
-    tracks = track_discards(line, options["ignore_polyphonic_notes"]).select("reason")
-    checks = melody_checks(melody_notes(seqs, options), options)
+    line = one_note_per_step(candidates(seqs, options), track(seqs))
+    tracks = track_discards(seqs, line, options["ignore_polyphonic_notes"]).select("reason")
+    checks = melody_checks(seqs, options)
     outcome = F.array_compact(
         F.array(
             F.coalesce("reason", F.lit("output_sequences")), F.when(F.col("truncated"), F.lit("melodies_truncated"))
@@ -210,5 +208,5 @@ def melody_audit(seqs: SeqSet, **given) -> DataFrame:
 def melody_lengths(seqs: SeqSet, **given) -> DataFrame:
     """Histogram of the extracted melodies' lengths in whole bars: ``bars, count``."""
     options = {**DEFAULTS, **given}
-    checks = melody_checks(melody_notes(seqs, options), options).filter("reason is null")
+    checks = melody_checks(seqs, options).filter("reason is null")
     return checks.groupBy("bars").agg(F.count(F.lit(1)).alias("count"))

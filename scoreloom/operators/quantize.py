@@ -11,6 +11,7 @@ from scoreloom.model import (
     DEFAULT_NUMERATOR,
     DEFAULT_QPM,
     DEFAULT_STEPS_PER_QUARTER,
+    GRID,
     SeqSet,
 )
 from scoreloom.registry import operator
@@ -97,21 +98,21 @@ def grid_columns(steps_per_quarter: int | None, steps_per_second: float | None)
 
 
 HEADER = ("qpm", "num", "den", "many_tempos", "many_signatures")
-EXTENT = {
-    "first_start": F.min("start_time"),
-    "last_start": F.max("start_time"),
-    "first_end": F.min("end_time"),
-    "last_end": F.max("end_time"),
-}
+EXTENT = ("first_start", "last_start", "first_end", "last_end")
+
+
+def extent() -> dict[str, Column]:
+    first, last = F.min, F.max
+    return dict(zip(EXTENT, (first("start_time"), last("start_time"), first("end_time"), last("end_time"))))
 
 
 def grid_headers(seqs: SeqSet, steps_per_quarter: int | None, steps_per_second: float | None) -> DataFrame:
     """One row per sequence, with or without notes: ``seq_id`` and the grid columns."""
-    extent = seqs.notes.groupBy("seq_id").agg(*[c.alias(n) for n, c in EXTENT.items()])
+    extents = seqs.notes.groupBy("seq_id").agg(*[c.alias(n) for n, c in extent().items()])
     header = with_defaults(
         seqs.sequences.select("seq_id")
         .join(first_header(seqs.events), "seq_id", "left")
-        .join(extent, "seq_id", "left")
+        .join(extents, "seq_id", "left")
     )
     return header.select(
         "seq_id", *[c.alias(n) for n, c in grid_columns(steps_per_quarter, steps_per_second).items()]
@@ -131,11 +132,15 @@ def quantize(
     rate = F.col("step_rate")
     start = to_step(F.col("start_time"), rate)
     if seqs.bounded:
-        header = with_defaults(seqs.notes.join(first_header(seqs.events), "seq_id", "left"))
-        gridded = with_group(header, ["seq_id"], EXTENT, bounded=True).withColumns(columns).filter("reason is null")
+        if set(GRID) <= set(seqs.notes.columns):
+            never = F.lit(False)
+            header = seqs.notes.withColumns({"many_tempos": never, "many_signatures": never})
+        else:
+            header = with_defaults(seqs.notes.join(first_header(seqs.events), "seq_id", "left"))
+        gridded = with_group(header, seqs.keys, extent(), bounded=True).withColumns(columns).filter("reason is null")
         gridded = gridded.drop(*HEADER, *EXTENT, "reason")
     else:
-        gridded = seqs.notes.join(grid, "seq_id")
+        gridded = seqs.notes.drop(*GRID).join(grid, "seq_id")
     notes = gridded.withColumns(
         {"q_start": start, "q_end": F.greatest(to_step(F.col("end_time"), rate), start + 1)}
     ).drop("step_rate")

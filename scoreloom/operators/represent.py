@@ -23,17 +23,17 @@ def note_pieces(seqs: SeqSet, chunk_steps: int = CHUNK_STEPS) -> DataFrame:
     """Melody notes cut at chunk borders: ``seq_id, chunk, q_start, q_end, token`` in steps of the chunk."""
     notes = seqs.notes
     if not seqs.monophonic:
-        line = one_note_per_step(notes, ["seq_id"])
+        line = one_note_per_step(notes, seqs.keys)
         block = block_of("q_start", BLOCK_STEPS, seqs.bounded or seqs.short)
-        line = scan(line, ["seq_id"], "q_start", [], block=block, look_ahead=True)
+        line = scan(line, seqs.keys, "q_start", [], block=block, look_ahead=True)
         notes = line.withColumn("q_end", F.least("q_end", "next.q_start"))
     first, last = F.floor(F.col("q_start") / chunk_steps), F.floor((F.col("q_end") - 1) / chunk_steps)
     begin = F.col("chunk") * chunk_steps
     return (
-        notes.select("seq_id", "q_start", "q_end", "pitch", "total_steps", F.explode(F.sequence(first, last)).alias("chunk"))
+        notes.select(*seqs.keys, "q_start", "q_end", "pitch", "total_steps", F.explode(F.sequence(first, last)).alias("chunk"))
         .withColumn("token", F.when(F.col("q_start") >= begin, F.col("pitch")).otherwise(HOLD))
         .select(
-            "seq_id",
+            *seqs.keys,
             "chunk",
             (F.greatest(F.col("q_start"), begin) - begin).cast("int").alias("q_start"),
             (F.least(F.col("q_end"), begin + chunk_steps) - begin).cast("int").alias("q_end"),
@@ -72,7 +72,7 @@ def encode(seqs: SeqSet, length: int | None = None, pad: int = REST, chunk_steps
     no row and no task holds an unbounded sequence. A chunk without a note is not stored: it is all rest.
     """
     # A chunk has at most one piece per step, which bounds the list.
-    grouped = note_pieces(seqs, chunk_steps).groupBy("seq_id", "chunk").agg(
+    grouped = note_pieces(seqs, chunk_steps).groupBy(*seqs.keys, "chunk").agg(
         F.sort_array(F.collect_list(F.struct("q_start", "q_end", "token"))).alias("pieces"),
         F.max("steps").alias("steps"),
     )

@@ -59,7 +59,7 @@ def _uncropped(seqs: SeqSet, sliced: DataFrame, is_cropped: Column, size_bars: i
     """Drop cropped slices: by a window where a slice is known to be small (few bars of one note per step, or
     part of a small sequence), otherwise by reducing the flags and anti-joining them."""
     if seqs.bounded or (seqs.monophonic and size_bars <= WINDOW_BARS):
-        cropped = F.max(is_cropped).over(Window.partitionBy(*SLICE))
+        cropped = F.max(is_cropped).over(Window.partitionBy(*seqs.keys, "slice"))
         return sliced.withColumn("_cropped", cropped).filter(~F.col("_cropped")).drop("_cropped")
     return sliced.join(sliced.filter(is_cropped).select(*SLICE).distinct(), SLICE, "left_anti")
 
@@ -89,14 +89,12 @@ def slice_bars(seqs: SeqSet, **given) -> SeqSet:
     begin, end = F.col("slice_start").cast("bigint"), F.col("slice_end").cast("bigint")
     last_bar = F.ceil(F.col("total_steps") / F.col("steps_per_bar")) * F.col("steps_per_bar")
     selected = select_slices(seqs, **given)
-    notes = selected.withColumns(
-        {
-            "parent_id": F.col("seq_id"),
-            "seq_id": F.concat("seq_id", F.lit("#slice"), "slice"),
-            "q_end": F.least("q_end", end) - begin,
-            "q_start": F.col("q_start") - begin,
-            "total_steps": F.least(F.col("slice_end"), last_bar).cast("bigint") - begin,
-        }
+    notes = seqs.renamed(
+        selected,
+        F.concat("seq_id", F.lit("#slice"), "slice"),
+        q_end=F.least("q_end", end) - begin,
+        q_start=F.col("q_start") - begin,
+        total_steps=F.least(F.col("slice_end"), last_bar).cast("bigint") - begin,
     ).drop("slice", "slice_start", "slice_end", "is_short", "crosses_end", "start_time", "end_time")
     sequences = derive_sequences(seqs.sequences, notes.withColumn("start_offset", F.lit(0.0)))
     names = notes.select("parent_id", "seq_id").distinct()

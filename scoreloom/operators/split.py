@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.ordered import BLOCK_CELLS, BLOCK_SECONDS, asof, block_of, scan
 from scoreloom.functions.storage import settled
-from scoreloom.model import DEFAULT_DENOMINATOR, DEFAULT_NUMERATOR, DEFAULT_QPM, SeqSet, derive_sequences
+from scoreloom.model import DEFAULT_DENOMINATOR, DEFAULT_NUMERATOR, DEFAULT_QPM, GRID, ROOT, SeqSet, derive_sequences
 from scoreloom.operators.quantize import first_header, with_defaults
 from scoreloom.registry import operator
 
@@ -23,24 +23,23 @@ def segment_id(parent: Column, op: str, start: Column) -> Column:
     return F.concat(parent, F.lit(f"#{op}@"), F.floor(start * 1e6 + 0.5).cast("string"))
 
 
-def rebase(assigned: DataFrame, op: str, keep: Sequence[str]) -> DataFrame:
+def rebase(seqs: SeqSet, assigned: DataFrame, op: str, *extra: str) -> DataFrame:
     """Notes with ``seg_start`` (and ``seg_end``, null if open) moved to their segment's own time."""
     start = F.col("seg_start")
-    return assigned.withColumns(
-        {
-            "parent_id": F.col("seq_id"),
-            "seq_id": segment_id(F.col("seq_id"), op, start),
-            "start_offset": start,
-            "end_time": F.least("end_time", "seg_end") - start,
-            "start_time": F.col("start_time") - start,
-        }
-    ).select("seq_id", *[c for c in keep if c != "seq_id"], "parent_id", "start_offset")
+    moved = seqs.renamed(
+        assigned,
+        segment_id(F.col("seq_id"), op, start),
+        start_offset=start,
+        end_time=F.least("end_time", "seg_end") - start,
+        start_time=F.col("start_time") - start,
+    )
+    kept = [c for c in moved.columns if c in seqs.notes.columns or c in (*extra, ROOT)]
+    return moved.select(*kept, "parent_id", "start_offset")
 
 
 def assemble(seqs: SeqSet, assigned: DataFrame, op: str, bounds: DataFrame) -> SeqSet:
     """Build the segments' three tables from notes with ``seg_start, seg_end`` and the distinct ``bounds``."""
-    columns = [c for c in seqs.notes.columns if c not in ("parent_id", "start_offset")]
-    notes = rebase(assigned, op, columns)
+    notes = rebase(seqs, assigned, op)
     sequences = derive_sequences(seqs.sequences, notes)
     # A segment has its share of the notes and events, and two more events where it starts.
     grown = None if seqs.max_rows is None else seqs.max_rows + 2
@@ -240,7 +239,8 @@ def split_time_changes(
     cuts = segment_cuts(seqs, skip_splits_inside_notes)
     kept = signature_is(keep_time_signatures) if keep_time_signatures else F.lit(True)
     assigned = time_change_segments(seqs, cuts).filter(kept)
-    notes = rebase(assigned, "change", [c for c in seqs.notes.columns if c not in ("parent_id", "start_offset")])
+    # A segment has one tempo and one signature. They stay on its notes, so that the grid needs no events.
+    notes = rebase(seqs, assigned, "change", *GRID)
     sequences = derive_sequences(seqs.sequences, notes)
     grown = None if seqs.max_rows is None else seqs.max_rows + 2
     return SeqSet(

@@ -30,10 +30,11 @@ def stretch(seqs: SeqSet, stretch_factor: float = 1.0, in_place: bool = False) -
     if stretch_factor <= 0:
         raise ValueError("stretch_factor must be positive")
     factor = F.lit(float(stretch_factor))
+    tempo = {"qpm": F.col("qpm") / factor} if "qpm" in seqs.notes.columns else {}
     return seqs.with_(
         sequences=seqs.sequences.withColumn("total_time", F.col("total_time") * factor),
         notes=seqs.notes.withColumns(
-            {"start_time": F.col("start_time") * factor, "end_time": F.col("end_time") * factor}
+            {"start_time": F.col("start_time") * factor, "end_time": F.col("end_time") * factor, **tempo}
         ),
         events=seqs.events.withColumns({"time": F.col("time") * factor, "qpm": F.col("qpm") / factor}),
     )

@@ -108,12 +108,16 @@ def stepped(seqs: SeqSet) -> DataFrame:
 
 
 def per_slice(seqs: SeqSet) -> DataFrame:
-    return seqs.notes.groupBy("seq_id").agg(
-        F.count(F.lit(1)).alias("notes"),
-        F.sum("q_start").alias("starts"),
-        F.sum("q_end").alias("ends"),
-        F.sum("pitch").alias("pitches"),
-        F.max("total_steps").alias("total_steps"),
+    return (
+        seqs.notes.groupBy(*seqs.keys)
+        .agg(
+            F.count(F.lit(1)).alias("notes"),
+            F.sum("q_start").alias("starts"),
+            F.sum("q_end").alias("ends"),
+            F.sum("pitch").alias("pitches"),
+            F.max("total_steps").alias("total_steps"),
+        )
+        .drop("root_id")
     )
 
 

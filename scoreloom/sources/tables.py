@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreloom.functions.storage import write_table
-from scoreloom.model import SeqSet
+from scoreloom.model import ROOT, SeqSet
 from scoreloom.operators import audit
 
 TABLES = ("sequences", "notes", "events")
@@ -15,7 +15,7 @@ def write_seqset(seqs: SeqSet, path: str, mode: str = "errorifexists") -> dict[s
     """Write the three tables and return how many rows each got, counted while they were written."""
     counts = {}
     for name in TABLES:
-        rows, seen = audit.count_elements(getattr(seqs, name), name)
+        rows, seen = audit.count_elements(getattr(seqs, name).drop(ROOT), name)
         write_table(rows, f"{path}/{name}", mode)
         counts[name] = seen.get[name]
     return counts
