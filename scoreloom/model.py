@@ -132,9 +132,13 @@ class SeqSet:
 
         Derived notes of a bounded set keep ``root_id``, the id before the first derivation. Grouping by
         (root, id) is the same as grouping by id, and rows partitioned by the root once need no exchange for any
-        later operator of a chain.
+        later operator of a chain. A melody has one instrument, so that may be named as well: then rows that are
+        partitioned by track need no exchange either.
         """
-        return [ROOT, "seq_id"] if self.bounded and ROOT in self.notes.columns else ["seq_id"]
+        if not (self.bounded and ROOT in self.notes.columns):
+            return ["seq_id"]
+        of_track = self.monophonic and "instrument" in self.notes.columns
+        return [ROOT, "instrument", "seq_id"] if of_track else [ROOT, "seq_id"]
 
     def renamed(self, notes: DataFrame, seq_id: Column, **columns: Column) -> DataFrame:
         """Notes under new ids, with the root kept; the other columns are set in the same projection."""

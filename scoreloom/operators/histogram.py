@@ -14,11 +14,12 @@ DEFAULT_BINS = (30,)
 
 def attribute_values(table: DataFrame, attributes: Sequence[str] | None = None) -> DataFrame:
     """``metric, value`` per sequence and selected attribute; values not computed count as 0."""
-    chosen = list(attributes) if attributes else [a for a in ATTRIBUTES if a in table.columns]
+    chosen = list(attributes) if attributes else list(ATTRIBUTES)
     unknown = [a for a in chosen if a not in ATTRIBUTES]
     if unknown:
         raise ValueError(f"unknown attributes: {', '.join(unknown)}")
-    values = [F.coalesce(F.col(a).cast("double"), F.lit(0.0)).alias(a) for a in chosen]
+    zero = F.lit(0.0)
+    values = [(F.coalesce(F.col(a).cast("double"), zero) if a in table.columns else zero).alias(a) for a in chosen]
     return table.select(*values).unpivot([], chosen, "metric", "value")
 
 

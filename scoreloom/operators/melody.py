@@ -27,7 +27,7 @@ DEFAULTS = {
 
 
 def track(seqs: SeqSet) -> list[str]:
-    return [*seqs.keys, "instrument"]
+    return list(dict.fromkeys([*seqs.keys, "instrument"]))
 
 
 def melody_of(seqs: SeqSet) -> list[str]:

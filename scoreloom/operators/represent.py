@@ -87,7 +87,9 @@ def encode_with_context(
 ) -> DataFrame:
     """Encoded sequences with the struct ``context`` of their attributes as floats (0 where not computed)."""
     examples = encode(seqs, length, pad)
-    columns = [F.coalesce(F.col(a).cast("float"), F.lit(0.0).cast("float")).alias(a) for a in attributes]
+    known = seqs.sequences.columns
+    zero = F.lit(0.0).cast("float")
+    columns = [(F.coalesce(F.col(a).cast("float"), zero) if a in known else zero).alias(a) for a in attributes]
     context = seqs.sequences.select("seq_id", F.struct(*columns).alias("context"))
     return examples.join(context, "seq_id")
 

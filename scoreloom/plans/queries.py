@@ -117,7 +117,7 @@ def per_slice(seqs: SeqSet) -> DataFrame:
             F.sum("pitch").alias("pitches"),
             F.max("total_steps").alias("total_steps"),
         )
-        .drop("root_id")
+        .drop("root_id", "instrument")
     )
 
 
