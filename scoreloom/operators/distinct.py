@@ -55,9 +55,11 @@ def distinct_sequences(seqs: SeqSet, keys: str = "record") -> SeqSet:
 
 
 def distinct_examples(examples: DataFrame) -> DataFrame:
-    """Distinct (split, chunk tokens, context), without ids; copies collapse before the shuffle."""
-    columns = [c for c in ("split", "pitch_seq", "context") if c in examples.columns]
-    return examples.select(*columns).distinct()
+    """Distinct (split, tokens, context), without ids, and the number of ``copies`` of each.
+
+    Copies are counted within each task before the shuffle, so a group of very many copies is one row there.
+    """
+    return copies(examples, *[c for c in ("split", "pitch_seq", "context") if c in examples.columns])
 
 
 def duplicate_report(counts: DataFrame) -> DataFrame:

@@ -9,19 +9,25 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import scoreloom.operators  # noqa: F401  (registers the operators)
+from scoreloom.model import SeqSet
 from scoreloom.operators.attributes import compute_attributes
-from scoreloom.operators.audit import count_elements
-from scoreloom.operators.augment import assign_splits, check_ratios
+from scoreloom.operators.audit import count_elements, stage_audit
+from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, check_ratios
 from scoreloom.operators.distinct import distinct_examples, distinct_sequences
 from scoreloom.operators.histogram import DEFAULT_BINS, histogram
-from scoreloom.operators.represent import encode, encode_with_context
+from scoreloom.operators.melody import melody_audit
+from scoreloom.operators.quantize import discards
+from scoreloom.operators.slicing import shorter_slices
+from scoreloom.operators.transform import transpose_audit
 from scoreloom.registry import apply_chain, names, ordered_steps
+from scoreloom.representations import Representation
 from scoreloom.sinks import exists, write_dataset, write_debug, write_splits
 from scoreloom.sources.canonical import canonicalize
 from scoreloom.sources.files import read_entry_files
@@ -86,6 +92,27 @@ def canonicalize_datasets(
     return _each(spark, datasets, lambda s: f"{output_root}/canonical/{s.folder}", force_overwrite, run)
 
 
+def stage_counters(name: str, options: dict[str, Any], before: SeqSet, after: SeqSet) -> DataFrame:
+    """``stage, metric, value``: sequences in and out, and the counters that are particular to the operator."""
+    rows = stage_audit(name, before, after)
+    stage = F.lit(name).alias("stage")
+    if name == "quantizer":
+        reasons = discards(before, **options).groupBy("reason").agg(F.count(F.lit(1)).alias("value"))
+        rows = rows.unionByName(
+            reasons.select(stage, F.concat(F.lit("sequences_discarded_"), "reason").alias("metric"), "value")
+        )
+    elif name == "melody_extractor":
+        lost = melody_audit(before, **options).filter("metric <> 'output_sequences'")
+        rows = rows.unionByName(lost.select(stage, "metric", "value"))
+    elif name == "slicer":
+        short = shorter_slices(before, **options).select(stage, F.lit("shorter_slices").alias("metric"), F.col("shorter_slices").alias("value"))
+        rows = rows.unionByName(short)
+    elif name == "transposer":
+        counts = transpose_audit(before, **options).drop("deleted_mean")
+        rows = rows.unionByName(counts.unpivot([], counts.columns, "metric", "value").select(stage, "metric", "value"))
+    return rows
+
+
 def process_datasets(
     spark: SparkSession,
     input_root: str,
@@ -98,10 +125,13 @@ def process_datasets(
     distinct: bool = False,
     force_overwrite: bool = False,
     debug_pattern: str | None = None,
+    audit: bool = False,
 ) -> dict[str, dict[str, Any]]:
     """Apply processors, and attributes if the configuration names any, in the configured order.
 
-    Attributes describe the sequences the processors deliver; they are computed together in one pass.
+    Attributes describe the sequences the processors deliver; they are computed together in one pass. With
+    ``audit`` the counters of every step are written to ``<output>/audit``; with ``debug_pattern`` the records
+    whose id matches are written after every step. Both read the data again, so they are off by default.
     """
     steps = ordered_steps(config)
     attributes = {n: o for n, o in steps if n in names("attribute")}
@@ -109,9 +139,19 @@ def process_datasets(
 
     def run(source: Source, path: str) -> dict[str, Any]:
         folder = "/".join(p for p in (input_root, source.folder, input_prefix) if p)
-        result = apply_chain(read_seqset(spark, folder), "processor", processors)
+        audits: list[DataFrame] = []
+
+        def after(name: str, options: dict[str, Any], before: SeqSet, result: SeqSet) -> None:
+            if audit:
+                audits.append(stage_counters(name, options, before, result))
+            if debug_pattern is not None:
+                write_debug(result, path, f"processors/{name}", debug_pattern)
+
+        result = apply_chain(read_seqset(spark, folder), "processor", processors, after)
         if attributes:
             result = compute_attributes(result, attributes)
+            if debug_pattern is not None:
+                write_debug(result, path, "attributes", debug_pattern)
         report = {}
         if distinct:
             before, seen = count_elements(result.sequences, "total_sequences")
@@ -120,8 +160,8 @@ def process_datasets(
         report["total_sequences"] = seen.get["total_sequences"] if distinct else counts["sequences"]
         if distinct:
             report["distinct_sequences"] = counts["sequences"]
-        if debug_pattern is not None:
-            write_debug(result.sequences, path, "processors", debug_pattern)
+        if audits:
+            reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{path}/audit")
         return {**counts, **report}
 
     def output(source: Source) -> str:
@@ -130,37 +170,52 @@ def process_datasets(
     return _each(spark, datasets, output, force_overwrite, run)
 
 
+SplitConfig = Mapping[str, Mapping[str, Any]]
+
+
 def represent_datasets(
     spark: SparkSession,
     input_root: str,
     output_root: str,
     datasets: Sequence[Source],
     output_name: str,
+    representation: Representation,
     input_prefix: str = "attributes",
     output_prefix: str = "data",
-    split_config: Mapping[str, Mapping[str, Any]] | None = None,
+    split_config: SplitConfig | None = None,
     augmenters: Mapping[str, Mapping[str, Any]] | None = None,
-    keep_attributes: bool = False,
-    length: int | None = None,
     distinct: bool = False,
     force_overwrite: bool = False,
-    seed: int = 42,
+    seed: int = DEFAULT_SEED,
 ) -> dict[str, dict[str, Any]]:
-    """Split, augment the flagged splits, encode, drop duplicate examples, and write one directory per split."""
+    """Split, augment the flagged splits, encode, drop duplicate examples, and write one directory per split.
+
+    The report has, per split (``total`` without splits), the examples, the expected number and, with
+    ``distinct``, the distinct ones; all are counted while the examples are written.
+    """
+    ratios = {n: c["ratio"] for n, c in (split_config or {}).items()}
     if split_config:
-        check_ratios({n: c["ratio"] for n, c in split_config.items()})
+        check_ratios(ratios)
 
     def run(source: Source, path: str) -> dict[str, Any]:
         folder = "/".join(p for p in (input_root, source.folder, input_prefix) if p)
-        examples = represented(
-            read_seqset(spark, folder), split_config, augmenters, keep_attributes, length, distinct, seed
-        )
-        examples, seen = count_elements(examples, "examples")
+        seqs = read_seqset(spark, folder)
+        examples = represented(seqs, representation, split_config, augmenters, distinct, seed)
+        number = F.col("copies") if distinct else F.lit(1)
+        counted = Observation("examples")
+        each = {}
+        for name in ratios or ["total"]:
+            here = F.col("split") == name if ratios else F.lit(True)
+            each[f"{name}_sequences"] = F.coalesce(F.sum(F.when(here, number)), F.lit(0))
+            if distinct:
+                each[f"{name}_distinct_sequences"] = F.count_if(here)
+        examples = examples.observe(counted, *[c.alias(n) for n, c in each.items()]).drop("copies")
         if split_config:
             write_splits(examples, path, True)
         else:
             write_dataset(examples, path, True)
-        return dict(seen.get)
+        total = seqs.sequences.count()
+        return {**counted.get, **{f"{n}_expected": int(total * r) for n, r in ratios.items()}}
 
     def output(source: Source) -> str:
         return f"{output_root}/representation/{output_name}/{source.folder}/{output_prefix}"
@@ -169,9 +224,14 @@ def represent_datasets(
 
 
 def represented(
-    seqs, split_config=None, augmenters=None, keep_attributes=False, length=None, distinct=False, seed=42
+    seqs: SeqSet,
+    representation: Representation,
+    split_config: SplitConfig | None = None,
+    augmenters: Mapping[str, Mapping[str, Any]] | None = None,
+    distinct: bool = False,
+    seed: int = DEFAULT_SEED,
 ) -> DataFrame:
-    """The examples of a set: one plan from headers and notes to encoded, split rows."""
+    """The examples of a set: one plan from headers and notes to encoded, split rows (``copies`` if distinct)."""
     flagged = None
     if split_config:
         seqs = assign_splits(seqs, {n: c["ratio"] for n, c in split_config.items()}, seed)
@@ -179,7 +239,7 @@ def represented(
     if augmenters and flagged != []:
         steps = [(n, {**o, "only_splits": flagged}) for n, o in ordered_steps(augmenters)]
         seqs = apply_chain(seqs, "augmenter", steps)
-    examples = encode_with_context(seqs, length=length) if keep_attributes else encode(seqs, length)
+    examples = representation.encode(seqs)
     if split_config:
         examples = examples.join(seqs.sequences.select("seq_id", "split"), "seq_id")
     return distinct_examples(examples) if distinct else examples
@@ -199,7 +259,7 @@ def histogram_datasets(
     def run(source: Source, path: str) -> dict[str, Any]:
         headers = spark.read.parquet(f"{root}/{source.folder}/{input_prefix}/sequences")
         rows, seen = count_elements(histogram(headers, attributes, bins), "bins")
-        write_dataset(rows.orderBy(F.col("metric"), F.col("bins"), F.col("bin")), path, True)
+        write_dataset(rows, path, True)
         return dict(seen.get)
 
     return _each(spark, datasets, lambda s: f"{root}/{s.folder}/{input_prefix}/histograms", force_overwrite, run)

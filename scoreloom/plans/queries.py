@@ -26,6 +26,7 @@ from scoreloom.operators import (
 from scoreloom.operators import histogram as hist
 from scoreloom.plans.datasets import represented
 from scoreloom.registry import apply_chain, operator
+from scoreloom.representations import PitchSequence
 from scoreloom.sinks import write_dataset, write_splits
 from scoreloom.sources import canonical
 from scoreloom.sources.events import read_events
@@ -543,7 +544,8 @@ def _(spark, folder):
     seqs = slicing.slice_bars(gridded(spark, folder, few_pitches=True), slice_size_bars=1, allow_cropped_slices=True)
     split_config = {"train": {"ratio": 0.7, "augment": True}, "validation": {"ratio": 0.2}, "test": {"ratio": 0.1}}
     augmenters = {"transposer": {"order": 1, "threshold": 0.7, "delete_notes": False, "min_transpose_amount": -3, "max_transpose_amount": 3}}
-    return as_text(represented(seqs, split_config, augmenters, length=16, distinct=True)).select("split", "tokens")
+    examples = represented(seqs, PitchSequence(16, pad=True), split_config, augmenters, distinct=True)
+    return as_text(examples).select("split", "tokens")
 
 
 @query("duplicate_report")

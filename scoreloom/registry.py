@@ -73,8 +73,10 @@ def ordered_steps(config: Steps) -> list[tuple[str, dict[str, Any]]]:
     return [(name, options) for _, name, options in sorted(placed, key=lambda step: step[0])]
 
 
-def apply_chain(seqs: SeqSet, kind: str, config: Steps) -> SeqSet:
-    """Apply the configured operators of one kind in order.
+def apply_chain(
+    seqs: SeqSet, kind: str, config: Steps, after: Callable[[str, dict, SeqSet, SeqSet], None] | None = None
+) -> SeqSet:
+    """Apply the configured operators of one kind in order. ``after`` is shown each step's input and output.
 
     The chain is one lazy plan where sequences are known to be small. Where they are not, operators read their
     input more than once, so each step is settled in the shared folder before the next.
@@ -83,6 +85,9 @@ def apply_chain(seqs: SeqSet, kind: str, config: Steps) -> SeqSet:
     def step(current: SeqSet, item: tuple[str, dict[str, Any]]) -> SeqSet:
         op = lookup(kind, item[0])
         result = op.fn(current, **op.options(item[1]))
-        return result if result.bounded else result.settled()
+        result = result if result.bounded else result.settled()
+        if after:
+            after(item[0], op.options(item[1]), current, result)
+        return result
 
     return reduce(step, ordered_steps(config), seqs)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreloom.functions.storage import write_table
+from scoreloom.model import SeqSet
 from scoreloom.operators.audit import tap
 
 
@@ -27,6 +28,7 @@ def write_splits(examples: DataFrame, path: str, force_overwrite: bool = False)
     return write_dataset(examples, path, force_overwrite, ["split"])
 
 
-def write_debug(df: DataFrame, path: str, stage: str, pattern: str = ".*", id_column: str = "seq_id") -> None:
-    """Records whose id matches, as JSON below ``<path>/debug/<stage>``."""
-    tap(df, pattern, id_column).write.mode("overwrite").json(f"{path}/debug/{stage}")
+def write_debug(seqs: SeqSet, path: str, stage: str, pattern: str = ".*") -> None:
+    """Headers and notes of the sequences whose id matches, as JSON below ``<path>/debug/<stage>``."""
+    for name in ("sequences", "notes"):
+        tap(getattr(seqs, name), pattern).write.mode("overwrite").json(f"{path}/debug/{stage}/{name}")

@@ -20,6 +20,7 @@ from scoreloom.plans.datasets import (
     sources,
 )
 from scoreloom.registry import operator
+from scoreloom.representations import PitchSequence
 from scoreloom.sinks import write_dataset, write_debug
 from scoreloom.sources.canonical import bytes_decoder, canonicalize, dataset_format
 from scoreloom.sources.files import import_tree, read_entry_files
@@ -131,11 +132,17 @@ def test_jobs_from_files_to_histograms(spark, dataset, tmp_path):
         "stretcher": {"order": -1, "stretch_factor": 2.0},
     }
     canonical = f"{out}/canonical"
-    report = process_datasets(spark, canonical, out, data, chain, "bars", distinct=True)["chorales-full/doc"]
+    options = {"distinct": True, "audit": True, "debug_pattern": "s1"}
+    report = process_datasets(spark, canonical, out, data, chain, "bars", **options)["chorales-full/doc"]
     assert report["total_sequences"] == report["distinct_sequences"] == 4 * 13
     assert process_datasets(spark, canonical, out, data, chain, "bars")["chorales-full/doc"]["skipped"]
 
     generated = f"{out}/generated/bars"
+    written = f"{generated}/chorales-full/doc/data"
+    audit = dict(((r[0], r[1]), r[2]) for r in rows(spark.read.parquet(f"{written}/audit"), "stage", "metric", "value"))
+    assert audit[("time_change_splitter", "input_sequences")] == 4
+    assert audit[("slicer", "output_sequences")] == 52 and audit[("slicer", "shorter_slices")] == 12
+    assert spark.read.json(f"{written}/debug/processors/quantizer/notes").count() == 64
     config = {"toussaint": {"order": 1, "bars": 4}, "contour": {"order": 2}}
     process_datasets(spark, generated, out, data, config, "bars", "data", "attributes")
     headers = read_seqset(spark, f"{generated}/chorales-full/doc/attributes").sequences
@@ -143,10 +150,13 @@ def test_jobs_from_files_to_histograms(spark, dataset, tmp_path):
 
     splits = {"train": {"ratio": 0.7, "augment": True}, "test": {"ratio": 0.3}}
     augmenters = {"transposer": {"order": 1, "threshold": 0.5, "delete_notes": False}}
+    tokens = PitchSequence(64, keep_attributes=True)
     report = represent_datasets(
-        spark, generated, out, data, "bars", "attributes", "pitchseq", splits, augmenters, keep_attributes=True, length=64
+        spark, generated, out, data, "bars", tokens, "attributes", "pitchseq", splits, augmenters, distinct=True
     )["chorales-full/doc"]
-    assert report["examples"] == 52
+    assert report["train_sequences"] + report["test_sequences"] == 52
+    assert 0 < report["train_distinct_sequences"] <= report["train_sequences"]
+    assert (report["train_expected"], report["test_expected"]) == (36, 15)
     stored = spark.read.parquet(f"{out}/representation/bars/chorales-full/doc/pitchseq")
     assert stored.filter(F.size("pitch_seq") != 64).count() == 0
     assert stored.select("context.*").columns == list(ATTRIBUTES)
@@ -176,8 +186,8 @@ def test_existing_output_is_kept_or_replaced(spark, tmp_path):
 
 def test_debug_records_match_from_the_start(spark, tmp_path):
     seqs = seqset(spark, [n("ab", 0, 1, 60), n("ba", 0, 1, 60)])
-    write_debug(seqs.sequences, str(tmp_path), "processors", "a|x")
-    assert rows(spark.read.json(f"{tmp_path}/debug/processors"), "seq_id") == [("ab",)]
+    write_debug(seqs, str(tmp_path), "processors/slicer", "a|x")
+    assert rows(spark.read.json(f"{tmp_path}/debug/processors/slicer/notes"), "seq_id", "pitch") == [("ab", 60)]
 
 
 def test_stored_set_round_trip(spark, tmp_path):
