@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.hashing import uniform
+from scoreloom.functions.ordered import with_group
 from scoreloom.model import NOTES_PER_OCTAVE, PIANO_MAX_PITCH, PIANO_MIN_PITCH, SeqSet
 from scoreloom.operators.transform import moved_pitch, out_of_band, transpose_events
 from scoreloom.registry import operator
 
 DEFAULT_SEED = 42
+COPY_MARK = "#transposed"
 
 TRANSPOSER_DEFAULTS = {
     "threshold": 0.5,
@@ -55,51 +57,61 @@ def clamped_bounds(pitches: DataFrame, o: Mapping[str, Any]) -> DataFrame:
     return pitches.withColumns({"low": clamp(o["min_transpose_amount"]), "high": clamp(o["max_transpose_amount"])})
 
 
-def amounts(seqs: SeqSet, o: Mapping[str, Any]) -> DataFrame:
-    """What happens to each sequence: ``seq_id, outcome, amount, deleted, notes``.
+def pitch_extent(o: Mapping[str, Any]) -> dict[str, Column]:
+    """Mergeable aggregates of a sequence's notes that decide what happens to it."""
+    low, high = F.lit(o["min_transpose_amount"]), F.lit(o["max_transpose_amount"])
+    moved = moved_pitch(drawn_amount(o["seed"], F.col("seq_id"), low, high))
+    pitched = F.when(~F.col("is_drum"), F.col("pitch"))
+    return {
+        "lowest": F.min(pitched),
+        "highest": F.max(pitched),
+        "notes": F.count(F.lit(1)),
+        "outside": F.count_if(out_of_band(moved, o["min_allowed_pitch"], o["max_allowed_pitch"])),
+    }
+
 
-    Outcomes: ``passed`` (not drawn), ``invalid_range`` (empty, or no amount keeps it in the band),
-    ``range_exceeded`` (nothing would be left) and ``augmented``. One mergeable aggregate over the notes and
-    one row per sequence after it.
+def decided(rows: DataFrame, o: Mapping[str, Any]) -> DataFrame:
+    """Add ``outcome, amount, deleted`` to rows that have their sequence's ``pitch_extent``.
+
+    Outcomes: ``passed`` (not drawn), ``invalid_range`` (no pitched note, or no amount keeps it in the band),
+    ``range_exceeded`` (nothing would be left) and ``augmented``.
     """
-    low, high = F.lit(o["min_transpose_amount"]), F.lit(o["max_transpose_amount"])
-    plain = drawn_amount(o["seed"], F.col("seq_id"), low, high)
-    outside = out_of_band(moved_pitch(plain), o["min_allowed_pitch"], o["max_allowed_pitch"])
-    per_sequence = seqs.notes.groupBy("seq_id").agg(
-        F.min(F.when(~F.col("is_drum"), F.col("pitch"))).alias("lowest"),
-        F.max(F.when(~F.col("is_drum"), F.col("pitch"))).alias("highest"),
-        F.count(F.lit(1)).alias("notes"),
-        F.count_if(outside).alias("outside"),
-    )
-    header = ["seq_id", "split"] if "split" in seqs.sequences.columns else ["seq_id"]
-    rows = seqs.sequences.select(*header).join(per_sequence, "seq_id", "left")
+    zero = F.lit(0).cast("bigint")
     drawn = gate(o["seed"], o["threshold"], F.col("seq_id"))
     if o["only_splits"] is not None:
         drawn = drawn & F.col("split").isin(list(o["only_splits"]))
     if o["delete_notes"]:
-        rows = rows.withColumns({"amount": plain, "deleted": F.coalesce("outside", F.lit(0).cast("bigint"))})
-        invalid = F.lit(False)
+        rows = rows.withColumns({"low": F.lit(o["min_transpose_amount"]), "high": F.lit(o["max_transpose_amount"])})
+        invalid, deleted = F.lit(False), F.coalesce("outside", zero)
     else:
         rows = clamped_bounds(rows, o)
-        invalid = F.col("lowest").isNull() | (F.col("low") > F.col("high"))
-        amount = F.when(~invalid, drawn_amount(o["seed"], F.col("seq_id"), F.col("low"), F.col("high")))
-        rows = rows.withColumns({"amount": amount, "deleted": F.lit(0).cast("bigint")})
-    nothing_left = F.coalesce(F.col("notes") - F.col("deleted"), F.lit(0)) == 0
+        invalid, deleted = F.col("lowest").isNull() | (F.col("low") > F.col("high")), zero
     outcome = (
         F.when(~drawn, "passed")
         .when(invalid, "invalid_range")
-        .when(nothing_left, "range_exceeded")
+        .when(F.coalesce(F.col("notes") - deleted, zero) == 0, "range_exceeded")
         .otherwise("augmented")
     )
-    changed = outcome == "augmented"
-    return rows.select(
-        *header,
-        outcome.alias("outcome"),
-        F.when(changed, F.col("amount")).alias("amount"),
-        F.when(outcome.isin("augmented", "range_exceeded"), F.col("deleted")).alias("deleted"),
+    amount = drawn_amount(o["seed"], F.col("seq_id"), F.col("low"), F.col("high"))
+    return (
+        rows.withColumn("outcome", outcome)
+        .withColumns(
+            {
+                "amount": F.when(F.col("outcome") == "augmented", amount),
+                "deleted": F.when(F.col("outcome").isin("augmented", "range_exceeded"), deleted),
+            }
+        )
+        .drop("low", "high", "lowest", "highest", "notes", "outside")
     )
 
 
+def amounts(seqs: SeqSet, o: Mapping[str, Any]) -> DataFrame:
+    """One row per sequence, with or without notes: ``seq_id, outcome, amount, deleted`` (and ``split``)."""
+    header = ["seq_id", "split"] if "split" in seqs.sequences.columns else ["seq_id"]
+    extent = seqs.notes.groupBy("seq_id").agg(*[c.alias(n) for n, c in pitch_extent(o).items()])
+    return decided(seqs.sequences.select(*header).join(extent, "seq_id", "left"), o)
+
+
 @operator("augmenter", "transposer", **TRANSPOSER_DEFAULTS)
 def augment_transpose(seqs: SeqSet, **given) -> SeqSet:
     """Transpose a random share of the sequences by a random amount.
@@ -109,44 +121,53 @@ def augment_transpose(seqs: SeqSet, **given) -> SeqSet:
     ``delete_notes=False`` the range of amounts is narrowed so that no note leaves the band.
     """
     o = {**TRANSPOSER_DEFAULTS, **given}
-    plan = amounts(seqs, o).select("seq_id", "outcome", "amount").filter("outcome <> 'range_exceeded'")
     amount = F.coalesce("amount", F.lit(0))
+    plan = amounts(seqs, o).select("seq_id", "outcome", "amount")
 
-    def planned(table: DataFrame) -> DataFrame:
-        if o["in_place"] and o["delete_notes"] and o["only_splits"] is None:
-            # The draw follows from the id alone, and deleting notes is what empties a sequence: no join needed.
-            low, high = F.lit(o["min_transpose_amount"]), F.lit(o["max_transpose_amount"])
-            drawn = gate(o["seed"], o["threshold"], F.col("seq_id"))
-            return table.withColumns(
-                {
-                    "amount": F.when(drawn, drawn_amount(o["seed"], F.col("seq_id"), low, high)),
-                    "outcome": F.when(drawn, "augmented").otherwise("passed"),
-                }
-            )
-        return table.join(plan, "seq_id")
-
-    def changed(table: DataFrame, change) -> DataFrame:
+    def emitted(table: DataFrame) -> DataFrame:
+        """Rows of kept sequences with ``moving``: once, or a second time for the added transposed form."""
+        kept = table.filter("outcome <> 'range_exceeded'")
         if o["in_place"]:
-            return change(table).drop("outcome", "amount")
-        copies = change(table.filter("outcome = 'augmented'"))
-        copies = copies.withColumn("seq_id", F.concat("seq_id", F.lit("#transposed")))
-        return table.unionByName(copies).drop("outcome", "amount")
-
-    def move_notes(notes: DataFrame) -> DataFrame:
-        pitch = moved_pitch(amount)
-        inside = ~out_of_band(pitch, o["min_allowed_pitch"], o["max_allowed_pitch"])
-        return notes.filter(F.col("amount").isNull() | inside).withColumn("pitch", pitch.cast("int"))
-
-    def move_events(events: DataFrame) -> DataFrame:
-        return transpose_events(events, amount) if o["transpose_chords"] else events
-
+            return kept.withColumn("moving", F.lit(True))
+        twice = F.when(F.col("outcome") == "augmented", F.array(F.lit(False), F.lit(True)))
+        return kept.withColumn("moving", F.explode(F.coalesce(twice, F.array(F.lit(False)))))
+
+    def finished(table: DataFrame, notes: bool = False) -> DataFrame:
+        if not o["in_place"]:
+            seq_id = F.when(F.col("moving"), F.concat("seq_id", F.lit(COPY_MARK))).otherwise(F.col("seq_id"))
+            table = seqs.renamed(table, seq_id).drop("parent_id") if notes else table.withColumn("seq_id", seq_id)
+        return table.drop("outcome", "amount", "deleted", "moving")
+
+    split_known = o["only_splits"] is None or "split" in seqs.notes.columns
+    if o["in_place"] and o["delete_notes"] and split_known:
+        # The draw follows from the id, and deleting its notes is what empties a sequence: a plain projection.
+        nothing = {"lowest": F.lit(None).cast("int"), "highest": F.lit(None).cast("int")}
+        alone = seqs.notes.withColumns({**nothing, "notes": F.lit(1), "outside": F.lit(0).cast("bigint")})
+        notes = decided(alone, o)
+    elif seqs.bounded and split_known:
+        notes = decided(with_group(seqs.notes, seqs.keys, pitch_extent(o), bounded=True), o)
+    else:
+        notes = seqs.notes.join(plan, "seq_id")
+    notes = emitted(notes)
+    pitch = F.when(F.col("moving"), moved_pitch(amount)).otherwise(F.col("pitch"))
+    outside = out_of_band(moved_pitch(amount), o["min_allowed_pitch"], o["max_allowed_pitch"])
+    notes = notes.filter(~F.col("moving") | F.col("amount").isNull() | ~outside).withColumn("pitch", pitch.cast("int"))
+
+    events = emitted(seqs.events.join(plan, "seq_id"))
+    if o["transpose_chords"]:
+        events = transpose_events(events, F.when(F.col("moving"), amount).otherwise(F.lit(0)))
     return seqs.with_(
-        sequences=changed(seqs.sequences.join(plan, "seq_id"), lambda sequences: sequences),
-        notes=changed(planned(seqs.notes), move_notes),
-        events=changed(planned(seqs.events), move_events),
+        sequences=finished(emitted(seqs.sequences.join(plan, "seq_id"))),
+        notes=finished(notes, notes=True),
+        events=finished(events),
     )
 
 
+def original_id(seq_id: Column) -> Column:
+    """Id of the sequence that an added transposed form comes from, or the id itself."""
+    return F.regexp_replace(seq_id, f"({COPY_MARK})+$", "")
+
+
 def augment_audit(seqs: SeqSet, **given) -> DataFrame:
     """One row of counters (per split if there are splits) and of the ``deleted_notes`` distribution."""
     o = {**TRANSPOSER_DEFAULTS, **given}
@@ -186,8 +207,9 @@ def split_of(ratios: Mapping[str, float], seq_id: Column, seed: int = DEFAULT_SE
 
 
 def assign_splits(seqs: SeqSet, ratios: Mapping[str, float], seed: int = DEFAULT_SEED) -> SeqSet:
-    """Give each sequence header its ``split``."""
-    return seqs.with_(sequences=seqs.sequences.withColumn("split", split_of(ratios, F.col("seq_id"), seed)))
+    """Give each sequence header, and its notes, their ``split``."""
+    split = split_of(ratios, F.col("seq_id"), seed)
+    return seqs.with_(sequences=seqs.sequences.withColumn("split", split), notes=seqs.notes.withColumn("split", split))
 
 
 def split_report(sequences: DataFrame, ratios: Mapping[str, float]) -> DataFrame:

@@ -19,7 +19,7 @@ import scoreloom.operators  # noqa: F401  (registers the operators)
 from scoreloom.model import SeqSet
 from scoreloom.operators.attributes import compute_attributes
 from scoreloom.operators.audit import count_elements, stage_audit
-from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, check_ratios
+from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, check_ratios, original_id, split_of
 from scoreloom.operators.distinct import distinct_examples, distinct_sequences
 from scoreloom.operators.histogram import DEFAULT_BINS, histogram
 from scoreloom.operators.melody import melody_audit
@@ -233,15 +233,17 @@ def represented(
 ) -> DataFrame:
     """The examples of a set: one plan from headers and notes to encoded, split rows (``copies`` if distinct)."""
     flagged = None
+    ratios = {n: c["ratio"] for n, c in (split_config or {}).items()}
     if split_config:
-        seqs = assign_splits(seqs, {n: c["ratio"] for n, c in split_config.items()}, seed)
+        seqs = assign_splits(seqs, ratios, seed)
         flagged = [n for n, c in split_config.items() if c.get("augment", False)]
     if augmenters and flagged != []:
         steps = [(n, {**o, "only_splits": flagged}) for n, o in ordered_steps(augmenters)]
         seqs = apply_chain(seqs, "augmenter", steps)
     examples = representation.encode(seqs)
     if split_config:
-        examples = examples.join(seqs.sequences.select("seq_id", "split"), "seq_id")
+        # The split follows from the id, so examples need no join to get it.
+        examples = examples.withColumn("split", split_of(ratios, original_id(F.col("seq_id")), seed))
     return distinct_examples(examples) if distinct else examples
 
 

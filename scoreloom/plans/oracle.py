@@ -439,6 +439,10 @@ for _name in ATTRIBUTES:
         *sliced(FEW if _name in FEW_NAMES else "21 + k % 88"), BEFORE
     ) + attribute_select([_name])
 ORACLE["attributes_all"] = with_(notes(FEW), quantized(), line("q"), BEFORE) + attribute_select(list(ATTRIBUTES))
+ORACLE["attributes_written"] = (
+    with_(notes(), quantized(), line("q"), BEFORE, f"a as ({attribute_select(['contour', 'pitch_range'])})")
+    + "select seq_id, 'events/' || seq_id || '.mid' as filepath, contour, pitch_range from a"
+)
 ORACLE["custom_attribute"] = (
     with_(*sliced()) + "select seq_id, round(avg(velocity) * 0.5e0, 4) as mean_velocity from l group by seq_id"
 )

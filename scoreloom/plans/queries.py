@@ -387,9 +387,13 @@ for _name, _options in {**MANY_PITCHES, **FEW_PITCHES}.items():
 @query("attributes_all")
 def _(spark, folder):
     options = {a: FEW_PITCHES.get(a, MANY_PITCHES.get(a)) for a in ATTRIBUTES}
-    return attributes.compute_attributes(gridded(spark, folder, few_pitches=True), options).sequences.select(
-        "seq_id", *ATTRIBUTES
-    )
+    return attributes.attribute_table(gridded(spark, folder, few_pitches=True), options)
+
+
+@query("attributes_written")
+def _(spark, folder):
+    seqs = attributes.compute_attributes(gridded(spark, folder), ["contour", "pitch_range"])
+    return seqs.sequences.select("seq_id", "filepath", "contour", "pitch_range")
 
 
 @operator("attribute", "mean_velocity", scale=1.0)
