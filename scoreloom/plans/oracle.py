@@ -83,7 +83,7 @@ def slices(source: str, name: str = "s", size: int = 4, hop: int = 1, where: str
   from {name}_cut where {where})"""
 
 
-PER_SLICE = """select seq_id, count(*) as notes, sum(q_start) as starts, sum(q_end) as ends, sum(pitch) as pitches,
+PER_SLICE = """select seq_id, count(*) as notes, sum(q_start)::bigint as starts, sum(q_end)::bigint as ends, sum(pitch)::bigint as pitches,
   max(total_steps) as total_steps from s group by seq_id"""
 
 
@@ -186,14 +186,14 @@ ORACLE["scan_sequences"] = (
 )
 ORACLE["loader_scan"] = "select o_orderkey, o_totalprice, 0 as epoch from orders"
 ORACLE["import_tree"] = (
-    "select 'lang=' || lang as folder, sum(octet_length(encode(text)) + 1) as bytes from documents group by 1"
+    "select 'lang=' || lang as folder, sum(octet_length(encode(text)) + 1)::bigint as bytes from documents group by 1"
 )
 ORACLE["debug_tap"] = (
     with_(notes())
     + "select distinct seq_id, 'events/' || seq_id || '.mid' as filepath from n where regexp_matches(seq_id, '^1[0-9]')"
 )
 ORACLE["canonicalize_json"] = """select cast(event_id as varchar) as seq_id,
-  case when event_type = 'click' then 2 else 0 end as notes,
+  cast(case when event_type = 'click' then 2 else 0 end as bigint) as notes,
   case when event_type = 'click' then 2 * cast(regexp_extract(props, '[0-9]+') as bigint) + 4 else 0 end as pitches,
   case event_type when 'click' then 'none' when 'signup' then 'malformed document' when 'view' then 'no decoder for midi'
     when 'purchase' then 'no decoder for musicxml' else 'Unsupported file type: .xyz' end as error
@@ -253,7 +253,7 @@ ORACLE["split_time_change"] = with_(VARIED, ALL_CUTS, SEGMENTS) + timed("change"
 ORACLE["split_time_change_skip"] = with_(VARIED, FREE_CUTS, SEGMENTS) + timed("change")
 ORACLE["filter_time_signature"] = (
     with_(VARIED, ALL_CUTS, SEGMENTS)
-    + f"select seq_id, count(*) as notes, sum(pitch) as pitches from ({timed('change', 'seg where sig = 4004')}) group by seq_id"
+    + f"select seq_id, count(*) as notes, sum(pitch)::bigint as pitches from ({timed('change', 'seg where sig = 4004')}) group by seq_id"
 )
 ORACLE["split_events"] = (
     with_(
@@ -276,7 +276,7 @@ ORACLE["split_events"] = (
   union all select seq_id, seg_start, 'time_signature', 0e0, null, num from heads where num is not null)""",
     )
     + """select seq_id || '#silence@' || cast(floor(seg_start * 1e6 + 0.5e0) as bigint) as seq_id, kind, count(*) as n,
-  round(sum(time), 6) as times, sum(qpm) as qpm, sum(num) as num from handed group by 1, 2"""
+  round(sum(time), 6) as times, coalesce(sum(qpm), 0) as qpm, coalesce(sum(num), 0)::bigint as num from handed group by 1, 2"""
 )
 ORACLE["split_silence"] = with_(notes(), SILENCE.format(gap="3e0")) + timed("silence")
 
@@ -378,7 +378,7 @@ ORACLE["transpose_audit"] = (
   from i group by seq_id)""",
     )
     + """select count(*) filter (total = deleted) as skipped_due_to_range_exceeded,
-  count(*) filter (total > deleted) as transpositions_generated, count(*) as deleted_count, sum(deleted) as deleted_sum,
+  count(*) filter (total > deleted) as transpositions_generated, count(*) as deleted_count, sum(deleted)::bigint as deleted_sum,
   min(deleted) as deleted_min, max(deleted) as deleted_max, round(avg(deleted), 6) as deleted_mean from d"""
 )
 
@@ -504,7 +504,7 @@ ORACLE["augment_audit"] = (
     with_(*NARROW, "p as (select seq_id, any_value(a) as a, max(left_) as left_, max(lost_n) as lost_n from f group by seq_id)")
     + """select count(*) as input_sequences, count(*) filter (left_ > 0) as output_sequences,
   count(*) filter (a is not null) as augmented_sequences, count(*) filter (left_ = 0) as skipped_due_to_range_exceeded,
-  0 as skipped_invalid_range, count(a) as deleted_count, sum(lost_n) filter (a is not null) as deleted_sum,
+  0::bigint as skipped_invalid_range, count(a) as deleted_count, (sum(lost_n) filter (a is not null))::bigint as deleted_sum,
   min(lost_n) filter (a is not null) as deleted_min, max(lost_n) filter (a is not null) as deleted_max from p"""
 )
 ORACLE["split_dataset"] = with_(notes()) + f"select distinct seq_id, {SPLIT} as split from n"

@@ -278,7 +278,7 @@ def _(spark, folder):
     """Tempo, signature and pedal events as they are handed to the segments of a split."""
     events = split.split_silence(plain(spark, folder, varied=True), 6.0).events
     return events.groupBy("seq_id", "kind").agg(
-        F.count(F.lit(1)).alias("n"), r6(F.sum("time")).alias("times"), F.sum("qpm").alias("qpm"), F.sum("num").alias("num")
+        F.count(F.lit(1)).alias("n"), r6(F.sum("time")).alias("times"), F.coalesce(F.sum("qpm"), F.lit(0.0)).alias("qpm"), F.coalesce(F.sum("num"), F.lit(0)).alias("num")
     )
 
 
