@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 BLOCK_STEPS = 4096
 BLOCK_CELLS = 4096
 BLOCK_SECONDS = 16.0
-ASOF_SALTS = 4
+PART_ROWS = 1_000_000
 
 StartsRun = Callable[[Column, Column], Column]
 
@@ -160,14 +160,14 @@ def asof(
     name: str = "match",
     bounded: bool = False,
     block_seconds: float = BLOCK_SECONDS,
-    salts: int = ASOF_SALTS,
+    rows_per_part: int = PART_ROWS,
 ) -> DataFrame:
     """Add to each left row the struct ``name`` of the latest right row with ``right_time <= left_time``.
 
-    ``right`` must be unique on (keys, right_time). If a key is not known to be small, time is cut into blocks
-    and ``right``, the smaller side, is repeated for every salt, so that a dense stretch of left rows is
-    shared among tasks; earlier blocks reach a block through one carried row. Either way the work grows with
-    the rows, not with left-right pairs.
+    ``right`` must be unique on (keys, right_time). If a key is not known to be small, time is cut into blocks,
+    and a block with many left rows into parts of about ``rows_per_part``, each of which sees the block's right
+    rows; earlier blocks reach a block through one carried row. Either way the rows are sorted, and no
+    left-right pairs are formed.
     """
     keys = list(keys)
     hit = F.struct(F.col(right_time).alias("time"), *values)
@@ -178,41 +178,36 @@ def asof(
         ordered = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
         found = both.withColumn(name, F.last("_hit", ignorenulls=True).over(ordered)).filter("_side = 1")
         return found.select(*left.columns, name)
-    lefts = left.withColumns(
-        {
-            "_t": F.col(left_time),
-            "_block": F.floor(F.col(left_time) / block_seconds),
-            "_salt": F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"),
-            "_side": F.lit(1),
-        }
-    )
+    lefts = left.withColumns({"_t": F.col(left_time), "_block": F.floor(F.col(left_time) / block_seconds)})
     rights = right.select(
         *keys,
         F.col(right_time).alias("_t"),
         F.floor(F.col(right_time) / block_seconds).alias("_block"),
-        F.lit(0).alias("_side"),
         hit.alias("_hit"),
     )
-    salted = rights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    both = lefts.unionByName(salted, allowMissingColumns=True)
-    ordered = Window.partitionBy(*keys, "_block", "_salt").orderBy("_t", "_side")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    local = both.withColumn("_local", F.last("_hit", ignorenulls=True).over(upto)).filter("_side = 1")
-
-    blocks = (
-        lefts.select(*keys, "_block")
+    # One row per (key, block): what earlier blocks hand over, and in how many parts to order its left rows.
+    sizes = (
+        lefts.select(*keys, "_block", F.lit(1).alias("_left"))
         .unionByName(rights.select(*keys, "_block", "_hit"), allowMissingColumns=True)
         .groupBy(*keys, "_block")
-        .agg(F.max("_hit").alias("_hit"))
+        .agg(F.max("_hit").alias("_hit"), F.count("_left").alias("_n"))
     )
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = blocks.select(*keys, "_block", F.last("_hit", ignorenulls=True).over(earlier).alias("_carry"))
-    # Repeated per salt, the carry joins on the partitioning the rows already have.
-    carry = carry.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return local.join(carry, [*keys, "_block", "_salt"]).select(
-        *left.columns, F.coalesce("_local", "_carry").alias(name)
+    parts = F.ceil(F.greatest(F.col("_n"), F.lit(1)) / rows_per_part).cast("int")
+    blocks = sizes.select(
+        *keys, "_block", F.last("_hit", ignorenulls=True).over(earlier).alias("_carry"), parts.alias("_parts")
     )
 
+    inside = [*keys, "_block"]
+    part = F.pmod(F.xxhash64(*left.columns), F.col("_parts")).cast("int")
+    one = lefts.join(blocks, inside).withColumns({"_part": part, "_side": F.lit(1)})
+    every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    two = rights.join(blocks.drop("_carry"), inside).withColumns({"_part": every, "_side": F.lit(0)})
+    ordered = Window.partitionBy(*inside, "_part").orderBy("_t", "_side")
+    found = F.last("_hit", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    both = one.unionByName(two, allowMissingColumns=True).withColumn("_found", found).filter("_side = 1")
+    return both.select(*left.columns, F.coalesce("_found", "_carry").alias(name))
+
 
 def block_of(column: Column | str, size: float, bounded: bool) -> Column | None:
     """Block number of a row, or None where its whole key is known to be small."""

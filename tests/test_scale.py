@@ -148,5 +148,5 @@ def test_asof_matches_plain_windows(spark, data):
     options = dict(keys=["seq_id"], left_time="start_time", right_time="time", values=["note_idx"])
     plain = rows(asof(notes, marks, **options, bounded=True), "seq_id", "note_idx", "match")
     for size in (0.5, 30.0, 1000.0):
-        found = asof(notes, marks, **options, block_seconds=size, salts=3)
+        found = asof(notes, marks, **options, block_seconds=size, rows_per_part=5)
         assert rows(found, "seq_id", "note_idx", "match") == plain
