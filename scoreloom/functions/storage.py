@@ -9,9 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``. Only where none is named, as in a local test, a temporary folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    return named or tempfile.mkdtemp(prefix="scoreloom-")
+    """The folder of the context's checkpoints, or the one that ``spark.checkpoint.dir`` names.
+
+    Only a local master may do without: it then uses a temporary folder. On a cluster each executor would write
+    to its own disk there, and a later read would miss rows, so an error is raised instead.
+    """
+    context = spark.sparkContext
+    set_for_context = context._jsc.sc().getCheckpointDir()
+    if set_for_context.isDefined():
+        return set_for_context.get()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if named:
+        return named
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return tempfile.mkdtemp(prefix="scoreloom-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

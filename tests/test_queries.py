@@ -6,8 +6,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__
-
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
+from scoreloom.plans.oracle import ORACLE as SQL
+from scoreloom.plans.queries import QUERIES
 
 # Queries whose operators order notes in time, and so scan in blocks when sequences may be large.
 ORDERED = [
