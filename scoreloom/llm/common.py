@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +47,22 @@ def lookup(df: DataFrame, table: DataFrame, on: list[str], how: str = "left", bo
     The rows are the same either way. In the shuffle, hot keys of ``df`` are left to the adaptive skew join.
     """
     return df.join(F.broadcast(table) if few(table, bound) else table, on, how)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Consecutive rows of Arrow batches with about ``most`` code points of text, and their texts; one row at least.
+
+    A missing text is given as an empty one.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        first, held = 0, 0
+        for i, length in enumerate(lengths):
+            if i > first and held + length > most:
+                part = batch.slice(first, i - first)
+                yield part, pc.fill_null(part.column(column), "").to_pylist()
+                first, held = i, 0
+            held += length
+        if first < len(lengths):
+            part = batch.slice(first)
+            yield part, pc.fill_null(part.column(column), "").to_pylist()

@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.dedup import exact_duplicates
+from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
+from scoreloom.llm.secrets import secret_report
+from scoreloom.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,6 +41,33 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+@query("""
+with p as (select page_id, coalesce(html, '') as payload from pages),
+g as (select payload, max(page_id) as original from p group by payload),
+d as (select page_id, original, octet_length(encode(payload)) as payload_bytes, sha1(payload) as h
+  from p join g using (payload))
+select page_id, payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+    ((cast('0x' || substr(h, (1 + 10 * (j // 8))::int, 10) as bigint) >> (35 - 5 * (j % 8))::int) & 31)::int, 1)), '') as payload_digest,
+  case when original is null or page_id = original then 'response' else 'revisit' end as record_type,
+  case when page_id = original then null else original end as refers_to
+from d
+""")
+def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    read = round_trip(table(spark, folder, "pages"), scratch_path(spark, "archives"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_report(table(spark, folder, "documents"))
+
+
+@query()
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return predicted_languages(table(spark, folder, "documents"))
+
+
 @query(r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
