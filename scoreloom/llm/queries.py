@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.dedup import exact_duplicates
@@ -12,6 +13,7 @@ from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
 from scoreloom.llm.secrets import secret_report
 from scoreloom.llm.warc import round_trip
+from scoreloom.llm.winnowing import edited_fingerprints, fingerprint
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,6 +43,19 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
 
+@query()
+def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_fingerprints(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint("text").alias("fingerprint"),
+        fingerprint("edited").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 @query("""
 with p as (select page_id, coalesce(html, '') as payload from pages),
 g as (select payload, max(page_id) as original from p group by payload),
