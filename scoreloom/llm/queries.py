@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import scratch_path
+from scoreloom.llm.bpe import default_vocabulary, encoding_report
 from scoreloom.llm.dedup import exact_duplicates
 from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
@@ -107,3 +108,8 @@ from sized join rates on sized.source is not distinct from rates.source
 """)
 def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixed_sizes(table(spark, folder, "documents")).drop("copies")
+
+
+@query()
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return encoding_report(table(spark, folder, "documents"), default_vocabulary())
