@@ -12,6 +12,7 @@ from scoreloom.llm.bpe import default_vocabulary, encoding_report
 from scoreloom.llm.dedup import exact_duplicates
 from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
+from scoreloom.llm.privacy import with_surrogates
 from scoreloom.llm.secrets import secret_report
 from scoreloom.llm.warc import round_trip
 from scoreloom.llm.winnowing import edited_fingerprints, fingerprint
@@ -74,6 +75,11 @@ def op5_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op6_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return with_surrogates(table(spark, folder, "documents"))
+
+
 @query()
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_report(table(spark, folder, "documents"))
