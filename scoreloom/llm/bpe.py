@@ -263,8 +263,11 @@ def ids_digest(ids: pd.Series) -> pd.Series:
     return ids.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
 
 
-def encoding_report(docs: DataFrame, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the texts encoded and decoded with the vocabulary at ``path``."""
+def encoding_report(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the texts encoded and decoded with the vocabulary at ``path``.
+
+    The digests are missing for no row: an empty list of ids has that of no bytes. ``keep_ids`` adds the ids.
+    """
     vocabulary = Vocabulary(path)
     both = decode(encode(docs, vocabulary), vocabulary)
     return both.select(
@@ -272,6 +275,7 @@ def encoding_report(docs: DataFrame, path: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         ids_digest("ids").alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["ids"] if keep_ids else []),
     )
 
 

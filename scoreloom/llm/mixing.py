@@ -23,7 +23,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     The sources share the size of all in proportion to their weights. A target stops at ``cap`` times its source,
     and the excess is shared again by weight until no target is above. So in the end ``target = min(cap * size, level
     * weight)``, and the level is found in one pass over the sources in the order of ``size / weight``: the first
-    source that the level does not fill decides it. The table has one row per source, which is why windows over
+    source that its share does not fill decides it. From there on shares computed that way fall, so it is the largest of them. The table has one row per source, which is why windows over
     all of it are in order; the documents are summed before.
 
     A source without words gets the target and rate 0. Null is a source of its own, the last.
@@ -41,7 +41,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     steps = weighed.withColumn("level", level)
     open_level = F.when(cap * F.col("source_size") >= F.col("level") * F.col("weight"), F.col("level"))
     return (
-        steps.withColumn("level", F.min(open_level).over(every))
+        steps.withColumn("level", F.max(open_level).over(every))
         .withColumn("target", F.least(F.col("source_size") * F.lit(float(cap)), F.col("level") * F.col("weight")))
         .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .select("source", "source_size", "target", "rate")

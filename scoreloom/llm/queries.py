@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.bpe import default_vocabulary, encoding_report
 from scoreloom.llm.dedup import exact_duplicates
+from scoreloom.llm.jaccard import Join
 from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
 from scoreloom.llm.privacy import with_surrogates
@@ -58,6 +59,11 @@ def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return Join(words=3, percent=90).components(table(spark, folder, "documents")).drop("mark")
+
+
 @query("""
 with p as (select page_id, coalesce(html, '') as payload from pages),
 g as (select payload, max(page_id) as original from p group by payload),
@@ -105,7 +111,7 @@ steps as (
   from totals),
 targets as (
   select source, source_size, least(source_size * 3e0, weight * (
-      select min(level) from steps where 3 * source_size >= level * weight)) as target from steps),
+      select max(level) from steps where 3 * source_size >= level * weight)) as target from steps),
 rates as (select *, case when source_size > 0 then target / source_size else 0e0 end as rate from targets)
 select doc_id, size, source_size, target,
   size * (floor(rate)::bigint + case when cast('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 8)
