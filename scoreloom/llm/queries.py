@@ -14,6 +14,7 @@ from scoreloom.llm.jaccard import Join
 from scoreloom.llm.language import predicted_languages
 from scoreloom.llm.mixing import mixed_sizes
 from scoreloom.llm.privacy import with_surrogates
+from scoreloom.llm.scoring import katz_scores
 from scoreloom.llm.secrets import secret_report
 from scoreloom.llm.warc import round_trip
 from scoreloom.llm.winnowing import edited_fingerprints, fingerprint
@@ -59,6 +60,11 @@ def op2_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op3_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return katz_scores(table(spark, folder, "documents"))
+
+
 @query()
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return Join(words=3, percent=90).components(table(spark, folder, "documents")).drop("mark")
