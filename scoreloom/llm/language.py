@@ -96,7 +96,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, buckets: int = B
                 sums[lang] = sums.get(lang, 0) + found
         for lang, counts in sums.items():
             at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": at, "n": counts[at]})
+            columns = [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
 
     totals = chosen.select("lang", "text").mapInArrow(counted, "lang string, bucket long, n long")
     matrix = np.zeros((buckets + 1, len(languages)))

@@ -330,14 +330,17 @@ def mentions(docs: DataFrame, surrogates: Surrogates, text: bool) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
-def check_distinct(docs: DataFrame, surrogates: Surrogates) -> None:
-    """Stop if two entities of one kind in the corpus would get one surrogate.
+def clashes(each: DataFrame) -> DataFrame:
+    """``kind, surrogate, n`` where n > 1 entities of a kind have one surrogate, of ``each(kind, entity, surrogate)``.
 
     Entities are made distinct in each task before they are shuffled, so one that every document has is not hot.
     """
-    each = mentions(docs, surrogates, text=False).select(F.explode("mentions").alias("m")).select("m.*").distinct()
-    clash = each.groupBy("kind", "surrogate").agg(F.count_distinct("entity").alias("n")).where("n > 1")
-    worst = clash.orderBy("kind", "surrogate").limit(3).collect()
+    return each.distinct().groupBy("kind", "surrogate").agg(F.count_distinct("entity").alias("n")).where("n > 1")
+
+
+def check_distinct(each: DataFrame) -> None:
+    """Stop if two entities of one kind in the corpus would get one surrogate."""
+    worst = clashes(each).orderBy("kind", "surrogate").limit(3).collect()
     if worst:
         raise ValueError(f"two entities would share a surrogate: {[(r['kind'], r['surrogate']) for r in worst]}")
 
@@ -351,7 +354,7 @@ def with_surrogates(docs: DataFrame, key: str = KEY, check: bool = True) -> Data
     surrogates = Surrogates(key)
     rows = docs.select("doc_id", F.col("text").alias("_text"))
     if check:
-        check_distinct(docs.select("text"), surrogates)
+        check_distinct(mentions(docs.select("text"), surrogates, text=False).select(F.explode("mentions").alias("m")).select("m.*"))
     made = mentions(rows, surrogates, text=True)
     count = lambda kind: F.size(F.filter("mentions", lambda m: m["kind"] == kind)).cast("long")
     different = F.size(F.array_distinct(F.transform("mentions", lambda m: F.struct(m["kind"], m["entity"])))).cast("long")

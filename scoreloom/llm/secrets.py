@@ -114,7 +114,7 @@ def accepted(op, arg, fold: bool) -> frozenset[int]:
     """The bytes that a single item of a parsed pattern accepts."""
     if op is kinds.LITERAL:
         found = {arg}
-    elif op is kinds.IN and arg[0][0] is not kinds.NEGATE:
+    elif op is kinds.IN and all(what in (kinds.LITERAL, kinds.RANGE) for what, _ in arg):
         found = set()
         for what, value in arg:
             found |= {value} if what is kinds.LITERAL else set(range(value[0], value[1] + 1))

@@ -41,7 +41,7 @@ def with_marks(df: DataFrame, text: str, gram: int = GRAM, window: int = WINDOW)
         left = [F.coalesce(F.get(grams, i - j) >= own, F.lit(False)) for j in range(1, window)]
         right = [F.coalesce(F.get(grams, i + j) > own, F.lit(False)) for j in range(1, window)]
         cases = [left[:a] + right[: window - 1 - a] for a in range(window)]
-        return reduce(Column.__or__, [reduce(Column.__and__, case) for case in cases])
+        return reduce(Column.__or__, [reduce(Column.__and__, case, F.lit(True)) for case in cases])
 
     m = F.size(grams)
     single = F.array((m - F.array_position(F.reverse(grams), F.array_min(grams))).cast("int"))
