@@ -19,7 +19,10 @@ STABLE_SEED = "stable"
 
 @dataclass(frozen=True)
 class Loader:
-    """Steps in fixed order: parse, map, filter, cache, shuffle, repeat, batch."""
+    """Steps in fixed order: parse, map, filter, cache, shuffle, repeat, batch.
+
+    Rows come with ``epoch`` and ``position``, their 0-based place, or in batches with ``batch_id`` and ``pos_in_batch``.
+    """
 
     id_column: str = "seq_id"
     parse: Callable[[DataFrame], DataFrame] | None = None
@@ -46,13 +49,18 @@ class Loader:
             rows = rows.filter(self.filter) if isinstance(self.filter, Column) else self.filter(rows)
         if self.cache:
             rows = cached(rows, self.cache_path)
-        rows = repeated(rows, self.repeat_count)
-        rows = rows.withColumn("order_key", self.order_key())
+        epochs = self.repeat_count or 1
+        if self.shuffle_repeat and self.shuffle:
+            rows = repeated(rows, self.repeat_count).withColumn("order_key", self.order_key())
+            rows = positioned(rows, self.id_column)
+        else:
+            # All epochs have one order, so rows are numbered before they are repeated.
+            rows = positioned(rows.withColumns({"epoch": F.lit(0), "order_key": self.order_key()}), self.id_column)
+            rows = repeated(rows.drop("epoch"), self.repeat_count)
+            rows = rows.withColumn("position", F.col("epoch") * F.col("epoch_rows") + F.col("position"))
         if self.batch_size:
-            rows = batched(
-                rows, self.batch_size, self.id_column, self.batch_drop_remainder, self.repeat_count or 1
-            )
-        return rows.drop("order_key")
+            rows = batched(rows, self.batch_size, self.batch_drop_remainder, epochs)
+        return rows.drop("order_key", "epoch_rows")
 
     def order_key(self) -> Column:
         """Place of a row: a hash of its id, with the seed if shuffled, and with the epoch if reshuffled."""
@@ -106,13 +114,11 @@ def positioned(rows: DataFrame, id_column: str, order: str = "order_key") -> Dat
     )
 
 
-def batched(
-    rows: DataFrame, batch_size: int, id_column: str, drop_remainder: bool = False, epochs: int = 1
-) -> DataFrame:
-    """Add ``batch_id`` and ``pos_in_batch``; batches may span epochs, the last one may be short or dropped."""
+def batched(placed: DataFrame, batch_size: int, drop_remainder: bool = False, epochs: int = 1) -> DataFrame:
+    """``batch_id`` and ``pos_in_batch`` instead of ``position``; batches may span epochs, the last one may be short or dropped."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    placed = positioned(rows, id_column).withColumns(
+    placed = placed.withColumns(
         {
             "batch_id": F.floor(F.col("position") / batch_size).cast("bigint"),
             "pos_in_batch": (F.col("position") % batch_size).cast("int"),
@@ -120,7 +126,7 @@ def batched(
     )
     if drop_remainder:
         placed = placed.filter(F.col("batch_id") < F.floor(F.col("epoch_rows") * epochs / batch_size))
-    return placed.drop("position", "epoch_rows")
+    return placed.drop("position")
 
 
 def batch_rows(rows: DataFrame, *features: str) -> DataFrame:

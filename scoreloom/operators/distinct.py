@@ -14,7 +14,7 @@ EVENT_CONTENT = ("kind", "time", "q_step", "num", "den", "qpm", "cc_number", "cc
 
 
 def content_keys(seqs: SeqSet) -> DataFrame:
-    """``seq_id, content``: equal for sequences with the same bag of notes and events.
+    """``seq_id, content``: equal for sequences with the same bag of notes and events; one key for those without any.
 
     The key adds up hashes of the rows, together with their number. Sums merge, so a sequence of any length is
     reduced before the shuffle and never gathered to be compared.
@@ -30,20 +30,27 @@ def content_keys(seqs: SeqSet) -> DataFrame:
         .groupBy("seq_id")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("one").alias("one"), F.sum("two").alias("two"))
     )
-    return sums.select("seq_id", F.concat_ws("-", "n", "one", "two").alias("content"))
+    keyed = seqs.sequences.select("seq_id").distinct().join(sums, "seq_id", "left")
+    return keyed.select("seq_id", F.coalesce(F.concat_ws("-", "n", "one", "two"), F.lit("")).alias("content"))
 
 
 def distinct_sequences(seqs: SeqSet, keys: str = "record") -> SeqSet:
     """Distinct sequences.
 
-    ``record`` compares whole records, id and file path included: repeated records have equal rows in all
-    three tables, so the tables' distinct rows are the distinct records. ``content`` compares notes and events
+    ``record`` compares whole records, id and file path included. A record that occurs n times has each of its notes and
+    events n times as often, equal events of one record included, so n-th parts of their numbers are kept. An id names one
+    record: of records that share an id but differ, all different rows stay. ``content`` compares notes and events
     alone and keeps the smallest id of each group of copies.
     """
     if keys == "record":
-        return seqs.with_(
-            sequences=seqs.sequences.distinct(), notes=seqs.notes.distinct(), events=seqs.events.distinct()
-        )
+        times = seqs.sequences.groupBy("seq_id").agg(F.count(F.lit(1)).alias("_records"))
+
+        def once(table: DataFrame) -> DataFrame:
+            counted = table.groupBy(*table.columns).agg(F.count(F.lit(1)).alias("_rows")).join(times, "seq_id", "left")
+            number = F.ceil(F.col("_rows") / F.coalesce("_records", F.lit(1))).cast("int")
+            return counted.withColumn("_rows", F.explode(F.array_repeat(F.lit(1), number))).select(*table.columns)
+
+        return seqs.with_(sequences=seqs.sequences.distinct(), notes=once(seqs.notes), events=once(seqs.events))
     if keys != "content":
         raise ValueError("keys must be 'record' or 'content'")
     kept = content_keys(seqs).groupBy("content").agg(F.min("seq_id").alias("seq_id")).select("seq_id")
@@ -55,11 +62,21 @@ def distinct_sequences(seqs: SeqSet, keys: str = "record") -> SeqSet:
 
 
 def distinct_examples(examples: DataFrame) -> DataFrame:
-    """Distinct (split, tokens, context), without ids, and the number of ``copies`` of each.
+    """Distinct (split, tokens, context) with the smallest ``seq_id`` of each, and the number of its ``copies``.
 
-    Copies are counted within each task before the shuffle, so a group of very many copies is one row there.
+    Copies are counted within each task before the shuffle, so a group of very many copies is one row there. Sequences in
+    chunks are compared as wholes, by the sums of their chunks' hashes, and keep all their chunks.
     """
-    return copies(examples, *[c for c in ("split", "pitch_seq", "context") if c in examples.columns])
+    if "chunk" not in examples.columns:
+        columns = [c for c in ("split", "pitch_seq", "context") if c in examples.columns]
+        return examples.groupBy(*columns).agg(F.min("seq_id").alias("seq_id"), F.count(F.lit(1)).alias("copies"))
+    keys = [c for c in ("split", "seq_id") if c in examples.columns]
+    content = [F.to_json(F.struct(*[c for c in ("chunk", "held", "pitch_seq", "context") if c in examples.columns]))]
+    one, two = row_hashes(*content)
+    whole = examples.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(one).alias("_one"), F.sum(two).alias("_two"))
+    same = [c for c in ("split", "_n", "_one", "_two") if c in whole.columns]
+    kept = whole.groupBy(*same).agg(F.min("seq_id").alias("seq_id"), F.count(F.lit(1)).alias("copies"))
+    return examples.join(kept.select(*keys, "copies"), keys)
 
 
 def duplicate_report(counts: DataFrame) -> DataFrame:
@@ -75,5 +92,6 @@ def duplicate_report(counts: DataFrame) -> DataFrame:
 
 
 def copies(items: DataFrame, *columns: str) -> DataFrame:
-    """Number of copies of each distinct item."""
-    return items.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
+    """Number of copies of each distinct item, known by two 60-bit hashes: the items themselves are not moved."""
+    one, two = row_hashes(*[F.to_json(F.struct(c)) for c in columns])
+    return items.groupBy(one.alias("one"), two.alias("two")).agg(F.count(F.lit(1)).alias("copies"))

@@ -37,8 +37,7 @@ def melody_of(seqs: SeqSet) -> list[str]:
 def top_rank() -> Column:
     """One number that orders the notes of a step: highest pitch, then longest, then loudest.
 
-    Being a single long it is reduced by a hash aggregate before the shuffle, and pitch, length and velocity
-    can be read back from it.
+    It is reduced before the shuffle, and pitch, length and velocity can be read back from it.
     """
     length = F.col("q_end") - F.col("q_start")
     return F.col("pitch").cast("bigint") * F.lit(1 << 48) + length * F.lit(1 << 8) + F.col("velocity")
@@ -53,15 +52,17 @@ def unrank(rank: Column) -> dict[str, Column]:
 
 
 def one_note_per_step(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keep the top note of each step, with ``voices``, the number of notes that started there."""
+    """Keep the top note of each step, with ``voices``, the number of notes that started there.
+
+    Of notes that are alike in pitch, length and loudness the first stays.
+    """
     kept = notes.groupBy(*keys, "q_start").agg(
-        F.max(top_rank()).alias("_rank"),
+        F.max(F.struct(top_rank().alias("rank"), (-F.col("note_idx")).alias("last"))).alias("_top"),
         F.count(F.lit(1)).alias("voices"),
-        F.min("note_idx").alias("note_idx"),
         F.max("steps_per_bar").alias("steps_per_bar"),
         F.max("total_steps").alias("total_steps"),
     )
-    return kept.withColumns(unrank(F.col("_rank"))).drop("_rank")
+    return kept.withColumns({**unrank(F.col("_top.rank")), "note_idx": -F.col("_top.last")}).drop("_top")
 
 
 def candidates(seqs: SeqSet, options: dict) -> DataFrame:

@@ -26,7 +26,7 @@ from scoreloom.operators.melody import melody_audit
 from scoreloom.operators.quantize import discards
 from scoreloom.operators.slicing import shorter_slices
 from scoreloom.operators.transform import transpose_audit
-from scoreloom.registry import apply_chain, names, ordered_steps
+from scoreloom.registry import apply_chain, lookup, names, ordered_steps
 from scoreloom.representations import Representation
 from scoreloom.sinks import exists, write_dataset, write_debug, write_splits
 from scoreloom.sources.canonical import canonicalize
@@ -170,6 +170,9 @@ def process_datasets(
     return _each(spark, datasets, output, force_overwrite, run)
 
 
+# Augmenters whose copies keep the id they come from, as ``original_id`` reads it.
+OWN_AUGMENTERS = ("transposer",)
+
 SplitConfig = Mapping[str, Mapping[str, Any]]
 
 
@@ -223,6 +226,31 @@ def represent_datasets(
     return _each(spark, datasets, output, force_overwrite, run)
 
 
+def augmented(seqs: SeqSet, augmenters: Mapping[str, Mapping[str, Any]], flagged: Sequence[str] | None, after=None) -> SeqSet:
+    """Apply augmenters to the sequences of the flagged splits (None: all).
+
+    One that knows ``only_splits`` is told; any other is handed those sequences alone, and the rest is added again. The
+    headers it returns must keep ``split`` if it adds sequences under new ids.
+    """
+
+    def step(current: SeqSet, name: str, options: dict[str, Any]) -> SeqSet:
+        if flagged is None or "only_splits" in lookup("augmenter", name).defaults:
+            told = {**options, "only_splits": flagged} if flagged is not None else options
+            return apply_chain(current, "augmenter", [(name, told)], after)
+        here = current.sequences.filter(F.col("split").isin(list(flagged)))
+
+        def part(how: str) -> SeqSet:
+            return current.with_(
+                sequences=current.sequences.join(here.select("seq_id"), "seq_id", how),
+                notes=current.notes.join(here.select("seq_id"), "seq_id", how),
+                events=current.events.join(here.select("seq_id"), "seq_id", how),
+            )
+
+        return apply_chain(part("left_semi"), "augmenter", [(name, options)], after).union(part("left_anti"))
+
+    return reduce(lambda current, item: step(current, *item), ordered_steps(augmenters), seqs)
+
+
 def represented(
     seqs: SeqSet,
     representation: Representation,
@@ -238,12 +266,15 @@ def represented(
         seqs = assign_splits(seqs, ratios, seed)
         flagged = [n for n, c in split_config.items() if c.get("augment", False)]
     if augmenters and flagged != []:
-        steps = [(n, {**o, "only_splits": flagged}) for n, o in ordered_steps(augmenters)]
-        seqs = apply_chain(seqs, "augmenter", steps)
+        seqs = augmented(seqs, augmenters, flagged)
     examples = representation.encode(seqs)
-    if split_config:
-        # The split follows from the id, so examples need no join to get it.
-        examples = examples.withColumn("split", split_of(ratios, original_id(F.col("seq_id")), seed))
+    if split_config and "split" not in examples.columns:
+        if any(n not in OWN_AUGMENTERS for n, _ in ordered_steps(augmenters or {})):
+            # What a user's augmenter calls its copies is not known; their headers say which split they are in.
+            examples = examples.join(seqs.sequences.select("seq_id", "split"), "seq_id")
+        else:
+            # The split follows from the id, so examples need no join to get it.
+            examples = examples.withColumn("split", split_of(ratios, original_id(F.col("seq_id")), seed))
     return distinct_examples(examples) if distinct else examples
 
 

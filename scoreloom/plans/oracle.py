@@ -91,7 +91,7 @@ def line(source: str, name: str = "l", keys: str = "seq_id") -> str:
     """One note per step, the top one, cut at the next onset."""
     return f"""{name}_top as (
   select {keys}, q_start, max(row(pitch, q_end, velocity)) as t, max(bar) as bar, max(total_steps) as total_steps,
-    count(*) as voices, min(note_idx) as note_idx
+    count(*) as voices, arg_max(note_idx, row(pitch, q_end, velocity, -note_idx)) as note_idx
   from {source} group by {keys}, q_start),
 {name} as (
   select {keys}, q_start, t[1] as pitch, t[2] as full_end, t[3] as velocity, bar, total_steps, voices, note_idx,
@@ -184,7 +184,8 @@ ORACLE["scan_sequences"] = (
     with_(notes())
     + "select seq_id, 'events/' || seq_id || '.mid' as filepath, round(max(end_time), 6) as total_time from n group by seq_id"
 )
-ORACLE["loader_scan"] = "select o_orderkey, o_totalprice, 0 as epoch from orders"
+ORACLE["loader_scan"] = """select o_orderkey, o_totalprice, 0 as epoch,
+  row_number() over (order by md5('stable:' || o_orderkey), o_orderkey) - 1 as position from orders"""
 ORACLE["import_tree"] = (
     "select 'lang=' || lang as folder, sum(octet_length(encode(text)) + 1)::bigint as bytes from documents group by 1"
 )
@@ -527,22 +528,24 @@ def tokens(source: str, name: str = "tok", chunk: int = 1 << 30) -> str:
     return f"""{name}_step as (
   select seq_id, unnest(range(0, max(total_steps))) as step from {source} group by seq_id),
 {name}_all as (
-  select s.seq_id, s.step, case when l.q_start = s.step then l.pitch when l.q_end > s.step then 128 else 129 end as token
+  select s.seq_id, s.step, case when l.q_start = s.step then l.pitch when l.q_end > s.step then 128 else 129 end as token, l.pitch
   from {name}_step s asof left join {source} l on s.seq_id = l.seq_id and s.step >= l.q_start),
 {name}_sum as (
   select seq_id, cast(floor(step / {chunk}e0) as bigint) as chunk, string_agg(token::varchar, ',' order by step) as tokens, count(*) as size,
-    bool_or(token <> 129) as sounds
+    max(case when token = 128 and step = cast(floor(step / {chunk}e0) as bigint) * {chunk} then pitch end) as held
   from {name}_all group by 1, 2),
-{name} as (select * from {name}_sum where sounds)"""
+{name} as (select * from {name}_sum)"""
 
 
 ORACLE["encode_pitch_seq"] = with_(*sliced(), tokens("l")) + "select seq_id, tokens from tok"
-ORACLE["encode_whole"] = (
-    with_(notes(), quantized(), line("q"), tokens("l", chunk=256)) + "select seq_id, chunk, tokens from tok"
-)
+ORACLE["encode_whole"] = with_(notes(), quantized(), line("q"), tokens("l")) + "select seq_id, tokens from tok"
+LONG = with_(notes(), quantized(), line("q"), tokens("l", chunk=256))
+ORACLE["encode_long"] = LONG + "select seq_id, chunk, held, tokens from tok"
+ORACLE["distinct_long"] = LONG + "select seq_id, chunk, tokens, 2::bigint as copies from tok"
+ORACLE["decode_long"] = with_(notes(), quantized(), line("q")) + "select seq_id, q_start, q_end, pitch from l"
 ORACLE["write_splits"] = (
     with_(*sliced(), tokens("l"))
-    + f"select * from (select seq_id, {SPLIT} as split, tokens from tok) where split = 'validation'"
+    + f"select seq_id, {SPLIT} as split, tokens from tok"
 )
 ORACLE["encode_with_context"] = (
     with_(*sliced(), BEFORE, tokens("l"), f"a as ({attribute_select(['pitch_range', 'contour'])})")
@@ -564,7 +567,11 @@ ORACLE["decode_pitch_seq"] = (
 # Distinct and counters
 
 COUNTED = with_(notes()) + "select seq_id, count(*) as notes from n group by seq_id"
-ORACLE["distinct_sequences"] = COUNTED
+ORACLE["distinct_sequences"] = (
+    with_(VARIED, "c as (select seq_id, count(*) as notes from n group by seq_id)")
+    + """select seq_id, any_value(notes) as notes, count(*) filter (kind = 'tempo') as tempos,
+  2 * count(*) filter (kind = 'time_signature') as signatures from c join ev using (seq_id) group by seq_id"""
+)
 ORACLE["distinct_content"] = COUNTED
 ORACLE["distinct_examples"] = (
     with_(
@@ -583,7 +590,7 @@ ORACLE["distinct_examples"] = (
         tokens("l"),
         "names as (select distinct seq_id, split from t)",
     )
-    + "select distinct split, tokens from tok join names using (seq_id)"
+    + "select split, tokens, min(seq_id) as seq_id, count(*) as copies from tok join names using (seq_id) group by split, tokens"
 )
 ORACLE["duplicate_report"] = """select count(*) as total, count(distinct text) as distinct_count,
   count(*) - count(distinct text) as duplicates, round(100e0 * (count(*) - count(distinct text)) / count(*), 6) as duplicate_percent
@@ -601,10 +608,11 @@ union all select 'quantizer', 'sequences_discarded_' || r, (select count(*) from
 
 # Loader
 
-PARSED = "select o_orderkey, o_orderstatus, o_totalprice, 0 as epoch from orders"
+STABLE = "row_number() over (order by md5('stable:' || o_orderkey), o_orderkey) - 1 as position"
+PARSED = f"select o_orderkey, o_orderstatus, o_totalprice, 0 as epoch, {STABLE} from orders"
 ORACLE["loader_parse"] = PARSED
 ORACLE["loader_cache"] = PARSED
-ORACLE["loader_map"] = "select o_orderkey, cast(floor(o_totalprice / 1000) as bigint) as thousands, 0 as epoch from orders"
+ORACLE["loader_map"] = "select o_orderkey, cast(floor(o_totalprice / 1000) as bigint) as thousands, 0 as epoch, " + STABLE + " from orders"
 ORACLE["loader_filter"] = PARSED + " where o_orderstatus = 'F'"
 
 
@@ -623,3 +631,19 @@ ORACLE["loader_batch"] = (
     with_(placed("'stable:' || o_orderkey", size=50))
     + "select batch_id, string_agg(o_orderkey::varchar, ',' order by pos_in_batch) as keys from b group by batch_id"
 )
+ORACLE["loader_epochs"] = with_(placed("'7:' || o_orderkey", 3, 50)) + "select * from b"
+ORACLE["loader_shuffle_unbatched"] = (
+    "select o_orderkey, row_number() over (order by md5('7:' || o_orderkey), o_orderkey) - 1 as position from orders"
+)
+ORACLE["loader_examples"] = (
+    with_(
+        notes(FEW),
+        quantized(),
+        slices("q", size=1, where="true"),
+        line("s"),
+        tokens("l"),
+        "d as (select min(seq_id) as seq_id, tokens from tok group by tokens)",
+        "p as (select *, row_number() over (order by md5('3:' || seq_id), seq_id) - 1 as position from d)",
+    )
+    + """select seq_id, tokens, cast(floor(position / 16e0) as bigint) as batch_id, cast(position % 16 as int) as pos_in_batch from p"""
+)

@@ -141,7 +141,7 @@ def _(spark, folder):
 @query("loader_scan")
 def _(spark, folder):
     rows = Loader(id_column="o_orderkey", batch_size=None).load(spark, f"{folder}/orders.parquet")
-    return rows.select("o_orderkey", "o_totalprice", "epoch")
+    return rows.select("o_orderkey", "o_totalprice", "epoch", "position")
 
 
 @query("import_tree")
@@ -207,7 +207,7 @@ def _(spark, folder):
     seqs = augment.assign_splits(sliced(spark, folder), RATIOS)
     examples = represent.encode(seqs).join(seqs.sequences.select("seq_id", "split"), "seq_id")
     write_splits(examples, path)
-    return as_text(spark.read.parquet(path).filter("split = 'validation'")).select("seq_id", "split", "tokens")
+    return as_text(spark.read.parquet(path)).select("seq_id", "split", "tokens")
 
 
 @query("overwrite_policy")
@@ -477,7 +477,25 @@ def _(spark, folder):
 
 @query("encode_whole")
 def _(spark, folder):
-    return as_text(represent.encode(gridded(spark, folder), chunk_steps=256)).select("seq_id", "chunk", "tokens")
+    return as_text(represent.encode(gridded(spark, folder))).select("seq_id", "tokens")
+
+
+@query("encode_long")
+def _(spark, folder):
+    """In rows of 256 steps, silent ones included, with the pitch that is held over each border."""
+    return as_text(represent.encode(gridded(spark, folder), chunk_steps=256)).select("seq_id", "chunk", "held", "tokens")
+
+
+@query("decode_long")
+def _(spark, folder):
+    return represent.decode(represent.encode(gridded(spark, folder), chunk_steps=24), chunk_steps=24)
+
+
+@query("distinct_long")
+def _(spark, folder):
+    seqs = with_copies(gridded(spark, folder), F.concat(F.lit("copy"), "seq_id"))
+    kept = distinct.distinct_examples(represent.encode(seqs, chunk_steps=256))
+    return as_text(kept).select("seq_id", "chunk", "tokens", "copies")
 
 
 CONTEXT = ("pitch_range", "contour")
@@ -534,7 +552,15 @@ def _counted(seqs: SeqSet) -> DataFrame:
 
 @query("distinct_sequences")
 def _(spark, folder):
-    return _counted(distinct.distinct_sequences(with_copies(plain(spark, folder), F.col("seq_id"))))
+    """Records twice, each with its signature events twice, give each record once, events still twice."""
+    seqs = plain(spark, folder, varied=True)
+    again = seqs.events.filter("kind = 'time_signature'")
+    seqs = seqs.with_(events=seqs.events.unionByName(again))
+    kept = distinct.distinct_sequences(with_copies(seqs, F.col("seq_id")))
+    events = kept.events.groupBy("seq_id").agg(
+        F.count_if(F.col("kind") == "tempo").alias("tempos"), F.count_if(F.col("kind") == "time_signature").alias("signatures")
+    )
+    return _counted(kept).join(events, "seq_id")
 
 
 @query("distinct_content")
@@ -549,7 +575,7 @@ def _(spark, folder):
     split_config = {"train": {"ratio": 0.7, "augment": True}, "validation": {"ratio": 0.2}, "test": {"ratio": 0.1}}
     augmenters = {"transposer": {"order": 1, "threshold": 0.7, "delete_notes": False, "min_transpose_amount": -3, "max_transpose_amount": 3}}
     examples = represented(seqs, PitchSequence(16, pad=True), split_config, augmenters, distinct=True)
-    return as_text(examples).select("split", "tokens")
+    return as_text(examples).select("split", "tokens", "seq_id", "copies")
 
 
 @query("duplicate_report")
@@ -584,6 +610,9 @@ def orders(spark: SparkSession, folder: str, **options) -> DataFrame:
     return Loader(id_column="o_orderkey", **options).load(spark, f"{folder}/orders.parquet")
 
 
+PLACE = ("o_orderkey", "epoch", "batch_id", "pos_in_batch")
+
+
 def _narrow(rows: DataFrame) -> DataFrame:
     return rows.select("o_orderkey", "o_orderstatus", "o_totalprice")
 
@@ -593,6 +622,26 @@ def _(spark, folder):
     return orders(spark, folder, parse=_narrow, batch_size=None)
 
 
+@query("loader_shuffle_unbatched")
+def _(spark, folder):
+    return orders(spark, folder, parse=_narrow, shuffle=True, seed=7, batch_size=None).select("o_orderkey", "position")
+
+
+@query("loader_epochs")
+def _(spark, folder):
+    rows = orders(spark, folder, parse=_narrow, shuffle=True, seed=7, repeat_count=3, batch_size=50)
+    return rows.select(*PLACE)
+
+
+@query("loader_examples")
+def _(spark, folder):
+    """The distinct examples of a representation, shuffled and batched by the ids they keep."""
+    seqs = slicing.slice_bars(gridded(spark, folder, few_pitches=True), slice_size_bars=1, allow_cropped_slices=True)
+    examples = represented(seqs, PitchSequence(16, pad=True), distinct=True).drop("copies")
+    rows = Loader(shuffle=True, seed=3, batch_size=16).run(examples)
+    return as_text(rows).select("seq_id", "tokens", "batch_id", "pos_in_batch")
+
+
 @query("loader_map")
 def _(spark, folder):
     def thousands(rows: DataFrame) -> DataFrame:
@@ -612,9 +661,6 @@ def _(spark, folder):
     return orders(spark, folder, parse=_narrow, cache=True, cache_path=path, batch_size=None)
 
 
-PLACE = ("o_orderkey", "epoch", "batch_id", "pos_in_batch")
-
-
 @query("loader_shuffle")
 def _(spark, folder):
     return orders(spark, folder, parse=_narrow, shuffle=True, seed=7).select(*PLACE)

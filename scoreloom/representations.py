@@ -27,18 +27,20 @@ class PitchSequence:
     """One token per step, with the attributes as context if they are kept.
 
     The sequence length is not applied to what is encoded, unless ``pad`` is set; parsing tokens checks it.
+    ``chunk_steps`` stores longer sequences in several rows.
     """
 
     sequence_length: int
     keep_attributes: bool = False
     pad: bool = False
     attributes: Sequence[str] = ATTRIBUTES
+    chunk_steps: int | None = None
 
     def encode(self, seqs: SeqSet) -> DataFrame:
         length = self.sequence_length if self.pad else None
         if self.keep_attributes:
-            return represent.encode_with_context(seqs, self.attributes, length)
-        return represent.encode(seqs, length)
+            return represent.encode_with_context(seqs, self.attributes, length, chunk_steps=self.chunk_steps)
+        return represent.encode(seqs, length, chunk_steps=self.chunk_steps)
 
     def parse(
         self,
@@ -56,4 +58,4 @@ class PitchSequence:
         return represent.fixed_length(examples, self.sequence_length)[1]
 
     def decode(self, examples: DataFrame) -> DataFrame:
-        return represent.decode(examples)
+        return represent.decode(examples, self.chunk_steps)
