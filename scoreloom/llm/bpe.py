@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +110,20 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Small numbers, as few bytes of each as the largest needs, compressed byte plane after byte plane."""
+    wide = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    bytes_ = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
+    return bytes([wide]) + zstandard.compress(np.ascontiguousarray(bytes_.T).tobytes(), 3)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    values = np.zeros((flat.shape[1], 4), np.uint8)
+    values[:, : data[0]] = flat.T
+    return values.view("<u4").ravel()
+
+
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions ``start, start + 1, ...`` of each run, one run after another."""
     ends = np.cumsum(sizes)
@@ -118,37 +133,35 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFrame:
     """Rows of a chunk: one with its documents, and one per bucket with distinct words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"chunk bigint, bucket int, first int, words array<string>, "
-        f"doc_ids array<{kind}>, sizes array<int>, wide int, slots binary"
-    )
+    schema = f"chunk bigint, bucket int, first int, words binary, doc_ids array<{kind}>, sizes array<int>, ranks binary, slots binary"
     to_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
     def rows(chunk: int, words: dict[str, int], doc_ids: list, slots: list[np.ndarray]) -> pa.RecordBatch:
+        """Words are listed by bucket. Documents name them by how frequent they are, which compresses well; ``ranks`` tells the place."""
         bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(order), np.uint32)
+        place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         names = np.array(list(words), dtype=object)[order]
         found, firsts = np.unique(bucket[order], return_index=True)
-        all_slots = place[np.concatenate(slots)] if slots else np.zeros(0, np.uint32)
-        wide = 2 if len(words) <= 1 << 16 else 3 if len(words) <= 1 << 24 else 4
-        # The bytes of a place stand in planes, which compresses better than byte after byte.
-        planes = np.ascontiguousarray(all_slots.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :wide].T).tobytes()
-        lists = [x.tolist() for x in np.split(names, firsts[1:])] if len(names) else []
+        said = np.concatenate(slots)
+        frequent = np.argsort(-np.bincount(said, minlength=len(words)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[frequent] = np.arange(len(order))
+        lists = [zstandard.compress("\n".join(x).encode(), 3) for x in np.split(names, firsts[1:])] if len(names) else []
         n = len(found)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([chunk] * (n + 1), pa.int64()),
                 pa.array([*found.tolist(), None], pa.int32()),
                 pa.array([*firsts.tolist(), None], pa.int32()),
-                pa.array([*lists, None], pa.list_(pa.string())),
+                pa.array([*lists, None], pa.binary()),
                 pa.array([None] * n + [doc_ids], pa.list_(to_arrow)),
                 pa.array([None] * n + [[len(s) for s in slots]], pa.list_(pa.int32())),
-                pa.array([None] * n + [wide], pa.int32()),
-                pa.array([None] * n + [planes], pa.binary()),
+                pa.array([None] * n + [planes(place[frequent])], pa.binary()),
+                pa.array([None] * n + [planes(rank[said])], pa.binary()),
             ],
-            names=["chunk", "bucket", "first", "words", "doc_ids", "sizes", "wide", "slots"],
+            names=["chunk", "bucket", "first", "words", "doc_ids", "sizes", "ranks", "slots"],
         )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +171,7 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
                 own = [words.setdefault(w, len(words)) for w in vocabulary.value.words(text)]
                 doc_ids.append(doc_id)
-                slots.append(np.array(own, np.int64))
+                slots.append(np.array(own, np.int32))
                 held += len(text)
                 if held >= chunk_size:
                     yield rows(number, words, doc_ids, slots)
@@ -188,54 +201,42 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK) ->
 
     def encode_bucket(key: tuple, rows: pa.Table) -> pa.Table:
         """Each distinct word of a bucket is encoded once, whichever chunks ask for it."""
-        lists = rows.column("words").combine_chunks()
-        coded = lists.flatten().dictionary_encode()
-        known = [vocabulary_ids(word) for word in coded.dictionary.to_pylist()]
-        sizes = np.array([len(x) for x in known], np.int64)
-        flat = np.array([i for x in known for i in x], np.int32)
+        known: dict[str, int] = {}
+        asked = []
+        for blob in rows.column("words"):
+            asked.append([known.setdefault(w, len(known)) for w in zstandard.decompress(blob.as_py()).decode().split("\n")])
+        coded = [shared.value.encode(word) for word in known]
+        sizes = np.array([len(x) for x in coded], np.int64)
+        flat = np.array([i for x in coded for i in x], np.int64)
         starts = np.append(0, np.cumsum(sizes))[:-1]
-        asked = coded.indices.to_numpy()
-        ends = np.append(0, np.cumsum(sizes[asked]))
-        offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        ids = flat[ragged(starts[asked], sizes[asked])] if len(asked) else flat
-        return pa.table(
-            {
-                "chunk": rows.column("chunk"),
-                "first": rows.column("first"),
-                "counts": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(sizes[asked], pa.int32())),
-                "ids": pa.ListArray.from_arrays(pa.array(ends[offsets], pa.int32()), pa.array(ids, pa.int32())),
-            }
-        )
-
-    def vocabulary_ids(word: str) -> list[int]:
-        return shared.value.encode(word)
+        counts = [planes(sizes[own]) for own in asked]
+        ids = [planes(flat[ragged(starts[own], sizes[own])]) for own in asked]
+        columns = [rows.column("chunk"), rows.column("first"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
+        return pa.table(columns, names=["chunk", "first", "counts", "ids"])
 
     answers = (
         table.where(F.col("bucket").isNotNull())
         .select("bucket", "chunk", "first", "words")
         .groupBy("bucket")
-        .applyInArrow(encode_bucket, "chunk bigint, first int, counts array<int>, ids array<int>")
+        .applyInArrow(encode_bucket, "chunk bigint, first int, counts binary, ids binary")
     )
 
     def put_back(key: tuple, docs: pa.Table, found: pa.Table) -> pa.Table:
         """The ids of a chunk's words at the words' positions."""
         order = np.argsort(found.column("first").to_numpy())
-        counts = [found.column("counts")[int(i)].values.to_numpy() for i in order]
-        ids = [found.column("ids")[int(i)].values.to_numpy() for i in order]
-        counts = np.concatenate(counts).astype(np.int64) if counts else np.zeros(0, np.int64)
-        ids = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+        part = lambda name: np.concatenate([np.zeros(0, "<u4"), *[from_planes(found.column(name)[int(i)].as_py()) for i in order]])
+        counts, ids = part("counts").astype(np.int64), part("ids").astype(np.int32)
         starts = np.append(0, np.cumsum(counts))[:-1]
-        wide, planes = docs.column("wide")[0].as_py(), docs.column("slots")[0].as_buffer()
-        slots = np.zeros((len(planes) // wide, 4), np.uint8)
-        slots[:, :wide] = np.frombuffer(planes, np.uint8).reshape(wide, -1).T
-        slots = slots.view("<u4").ravel()
+        place = from_planes(docs.column("ranks")[0].as_py())
+        slots = place[from_planes(docs.column("slots")[0].as_py())] if len(place) else place
         word_ends = np.append(0, np.cumsum(docs.column("sizes")[0].values.to_numpy()))
         ends = np.append(0, np.cumsum(counts[slots]))[word_ends]
-        text_ids = pa.array(ids[ragged(starts[slots], counts[slots])], pa.int32())
-        rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), text_ids)
+        runs = [slots[at : at + SLICE] for at in range(0, len(slots), SLICE)]
+        text_ids = np.concatenate([np.zeros(0, np.int32), *[ids[ragged(starts[run], counts[run])] for run in runs]])
+        rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(text_ids, pa.int32()))
         return pa.table({"doc_id": docs.column("doc_ids")[0].values, "ids": rows})
 
-    kept = table.where(F.col("bucket").isNull()).select("chunk", "doc_ids", "sizes", "wide", "slots")
+    kept = table.where(F.col("bucket").isNull()).select("chunk", "doc_ids", "sizes", "ranks", "slots")
     kind = docs.schema["doc_id"].dataType.simpleString()
     together = kept.groupBy("chunk").cogroup(answers.groupBy("chunk"))
     return together.applyInArrow(put_back, f"doc_id {kind}, ids array<int>")
