@@ -88,7 +88,7 @@ def scan(
         return rows.select(*base, *[c.alias(n) for n, c in out.items()])
 
     carry = _carry(rows, keys, order, starts_run, reach, look_back, look_ahead)
-    joined = rows.join(carry, inside)
+    joined = same_keys(rows, carry, inside)
     first = F.col("_rn") == 1
     out = {"prev": F.when(first, F.col("_c_prev")).otherwise(F.col("_prev"))}
     if look_back == 2:
@@ -106,6 +106,13 @@ def scan(
     return joined.select(*[c for c in base if c != "_block"], *[c.alias(n) for n, c in out.items()])
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be missing: a missing key is equal to a missing key, so no row of ``left`` gets lost."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    equal = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, equal, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def _carry(rows, keys, order, starts_run, reach, look_back, look_ahead) -> DataFrame:
     """One row per (key, block): what the blocks before and after hand over."""
     summary = [F.max_by("_row", order).alias("_last"), F.count(F.lit(1)).alias("_n")]
@@ -164,12 +171,14 @@ def asof(
 ) -> DataFrame:
     """Add to each left row the struct ``name`` of the latest right row with ``right_time <= left_time``.
 
-    ``right`` must be unique on (keys, right_time). If a key is not known to be small, time is cut into blocks,
+    ``right`` must be unique on (keys, right_time). A row without a time matches nothing, and a missing key matches a
+    missing key. If a key is not known to be small, time is cut into blocks,
     and a block with many left rows into parts of about ``rows_per_part``, each of which sees the block's right
     rows; earlier blocks reach a block through one carried row. Either way the rows are sorted, and no
     left-right pairs are formed.
     """
     keys = list(keys)
+    right = right.filter(F.col(right_time).isNotNull())
     hit = F.struct(F.col(right_time).alias("time"), *values)
     if bounded:
         one = left.withColumns({"_t": F.col(left_time), "_side": F.lit(1)})
@@ -200,9 +209,9 @@ def asof(
 
     inside = [*keys, "_block"]
     part = F.pmod(F.xxhash64(*left.columns), F.col("_parts")).cast("int")
-    one = lefts.join(blocks, inside).withColumns({"_part": part, "_side": F.lit(1)})
+    one = same_keys(lefts, blocks, inside).withColumns({"_part": part, "_side": F.lit(1)})
     every = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-    two = rights.join(blocks.drop("_carry"), inside).withColumns({"_part": every, "_side": F.lit(0)})
+    two = same_keys(rights, blocks.drop("_carry"), inside).withColumns({"_part": every, "_side": F.lit(0)})
     ordered = Window.partitionBy(*inside, "_part").orderBy("_t", "_side")
     found = F.last("_hit", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     both = one.unionByName(two, allowMissingColumns=True).withColumn("_found", found).filter("_side = 1")
@@ -220,4 +229,4 @@ def with_group(df: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Colu
     if bounded:
         group = Window.partitionBy(*keys)
         return df.withColumns({n: c.over(group) for n, c in aggregates.items()})
-    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()]), list(keys))
+    return same_keys(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()]), list(keys))

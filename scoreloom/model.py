@@ -165,8 +165,12 @@ class SeqSet:
         return "q_start" in self.notes.columns
 
     def without_empty(self) -> SeqSet:
-        """Drop sequences that have no note."""
-        return self.with_(sequences=self.sequences.join(self.notes.select("seq_id").distinct(), "seq_id", "left_semi"))
+        """Drop sequences that have no note, and their events."""
+        sounding = self.notes.select("seq_id").distinct()
+        return self.with_(
+            sequences=self.sequences.join(sounding, "seq_id", "left_semi"),
+            events=self.events.join(sounding, "seq_id", "left_semi"),
+        )
 
     def union(self, other: SeqSet) -> SeqSet:
         """Both sets together; their ids must differ."""
@@ -191,7 +195,8 @@ def derive_sequences(parents: DataFrame, derived: DataFrame) -> DataFrame:
     """Headers of derived sequences: one row per new ``seq_id`` found in ``derived``.
 
     ``derived`` has ``seq_id, parent_id, start_offset`` and one of ``total_time`` or ``total_steps`` on each
-    note; the partial aggregate collapses them to one row per sequence before anything is shuffled.
+    note; the partial aggregate collapses them to one row per sequence before anything is shuffled. The offset of a
+    quantized sequence is given in steps, and becomes seconds by the ``step_rate`` of its parent's header.
     """
     aggregates = [F.min("parent_id").alias("parent_id"), F.min("start_offset").alias("_offset")]
     if "total_steps" in derived.columns:
@@ -200,8 +205,10 @@ def derive_sequences(parents: DataFrame, derived: DataFrame) -> DataFrame:
         aggregates.append(F.max("end_time").alias("total_time"))
     heads = derived.groupBy(*[k for k in (ROOT, "seq_id") if k in derived.columns]).agg(*aggregates).drop(ROOT)
     inherited = parents.drop("parent_id", "total_time", "total_steps").withColumnRenamed("seq_id", "parent_id")
+    in_steps = "total_steps" in derived.columns and "step_rate" in parents.columns
+    offset = F.col("_offset") / F.col("step_rate") if in_steps else F.col("_offset")
     return (
         heads.join(inherited, "parent_id")
-        .withColumn("start_offset", F.coalesce(F.col("start_offset"), F.lit(0.0)) + F.col("_offset"))
+        .withColumn("start_offset", F.coalesce(F.col("start_offset"), F.lit(0.0)) + offset)
         .drop("_offset")
     )

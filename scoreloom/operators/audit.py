@@ -34,13 +34,3 @@ def stage_audit(stage: str, before: SeqSet, after: SeqSet) -> DataFrame:
         counters(after.sequences, stage, {"output_sequences": count})
     )
 
-
-def distribution(table: DataFrame, column: str) -> DataFrame:
-    """``count, sum, min, max, mean`` of a column."""
-    return table.agg(
-        F.count(column).alias("count"),
-        F.sum(column).alias("sum"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-        F.round(F.avg(column), 6).alias("mean"),
-    )

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.ordered import BLOCK_STEPS, block_of, scan, with_group
+from scoreloom.functions.ordered import BLOCK_STEPS, asof, block_of, scan, with_group
 from scoreloom.model import MELODY_PROGRAMS, PIANO_MAX_PITCH, PIANO_MIN_PITCH, SeqSet, derive_sequences
+from scoreloom.operators.split import moved_events, on_grid, state_events
 from scoreloom.registry import operator
 
 DEFAULTS = {
@@ -56,13 +57,14 @@ def one_note_per_step(notes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Of notes that are alike in pitch, length and loudness the first stays.
     """
+    more = ["program"] if "program" in notes.columns else []
     kept = notes.groupBy(*keys, "q_start").agg(
-        F.max(F.struct(top_rank().alias("rank"), (-F.col("note_idx")).alias("last"))).alias("_top"),
+        F.max(F.struct(top_rank().alias("rank"), (-F.col("note_idx")).alias("last"), *more)).alias("_top"),
         F.count(F.lit(1)).alias("voices"),
         F.max("steps_per_bar").alias("steps_per_bar"),
         F.max("total_steps").alias("total_steps"),
     )
-    return kept.withColumns({**unrank(F.col("_top.rank")), "note_idx": -F.col("_top.last")}).drop("_top")
+    return kept.withColumns({**unrank(F.col("_top.rank")), "note_idx": -F.col("_top.last"), **{c: F.col(f"_top.{c}") for c in more}}).drop("_top")
 
 
 def candidates(seqs: SeqSet, options: dict) -> DataFrame:
@@ -170,25 +172,54 @@ def extract_melodies(seqs: SeqSet, **given) -> SeqSet:
     start = F.col("melody_start")
     kept = lines.withColumns(melody_verdict(options)).filter("reason is null")
     kept = kept.filter(F.col("q_start") - start < F.col("melody_steps"))
+    melody_id = F.concat("seq_id", F.lit("#melody"), "instrument", F.lit("@"), start)
     notes = seqs.renamed(
         kept,
-        F.concat("seq_id", F.lit("#melody"), "instrument", F.lit("@"), start),
+        melody_id,
+        start_offset=start.cast("double"),
         is_drum=F.lit(False),
         q_start=F.col("q_start") - start,
         q_end=F.least(F.col("q_end") - start, F.col("melody_steps")),
         total_steps=F.col("melody_steps"),
     ).drop("voices", "melody_start", "last_end", "pitches", "bars", "melody_steps", "reason", "truncated")
-    sequences = derive_sequences(
-        seqs.sequences, notes.withColumn("start_offset", F.lit(0.0))
-    )
-    seq_of = notes.select("parent_id", "seq_id").distinct()
-    heads = (
-        seqs.events.filter(F.col("kind").isin("tempo", "time_signature"))
-        .withColumnRenamed("seq_id", "parent_id")
-        .join(seq_of, "parent_id")
-        .select(*seqs.events.columns)
+    sequences = derive_sequences(seqs.sequences, notes)
+    events = melody_events(seqs, kept, melody_id)
+    return SeqSet(sequences, notes.drop("parent_id", "start_offset"), events, max_rows=seqs.max_rows, monophonic=True)
+
+
+def melody_events(seqs: SeqSet, kept: DataFrame, melody_id: Column) -> DataFrame:
+    """Events of the melodies: tempo and signature in force at a start, and what lies inside, moved to the melody's time.
+
+    The melodies of a track follow one another, so an event is in one per track at most. Controls count for their instrument.
+    """
+    starts = kept.select(
+        "seq_id",
+        "instrument",
+        melody_id.alias("new_id"),
+        F.col("melody_start").cast("double").alias("begin"),
+        (F.col("melody_start") + F.col("melody_steps")).cast("double").alias("end"),
+    ).distinct()
+    events = on_grid(seqs)
+    states = state_events(starts.drop("instrument", "end"), events.withColumn("time", F.col("at")), "begin", seqs.bounded)
+    tracks = starts.select("seq_id", F.col("instrument").alias("track")).distinct()
+    every = events.join(tracks, "seq_id").filter((F.col("kind") != "control") | (F.col("instrument") == F.col("track")))
+    found = asof(
+        every,
+        starts.withColumnRenamed("instrument", "track"),
+        ["seq_id", "track"],
+        "at",
+        "begin",
+        values=["end", "new_id"],
+        name="melody",
+        bounded=seqs.bounded,
     )
-    return SeqSet(sequences, notes.drop("parent_id"), heads, max_rows=seqs.max_rows, monophonic=True)
+    stated = F.col("kind").isin("tempo", "time_signature")
+    inside = found.filter((F.col("at") < F.col("melody.end")) & (~stated | (F.col("at") > F.col("melody.time"))))
+    placed = moved_events(inside.withColumn("begin", F.col("melody.time").cast("bigint")), seqs, F.col("begin"))
+    placed = placed.withColumn("seq_id", F.col("melody.new_id"))
+    if "q_step" in seqs.events.columns:
+        states = states.withColumn("q_step", F.lit(0).cast("bigint"))
+    return placed.select(*seqs.events.columns).unionByName(states, allowMissingColumns=True)
 
 
 def melody_audit(seqs: SeqSet, **given) -> DataFrame:

@@ -125,7 +125,8 @@ def quantize(
 ) -> SeqSet:
     """Round note times to grid steps (half up; every note lasts at least one step).
 
-    Sequences that cannot be put on one grid are left out; ``discards`` says which and why.
+    Sequences that cannot be put on one grid are left out; ``discards`` says which and why. Headers keep ``step_rate``,
+    the steps per second.
     """
     columns = grid_columns(steps_per_quarter, steps_per_second)
     grid = grid_headers(seqs, steps_per_quarter, steps_per_second).filter("reason is null").drop("reason")
@@ -149,7 +150,7 @@ def quantize(
         .withColumn("q_step", to_step(F.col("time"), rate))
         .drop("step_rate")
     )
-    sequences = seqs.sequences.join(grid.select("seq_id", "total_steps"), "seq_id").withColumns(
+    sequences = seqs.sequences.join(grid.select("seq_id", "total_steps", "step_rate"), "seq_id").withColumns(
         {
             "steps_per_quarter": F.lit(steps_per_quarter).cast("int"),
             "steps_per_second": F.lit(steps_per_second).cast("double"),

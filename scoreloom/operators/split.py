@@ -187,8 +187,8 @@ def split_hop(
     return assemble(seqs, assigned, "split", bounds)
 
 
-def time_changes(events: DataFrame, bounded: bool = False) -> DataFrame:
-    """Times at which tempo or signature really changes: ``seq_id, time, qpm, num, den``.
+def time_changes(events: DataFrame, bounded: bool = False, with_before: bool = False) -> DataFrame:
+    """Times at which tempo or signature really changes: ``seq_id, time, qpm, num, den`` (and the values ``before``).
 
     Restating the value in force is not a change. Values stated at or before time 0 open the sequence; they
     stand as a row at time 0 so that the first segment knows them.
@@ -197,7 +197,37 @@ def time_changes(events: DataFrame, bounded: bool = False) -> DataFrame:
     now = [F.coalesce(c, F.lit(d)) for c, d in _defaults("")]
     was = [F.coalesce(c, F.lit(d)) for c, d in _defaults("before.")]
     changed = (now[0] != was[0]) | (now[1] != was[1]) | (now[2] != was[2])
-    return fill_timeline(events, bounded).filter(changed | (F.col("time") == 0)).drop("before")
+    changes = fill_timeline(events, bounded).filter(changed | (F.col("time") == 0))
+    return changes if with_before else changes.drop("before")
+
+
+def state_events(starts: DataFrame, events: DataFrame, start: str, bounded: bool = False) -> DataFrame:
+    """Tempo and signature in force at the ``start`` of each derived sequence, as events at its time 0.
+
+    ``starts`` has the parent's ``seq_id``, the ``new_id`` and the start; starts and the events' ``time`` are counted alike.
+    """
+    timeline = fill_timeline(events, bounded)
+    found = asof(starts, timeline, ["seq_id"], start, "time", values=["qpm", "num", "den"], name="state", bounded=bounded)
+    state = F.array(
+        F.struct(F.lit("tempo").alias("kind"), F.col("state.qpm").alias("qpm"), F.lit(None).cast("int").alias("num"), F.lit(None).cast("int").alias("den")),
+        F.struct(F.lit("time_signature").alias("kind"), F.lit(None).cast("double").alias("qpm"), F.col("state.num").alias("num"), F.col("state.den").alias("den")),
+    )
+    stated = found.select(F.col("new_id").alias("seq_id"), F.lit(0.0).alias("time"), F.inline(state))
+    return stated.filter("qpm is not null or num is not null")
+
+
+def on_grid(seqs: SeqSet) -> DataFrame:
+    """Events of a quantized set with ``at``, their step; hand-made grids without steps have all events at the start."""
+    step = F.col("q_step").cast("double") if "q_step" in seqs.events.columns else F.lit(0.0)
+    return seqs.events.withColumn("at", step)
+
+
+def moved_events(events: DataFrame, seqs: SeqSet, start: Column) -> DataFrame:
+    """Events of derived quantized sequences: step and time counted from a start in steps. ``seq_id`` is still the parent's."""
+    if "step_rate" in seqs.sequences.columns:
+        rates = seqs.sequences.select("seq_id", "step_rate").distinct()
+        events = events.join(rates, "seq_id").withColumn("time", F.col("time") - start / F.col("step_rate")).drop("step_rate")
+    return events.withColumn("q_step", F.col("q_step") - start) if "q_step" in events.columns else events
 
 
 def _defaults(prefix: str) -> list[tuple[Column, float | int]]:
@@ -239,13 +269,54 @@ def split_time_changes(
     cuts = segment_cuts(seqs, skip_splits_inside_notes)
     kept = signature_is(keep_time_signatures) if keep_time_signatures else F.lit(True)
     assigned = time_change_segments(seqs, cuts).filter(kept)
-    # A segment has one tempo and one signature. They stay on its notes, so that the grid needs no events.
-    notes = rebase(seqs, assigned, "change", *GRID)
+    # A segment has one tempo and one signature, if no change is left out. They stay on its notes, so that the grid needs no events.
+    notes = rebase(seqs, assigned, "change", *(() if skip_splits_inside_notes else GRID))
     sequences = derive_sequences(seqs.sequences, notes)
+    events = change_events(seqs, cuts, kept)
+    if skip_splits_inside_notes:
+        events = events.unionByName(left_out_changes(seqs, cuts, kept))
+    events = events.join(notes.select("seq_id").distinct(), "seq_id", "left_semi").select(*events.columns)
     grown = None if seqs.max_rows is None else seqs.max_rows + 2
-    return SeqSet(
-        sequences, notes.drop("parent_id", "start_offset"), change_events(seqs, cuts, kept), max_rows=grown
+    return SeqSet(sequences, notes.drop("parent_id", "start_offset"), events, max_rows=grown)
+
+
+def filtered_sequences(
+    seqs: SeqSet, skip_splits_inside_notes: bool = False, keep_time_signatures: Sequence[str] | None = ("4/4",)
+) -> DataFrame:
+    """Counter ``filtered_sequences``: segments with notes whose signature is not listed."""
+    kept = signature_is(keep_time_signatures) if keep_time_signatures else F.lit(True)
+    lost = time_change_segments(seqs, segment_cuts(seqs, skip_splits_inside_notes)).filter(~kept)
+    return lost.select("seq_id", "seg_start").distinct().agg(F.count(F.lit(1)).alias("filtered_sequences"))
+
+
+def left_out_changes(seqs: SeqSet, cuts: DataFrame, kept: Column) -> DataFrame:
+    """The changes that do not cut, as events of the segment they fall in, at their time in it."""
+    changes = time_changes(seqs.events, seqs.bounded, with_before=True)
+    inside = changes.join(cuts.select("seq_id", "time"), ["seq_id", "time"], "left_anti")
+    tempo = ~F.col("qpm").eqNullSafe(F.col("before.qpm"))
+    signature = ~F.struct("num", "den").eqNullSafe(F.struct("before.num", "before.den"))
+    inside = inside.select(
+        "seq_id",
+        "time",
+        F.when(tempo, F.col("qpm")).alias("qpm"),
+        F.when(signature, F.struct("num", "den")).alias("signature"),
+    )
+    found = asof(inside, cuts, ["seq_id"], "time", "time", values=["num", "den"], name="cut", bounded=seqs.bounded)
+    found = found.withColumns({"num": F.col("cut.num"), "den": F.col("cut.den")}).filter(kept)
+    start = F.coalesce("cut.time", F.lit(0.0))
+    placed = found.select(
+        segment_id(F.col("seq_id"), "change", start).alias("seq_id"),
+        (F.col("time") - start).alias("time"),
+        "qpm",
+        F.col("signature.num").alias("num"),
+        F.col("signature.den").alias("den"),
     )
+    nothing = F.lit(None).cast("double")
+    tempos = placed.filter("qpm is not null").withColumns({"kind": F.lit("tempo"), "num": nothing.cast("int"), "den": nothing.cast("int")})
+    signatures = placed.filter("num is not null").withColumns({"kind": F.lit("time_signature"), "qpm": nothing})
+    columns = seqs.events.schema
+    both = tempos.unionByName(signatures)
+    return both.select(*[F.col(f.name) if f.name in both.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in columns])
 
 
 def change_events(seqs: SeqSet, cuts: DataFrame, kept: Column) -> DataFrame:

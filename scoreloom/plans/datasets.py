@@ -28,7 +28,7 @@ from scoreloom.operators.slicing import shorter_slices
 from scoreloom.operators.transform import transpose_audit
 from scoreloom.registry import apply_chain, lookup, names, ordered_steps
 from scoreloom.representations import Representation
-from scoreloom.sinks import exists, write_dataset, write_debug, write_splits
+from scoreloom.sinks import complete, mark_complete, unmark, write_dataset, write_debug, write_splits
 from scoreloom.sources.canonical import canonicalize
 from scoreloom.sources.files import read_entry_files
 from scoreloom.sources.index import entries_of_type, read_index
@@ -60,28 +60,43 @@ def _each(
     force_overwrite: bool,
     run: Callable[[Source, str], dict[str, Any]],
 ) -> dict[str, dict[str, Any]]:
-    """Run a job per dataset. The report has one entry per dataset; ``skipped`` marks existing output."""
+    """Run a job per dataset. The report has one entry per dataset; ``skipped`` marks output that is complete.
+
+    A marker is written last, so output that a failed run left half-written is written anew.
+    """
     report = {}
     for source in datasets:
         path = output(source)
-        if exists(spark, path) and not force_overwrite:
+        if complete(spark, path) and not force_overwrite:
             report[source.folder] = {"skipped": True, "path": path}
         else:
+            unmark(spark, path)
             report[source.folder] = {"skipped": False, "path": path, **run(source, path)}
+            mark_complete(spark, path)
     return report
 
 
 def canonicalize_datasets(
-    spark: SparkSession, input_root: str, output_root: str, datasets: Sequence[Source], force_overwrite: bool = False
+    spark: SparkSession,
+    input_root: str,
+    output_root: str,
+    datasets: Sequence[Source],
+    force_overwrite: bool = False,
+    debug_pattern: str | None = None,
 ) -> dict[str, dict[str, Any]]:
-    """Read each dataset's ``index.json`` and files, decode them, and write sequences and a quarantine table."""
+    """Read each dataset's ``index.json`` and files, decode each file once, and write sequences and a quarantine table.
+
+    With ``debug_pattern`` the records whose id matches are written as JSON as well.
+    """
 
     def run(source: Source, path: str) -> dict[str, Any]:
         root = f"{input_root}/{source.name}-{source.mode}"
         entries = entries_of_type(read_index(spark, f"{root}/index.json"), source.file_type)
         files, lost = read_entry_files(spark, entries, root)
-        canonical = canonicalize(files)
+        canonical = canonicalize(files, once=True)
         counts = write_seqset(canonical.seqs, path, "overwrite")
+        if debug_pattern is not None:
+            write_debug(canonical.seqs, path, "canonical", debug_pattern)
         failed = canonical.quarantine.select("seq_id", "filepath", "error").unionByName(
             lost.select("seq_id", "filepath", "error")
         )

@@ -279,6 +279,78 @@ ORACLE["split_events"] = (
     + """select seq_id || '#silence@' || cast(floor(seg_start * 1e6 + 0.5e0) as bigint) as seq_id, kind, count(*) as n,
   round(sum(time), 6) as times, coalesce(sum(qpm), 0) as qpm, coalesce(sum(num), 0)::bigint as num from handed group by 1, 2"""
 )
+EVENT_SUMS = """select seq_id, kind, count(*) as n, round(sum(time)::double, 6) as times, round(coalesce(sum(qpm), 0), 6) as qpm,
+  coalesce(sum(num), 0)::bigint as num from handed group by 1, 2"""
+EVERY = """every as (
+  select seq_id, kind, time, qpm, num, null::int as instrument from ev
+  union all select seq_id, 'control', time, null, null, instrument from pedal)"""
+ORACLE["change_events"] = (
+    with_(
+        VARIED,
+        FREE_CUTS,
+        SEGMENTS,
+        "live as (select distinct seq_id, seg_start from seg)",
+        """lost as (select c.seq_id, c.time, case when q1 is distinct from q0 then qpm end as qpm, case when s1 is distinct from s0 then sig end as sig
+  from (select f.seq_id, f.time, f.q1 as qpm, f.s1 as sig, q0, s0, q1, s1 from filled f
+    where time = 0 or coalesce(q1, 120) <> coalesce(q0, 120) or coalesce(s1, 4004) <> coalesce(s0, 4004)) c
+  where not exists (select 1 from cuts where cuts.seq_id = c.seq_id and cuts.time = c.time))""",
+        """inner_ as (
+  select seq_id, 'tempo' as kind, time, qpm, null::int as num from lost where qpm is not null
+  union all select seq_id, 'time_signature', time, null, cast(floor(sig / 1000e0) as int) from lost where sig is not null
+  union all select seq_id, 'control', time, null, null from pedal)""",
+        """placed as (
+  select i.seq_id, kind, i.time - coalesce(c.time, 0e0) as time, i.qpm, num, coalesce(c.time, 0e0) as seg_start
+  from inner_ i asof left join cuts c on i.seq_id = c.seq_id and i.time >= c.time)""",
+        """whole as (
+  select * from placed
+  union all select seq_id, 'tempo', 0e0, qpm, null, time from cuts where qpm is not null
+  union all select seq_id, 'time_signature', 0e0, null, cast(floor(sig / 1000e0) as int), time from cuts where sig is not null)""",
+        """handed as (
+  select w.seq_id || '#change@' || cast(floor(w.seg_start * 1e6 + 0.5e0) as bigint) as seq_id, kind, time, qpm, num
+  from whole w join live using (seq_id, seg_start))""",
+    )
+    + EVENT_SUMS
+)
+SETTLED = (
+    VARIED,
+    REASONS,
+    EVERY,
+    "sigs as (select seq_id, max(num) as num from ev where kind = 'time_signature' group by 1)",
+    "fine as (select n.*, sigs.num from n join sigs using (seq_id) where seq_id in (select seq_id from reasons where reason is null))",
+    quantized("fine", bar="(4e0 * num)"),
+    "stepped as (select *, cast(floor(time * 4e0 + 0.5e0) as bigint) as step from every)",
+)
+ORACLE["slice_events"] = (
+    with_(
+        *SETTLED,
+        slices("q"),
+        "there as (select distinct seq_id as parent, k, s0, s1, num from s_cut where not short)",
+        """handed as (
+  select parent || '#slice' || k as seq_id, kind, step - s0 as time, qpm, e.num from there join stepped e on e.seq_id = parent
+    and step >= s0 and step < s1 where kind = 'control' or step > s0
+  union all select parent || '#slice' || k, 'tempo', 0, 60e0, null from there
+  union all select parent || '#slice' || k, 'time_signature', 0, null, num from there)""",
+    )
+    + EVENT_SUMS
+)
+ORACLE["melody_events"] = (
+    with_(
+        *SETTLED,
+        melodies("q"),
+        "there as (select c.*, s.num from mel_check c join sigs s using (seq_id) where reason is null)",
+        """handed as (
+  select t.seq_id || '#melody' || t.instrument || '@' || m0 as seq_id, kind, step - m0 as time, qpm, e.num
+    from there t join stepped e on e.seq_id = t.seq_id and step >= m0 and step < m0 + steps and e.instrument = t.instrument
+  union all select seq_id || '#melody' || instrument || '@' || m0, 'tempo', 0, 60e0, null from there
+  union all select seq_id || '#melody' || instrument || '@' || m0, 'time_signature', 0, null, num from there)""",
+    )
+    + EVENT_SUMS
+)
+ORACLE["header_offsets"] = (
+    with_(notes(), quantized(), slices("q"), melodies("q"))
+    + """select distinct seq_id || '#slice' || k as seq_id, s0 / 4e0 as start_offset from s_cut where not short
+union all select seq_id || '#melody' || instrument || '@' || m0, m0 / 4e0 from mel_check where reason is null"""
+)
 ORACLE["split_silence"] = with_(notes(), SILENCE.format(gap="3e0")) + timed("silence")
 
 # Slices and melodies
@@ -367,6 +439,14 @@ ORACLE["transpose"] = (
 IDS = """i as (
   select seq_id || '#silence@' || cast(floor(seg_start * 1e6 + 0.5e0) as bigint) as seq_id, note_idx, pitch, is_drum from seg)"""
 SILENT = (notes(), SILENCE.format(gap="3e0"), IDS)
+ORACLE["transpose_chords"] = (
+    with_(*SILENT)
+    + """select seq_id, cast(j - 1 as double) as time, ['D#', 'Am7', 'C#', 'N.C.'][j] as text
+from (select distinct seq_id from i where is_drum or pitch + 3 between 60 and 72), range(1, 5) t(j)"""
+)
+ORACLE["stretch_events"] = (
+    with_(VARIED, EVERY, "handed as (select seq_id, kind, time * 1.5e0 as time, qpm / 1.5e0 as qpm, num from every)") + EVENT_SUMS
+)
 ORACLE["transpose_strict"] = (
     with_(*SILENT)
     + f"""select seq_id, note_idx, {moved("-9")} as pitch from i

@@ -282,6 +282,39 @@ def _(spark, folder):
     )
 
 
+def event_sums(events: DataFrame, time: str = "time") -> DataFrame:
+    return events.groupBy("seq_id", "kind").agg(
+        F.count(F.lit(1)).alias("n"),
+        r6(F.sum(F.col(time).cast("double"))).alias("times"),
+        r6(F.coalesce(F.sum("qpm"), F.lit(0.0))).alias("qpm"),
+        F.coalesce(F.sum("num"), F.lit(0)).alias("num"),
+    )
+
+
+@query("change_events")
+def _(spark, folder):
+    """Events of segments when changes inside notes do not cut: those changes stay in them."""
+    seqs = plain(spark, folder, varied=True)
+    return event_sums(split.split_time_changes(seqs, skip_splits_inside_notes=True, keep_time_signatures=None).events)
+
+
+@query("slice_events")
+def _(spark, folder):
+    return event_sums(slicing.slice_bars(gridded(spark, folder, varied=True), **SLICES).events, "q_step")
+
+
+@query("melody_events")
+def _(spark, folder):
+    return event_sums(melody.extract_melodies(gridded(spark, folder, varied=True), **MELODIES).events, "q_step")
+
+
+@query("header_offsets")
+def _(spark, folder):
+    seqs = gridded(spark, folder)
+    headers = slicing.slice_bars(seqs, **SLICES).sequences.select("seq_id", "start_offset")
+    return headers.unionByName(melody.extract_melodies(seqs, **MELODIES).sequences.select("seq_id", "start_offset"))
+
+
 @query("split_silence")
 def _(spark, folder):
     return timed(split.split_silence(plain(spark, folder), 3.0))
@@ -356,6 +389,26 @@ def _(spark, folder):
     return seqs.notes.select("seq_id", "note_idx", "pitch")
 
 
+CHORDS = ("C", "F#m7", "Bb", "N.C.")
+
+
+@query("transpose_chords")
+def _(spark, folder):
+    """Chord names of the sequences that have a note left after they are moved."""
+    seqs = split.split_silence(plain(spark, folder))
+    chords = seqs.sequences.select(
+        "seq_id", F.lit("chord").alias("kind"), F.posexplode(F.array(*map(F.lit, CHORDS))).alias("time", "text")
+    ).withColumn("time", F.col("time").cast("double"))
+    seqs = seqs.with_(events=seqs.events.unionByName(chords, allowMissingColumns=True))
+    moved = transform.transpose(seqs, amount=3, min_allowed_pitch=60, max_allowed_pitch=72)
+    return moved.events.filter("kind = 'chord'").select("seq_id", "time", "text")
+
+
+@query("stretch_events")
+def _(spark, folder):
+    return event_sums(transform.stretch(plain(spark, folder, varied=True), 1.5).events)
+
+
 @query("transpose_strict")
 def _(spark, folder):
     seqs = transform.transpose(

@@ -9,10 +9,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.functions.storage import settled
 from scoreloom.model import EVENTS, NOTES, SEQUENCES, SeqSet
 from scoreloom.registry import lookup, names, operator
 
-# The file suffixes of each format. The comparison is case-sensitive.
+# The file suffixes of each format. The comparison is case-sensitive. A decoder registered for a format of
+# its own brings its suffixes, as ``operator("decoder", "abc", suffixes=(".abc",))``.
 FORMATS = {
     "midi": (".mid", ".midi"),
     "musicxml": (".mxml", ".mxl"),
@@ -38,10 +40,16 @@ class Canonical:
     quarantine: DataFrame
 
 
+def formats() -> dict[str, tuple[str, ...]]:
+    """All formats with their suffixes, those of registered decoders included."""
+    own = {name: tuple(lookup("decoder", name).defaults.get("suffixes", ())) for name in names("decoder")}
+    return {**FORMATS, **{name: suffixes for name, suffixes in own.items() if suffixes}}
+
+
 def format_of(source_type: Column) -> Column:
     """Format name of a file suffix; null if unsupported."""
     chosen = None
-    for name, suffixes in FORMATS.items():
+    for name, suffixes in formats().items():
         chosen = (F.when if chosen is None else chosen.when)(source_type.isin(*suffixes), name)
     return chosen
 
@@ -100,30 +108,30 @@ def bytes_decoder(parse: Callable[[bytes], dict]) -> Callable[[DataFrame], DataF
     return decode
 
 
-def canonicalize(files: DataFrame) -> Canonical:
+def canonicalize(files: DataFrame, once: bool = False) -> Canonical:
     """Decode files (``seq_id, filepath, source_type, collection_name, metadata_json, content``).
 
     Files of unsupported types, of formats without a registered decoder, and files a decoder fails on go to
-    the quarantine; none of them fails the job.
+    the quarantine; none of them fails the job. Four tables come from the decoded files: with ``once`` these are written
+    to the shared folder first, so that each file is read and decoded a single time.
     """
     tagged = files.withColumn("_format", format_of(F.col("source_type")))
-    known = [name for name in FORMATS if name in names("decoder")]
-    keys = ["seq_id", "filepath", "source_type"]
-    decoded = None
-    for name in known:
-        part = lookup("decoder", name).fn(tagged.filter(F.col("_format") == name))
-        part = part.select(*keys, "collection_name", "metadata_json", "document", "error")
-        decoded = part if decoded is None else decoded.unionByName(part)
+    known = [name for name in formats() if name in names("decoder")]
+    columns = ["seq_id", "filepath", "source_type", "collection_name", "metadata_json", "document", "error"]
     reason = F.when(F.col("_format").isNull(), F.concat(F.lit("Unsupported file type: "), "source_type")).otherwise(
         F.concat(F.lit("no decoder for "), "_format")
     )
-    undecoded = tagged.filter(F.col("_format").isNull() | ~F.col("_format").isin(known))
-    quarantine = (
-        undecoded.withColumn("error", reason)
-        .select(*keys, "error")
-        .unionByName(decoded.filter("error is not null").select(*keys, "error"))
+    outcome = tagged.filter(F.col("_format").isNull() | ~F.col("_format").isin(known)).withColumns(
+        {"error": reason, "document": F.lit(None).cast(DOCUMENT)}
     )
-    return Canonical(to_tables(decoded.filter("error is null")), quarantine)
+    outcome = outcome.select(*columns)
+    for name in known:
+        part = lookup("decoder", name).fn(tagged.filter(F.col("_format") == name))
+        outcome = outcome.unionByName(part.select(*columns))
+    if once:
+        outcome = settled(outcome, "decoded")
+    quarantine = outcome.filter("error is not null").select("seq_id", "filepath", "source_type", "error")
+    return Canonical(to_tables(outcome.filter("error is null")), quarantine)
 
 
 def to_tables(decoded: DataFrame) -> SeqSet:
@@ -160,11 +168,14 @@ def to_tables(decoded: DataFrame) -> SeqSet:
         "chord": ("chords", {"text": "text"}),
     }
     types = {f.name: f.dataType for f in EVENTS.fields}
-    # All four lists become one list of event structs per file, so the files are read once.
+    # All four lists become one list of event structs per file.
     def event_list(kind: str, name: str, fields: dict[str, str]) -> Column:
         def event(e: Column) -> Column:
             rest = [n for n in types if n not in ("seq_id", "kind", "time")]
-            values = [(e[fields[n]] if n in fields else F.lit(None)).cast(types[n]).alias(n) for n in rest]
+            values = [(e[fields[n]] if n in fields else F.lit(None)).cast(types[n]) for n in rest]
+            # Notes and controls without an instrument are of the same one.
+            values = [F.coalesce(v, F.lit(0)) if n == "instrument" and n in fields else v for n, v in zip(rest, values)]
+            values = [v.alias(n) for n, v in zip(rest, values)]
             return F.struct(F.lit(kind).alias("kind"), e["time"].alias("time"), *values)
 
         return F.coalesce(F.transform(doc[name], event), F.array())

@@ -37,7 +37,7 @@ def canonicalize_arriving(
     """
 
     def write(files: DataFrame, batch: int) -> None:
-        done = canonicalize(files)
+        done = canonicalize(files, once=True)
         tables = {"sequences": done.seqs.sequences, "notes": done.seqs.notes, "events": done.seqs.events}
         for table, rows in {**tables, "quarantine": done.quarantine}.items():
             rows.write.mode("overwrite").parquet(f"{output}/batch={batch}/{table}")

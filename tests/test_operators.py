@@ -417,21 +417,38 @@ def test_encode_and_decode(spark, request, mode):
 
 
 def test_long_sequences_continue_in_chunks(spark):
+    """All chunks are stored, the silent one too, and a note over borders comes back as one."""
     seqs = grid(spark, [n("a", 1, 7, 60), n("a", 7, 8, 62), n("a", 14, 15, 64)], total_steps=17)
-    chunks = represent.encode(seqs, chunk_steps=4).orderBy("chunk")
-    assert [(r["chunk"], r["pitch_seq"]) for r in chunks.collect()] == [
-        (0, [129, 60, 128, 128]),
-        (1, [128, 128, 128, 62]),
-        (3, [129, 129, 64, 129]),
+    chunks = represent.encode(seqs, chunk_steps=4)
+    assert [(r["chunk"], r["held"], r["pitch_seq"]) for r in chunks.orderBy("chunk").collect()] == [
+        (0, None, [129, 60, 128, 128]),
+        (1, 60, [128, 128, 128, 62]),
+        (2, None, [129, 129, 129, 129]),
+        (3, None, [129, 129, 64, 129]),
+        (4, None, [129]),
     ]
+    notes = [(1, 7, 60), (7, 8, 62), (14, 15, 64)]
+    for size in (1, 2, 3, 4, 5, 16, 17, 100):
+        again = represent.decode(represent.encode(seqs, chunk_steps=size), chunk_steps=size)
+        assert sorted(rows(again, "q_start", "q_end", "pitch")) == notes
+    assert represent.fixed_length(chunks, 17)[0].count() == 5
+    assert {r["actual_length"] for r in represent.fixed_length(chunks, 4)[1].collect()} == {17}
+    with pytest.raises(ValueError):
+        represent.decode(chunks)
+
+
+def test_sequences_in_chunks_are_compared_as_wholes(spark):
+    seqs = grid(spark, [n("a", 0, 1, 60), n("a", 6, 7, 64), n("b", 0, 1, 61), n("b", 6, 7, 64), n("c", 0, 1, 60), n("c", 6, 7, 64)])
+    kept = distinct.distinct_examples(represent.encode(seqs, chunk_steps=4)).collect()
+    assert sorted((r["seq_id"], r["chunk"], r["copies"]) for r in kept) == [("a", 0, 2), ("a", 1, 2), ("b", 0, 1), ("b", 1, 1)]
 
 
 def test_parse_selects_and_fills(spark):
     seqs = attributes.compute_attributes(grid(spark, [n("a", 0, 1, 60), n("a", 1, 2, 65)]), ["contour"])
     examples = represent.encode_with_context(seqs, ["contour"])
-    assert represent.parse(examples).columns == ["seq_id", "chunk"]
+    assert represent.parse(examples).columns == ["seq_id"]
     parsed = represent.parse(examples, ["toussaint", "contour", "other"], 0.5, parse_sequence_feature=True)
-    assert parsed.columns == ["seq_id", "chunk", "toussaint", "contour", "pitch_seq"]
+    assert parsed.columns == ["seq_id", "toussaint", "contour", "pitch_seq"]
     assert parsed.first()["toussaint"] == 0.5
     with pytest.raises(Exception, match="has no default"):
         represent.parse(examples, ["toussaint"]).collect()
