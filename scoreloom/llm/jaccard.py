@@ -5,7 +5,7 @@ k following from the band's largest size. The domain of elements is cut by hash
 agree on some part. A signature is the hash of what a set has in one part: similar sets share one.
 
 Nothing is emitted for all pairs of a signature's sets. Each set is first compared with one leader per signature, and linked
-sets are joined to components. Only sets that then share a signature but no component are compared with one
+sets are joined to components; then again with better leaders. Only sets that then share a signature but no component are compared with one
 another, after parity sketches have ruled out nearly all: each element flips one of 512 bits, so the sketches
 of similar sets differ in at most k bits. All filters are exact; every link between components is verified on whole sets.
 
@@ -32,6 +32,8 @@ CHUNK = 1 << 20
 SKETCH = 8
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
 SHARED_SIGNATURES = 2_000_000
+# Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
+STAR_ROUNDS = 2
 MASK = (1 << 64) - 1
 
 
@@ -42,6 +44,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of signatures with their component, which is the set itself while it has no link."""
+    rows = members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return rows.withColumn("component", F.coalesce("component", "set_id"))
+
+
 @dataclass(frozen=True)
 class Join:
     """Shingles of ``words`` words; two sets link when 100 times their intersection is ``percent`` times their union or more."""
@@ -208,27 +216,49 @@ class Join:
         wanted = members.select("set_id").distinct().join(firsts.where("first is not null"), "set_id").select(F.col("first").alias("doc_id"))
         nodes = settled(self.nodes(lookup(texts, settled(wanted, "wanted"), ["doc_id"], "left_semi")).dropDuplicates(["set_id"]), "nodes")
         light = nodes.drop("elements")
-        stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b")).distinct()
-        near = stars.join(light.withColumnRenamed("set_id", "a").alias("p"), "a").join(light.withColumnRenamed("set_id", "b").alias("q"), "b")
-        links = settled(self.verified(near.where(self.possible("p", "q")).select("a", "b"), nodes), "links")
-        found = connected_components(links)
-        apart = self.apart(members.drop("leader"), found, light)
+        stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
+        links = settled(self.linked(stars, light, nodes), "links")
+        members = members.drop("leader")
+        for _ in range(STAR_ROUNDS):
+            stars = self.stars(placed(members, connected_components(links)), links)
+            links = settled(links.unionByName(self.linked(stars, light, nodes)), "links")
+        apart = self.apart(placed(members, connected_components(links)), light)
         links = links.unionByName(self.verified(apart, nodes))
         found = settled(connected_components(links), "components")
         return self.named(measured, firsts, found)
 
-    def apart(self, members: DataFrame, found: DataFrame, light: DataFrame) -> DataFrame:
+    def linked(self, pairs: DataFrame, light: DataFrame, nodes: DataFrame) -> DataFrame:
+        """The links among candidate pairs ``a, b``: by sizes and sketches first, then by whole sets."""
+        p, q = light.withColumnRenamed("set_id", "a").alias("p"), light.withColumnRenamed("set_id", "b").alias("q")
+        near = pairs.distinct().join(p, "a").join(q, "b").where(self.possible("p", "q"))
+        return self.verified(near.select("a", "b"), nodes)
+
+    @staticmethod
+    def stars(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """In each signature with several components, the set with the most links so far, paired with the sets of other components.
+
+        The first leaders are any sets. Where a group of copies surrounds its original, these are sets nearer to it.
+        """
+        degree = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
+        rows = rows.join(degree, "set_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+        leaders = rows.groupBy("signature").agg(
+            F.max(F.struct("degree", "set_id", "component")).alias("leader"),
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+        )
+        leaders = leaders.where("low != high").select("signature", F.col("leader.set_id").alias("a"), F.col("leader.component").alias("own"))
+        return rows.join(leaders, "signature").where("component != own").select("a", F.col("set_id").alias("b"))
+
+    def apart(self, rows: DataFrame, light: DataFrame) -> DataFrame:
         """Pairs of sets that share a signature and are in different components, if sizes and sketches let them link.
 
         In each signature the component with the most sets is not compared with itself, so a large group of
         copies costs nothing here once its sets are joined.
         """
-        placed = members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "set_id"))
-        sizes = placed.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("sets"))
+        sizes = rows.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("sets"))
         largest = sizes.groupBy("signature").agg(F.max(F.struct("sets", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("parts"))
         mixed_up = largest.where("parts > 1").drop("parts")
-        rows = settled(placed.join(mixed_up, "signature").join(light, "set_id"), "apart")
+        rows = settled(rows.join(mixed_up, "signature").join(light, "set_id"), "apart")
         p, q = rows.where("component != most").alias("p"), rows.alias("q")
         once = (F.col("q.component") == F.col("q.most")) | (F.col("p.set_id") < F.col("q.set_id"))
         other = F.col("p.component") != F.col("q.component")
@@ -238,10 +268,10 @@ class Join:
     @staticmethod
     def named(measured: DataFrame, firsts: DataFrame, found: DataFrame) -> DataFrame:
         """Documents with the least id of their component. Only sets that more than one row has, or that link, are looked up."""
-        placed = firsts.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").where("rows > 1 or component is not null")
-        placed = placed.withColumn("component", F.coalesce("component", "set_id"))
-        least = placed.groupBy("component").agg(F.min("first").alias("least"))
-        names = settled(placed.join(least, "component").select("set_id", "least"), "names")
+        joined = firsts.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").where("rows > 1 or component is not null")
+        joined = joined.withColumn("component", F.coalesce("component", "set_id"))
+        least = joined.groupBy("component").agg(F.min("first").alias("least"))
+        names = settled(joined.join(least, "component").select("set_id", "least"), "names")
         own = lookup(measured, names, ["set_id"])
         component = F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
         return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "mark")
