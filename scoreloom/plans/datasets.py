@@ -19,18 +19,19 @@ import scoreloom.operators  # noqa: F401  (registers the operators)
 from scoreloom.model import SeqSet
 from scoreloom.operators.attributes import compute_attributes
 from scoreloom.operators.audit import count_elements, stage_audit
-from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, check_ratios, original_id, split_of
+from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, augment_audit, check_ratios, original_id, split_of
 from scoreloom.operators.distinct import distinct_examples, distinct_sequences
 from scoreloom.operators.histogram import DEFAULT_BINS, histogram
 from scoreloom.operators.melody import melody_audit
 from scoreloom.operators.quantize import discards
 from scoreloom.operators.slicing import shorter_slices
+from scoreloom.operators.split import filtered_sequences
 from scoreloom.operators.transform import transpose_audit
 from scoreloom.registry import apply_chain, lookup, names, ordered_steps
 from scoreloom.representations import Representation
 from scoreloom.sinks import complete, mark_complete, unmark, write_dataset, write_debug, write_splits
 from scoreloom.sources.canonical import canonicalize
-from scoreloom.sources.files import read_entry_files
+from scoreloom.sources.files import import_tree, read_entry_files
 from scoreloom.sources.index import entries_of_type, read_index
 from scoreloom.sources.tables import read_seqset, write_seqset
 
@@ -76,6 +77,31 @@ def _each(
     return report
 
 
+def import_datasets(
+    spark: SparkSession,
+    input_root: str,
+    output_root: str,
+    datasets: Sequence[Source],
+    checksums: DataFrame | None = None,
+    allow_invalid_checksum: bool = False,
+    force_overwrite: bool = False,
+) -> dict[str, dict[str, Any]]:
+    """Take over each dataset's whole folder as the table ``raw/<dataset>`` of paths, lengths, sums and contents.
+
+    The report counts the files, and those whose sum does not match: these are left out unless they are allowed.
+    """
+
+    def run(source: Source, path: str) -> dict[str, Any]:
+        files = import_tree(spark, f"{input_root}/{source.name}-{source.mode}", checksums, True)
+        seen = Observation("imported")
+        wrong = F.count_if(~F.col("checksum_ok"))
+        files = files.observe(seen, F.count(F.lit(1)).alias("files"), wrong.alias("invalid_checksums"))
+        write_dataset(files if allow_invalid_checksum else files.filter("checksum_ok"), path, True)
+        return dict(seen.get)
+
+    return _each(spark, datasets, lambda s: f"{output_root}/raw/{s.folder}", force_overwrite, run)
+
+
 def canonicalize_datasets(
     spark: SparkSession,
     input_root: str,
@@ -111,7 +137,10 @@ def stage_counters(name: str, options: dict[str, Any], before: SeqSet, after: Se
     """``stage, metric, value``: sequences in and out, and the counters that are particular to the operator."""
     rows = stage_audit(name, before, after)
     stage = F.lit(name).alias("stage")
-    if name == "quantizer":
+    if name == "time_change_splitter":
+        lost = filtered_sequences(before, **options)
+        rows = rows.unionByName(lost.select(stage, F.lit("filtered_sequences").alias("metric"), F.col("filtered_sequences").alias("value")))
+    elif name == "quantizer":
         reasons = discards(before, **options).groupBy("reason").agg(F.count(F.lit(1)).alias("value"))
         rows = rows.unionByName(
             reasons.select(stage, F.concat(F.lit("sequences_discarded_"), "reason").alias("metric"), "value")
@@ -128,6 +157,28 @@ def stage_counters(name: str, options: dict[str, Any], before: SeqSet, after: Se
     return rows
 
 
+def duplicates(total: int, kept: int, prefix: str = "") -> dict[str, Any]:
+    """How many were duplicates of others, and how many percent of all."""
+    share = round(100 * (total - kept) / total, 6) if total else 0.0
+    return {f"{prefix}duplicates": total - kept, f"{prefix}duplicate_percent": share}
+
+
+def augmenter_counters(name: str, options: dict[str, Any], before: SeqSet, after: SeqSet) -> DataFrame:
+    """``stage, split, metric, value`` of one augmenter; a user's own has its sequences in and out."""
+    split = F.coalesce(F.col("split"), F.lit("total")) if "split" in before.sequences.columns else F.lit("total")
+    if name == "transposer":
+        counts = augment_audit(before, **options)
+        counts = counts.withColumn("split", split)
+        rows = counts.unpivot("split", [c for c in counts.columns if c != "split"], "metric", "value")
+    else:
+        each = [
+            table.groupBy(split.alias("split")).agg(F.count(F.lit(1)).alias("value")).withColumn("metric", F.lit(metric))
+            for table, metric in ((before.sequences, "input_sequences"), (after.sequences, "output_sequences"))
+        ]
+        rows = each[0].unionByName(each[1])
+    return rows.select(F.lit(name).alias("stage"), "split", "metric", F.col("value").cast("bigint").alias("value"))
+
+
 def process_datasets(
     spark: SparkSession,
     input_root: str,
@@ -175,6 +226,7 @@ def process_datasets(
         report["total_sequences"] = seen.get["total_sequences"] if distinct else counts["sequences"]
         if distinct:
             report["distinct_sequences"] = counts["sequences"]
+            report |= duplicates(report["total_sequences"], counts["sequences"])
         if audits:
             reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{path}/audit")
         return {**counts, **report}
@@ -205,11 +257,15 @@ def represent_datasets(
     distinct: bool = False,
     force_overwrite: bool = False,
     seed: int = DEFAULT_SEED,
+    debug_pattern: str | None = None,
+    audit: bool = False,
 ) -> dict[str, dict[str, Any]]:
     """Split, augment the flagged splits, encode, drop duplicate examples, and write one directory per split.
 
     The report has, per split (``total`` without splits), the examples, the expected number and, with
-    ``distinct``, the distinct ones; all are counted while the examples are written.
+    ``distinct``, the distinct ones and the duplicates; all are counted while the examples are written. With ``audit`` the
+    augmenters' counters are written to ``<output>/_audit``, and with ``debug_pattern`` the matching records after each
+    augmenter to ``<output>/_debug``, where readers of the examples pass them over.
     """
     ratios = {n: c["ratio"] for n, c in (split_config or {}).items()}
     if split_config:
@@ -218,7 +274,14 @@ def represent_datasets(
     def run(source: Source, path: str) -> dict[str, Any]:
         folder = "/".join(p for p in (input_root, source.folder, input_prefix) if p)
         seqs = read_seqset(spark, folder)
-        examples = represented(seqs, representation, split_config, augmenters, distinct, seed)
+        audits: list[DataFrame] = []
+        taps: list[tuple[str, SeqSet]] = []
+
+        def after(name: str, options: dict[str, Any], before: SeqSet, result: SeqSet) -> None:
+            audits.append(augmenter_counters(name, options, before, result))
+            taps.append((name, result))
+
+        examples = represented(seqs, representation, split_config, augmenters, distinct, seed, after)
         number = F.col("copies") if distinct else F.lit(1)
         counted = Observation("examples")
         each = {}
@@ -232,8 +295,17 @@ def represent_datasets(
             write_splits(examples, path, True)
         else:
             write_dataset(examples, path, True)
+        if audit and audits:
+            reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{path}/_audit")
+        for name, result in taps if debug_pattern is not None else []:
+            write_debug(result, path, f"augmenters/{name}", debug_pattern, "_debug")
         total = seqs.sequences.count()
-        return {**counted.get, **{f"{n}_expected": int(total * r) for n, r in ratios.items()}}
+        report = {**counted.get, **{f"{n}_expected": int(total * r) for n, r in ratios.items()}}
+        for name in each if distinct else []:
+            if name.endswith("_distinct_sequences"):
+                split = name.removesuffix("_distinct_sequences")
+                report |= duplicates(report[f"{split}_sequences"], report[name], f"{split}_")
+        return report
 
     def output(source: Source) -> str:
         return f"{output_root}/representation/{output_name}/{source.folder}/{output_prefix}"
@@ -273,6 +345,7 @@ def represented(
     augmenters: Mapping[str, Mapping[str, Any]] | None = None,
     distinct: bool = False,
     seed: int = DEFAULT_SEED,
+    after: Callable[[str, dict, SeqSet, SeqSet], None] | None = None,
 ) -> DataFrame:
     """The examples of a set: one plan from headers and notes to encoded, split rows (``copies`` if distinct)."""
     flagged = None
@@ -281,7 +354,7 @@ def represented(
         seqs = assign_splits(seqs, ratios, seed)
         flagged = [n for n, c in split_config.items() if c.get("augment", False)]
     if augmenters and flagged != []:
-        seqs = augmented(seqs, augmenters, flagged)
+        seqs = augmented(seqs, augmenters, flagged, after)
     examples = representation.encode(seqs)
     if split_config and "split" not in examples.columns:
         if any(n not in OWN_AUGMENTERS for n, _ in ordered_steps(augmenters or {})):

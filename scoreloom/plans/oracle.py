@@ -204,8 +204,14 @@ ORACLE["format_dispatch"] = """select source_type, format, count(*) as files fro
     case event_type when 'view' then 'midi' when 'purchase' then 'musicxml' when 'error' then 'unsupported' else 'json' end as format
   from events) group by all"""
 ORACLE["overwrite_policy"] = (
-    with_(notes()) + 'select distinct seq_id, true as "first", false as "second" from n'
+    with_(notes()) + 'select distinct seq_id, true as "first", false as "second", true as "third" from n'
 )
+ORACLE["scan_index"] = """select doc_id::varchar as seq_id, 'raw/' || doc_id || '.txt' as filepath, sha256(text) as checksum,
+  'documents' as collection_name, '{"lang":"' || lang || '"}' as metadata_json from documents"""
+ORACLE["scan_entry_files"] = """select 'source=' || source as seq_id, sum(octet_length(encode(text)) + 1)::bigint as bytes, '.txt' as source_type
+from documents group by source union all select 'source=none', 0, 'file not found'"""
+ORACLE["import_job"] = """select 'lang=' || lang as folder, sum(octet_length(encode(text)) + 1)::bigint as bytes, 0::bigint as invalid,
+  true as skipped from documents group by 1"""
 
 # Quantize and split
 
@@ -397,6 +403,8 @@ ORACLE["chain_process"] = (
     + PER_SLICE
 )
 
+ORACLE["process_written"] = ORACLE["chain_process"].replace("as total_steps from s group by", "as total_steps, 2::bigint as stated from s group by")
+
 # Transforms
 
 ORACLE["stretch"] = (

@@ -24,14 +24,15 @@ from scoreloom.operators import (
     transform,
 )
 from scoreloom.operators import histogram as hist
-from scoreloom.plans.datasets import represented
+from scoreloom.plans.datasets import Source, import_datasets, represented
 from scoreloom.registry import apply_chain, operator
 from scoreloom.representations import PitchSequence
 from scoreloom.sinks import write_dataset, write_splits
 from scoreloom.sources import canonical
 from scoreloom.sources.events import read_events
-from scoreloom.sources.files import import_tree, suffix
-from scoreloom.sources.tables import read_sequences, write_seqset
+from scoreloom.sources.files import import_tree, read_entry_files, suffix
+from scoreloom.sources.index import entries_of_type, read_entries
+from scoreloom.sources.tables import read_seqset, read_sequences, write_seqset
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -214,9 +215,56 @@ def _(spark, folder):
 def _(spark, folder):
     path = scratch_path(spark, "policy")
     headers = plain(spark, folder).sequences.select("seq_id")
+    again = headers.select(F.concat("seq_id", F.lit("-again")).alias("seq_id"))
     first = write_dataset(headers, path)
-    second = write_dataset(headers.select(F.concat("seq_id", F.lit("-again")).alias("seq_id")), path)
-    return spark.read.parquet(path).select("seq_id", F.lit(first).alias("first"), F.lit(second).alias("second"))
+    second = write_dataset(again, path)
+    # A table without the marker that is written last is half-written, and replaced.
+    half = scratch_path(spark, "half")
+    again.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(half)
+    third = write_dataset(headers, half)
+    both = spark.read.parquet(path).join(spark.read.parquet(half), "seq_id")
+    return both.select("seq_id", F.lit(first).alias("first"), F.lit(second).alias("second"), F.lit(third).alias("third"))
+
+
+@query("scan_index")
+def _(spark, folder):
+    """Entries of an index with a line per document, written and read again."""
+    path = scratch_path(spark, "index")
+    file = F.struct(F.concat(F.lit("raw/"), "doc_id", F.lit(".txt")).alias("path"), F.sha2("text", 256).alias("checksum"))
+    entry = F.struct(
+        F.concat(F.lit("set/"), "doc_id").alias("id"), F.create_map(F.lit("doc"), file).alias("files"), F.struct("lang").alias("about")
+    )
+    documents = spark.read.parquet(f"{folder}/documents.parquet").withColumn("doc_id", F.col("doc_id").cast("string"))
+    documents.select(F.to_json(entry)).write.text(path)
+    return entries_of_type(read_entries(spark, path, "documents"), "doc")
+
+
+@query("scan_entry_files")
+def _(spark, folder):
+    """The files of a tree that an index lists, and one that is not there."""
+    path = scratch_path(spark, "files")
+    spark.read.parquet(f"{folder}/documents.parquet").select("source", "text").write.partitionBy("source").text(path)
+    there = import_tree(spark, path).select("rel_path").unionByName(spark.createDataFrame([("source=none/lost.txt",)], "rel_path string"))
+    entries = there.select(F.split("rel_path", "/")[0].alias("seq_id"), F.col("rel_path").alias("filepath"))
+    found, lost = read_entry_files(spark, entries, path)
+    sizes = found.groupBy("seq_id").agg(F.sum("length").alias("bytes"), F.max("source_type").alias("source_type"))
+    nothing = lost.select("seq_id", F.lit(0).cast("bigint").alias("bytes"), F.col("error").alias("source_type"))
+    return sizes.unionByName(nothing)
+
+
+@query("import_job")
+def _(spark, folder):
+    """A tree taken over as a table of files, with the number of files whose sums were found wrong."""
+    root = scratch_path(spark, "import")
+    spark.read.parquet(f"{folder}/documents.parquet").select("lang", "text").write.partitionBy("lang").text(f"{root}/in/docs-full")
+    report = import_datasets(spark, f"{root}/in", f"{root}/out", [Source("docs")])["docs-full"]
+    again = import_datasets(spark, f"{root}/in", f"{root}/out", [Source("docs")])["docs-full"]
+    raw = spark.read.parquet(f"{root}/out/raw/docs-full")
+    return raw.groupBy(F.split("rel_path", "/")[0].alias("folder")).agg(
+        F.sum(F.octet_length("content")).alias("bytes"),
+        F.lit(report["invalid_checksums"]).cast("bigint").alias("invalid"),
+        F.lit(again["skipped"]).alias("skipped"),
+    )
 
 
 # Quantize and split
@@ -365,6 +413,16 @@ def _(spark, folder):
     return melody.melody_lengths(gridded(spark, folder), **MELODIES)
 
 
+@query("process_written")
+def _(spark, folder):
+    """A chain's result written as three tables and read again."""
+    path = scratch_path(spark, "processed")
+    write_seqset(apply_chain(plain(spark, folder, varied=True), "processor", CHAIN), path)
+    seqs = read_seqset(spark, path)
+    stated = seqs.events.groupBy("seq_id").agg(F.count_if(F.col("kind").isin("tempo", "time_signature")).alias("stated"))
+    return per_slice(seqs).join(seqs.sequences.select("seq_id"), "seq_id").join(stated, "seq_id")
+
+
 @query("chain_process")
 def _(spark, folder):
     return per_slice(apply_chain(plain(spark, folder, varied=True), "processor", CHAIN))

@@ -54,7 +54,7 @@ def write_splits(examples: DataFrame, path: str, force_overwrite: bool = False)
     return write_dataset(examples, path, force_overwrite, ["split"])
 
 
-def write_debug(seqs: SeqSet, path: str, stage: str, pattern: str = ".*") -> None:
-    """Headers and notes of the sequences whose id matches, as JSON below ``<path>/debug/<stage>``."""
+def write_debug(seqs: SeqSet, path: str, stage: str, pattern: str = ".*", folder: str = "debug") -> None:
+    """Headers and notes of the sequences whose id matches, as JSON below ``<path>/<folder>/<stage>``."""
     for name in ("sequences", "notes"):
-        tap(getattr(seqs, name), pattern).write.mode("overwrite").json(f"{path}/debug/{stage}/{name}")
+        tap(getattr(seqs, name), pattern).write.mode("overwrite").json(f"{path}/{folder}/{stage}/{name}")

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Entries, of some hundred bytes each, that are sent to every task.
+FEW_ENTRIES = 100_000
+
+
 def binary_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, length, content`` of all files below a folder, with plain paths relative to it as ``rel_path``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
@@ -31,11 +35,14 @@ def suffix(path: Column) -> Column:
 def read_entry_files(spark: SparkSession, entries: DataFrame, root: str) -> tuple[DataFrame, DataFrame]:
     """Join entries with their files below ``root``; the second table lists entries without a readable file.
 
-    Only files that an entry names are joined. Which are missing is decided on the paths alone: content is a
-    column of its own in the file source and is not read for that.
+    Only files that an entry names are joined. Where the entries are known to be few they go to the files, so that no
+    content is moved; otherwise files are dealt out by their paths. Which are missing is decided on the paths alone.
     """
     files = binary_files(spark, root).withColumnRenamed("rel_path", "filepath")
-    found = entries.join(files, "filepath").withColumn("source_type", suffix(F.col("filepath")))
+    named = entries.filter(F.col("filepath").isNotNull())
+    few = named.limit(FEW_ENTRIES + 1).count() <= FEW_ENTRIES
+    found = files.join(F.broadcast(named) if few else named, "filepath")
+    found = found.select(*entries.columns, "length", "content").withColumn("source_type", suffix(F.col("filepath")))
     lost = entries.join(files.select("filepath"), "filepath", "left_anti")
     reason = F.when(F.col("filepath").isNull(), "no file of this type").otherwise("file not found")
     return found, lost.withColumn("error", reason)

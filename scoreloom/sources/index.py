@@ -1,4 +1,4 @@
-"""Dataset indexes: one JSON document that lists the entries of a dataset and their files."""
+"""Dataset indexes: the entries of a dataset and their files, as one JSON document or as a line of JSON per entry."""
 
 from __future__ import annotations
 
@@ -12,9 +12,18 @@ ENTRY = "struct<id string, files map<string, struct<path string, checksum string
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per entry: ``collection_name, entry_id, files, metadata_json``."""
+    """One row per entry of one JSON document: ``collection_name, entry_id, files, metadata_json``. One task reads it."""
     index = spark.read.schema(INDEX).option("multiLine", True).json(path)
-    entries = index.select(F.col("id").alias("collection_name"), F.explode("entries").alias("entry"))
+    return _parsed(index.select(F.col("id").alias("collection_name"), F.explode("entries").alias("entry")))
+
+
+def read_entries(spark: SparkSession, path: str, collection_name: str) -> DataFrame:
+    """The same from files with a line of JSON per entry, which many tasks read. Lines without text are passed over."""
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return _parsed(lines.select(F.lit(collection_name).alias("collection_name"), F.col("value").alias("entry")))
+
+
+def _parsed(entries: DataFrame) -> DataFrame:
     # The metadata is the entry's one object besides its id and files.
     fields = F.from_json("entry", "map<string, string>")
     others = F.map_filter(fields, lambda k, _: ~k.isin("id", "files"))
