@@ -556,6 +556,8 @@ ORACLE["attr_histogram"] = (
 from grid left join hits using (metric, bins, bin)"""
 )
 
+ORACLE["histogram_stored"] = ORACLE["attr_histogram"]
+
 # Augment and split
 
 AMOUNT = f"-12 + cast(floor({uniform('amount')} * 24) as int)"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import scoreloom.operators  # noqa: F401  (registers the operators)
-from scoreloom.functions.storage import scratch_path
+from scoreloom.functions.storage import scratch_path, write_table
 from scoreloom.loader import Loader, batch_rows
 from scoreloom.model import ATTRIBUTES, SeqSet
 from scoreloom.operators import (
@@ -526,6 +526,17 @@ def _(spark, folder):
     return counts.select("metric", "bins", "bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "count")
 
 
+@query("histogram_stored")
+def _(spark, folder):
+    """The same from headers that were written with their attributes."""
+    path = scratch_path(spark, "described")
+    options = {a: MANY_PITCHES[a] for a in ("toussaint", "pitch_range", "contour")}
+    seqs = attributes.compute_attributes(sliced(spark, folder), options)
+    write_table(seqs.sequences, f"{path}/sequences")
+    counts = hist.histogram(read_sequences(spark, path), ["toussaint", "pitch_range", "contour"], [30, 40, 50])
+    return counts.select("metric", "bins", "bin", r6("lo").alias("lo"), r6("hi").alias("hi"), "count")
+
+
 # Augment and split
 
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 import pytest
 from build import n, rows, seqset
 from pyspark.sql import functions as F
 
 from scoreloom import registry
+from scoreloom.loader import Loader
 from scoreloom.model import ATTRIBUTES
 from scoreloom.plans.datasets import (
     Source,
@@ -195,3 +197,69 @@ def test_stored_set_round_trip(spark, tmp_path):
     assert write_seqset(seqs, str(tmp_path / "s")) == {"sequences": 1, "notes": 1, "events": 1}
     back = read_seqset(spark, str(tmp_path / "s"))
     assert rows(back.notes, "*") == rows(seqs.notes, "*") and back.max_rows == 2
+
+
+def test_each_file_is_decoded_once(spark, dataset, tmp_path, monkeypatch):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def parse(content: bytes) -> dict:
+        (calls / uuid.uuid4().hex).write_bytes(content)
+        return {"notes": [{"pitch": 60, "start": 0.0, "end": 1.0}], "controls": [{"time": 0.5, "number": 64, "value": 127}]}
+
+    monkeypatch.setattr(registry, "_OPERATORS", dict(registry._OPERATORS))
+    operator("decoder", "abc", suffixes=(".abc",))(bytes_decoder(parse))
+    root = tmp_path / "in" / "tunes-full"
+    root.mkdir(parents=True)
+    entries = []
+    for i in range(3):
+        (root / f"{i}.abc").write_bytes(b"x%d" % i)
+        entries.append({"id": str(i), "files": {"abc": {"path": f"{i}.abc"}}})
+    (root / "index.json").write_text(json.dumps({"id": "tunes", "entries": entries}))
+    report = canonicalize_datasets(spark, str(tmp_path / "in"), str(tmp_path / "out"), sources(["tunes"], ["full"], ["abc"]))
+    assert report["tunes-full/abc"]["notes"] == 3 and report["tunes-full/abc"]["conversion_errors"] == 0
+    assert len(list(calls.iterdir())) == 3
+    stored = read_seqset(spark, str(tmp_path / "out" / "canonical" / "tunes-full" / "abc"))
+    assert rows(stored.events, "kind", "instrument") == [("control", 0)] * 3
+
+
+def test_half_written_output_is_written_anew(spark, dataset, tmp_path):
+    data = sources(["chorales"], ["full"], ["doc"])
+    raw, out = str(tmp_path / "in"), tmp_path / "out"
+    (out / "canonical" / "chorales-full" / "doc" / "sequences").mkdir(parents=True)
+    first = canonicalize_datasets(spark, raw, str(out), data, debug_pattern="s1")["chorales-full/doc"]
+    assert not first["skipped"] and first["sequences"] == 4
+    assert spark.read.json(f"{out}/canonical/chorales-full/doc/debug/canonical/notes").count() == 64
+    assert canonicalize_datasets(spark, raw, str(out), data)["chorales-full/doc"]["skipped"]
+
+
+def test_distinct_examples_into_the_loader_with_a_users_augmenter(spark, dataset, tmp_path, monkeypatch):
+    """The representation job's written output, augmented by a function it knows nothing of, read as shuffled batches."""
+    monkeypatch.setattr(registry, "_OPERATORS", dict(registry._OPERATORS))
+
+    @operator("augmenter", "louder", by=1)
+    def louder(seqs, by=1):
+        copies = lambda table: table.unionByName(table.withColumn("seq_id", F.concat("seq_id", F.lit("+loud"))))
+        moved = seqs.notes.withColumns({"seq_id": F.concat("seq_id", F.lit("+loud")), "pitch": F.col("pitch") + by})
+        return seqs.with_(sequences=copies(seqs.sequences), notes=seqs.notes.unionByName(moved), events=copies(seqs.events))
+
+    data = sources(["chorales"], ["full"], ["doc"])
+    raw, out = str(tmp_path / "in"), str(tmp_path / "out")
+    canonicalize_datasets(spark, raw, out, data)
+    chain = {"quantizer": {}, "slicer": {"slice_size_bars": 4, "keep_shorter_slices": False, "allow_cropped_slices": True}}
+    process_datasets(spark, f"{out}/canonical", out, data, chain, "bars")
+    splits = {"train": {"ratio": 0.5, "augment": True}, "test": {"ratio": 0.5}}
+    report = represent_datasets(
+        spark, f"{out}/generated/bars", out, data, "bars", PitchSequence(64), "data", "seq", splits,
+        {"louder": {"by": 2}}, distinct=True, debug_pattern=".*", audit=True,
+    )["chorales-full/doc"]
+    path = f"{out}/representation/bars/chorales-full/doc/seq"
+    stored = spark.read.parquet(path)
+    loud = stored.filter("seq_id like '%+loud'")
+    assert loud.count() > 0 and {r[0] for r in loud.select("split").distinct().collect()} == {"train"}
+    assert report["train_duplicates"] == report["train_sequences"] - report["train_distinct_sequences"]
+    audit = {(r["split"], r["metric"]): r["value"] for r in spark.read.parquet(f"{path}/_audit").collect()}
+    assert audit[("train", "output_sequences")] == 2 * audit[("train", "input_sequences")]
+    assert spark.read.json(f"{path}/_debug/augmenters/louder/notes").count() > 0
+    loaded = Loader(shuffle=True, seed=1, batch_size=8).load(spark, path)
+    assert loaded.count() == stored.count() and loaded.select("batch_id", "pos_in_batch").distinct().count() == stored.count()
