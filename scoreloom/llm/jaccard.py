@@ -6,7 +6,7 @@ agree on some part. A signature is the hash of what a set has in one part: simil
 
 Nothing is emitted for all pairs of a signature's sets. Each set is first compared with one leader per signature, and linked
 sets are joined to components; then again with better leaders. Only sets that then share a signature but no component are compared with one
-another, after parity sketches have ruled out nearly all: each element flips one of 512 bits, so the sketches
+another, after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
 of similar sets differ in at most k bits. All filters are exact; every link between components is verified on whole sets.
 
 Elements are 64-bit hashes of shingles, and equal sets are known by a 64-bit hash: among n different sets, two are mistaken for
@@ -25,11 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import settled
-from scoreloom.llm.common import lookup, text_slices, unused, whole_text
+from scoreloom.llm.common import few, lookup, text_slices, unused, whole_text
 from scoreloom.llm.components import connected_components
 
 CHUNK = 1 << 20
-SKETCH = 8
+# Longs of parities; broadcast for up to so many sets, else shuffled with the pairs.
+SKETCH = 32
+SKETCHED_SETS = 200_000
+# A band ends where its first size has grown by the least ratio of linked sizes so many times.
+BAND = 2
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
 SHARED_SIGNATURES = 2_000_000
 # Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
@@ -83,11 +87,11 @@ class Join:
         number, low, high = 0, 1, 1
         while high < size:
             number, low = number + 1, high + 1
-            high = max(low, low * 100**3 // self.percent**3)
+            high = max(low, low * 100**BAND // self.percent**BAND)
         bands = [(number, high)]
         if size * 100 // self.percent > high:
             low = high + 1
-            bands.append((number + 1, max(low, low * 100**3 // self.percent**3)))
+            bands.append((number + 1, max(low, low * 100**BAND // self.percent**BAND)))
         return bands
 
     def parts(self, high: int) -> tuple[int, int]:
@@ -99,7 +103,7 @@ class Join:
         if not differ:
             return 0, 0
         need = differ + 1
-        low = high * self.percent**3 / 100**3
+        low = high * self.percent**BAND / 100**BAND
         spare = 2 + int(2 * need * np.exp(-low / need))
         return need + spare, spare
 
@@ -123,7 +127,7 @@ class Join:
 
     @staticmethod
     def sketch(elements: np.ndarray) -> np.ndarray:
-        """Parities of the numbers of elements in each of 512 classes, as eight longs."""
+        """Parities of the numbers of elements in each of 2048 classes."""
         bits = np.bincount((elements % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
         return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
@@ -171,11 +175,14 @@ class Join:
         return texts.select("text").mapInArrow(sign, "signature long, set_id long")
 
     def nodes(self, texts: DataFrame) -> DataFrame:
-        """``set_id, n, s0..., elements`` of the sets of ``texts``."""
+        """``set_id, n, s0..., elements`` of the sets of ``texts``; a set that one task meets again is given once."""
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[int] = set()
             for _, own in text_slices(batches, "text", CHUNK // 4):
-                sets = self.sets(own)
+                sets = {self.set_id(s): s for s in self.sets(own)}
+                sets = [s for name, s in sets.items() if name not in seen]
+                seen.update(map(self.set_id, sets))
                 sketches = np.array([self.sketch(s) for s in sets]).reshape(-1, SKETCH)
                 columns = [pa.array([self.set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
                 columns += [pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH)]
@@ -214,7 +221,7 @@ class Join:
         leaders = settled(leaders.where("leader != last").drop("last"), "leaders")
         members = settled(lookup(signed, leaders, ["signature"], "inner", SHARED_SIGNATURES).distinct(), "members")
         wanted = members.select("set_id").distinct().join(firsts.where("first is not null"), "set_id").select(F.col("first").alias("doc_id"))
-        nodes = settled(self.nodes(lookup(texts, settled(wanted, "wanted"), ["doc_id"], "left_semi")).dropDuplicates(["set_id"]), "nodes")
+        nodes = settled(self.nodes(lookup(texts, settled(wanted, "wanted"), ["doc_id"], "left_semi")), "nodes")
         light = nodes.drop("elements")
         stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
         links = settled(self.linked(stars, light, nodes), "links")
@@ -229,6 +236,8 @@ class Join:
 
     def linked(self, pairs: DataFrame, light: DataFrame, nodes: DataFrame) -> DataFrame:
         """The links among candidate pairs ``a, b``: by sizes and sketches first, then by whole sets."""
+        if few(light, SKETCHED_SETS):
+            light = F.broadcast(light)
         p, q = light.withColumnRenamed("set_id", "a").alias("p"), light.withColumnRenamed("set_id", "b").alias("q")
         near = pairs.distinct().join(p, "a").join(q, "b").where(self.possible("p", "q"))
         return self.verified(near.select("a", "b"), nodes)
