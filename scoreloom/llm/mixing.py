@@ -58,7 +58,7 @@ def with_rates(docs: DataFrame, rates: DataFrame, source: str) -> DataFrame:
     """Join the rates by source, null included; the documents do not move while there are few enough sources."""
     key, salt = unused(docs, "source_key", "salt")
     named = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
-    keyed = docs.withColumn(key, named).withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)))
+    keyed = docs.withColumn(key, named).withColumn(salt, F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(SALTS)))
     rates = rates.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source")
     rates = rates.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return lookup(keyed, rates, [key, salt], "inner").drop(key, salt)
