@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import re
+import unicodedata
 import uuid
 from collections.abc import Iterator
 
@@ -33,6 +35,23 @@ CHUNK = 16 << 20
 SLICE = 1 << 19
 
 
+# Code points below this one, whose categories are the same in every version of Unicode.
+LATIN_END = 0x250
+
+
+def characters(kinds: str) -> str:
+    """Members of an expression's brackets: the Latin characters of some categories."""
+    return "".join(f"\\u{code:04x}" for code in range(LATIN_END) if unicodedata.category(chr(code))[0] in kinds)
+
+
+# How byte-level vocabularies split a text, with white space, letters and numbers spelled out.
+SPACE, LETTER, NUMBER = r"\t\n\x0b\x0c\r \x85\xa0", characters("L"), characters("N")
+LATIN = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
+FOREIGN = re.compile(rf"[^\u0000-\u{LATIN_END - 1:04x}]")
+
+
 class Vocabulary:
     """A byte-level BPE vocabulary of the tokenizers library, as its JSON text."""
 
@@ -54,13 +73,32 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The words of a text, in the letters that stand for bytes; a special token is a word of its own."""
+        slots: dict[str, int] = {}
+        places = self.places(text, slots, {})
+        names = list(slots)
+        return [names[i] for i in places]
+
+    def places(self, text: str, slots: dict[str, int], known: dict[str, int]) -> list[int]:
+        """The places in ``slots`` of the words of a text; new words are added. ``known`` remembers words as they are written.
+
+        Texts in common Latin letters are split by an expression that says the same as the vocabulary's own, which the library
+        applies to all others.
+        """
         found, split = [], self.tokenizer.pre_tokenizer.pre_tokenize_str
         for part in self.parts(text):
             if part in self.special:
-                found.append(part)
-            else:
-                for piece in pieces(part):
-                    found += [word for word, _ in split(piece)]
+                found.append(slots.setdefault(part, len(slots)))
+                continue
+            for piece in pieces(part):
+                if FOREIGN.search(piece):
+                    found += [slots.setdefault(word, len(slots)) for word, _ in split(piece)]
+                    continue
+                for word in LATIN.findall(piece):
+                    place = known.get(word)
+                    if place is None:
+                        spelled = "".join([self.spelling[b] for b in word.encode()])
+                        place = known[word] = slots.setdefault(spelled, len(slots))
+                    found.append(place)
         return found
 
     def parts(self, text: str) -> list[str]:
@@ -84,6 +122,10 @@ class Vocabulary:
         rest = [b for b in range(256) if b not in plain]
         return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
+    @functools.cached_property
+    def spelling(self) -> list[str]:
+        return [letter for _, letter in sorted((b, letter) for letter, b in self.letters.items())]
+
     @functools.cached_property
     def piece_bytes(self) -> list[bytes]:
         """The table from ids to the bytes of their pieces."""
@@ -166,17 +208,17 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, 0
-        words, doc_ids, slots = {}, [], []
+        words, known, doc_ids, slots = {}, {}, [], []
         for part, texts in text_slices(batches, "text", SLICE):
             for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
-                own = [words.setdefault(w, len(words)) for w in vocabulary.value.words(text)]
+                own = vocabulary.value.places(text, words, known)
                 doc_ids.append(doc_id)
                 slots.append(np.array(own, np.int32))
                 held += len(text)
                 if held >= chunk_size:
                     yield rows(number, words, doc_ids, slots)
                     number, held = number + 1, 0
-                    words, doc_ids, slots = {}, [], []
+                    words, known, doc_ids, slots = {}, {}, [], []
         if doc_ids:
             yield rows(number, words, doc_ids, slots)
 
