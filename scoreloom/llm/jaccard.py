@@ -175,22 +175,29 @@ class Join:
         return texts.select("text").mapInArrow(sign, "signature long, set_id long")
 
     def nodes(self, texts: DataFrame) -> DataFrame:
-        """``set_id, n, s0..., elements`` of the sets of ``texts``; a set that one task meets again is given once."""
+        """``set_id, n, s0..., elements`` of the sets of ``texts(text, again)``, each once.
+
+        A set that one task meets again is given once. Those that several tasks may meet are marked by ``again``, and shuffled.
+        """
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
-            for _, own in text_slices(batches, "text", CHUNK // 4):
-                sets = {self.set_id(s): s for s in self.sets(own)}
-                sets = [s for name, s in sets.items() if name not in seen]
+            for part, own in text_slices(batches, "text", CHUNK // 4):
+                sets = {self.set_id(s): (s, again) for s, again in zip(self.sets(own), part.column("again").to_pylist())}
+                again = [again for name, (_, again) in sets.items() if name not in seen]
+                sets = [s for name, (s, _) in sets.items() if name not in seen]
                 seen.update(map(self.set_id, sets))
                 sketches = np.array([self.sketch(s) for s in sets]).reshape(-1, SKETCH)
                 columns = [pa.array([self.set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
                 columns += [pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH)]
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", *[f"s{i}" for i in range(SKETCH)], "elements"])
+                columns += [pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(again, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", *[f"s{i}" for i in range(SKETCH)], "elements", "again"])
 
         sketch = "".join(f", s{i} long" for i in range(SKETCH))
-        return texts.select("text").mapInArrow(build, f"set_id long, n long{sketch}, elements binary")
+        schema = f"set_id long, n long{sketch}, elements binary, again boolean"
+        built = settled(texts.select("text", "again").mapInArrow(build, schema), "built")
+        met_again = settled(built.where("again").dropDuplicates(["set_id"]), "again")
+        return built.where("not again").unionByName(met_again).drop("again")
 
     def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
         """The pairs ``a, b`` whose sets are similar, by their whole sets."""
@@ -210,18 +217,27 @@ class Join:
 
         A component is the smallest ``doc_id`` that links reach. A missing text counts as empty; texts without words link with
         nothing. Rows that repeat an id or a text have equal sets and so one component. Rows without an id take part and
-        name no component; one that is alone has none. An empty table gives no rows; other columns are not read.
+        name no component; one that no row with an id is linked to has none. An empty table gives no rows; other columns are not read.
         """
+        return self.grouped(docs).drop("lead")
+
+    def grouped(self, docs: DataFrame) -> DataFrame:
+        """``components``, and as ``lead`` the least mark in the component of a row that is not alone there."""
         texts = docs.select("doc_id", whole_text().alias("text"))
         measured = settled(self.documents(texts), "documents")
-        firsts = measured.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"))
+        # A set's elements are built from the row of the least key: every set has one, also where no row of it has an id.
+        row_key = F.xxhash64("doc_id", "mark")
+        firsts = measured.where("n > 0").groupBy("set_id").agg(
+            F.min("doc_id").alias("first"), F.min("mark").alias("lead"), F.min(row_key).alias("row_key"), F.count(F.lit(1)).alias("rows")
+        )
         firsts = settled(firsts, "sets")
         signed = self.signed(texts)
         leaders = signed.groupBy("signature").agg(F.min("set_id").alias("leader"), F.max("set_id").alias("last"))
         leaders = settled(leaders.where("leader != last").drop("last"), "leaders")
         members = settled(lookup(signed, leaders, ["signature"], "inner", SHARED_SIGNATURES).distinct(), "members")
-        wanted = members.select("set_id").distinct().join(firsts.where("first is not null"), "set_id").select(F.col("first").alias("doc_id"))
-        nodes = settled(self.nodes(lookup(texts, settled(wanted, "wanted"), ["doc_id"], "left_semi")), "nodes")
+        wanted = members.select("set_id").distinct().join(firsts, "set_id").select("row_key", (F.col("rows") > 1).alias("again"))
+        keyed = texts.withColumn("mark", F.xxhash64("text")).withColumn("row_key", row_key)
+        nodes = self.nodes(lookup(keyed, settled(wanted, "wanted"), ["row_key"], "inner"))
         light = nodes.drop("elements")
         stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
         links = settled(self.linked(stars, light, nodes), "links")
@@ -276,25 +292,35 @@ class Join:
 
     @staticmethod
     def named(measured: DataFrame, firsts: DataFrame, found: DataFrame) -> DataFrame:
-        """Documents with the least id of their component. Only sets that more than one row has, or that link, are looked up."""
+        """Documents with the least id and mark of their component. Only sets that more than one row has, or that link, are looked up."""
         joined = firsts.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").where("rows > 1 or component is not null")
         joined = joined.withColumn("component", F.coalesce("component", "set_id"))
-        least = joined.groupBy("component").agg(F.min("first").alias("least"))
-        names = settled(joined.join(least, "component").select("set_id", "least"), "names")
+        least = joined.groupBy("component").agg(F.min("first").alias("least"), F.min("lead").alias("lead"))
+        names = settled(joined.drop("lead").join(least, "component").select("set_id", "least", "lead"), "names")
         own = lookup(measured, names, ["set_id"])
         component = F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id"))
-        return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "mark")
+        return own.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), "mark", "lead")
 
     def without_near_copies(self, docs: DataFrame) -> DataFrame:
         """One document of each group of linked ones: that whose id names the component. The columns are those of ``docs``.
 
-        Rows without an id have no component to name, and go if a linked row has an id. Rows that repeat an id are told
-        apart by their text; those that repeat the id that names a component all stay.
+        Rows without an id have no component to name, and go if a linked row has an id; of linked rows none of which has an id,
+        one with the text of the least hash stays. Rows that repeat an id are told apart by their text; those that repeat the
+        id that names a component all stay.
         """
-        found = self.components(docs)
-        going = settled(found.where(~F.col("component_id").eqNullSafe(F.col("doc_id"))).select("doc_id", "mark").distinct(), "going")
+        found = self.grouped(docs)
+        nameless = F.col("doc_id").isNull() & F.col("component_id").isNull() & F.col("lead").isNotNull()
+        goes = ~F.col("component_id").eqNullSafe(F.col("doc_id")) | (nameless & (F.col("mark") != F.col("lead")))
+        found = settled(found.where(goes | nameless).select("doc_id", "mark", goes.alias("goes")).distinct(), "going")
         key, mark = unused(docs, "key", "mark")
         named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
         keyed = docs.withColumn(key, named(F.col("doc_id"))).withColumn(mark, F.xxhash64(whole_text()))
-        going = going.select(named(F.col("doc_id")).alias(key), F.col("mark").alias(mark))
-        return lookup(keyed, going, [key, mark], "left_anti").select(*docs.columns)
+        going = found.where("goes").select(named(F.col("doc_id")).alias(key), F.col("mark").alias(mark))
+        left = lookup(keyed, going, [key, mark], "left_anti")
+        leads = found.where("not goes").select(F.col("mark").alias(mark))
+        if leads.isEmpty():
+            return left.select(*docs.columns)
+        (lead,) = unused(left, "lead")
+        left = lookup(left, leads.withColumn(lead, F.lit(True)), [mark])
+        led = F.coalesce(lead, F.lit(False)) & F.col("doc_id").isNull()
+        return left.where(~led).select(*docs.columns).unionByName(left.where(led).dropDuplicates([mark]).select(*docs.columns))

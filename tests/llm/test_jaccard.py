@@ -93,6 +93,22 @@ def test_odd_rows(spark):
     assert Join().components(none(spark)).count() == 0 and Join().without_near_copies(none(spark)).count() == 0
 
 
+def test_rows_without_an_id(spark):
+    """They link with documents, with one another, and link documents that are only alike through them."""
+    words = lambda name: [f"{name}{i}" for i in range(300)]
+    edited = lambda text, *places: [f"x{i}" if i in places else w for i, w in enumerate(text)]
+    a, b, c, d, e = map(words, "abcde")
+    rows = [(1, a), (None, edited(a, 7)), (None, b), (None, edited(b, 7)), (None, edited(b, 7)), (None, edited(b, 7, 90)), (None, d)]
+    rows += [(2, edited(c, 20, 60, 100)), (None, c), (3, edited(c, 150, 200, 250)), (None, e), (None, e), (None, e)]
+    rows = [(i, " ".join(text)) for i, text in rows]
+    assert joined([r for r in rows if r[0]], 3, 90) != sorted(r for r in joined(rows, 3, 90) if r[0] != "None")
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(Join(3, 90).components(table)) == joined(rows, 3, 90)
+    left = Join(3, 90).without_near_copies(table).collect()
+    assert sorted(r["doc_id"] for r in left if r["doc_id"]) == [1, 2]
+    assert sorted(r["text"][0] for r in left if r["doc_id"] is None) == ["b", "d", "e"]
+
+
 def test_components(spark):
     draw = random.Random(1)
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 50)] + [(draw.randrange(300, 330), draw.randrange(300, 330)) for _ in range(25)]
