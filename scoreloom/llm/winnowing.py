@@ -1,9 +1,13 @@
 """Document fingerprints by winnowing, in DataFrame functions alone.
 
-A text is cut into pieces of at most four characters, never across white space, so a piece's borders depend on its
-word alone. Hashes roll over every ``GRAM`` consecutive pieces; of each ``WINDOW`` consecutive hashes the least is
-marked, the rightmost of equal ones, with its position. So any passage of ``GRAM + WINDOW - 1`` pieces or more that
-two texts share from a word's start on leaves a mark that both have.
+A text is cut into pieces, never across white space: a word of up to ``LONG`` characters into strides of four, and a
+longer one, such as a text in a script without spaces, into its single characters. So a piece's borders depend on its
+word alone, and inside a long word they are everywhere. Hashes roll over every ``GRAM`` consecutive pieces; of each
+``WINDOW`` consecutive hashes the least is marked, the rightmost of equal ones, with its position among the k-grams.
+
+Of a passage that two texts share, both cut whole words alike, and also the part of a word at either end if it is longer than
+``LONG``. So wherever it begins in a word, a passage leaves a mark that both have if it is of ``2 * LONG + 4 * (GRAM + WINDOW - 1)``
+characters or more, white space not counted; from a word's start to a word's end, or inside long words, ``GRAM + WINDOW - 1`` pieces do.
 """
 
 from __future__ import annotations
@@ -16,6 +20,9 @@ from pyspark.sql import functions as F
 from scoreloom.llm.common import whole_text
 
 PIECE = r"[^\x20\x09-\x0D]{1,4}"
+LONG = 16
+# Each character of a long word: the first, and any that follows the match before.
+LONG_WORD = rf"(?:(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D]{{{LONG + 1}}})|(?<!^)\G)[^\x20\x09-\x0D]"
 GRAM, WINDOW = 6, 4
 
 # Ranges of ids per shuffle partition: several, so that hashing them to partitions evens out.
@@ -29,7 +36,8 @@ def with_marks(df: DataFrame, text: str, gram: int = GRAM, window: int = WINDOW)
     fewer k-grams than a window has, they are one window.
     """
     pieces, grams, at, out = (f"{text}_{x}" for x in ("pieces", "grams", "at", "hash"))
-    hashed = F.transform(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(PIECE), F.lit(0)), lambda x: F.xxhash64(x))
+    parted = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), LONG_WORD, "$0 ")
+    hashed = F.transform(F.regexp_extract_all(parted, F.lit(PIECE), F.lit(0)), lambda x: F.xxhash64(x))
     n = F.size(pieces)
     rolled = F.transform(F.sequence(F.lit(0), n - gram), lambda i: F.xxhash64(*[F.get(pieces, i + j) for j in range(gram)]))
     none = F.array().cast("array<bigint>")

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 import pytest
 from odd import docs, none
 
-from scoreloom.llm.winnowing import GRAM, WINDOW, edited_fingerprints, with_marks
+from scoreloom.llm.winnowing import GRAM, LONG, WINDOW, edited_fingerprints, with_marks
 
 
 def winnowed(hashes: list[int], window: int) -> list[int]:
@@ -39,6 +40,32 @@ def test_shared_passage_leaves_a_shared_mark(spark):
     assert marks[0] & marks[1]
 
 
+@pytest.mark.parametrize("alphabet", ["的一是不了人我在有他这中大来上", "กขคงจฉชซญด", "ABCDEFGHabcdefgh0123456789+/", "ab\u00a0\u3000c😀"])
+def test_shared_passage_in_text_without_spaces(spark, alphabet):
+    """Shifted by 0 to 3 characters, and with another text around it."""
+    draw = random.Random(alphabet)
+    some = lambda n: "".join(draw.choices(alphabet, k=n))
+    passage = some(2 * LONG + 4 * (GRAM + WINDOW - 1))
+    rows = [(i, some(40 + i) + passage + some(30)) for i in range(4)] + [(4, passage), (5, f"ab cd{passage}x yz")]
+    rows += [(6, some(LONG) + " " + passage)]
+    every = {r["doc_id"]: r for r in with_marks(spark.createDataFrame(rows, "doc_id long, text string"), "text").collect()}
+    inner = set(every[4]["text_hash"][1:-1])
+    assert inner and all(inner <= set(r["text_hash"]) for r in every.values())
+    near = edited_fingerprints(spark.createDataFrame(rows[:4], "doc_id long, text string")).collect()
+    assert all(r["near_next"] > 0.1 for r in near)
+
+
+@pytest.mark.parametrize("size", range(LONG - 1, LONG + 4))
+def test_long_words_are_cut_into_characters(spark, size):
+    """The words around them keep their strides."""
+    word = "".join(chr(ord("a") + i) for i in range(size))
+    pieces = ["on", *re.findall(".{1,4}" if size <= LONG else ".", word), "thes", "e"]
+    rows = [(0, f"on {word}\nthese"), (1, " ".join(pieces))]
+    once = with_marks(spark.createDataFrame(rows, "doc_id long, text string"), "text", 1, 1)
+    marks = {r["doc_id"]: r["text_hash"] for r in once.collect()}
+    assert marks[0] == marks[1] and len(marks[0]) == len(pieces)
+
+
 def test_edited_text_and_next_document(spark):
     table = docs(spark).select("doc_id", "text").unionByName(spark.range(20, 60).selectExpr("id as doc_id", "concat('t', id, ' x y') as text"))
     rows = sorted(
