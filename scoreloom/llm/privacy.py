@@ -10,6 +10,9 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import sys
+import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -119,15 +122,56 @@ def moved(key: bytes, tweak: str, symbols: list[str], text: str, fits: Callable[
             return made
 
 
+def sort_of(c: str) -> tuple:
+    """What a character outside the alphabets shares with those that may stand for it: block of 128, script, category and cases."""
+    upper = c.upper()
+    cases = lowered(c) == c, len(upper) == 1 and upper != c and lowered(upper) == c, len(upper) == 1 and upper != c
+    return ord(c) >> 7, unicodedata.name(c, "").split(" ")[0], unicodedata.category(c), *cases
+
+
+@functools.lru_cache(1 << 12)
+def others_like(c: str) -> str:
+    """The letters and numbers of the sort of ``c``, which has none of the alphabets' ones. One that is alone in its sort is joined by all such ones of its case."""
+    block = ord(c) >> 7 << 7
+    found = [x for x in map(chr, range(block, block + 128)) if free(x) and sort_of(x) == sort_of(c)]
+    return "".join(found) if len(found) > 1 else lone()[case_of(c)]
+
+
+def case_of(c: str) -> tuple[bool, bool]:
+    return lowered(c) == c, c.isupper()
+
+
+@functools.cache
+def lone() -> dict[str, str]:
+    """The letters and numbers that are alone in their sort, by case."""
+    sorts = defaultdict(list)
+    for x in map(chr, range(sys.maxunicode + 1)):
+        if free(x):
+            sorts[sort_of(x)].append(x)
+    alone = defaultdict(str)
+    for found in sorts.values():
+        if len(found) == 1:
+            alone[case_of(found[0])] += found[0]
+    return alone
+
+
+def free(c: str) -> bool:
+    """Whether a character is a letter or number that no alphabet has in either case."""
+    return c.isalnum() and not c.isascii() and not any(c.lower() in "".join(alphabet) for alphabet in ALPHABETS)
+
+
 def like(c: str, parted: bool = True) -> str:
-    """The characters of the same script as a lower case character, and of the same sound if ``parted``; digits for digits."""
+    """The characters of the same script as a lower case character, and of the same sound if ``parted``; digits for digits.
+
+    For letters and numbers outside the alphabets these are the ones of the same sort. Other characters stand for themselves.
+    """
     if c.isdigit() and c.isascii():
         return "0123456789"
     for alphabet in ALPHABETS:
         for letters in alphabet if parted else ["".join(alphabet)]:
             if c in letters:
                 return letters
-    return c
+    return others_like(c) if free(c) else c
 
 
 def cased(made: str, original: str) -> str:
@@ -222,13 +266,13 @@ class Surrogates:
         return " ".join(map(self.name, entity.split(" ")))
 
     def name(self, part: str) -> str:
-        """A known given name becomes another of its script and gender. Any other keeps its sounds and its last letter."""
+        """A known given name becomes another of its script and gender. Any other keeps its sounds, and its last letter if an alphabet has it."""
         group = NAMES.get(part)
         if group:
             names = sorted(name for name, own in NAMES.items() if own == group)
             order = Permutation(self.key, f"given{group}".encode(), len(names))
             return names[order(names.index(part))]
-        symbols = [like(c) for c in part[:-1]] + [part[-1]]
+        symbols = [like(c) for c in part[:-1]] + [like(part[-1]) if free(part[-1]) else part[-1]]
         return moved(self.key, "name", symbols, part, lambda s: s not in NAMES)
 
     def found(self, text: str) -> Iterator[tuple[int, int, str]]:
@@ -331,16 +375,20 @@ def mentions(docs: DataFrame, surrogates: Surrogates, text: bool) -> DataFrame:
 
 
 def clashes(each: DataFrame) -> DataFrame:
-    """``kind, surrogate, n`` where n > 1 entities of a kind have one surrogate, of ``each(kind, entity, surrogate)``.
+    """``kind, surrogate, n, stays`` where n > 1 entities of a kind have one surrogate or one has itself, of ``each(kind, entity, surrogate)``.
 
-    Entities are made distinct in each task before they are shuffled, so one that every document has is not hot.
+    An address of mail of punctuation alone, up to its ending, has nothing to replace. Entities are made distinct in each task before they are shuffled, so one that every document has is not hot.
     """
-    return each.distinct().groupBy("kind", "surrogate").agg(F.count_distinct("entity").alias("n")).where("n > 1")
+    stays = (F.col("entity") == F.col("surrogate")) & ((F.col("kind") != "email") | F.col("entity").rlike(r"(?s)[\p{L}\p{N}].*\."))
+    counted = each.distinct().groupBy("kind", "surrogate").agg(F.count_distinct("entity").alias("n"), F.max(stays).alias("stays"))
+    return counted.where("n > 1 or stays")
 
 
 def check_distinct(each: DataFrame) -> None:
-    """Stop if two entities of one kind in the corpus would get one surrogate."""
+    """Stop if two entities of one kind in the corpus would get one surrogate, or one would get itself."""
     worst = clashes(each).orderBy("kind", "surrogate").limit(3).collect()
+    if any(r["stays"] for r in worst):
+        raise ValueError(f"an entity would stay as it is: {[(r['kind'], r['surrogate']) for r in worst if r['stays']]}")
     if worst:
         raise ValueError(f"two entities would share a surrogate: {[(r['kind'], r['surrogate']) for r in worst]}")
 

@@ -5,7 +5,7 @@ import re
 import pytest
 from odd import docs, none
 
-from scoreloom.llm.privacy import EMAIL, OTHER, Permutation, Surrogates, check_distinct, luhn, with_surrogates
+from scoreloom.llm.privacy import EMAIL, OTHER, Permutation, Surrogates, check_distinct, like, lowered, luhn, with_surrogates
 
 S = Surrogates()
 
@@ -66,6 +66,31 @@ def test_different_entities_stay_different():
         assert len(set(made)) == len(entities), kind
 
 
+NAMES = "王明 李小龙 さくら 田中 김민준 محمد משה अमर Արամ Łś Żółć Ğül ŁŚ Čapek Øø Ⴀნა İı 々ー ªº ΐΰ ЁЬ ђё ŉŉ ſſ ǅǅ ⅷⅷ Łaş-Éķ"
+
+
+@pytest.mark.parametrize("name", NAMES.split())
+def test_names_and_mails_outside_the_alphabets(name):
+    """Nothing comes out unchanged; the length stays, and the script and case of each letter that has others of its sort."""
+    for text in (f"Then Dr. {name} came.", f"Write to {name}@mail9.example.org now."):
+        made, found = S.replaced(text)
+        assert len(found) == 1 and found[0][1] != found[0][2] and name not in made and len(made) == len(text)
+        again = S.replaced(made)[1]
+        assert [(k, e) for k, e, _ in again] == [(k, s) for k, _, s in found]
+        for a, b in zip(text, made):
+            assert (a.isalnum(), a.isupper()) == (b.isalnum(), b.isupper())
+
+
+def test_letters_stand_for_one_another():
+    """So the surrogates of different names differ: a letter's likes have the same likes. No letter or number stands for itself alone."""
+    for c in map(chr, [*range(128, 0x3200), 0x4E00, 0x9FFF, 0xAC00, 0xFB01, 0x1D7D8, 0x20000]):
+        if c.isalnum() and lowered(c) == c:
+            options = like(c)
+            assert c in options and 1 < len(options) == len(set(options)) and all(like(x) == options for x in options), c
+    made = [S.surrogate("person", a + b) for a in "łśżźćńęąşğ王李明田中" for b in "łśżźćńęąşğ王李明田中"]
+    assert len(set(made)) == len(made)
+
+
 def test_keys_differ():
     assert Surrogates("other").replaced(TEXTS[0])[0] != S.replaced(TEXTS[0])[0]
 
@@ -95,3 +120,11 @@ def test_a_collision_stops_the_job(spark):
     rows.append(("ip", "1.2.3.6", "9.9.9.8"))
     with pytest.raises(ValueError, match="share a surrogate"):
         check_distinct(spark.createDataFrame(rows, "kind string, entity string, surrogate string"))
+
+
+def test_an_entity_that_stays_stops_the_job(spark):
+    rows = [("email", "+@-.com", "+@-.com"), ("person", "a", "b")]
+    check_distinct(spark.createDataFrame(rows, "kind string, entity string, surrogate string"))
+    for row in (("person", "王明", "王明"), ("email", "王@-.com", "王@-.com")):
+        with pytest.raises(ValueError, match="stay as it is"):
+            check_distinct(spark.createDataFrame([*rows, row], "kind string, entity string, surrogate string"))
