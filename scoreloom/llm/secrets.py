@@ -32,12 +32,16 @@ CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class Rule:
-    """``head`` and ``tail`` together are the pattern; a match counts if its tail has ``least`` bytes or more."""
+    """``head`` and ``tail`` together are the pattern; a match counts if its tail has ``least`` bytes or more.
+
+    What ``more`` matches right after them belongs to the match too.
+    """
 
     name: str
     head: str
     tail: str
     least: int = 1
+    more: str = ""
 
 
 # The base rules, in the order in which they are listed, and the forms of some providers' credentials.
@@ -46,8 +50,13 @@ BASE = (
     Rule("access", r"", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"", r"[0-9a-f]{32,}", 32),
 )
+# A key after its first line: headers, and base64 up to the END line, or full lines of it where that is missing. Line ends may be escaped.
+BREAK = r"(?:[\x20\t]*(?:\r?\n|\\r\\n|\\n))"
+HEADERS = rf"(?:{BREAK}[A-Za-z][A-Za-z0-9-]*:[A-Za-z0-9,\x20-]*)*"
+WITH_END = r"(?:[\x20\t\r\n]|\\[nr]|[A-Za-z0-9+/=])*-----END [A-Z ]*PRIVATE KEY-----"
+KEY_LINES = rf"{HEADERS}(?:{WITH_END}|(?:{BREAK}+[\x20\t]*[A-Za-z0-9+/=]{{40,}})+)"
 MORE = (
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"", 0),
+    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"", 0, KEY_LINES),
     Rule("code_host", r"gh[opsur]_", r"[A-Za-z0-9]+", 36),
     Rule("chat", r"xox[abeoprs]-", r"[A-Za-z0-9-]+", 10),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.", r"[A-Za-z0-9_-]+", 16),
@@ -211,7 +220,7 @@ class Scanner:
             nfa.free[start].append(begin)
             ends[nfa.add(parser.parse(rule.head + rule.tail), begin, back=True)] = number
         self.backwards = Dfa.of(nfa, start, ends, anywhere=True)
-        self.whole = [self.forwards(rule.head + rule.tail) for rule in rules]
+        self.whole = [self.forwards(rule.head + rule.tail + (f"(?:{rule.more})?" if rule.more else "")) for rule in rules]
         self.heads = [self.forwards(rule.head) for rule in rules]
 
     @staticmethod

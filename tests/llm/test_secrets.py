@@ -59,6 +59,20 @@ def test_more_rules():
     assert [SCANNER.rules[n].name for _, n, _ in SCANNER.spans(text)] == ["code_host", "private_key", "chat"]
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", " "])
+def test_private_keys_are_marked_to_their_end(end):
+    begin, stop = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = ["MIIEpAIBAAKCAQEA+/" + "x1Y2" * 11, "Zm9v" * 16, "YmFy=="]
+    headers = [] if end == " " else ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF", ""]
+    key = end.join([begin, *headers, *lines, stop])
+    keys = lambda text: [text[a:b] for a, n, b in SCANNER.spans(text) if SCANNER.rules[n].name == "private_key"]
+    assert keys(f"é {key}{end}{key} and more") == [key, key]
+    assert keys(f"{begin} is a first line, {stop} a last one") == [begin]
+    if end != " ":
+        cut = end.join([begin, *headers, *lines[:2]])
+        assert keys(f"{cut}{end}And text.") == [cut]
+
+
 def test_report(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").unionByName(docs(spark).select("doc_id", "text"))
     texts = [(r["doc_id"], r["text"] or "") for r in table.collect()]
