@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from scoreloom.functions.storage import scratch_path
-from scoreloom.llm.common import text_slices, whole_text
+from scoreloom.llm.common import from_planes, planes, text_slices, whole_text
 
 # Code points of text in a chunk, and in what is split at once.
 CHUNK = 16 << 20
@@ -152,20 +152,6 @@ def pieces(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Small numbers, as few bytes of each as the largest needs, compressed byte plane after byte plane."""
-    wide = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
-    bytes_ = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
-    return bytes([wide]) + zstandard.compress(np.ascontiguousarray(bytes_.T).tobytes(), 3)
-
-
-def from_planes(data: bytes) -> np.ndarray:
-    flat = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
-    values = np.zeros((flat.shape[1], 4), np.uint8)
-    values[:, : data[0]] = flat.T
-    return values.view("<u4").ravel()
-
-
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Positions ``start, start + 1, ...`` of each run, one run after another."""
     ends = np.cumsum(sizes)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,3 +68,29 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> It
         if first < len(lengths):
             part = batch.slice(first)
             yield part, pc.fill_null(part.column(column), "").to_pylist()
+
+
+def byte_slices(text: bytes, most: int) -> Iterator[bytes]:
+    """A text in parts of about ``most`` bytes, cut before a space or a line feed; one without any is left whole."""
+    at = 0
+    while len(text) - at > most:
+        cuts = [cut for cut in (text.find(b" ", at + most), text.find(b"\n", at + most)) if cut >= 0]
+        if not cuts:
+            break
+        yield text[at : min(cuts)]
+        at = min(cuts)
+    yield text[at:]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Small numbers, as few bytes of each as the largest needs, compressed byte plane after byte plane."""
+    wide = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    bytes_ = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)[:, :wide]
+    return bytes([wide]) + zstandard.compress(np.ascontiguousarray(bytes_.T).tobytes(), 3)
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    values = np.zeros((flat.shape[1], 4), np.uint8)
+    values[:, : data[0]] = flat.T
+    return values.view("<u4").ravel()

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.bpe import default_vocabulary, encoding_report
 from scoreloom.llm.dedup import exact_duplicates
+from scoreloom.llm.divergence import audit_report
 from scoreloom.llm.jaccard import Join
 from scoreloom.llm.language import predicted_languages
+from scoreloom.llm.lines import LineRules
 from scoreloom.llm.mixing import mixed_sizes
+from scoreloom.llm.phrases import collocations
 from scoreloom.llm.privacy import with_surrogates
 from scoreloom.llm.scoring import katz_scores
 from scoreloom.llm.secrets import secret_report
@@ -131,3 +134,98 @@ def op9_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encoding_report(table(spark, folder, "documents"), default_vocabulary())
+
+
+@query(r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from split group by lang),
+grams as (
+  select lang, unnest(flatten([[array_to_string(w[i:i + size - 1], ' ') for i in range(1, len(w) - size + 2)] for size in range(1, 5)])) as phrase
+  from split where len(w) > 0),
+counts as (select lang, phrase, count(*) as f from grams group by lang, phrase having count(*) >= 30),
+phrases as (select lang, phrase, f as a, string_split(phrase, ' ') as w from counts where contains(phrase, ' ')),
+cuts as (select lang, phrase, a, w, unnest(range(1, len(w))) as k from phrases),
+scored as (
+  select c.lang, c.phrase, c.a, k, x.f as l, y.f as r, (2000000::hugeint * c.a // (x.f::hugeint + y.f))::bigint as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:k], ' ')
+  join counts y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+parts as (select lang, a, w, unnest(range(2, len(w))) as size from phrases where len(w) > 2),
+inside as (
+  select lang, unnest([array_to_string(w[i:i + size - 1], ' ') for i in range(1, len(w) - size + 2)]) as phrase, a from parts),
+longer as (select lang, phrase, max(a) as b from inside group by lang, phrase),
+kept as (select s.* from weakest s left join longer o using (lang, phrase) where b is null or 100 * b::hugeint < 80 * s.a::hugeint)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join totals using (lang) qualify rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(table(spark, folder, "documents"))
+
+
+@query(r"""
+with t as (
+  select row_number() over () as row, doc_id, source, coalesce(text, '') as text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (select row, i, array_to_string(w[i:i + 4], ' ') as win from t, unnest(range(1, len(w) - 3)) as u(i)),
+again as (select row, i from windows qualify count(*) over (partition by row, win) > 1),
+repeats as (select row, count(distinct i + j) as n from again, range(0, 5) as u(j) group by row),
+raw as (select row, source, text, unnest(string_split(text, chr(10))) as line from t),
+lines as (
+  select *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+    '[^\x20\x09-\x0D]+') as w from raw where regexp_matches(line, '[^\x20\x09-\x0D]')),
+normal as (select row, source, text, line, array_to_string(w, ' ') as norm, len(w) as n from lines),
+dups as (select row, count(*) - count(distinct line) as n from normal group by row),
+hosts as (select source, count(distinct text) as texts from t group by source),
+often as (
+  select o.source, norm from (select source, norm, count(distinct text) as docs from normal group by source, norm) o
+  join hosts h on o.source is not distinct from h.source where docs > 20 and docs * 100 > texts),
+gone as (
+  select row, sum(n) as n from normal l join often o on l.source is not distinct from o.source and l.norm = o.norm group by row),
+measured as (
+  select doc_id, len(w)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols, coalesce(d.n, 0)::bigint as n_dup_lines,
+    coalesce(r.n, 0)::bigint as n_repeat_words, (len(w) - coalesce(g.n, 0))::bigint as words_left
+  from t left join dups d using (row) left join repeats r using (row) left join gone g using (row))
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and words_left >= 10 and 100 * words_left >= 50 * n_words as kept
+from measured
+""")
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return LineRules().report(table(spark, folder, "documents"))
+
+
+@query(r"""
+with t as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+words as (select row, lang, source, unnest(w) as term from t),
+kept as (select lang, term, count(*) as n from words group by lang, term having count(distinct row) >= 3),
+counts as (select lang, source, term, count(*) as c from words join kept using (lang, term) group by lang, source, term),
+langs as (select l.lang, count(k.term) as v, coalesce(sum(k.n), 0)::bigint as n
+  from (select distinct lang from t) l left join kept k on k.lang = l.lang group by l.lang),
+groups as (select g.lang, g.source, v, coalesce(sum(c), 0)::bigint + v as total
+  from (select distinct lang, source from t) g join langs using (lang) left join counts c on c.lang = g.lang and c.source = g.source
+  group by g.lang, g.source, v),
+full_ as (select g.lang, g.source, k.term, coalesce(c, 0) as c, 1 + (1000000000::hugeint * (coalesce(c, 0) + 1) // total)::bigint as p
+  from groups g join kept k using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+pairs as (select x.lang, x.source, y.source as item, sum(((x.p - y.p) * (x.p - y.p)) // y.p) as value
+  from full_ x join full_ y on x.lang = y.lang and x.term = y.term and x.source != y.source group by all),
+every as (select x.lang, x.source, y.source as item, coalesce(value, 0)::bigint as value
+  from groups x join groups y on x.lang = y.lang and x.source != y.source
+  left join pairs p on p.lang = x.lang and p.source = x.source and p.item = y.source),
+above as (
+  select f.lang, source, term as item, p, 1 + (1000000000::hugeint * (k.n + 1) // (l.n + l.v))::bigint as q
+  from full_ f join kept k using (lang, term) join langs l on l.lang = f.lang where c > 0),
+terms as (select lang, source, item, ((p - q) * (p - q)) // q as value from above where p > q)
+select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item)::int as rank from every
+union all
+select lang, source, 'term', item, value, row_number() over (partition by lang, source order by value desc, item)::int as rank from terms
+qualify rank <= 200
+""")
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return audit_report(table(spark, folder, "documents"))
