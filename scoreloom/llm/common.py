@@ -94,3 +94,15 @@ def from_planes(data: bytes) -> np.ndarray:
     values = np.zeros((flat.shape[1], 4), np.uint8)
     values[:, : data[0]] = flat.T
     return values.view("<u4").ravel()
+
+
+def gaps(values: np.ndarray) -> bytes:
+    """Sorted distinct numbers of up to 62 bits, by their differences."""
+    between = np.diff(values, prepend=0)
+    low = planes((between & 0x7FFFFFFF).astype(np.uint32))
+    return len(low).to_bytes(4, "little") + low + planes((between >> 31).astype(np.uint32))
+
+
+def from_gaps(data: bytes) -> np.ndarray:
+    end = 4 + int.from_bytes(data[:4], "little")
+    return np.cumsum(from_planes(data[4:end]).astype(np.int64) + (from_planes(data[end:]).astype(np.int64) << 31))

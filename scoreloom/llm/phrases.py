@@ -18,13 +18,14 @@ broadcast; more phrases mean more passes over the chunks, which hold about two b
 from __future__ import annotations
 
 import functools
+import itertools
 import pickle
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import scratch_path, settled
-from scoreloom.llm.common import byte_slices, from_planes, planes, text_slices, whole_text
+from scoreloom.llm.common import byte_slices, from_gaps, from_planes, gaps, planes, text_slices, whole_text
 
 LEAST = 30
 WORDS = 4
@@ -45,7 +46,7 @@ CHUNK_BYTES = 1 << 24
 CELL_BITS = 4
 BUCKET_CELLS = 1 << 22
 # Phrases in a trie.
-SHARD = 1 << 20
+SHARD = 1 << 19
 # Counters that are sent in one row.
 BLOCK = 1 << 14
 
@@ -76,7 +77,7 @@ class Chunk:
             before = len(known)
             codes = np.array([known.setdefault(w, len(known)) for w in part.replace(b"\n", b" \n ").split(b" ")], np.int32)
             if len(known) > before:
-                self.size += sum(map(len, list(known)[before:]))
+                self.size += sum(map(len, itertools.islice(reversed(known), len(known) - before)))
             codes = codes[codes != NOTHING]
             self.words += int(np.count_nonzero(codes != END))
             self.codes.append(codes)
@@ -135,16 +136,6 @@ def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> Iterator[
         yield length, at, rolled
 
 
-def packed(cells: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted distinct numbers of up to 62 bits by their differences."""
-    gaps = np.diff(cells, prepend=0)
-    return planes((gaps & 0x7FFFFFFF).astype(np.uint32)), planes((gaps >> 31).astype(np.uint32))
-
-
-def unpacked(low: bytes, high: bytes) -> np.ndarray:
-    return np.cumsum(from_planes(low).astype(np.int64) + (from_planes(high).astype(np.int64) << 31))
-
-
 def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, least: int) -> DataFrame:
     """``lang, phrase`` of all phrases whose cell, and the cells of whose parts, are counted ``least`` times or more; each once."""
     shift = np.uint64(64 - cell_bits)
@@ -156,31 +147,29 @@ def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, leas
                 cells, counts = np.unique(np.concatenate(found).astype(np.int64), return_counts=True)
                 numbers, firsts = np.unique(cells >> (cell_bits - bucket_bits), return_index=True)
                 rows = [
-                    (chunk, int(number), *packed(own), planes(np.minimum(n, least).astype(np.uint32)))
+                    (chunk, int(number), gaps(own), planes(np.minimum(n, least).astype(np.uint32)))
                     for number, own, n in zip(numbers, np.split(cells, firsts[1:]), np.split(counts, firsts[1:]))
                 ]
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
                 columns = [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)]
-                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "low", "high", "counts"])
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "cells", "counts"])
 
     def answer(rows: pa.Table) -> pa.Table:
         """The cells of a bucket that are counted often enough, for each chunk those that it asked for."""
-        asked = [unpacked(a.as_py(), b.as_py()) for a, b in zip(rows.column("low"), rows.column("high"))]
+        asked = [from_gaps(x.as_py()) for x in rows.column("cells")]
         counts = np.concatenate([from_planes(c.as_py()) for c in rows.column("counts")])
         cells, place = np.unique(np.concatenate(asked), return_inverse=True)
         # Each chunk's count stands for itself up to ``least``, at which the cell is frequent whatever is added.
         frequent = np.bincount(place, counts, len(cells))[place] >= least
         ends = np.cumsum([len(x) for x in asked])
-        kept = [packed(own[often]) for own, often in zip(asked, np.split(frequent, ends[:-1]))]
-        columns = [rows.column("chunk"), rows.column("bucket"), pa.array([k[0] for k in kept], pa.binary()), pa.array([k[1] for k in kept], pa.binary())]
-        return pa.table(columns, names=["chunk", "bucket", "low", "high"])
+        kept = [gaps(own[often]) for own, often in zip(asked, np.split(frequent, ends[:-1]))]
+        return pa.table([rows.column("chunk"), rows.column("bucket"), pa.array(kept, pa.binary())], names=["chunk", "bucket", "cells"])
 
     def name(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         lang, words = chunk.column("lang")[0].as_py(), names(chunk.column("words")[0].as_py())
         codes = from_planes(chunk.column("codes")[0].as_py()).astype(np.int64)
         order = np.argsort(answers.column("bucket").to_numpy())
-        low, high = answers.column("low"), answers.column("high")
-        frequent = np.concatenate([np.zeros(0, np.int64), *[unpacked(low[int(i)].as_py(), high[int(i)].as_py()) for i in order]])
+        frequent = np.concatenate([np.zeros(0, np.int64), *[from_gaps(answers.column("cells")[int(i)].as_py()) for i in order]])
         phrases, parts = [], None
         for length, at, rolled in phrase_hashes(lang, words, codes):
             if parts is not None:
@@ -197,8 +186,8 @@ def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, leas
         phrases = pa.array(phrases, pa.binary()).cast(pa.string())
         return pa.table({"lang": pa.array([lang] * len(phrases), pa.string()), "phrase": phrases})
 
-    asked = table.mapInArrow(ask, "chunk bigint, bucket bigint, low binary, high binary, counts binary")
-    answers = asked.groupBy("bucket").applyInArrow(answer, "chunk bigint, bucket bigint, low binary, high binary")
+    asked = table.mapInArrow(ask, "chunk bigint, bucket bigint, cells binary, counts binary")
+    answers = asked.groupBy("bucket").applyInArrow(answer, "chunk bigint, bucket bigint, cells binary")
     kept = table.select("chunk", "lang", "words", "codes")
     named = kept.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(name, "lang string, phrase string")
     return named.distinct()
@@ -210,15 +199,21 @@ class Trie:
     The first level are languages, the others words; each has its own numbers, from 1. ``accepting`` has the state of each phrase.
     """
 
-    def __init__(self, langs: list[str], phrases: list[bytes]) -> None:
-        self.langs = {lang: i for i, lang in enumerate(sorted(set(langs)), 1)}
-        split = [phrase.split(b" ") for phrase in phrases]
+    def __init__(self, langs: pa.Array, phrases: pa.Array) -> None:
+        named, split = langs.dictionary_encode(), pc.split_pattern(phrases, " ")
+        self.langs = {lang: i for i, lang in enumerate(named.dictionary.to_pylist(), 1)}
+        words = split.flatten().dictionary_encode()
+        place = words.indices.to_numpy()
         # Common words get small numbers, so that rows with many words are dense.
-        self.codes = {word: i for i, (word, _) in enumerate(Counter(w for words in split for w in words).most_common(), 1)}
-        keys = np.zeros((len(split), 1 + WORDS), np.int64)
-        keys[:, 0] = [self.langs[lang] for lang in langs]
-        for depth in range(WORDS):
-            keys[:, 1 + depth] = [self.codes[words[depth]] if depth < len(words) else 0 for words in split]
+        common = np.argsort(-np.bincount(place, minlength=len(words.dictionary)), kind="stable")
+        code = np.empty(len(common), np.int64)
+        code[common] = np.arange(1, len(common) + 1)
+        self.codes = {word: i for i, word in enumerate(words.dictionary.take(pa.array(common)).cast(pa.binary()).to_pylist(), 1)}
+        sizes = pc.list_value_length(split).to_numpy()
+        keys = np.zeros((len(phrases), 1 + WORDS), np.int64)
+        keys[:, 0] = named.indices.to_numpy() + 1
+        depth = np.arange(len(place)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        keys[np.repeat(np.arange(len(sizes)), sizes), 1 + depth] = code[place]
         order = np.lexsort(keys.T[::-1])
         keys = keys[order]
         nodes, parents, steps, states = 1, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.zeros(len(keys), np.int64)
@@ -307,7 +302,7 @@ def tries(candidates: DataFrame, shard: int) -> DataFrame:
 
     def build(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("lang", "ascending"), ("phrase", "ascending")])
-        trie = pickle.dumps(Trie(rows.column("lang").to_pylist(), rows.column("phrase").cast(pa.binary()).to_pylist()))
+        trie = pickle.dumps(Trie(rows.column("lang").combine_chunks(), rows.column("phrase").combine_chunks()))
         place = pa.array(np.arange(len(rows)))
         return rows.append_column("place", place).append_column("trie", pa.array([trie, *[None] * (len(rows) - 1)], pa.binary()))
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import odd
+import pyarrow as pa
 import pytest
 from compare import connect, differences
 
@@ -81,7 +82,7 @@ def test_trie(seed):
     words = [f"w{i}".encode() for i in range(60)]
     keys = sorted({(draw.choice("ab"), b" ".join(draw.choices(words, k=draw.randint(1, 4)))) for _ in range(400)})
     keys += [("a", b" ".join([words[0], w])) for w in words if ("a", b" ".join([words[0], w])) not in keys]
-    trie = pickle.loads(pickle.dumps(Trie([k[0] for k in keys], [k[1] for k in keys])))
+    trie = pickle.loads(pickle.dumps(Trie(pa.array([k[0] for k in keys]), pa.array([k[1].decode() for k in keys]))))
     text = [draw.randrange(62) for _ in range(4000)]
     names = [b"\n", b"", *words]
     codes = np.array([c if c != 1 else 0 for c in text] + [0])
