@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
+import json
 import re
 import unicodedata
 import uuid
@@ -30,9 +32,11 @@ from tokenizers import Tokenizer
 from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.common import from_planes, planes, text_slices, whole_text
 
-# Code points of text in a chunk, and in what is split at once.
-CHUNK = 16 << 20
-SLICE = 1 << 19
+# Code points of text in a chunk, distinct words and their characters; code points split at once.
+CHUNK = 8 << 20
+CHUNK_WORDS = 1 << 17
+CHUNK_CHARACTERS = 4 << 20
+SLICE = 1 << 18
 
 
 # Code points below this one, whose categories are the same in every version of Unicode.
@@ -58,47 +62,44 @@ class Vocabulary:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
             self.text = file.read()
+        # Tokens that stand for themselves wherever their text occurs.
+        self.special = {token["content"]: token["id"] for token in json.loads(self.text).get("added_tokens", [])}
 
     @functools.cached_property
     def tokenizer(self) -> Tokenizer:
         return Tokenizer.from_str(self.text)
 
-    @functools.cached_property
-    def special(self) -> dict[str, int]:
-        """Tokens that stand for themselves wherever their text occurs."""
-        return {token.content: i for i, token in self.tokenizer.get_added_tokens_decoder().items()}
-
     def __getstate__(self) -> dict:
-        return {"text": self.text}
+        return {"text": self.text, "special": self.special}
 
     def words(self, text: str) -> list[str]:
         """The words of a text, in the letters that stand for bytes; a special token is a word of its own."""
-        slots: dict[str, int] = {}
-        places = self.places(text, slots, {})
-        names = list(slots)
+        known: dict[str, int] = {}
+        places = self.places(text, known)
+        names = [self.spelled(word) for word in known]
         return [names[i] for i in places]
 
-    def places(self, text: str, slots: dict[str, int], known: dict[str, int]) -> list[int]:
-        """The places in ``slots`` of the words of a text; new words are added. ``known`` remembers words as they are written.
+    def spelled(self, word: str) -> str:
+        """A word in the letters that stand for its bytes. A special token, which nothing else is split into, stays as it is."""
+        return word if word in self.special else "".join([self.spelling[b] for b in word.encode()])
+
+    def places(self, text: str, known: dict[str, int]) -> list[int]:
+        """The places in ``known`` of the words of a text; new words are added.
 
         Texts in common Latin letters are split by an expression that says the same as the vocabulary's own, which the library
         applies to all others.
         """
-        found, split = [], self.tokenizer.pre_tokenizer.pre_tokenize_str
+        found = []
         for part in self.parts(text):
             if part in self.special:
-                found.append(slots.setdefault(part, len(slots)))
+                found.append(known.setdefault(part, len(known)))
                 continue
             for piece in pieces(part):
                 if FOREIGN.search(piece):
-                    found += [slots.setdefault(word, len(slots)) for word, _ in split(piece)]
-                    continue
-                for word in LATIN.findall(piece):
-                    place = known.get(word)
-                    if place is None:
-                        spelled = "".join([self.spelling[b] for b in word.encode()])
-                        place = known[word] = slots.setdefault(spelled, len(slots))
-                    found.append(place)
+                    spans = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
+                    found += [known.setdefault(piece[start:end], len(known)) for _, (start, end) in spans]
+                else:
+                    found += [known.setdefault(word, len(known)) for word in LATIN.findall(piece)]
         return found
 
     def parts(self, text: str) -> list[str]:
@@ -162,29 +163,30 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
     """Rows of a chunk: one with its documents, and one per bucket with distinct words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"chunk bigint, bucket int, first int, words binary, doc_ids array<{kind}>, sizes array<int>, ranks binary, slots binary"
-    to_arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
 
-    def rows(chunk: int, words: dict[str, int], doc_ids: list, slots: list[np.ndarray]) -> pa.RecordBatch:
+    def rows(chunk: int, known: dict[str, int], doc_ids: list[pa.Array], slots: list[np.ndarray]) -> pa.RecordBatch:
         """Words are listed by bucket. Documents name them by how frequent they are, which compresses well; ``ranks`` tells the place."""
+        words = [vocabulary.value.spelled(word) for word in known]
         bucket = np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        names = np.array(list(words), dtype=object)[order]
+        names = np.array(words, dtype=object)[order]
         found, firsts = np.unique(bucket[order], return_index=True)
         said = np.concatenate(slots)
         frequent = np.argsort(-np.bincount(said, minlength=len(words)), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[frequent] = np.arange(len(order))
         lists = [zstandard.compress("\n".join(x).encode(), 3) for x in np.split(names, firsts[1:])] if len(names) else []
-        n = len(found)
+        n, ids = len(found), pa.concat_arrays(doc_ids)
+        ends = pa.array([0] * (n + 1) + [len(ids)], pa.int32())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([chunk] * (n + 1), pa.int64()),
                 pa.array([*found.tolist(), None], pa.int32()),
                 pa.array([*firsts.tolist(), None], pa.int32()),
                 pa.array([*lists, None], pa.binary()),
-                pa.array([None] * n + [doc_ids], pa.list_(to_arrow)),
+                pa.ListArray.from_arrays(ends, ids),
                 pa.array([None] * n + [[len(s) for s in slots]], pa.list_(pa.int32())),
                 pa.array([None] * n + [planes(place[frequent])], pa.binary()),
                 pa.array([None] * n + [planes(rank[said])], pa.binary()),
@@ -193,20 +195,21 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
         )
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held = TaskContext.get().partitionId() << 32, 0
-        words, known, doc_ids, slots = {}, {}, [], []
+        number, held, letters = TaskContext.get().partitionId() << 32, 0, 0
+        known, doc_ids, slots = {}, [], []
         for part, texts in text_slices(batches, "text", SLICE):
-            for doc_id, text in zip(part.column("doc_id").to_pylist(), texts):
-                own = vocabulary.value.places(text, words, known)
-                doc_ids.append(doc_id)
-                slots.append(np.array(own, np.int32))
+            for i, text in enumerate(texts):
+                before = len(known)
+                slots.append(np.array(vocabulary.value.places(text, known), np.int32))
+                letters += sum(map(len, itertools.islice(reversed(known), len(known) - before)))
                 held += len(text)
-                if held >= chunk_size:
-                    yield rows(number, words, doc_ids, slots)
-                    number, held = number + 1, 0
-                    words, known, doc_ids, slots = {}, {}, [], []
+                doc_ids.append(part.column("doc_id").slice(i, 1))
+                if held >= chunk_size or len(known) >= CHUNK_WORDS or letters >= CHUNK_CHARACTERS:
+                    yield rows(number, known, doc_ids, slots)
+                    number, held, letters = number + 1, 0, 0
+                    known, doc_ids, slots = {}, [], []
         if doc_ids:
-            yield rows(number, words, doc_ids, slots)
+            yield rows(number, known, doc_ids, slots)
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(split, schema)
 
@@ -215,7 +218,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK) ->
     """``doc_id, ids`` of each row of ``docs(doc_id, text)``: the ids that the vocabulary gives the whole text.
 
     A missing or empty text has no ids. Rows that repeat an id or a text are encoded like any other. An empty
-    table gives no rows; other columns are not read. ``doc_id`` may be a number or a string.
+    table gives no rows; other columns are not read. ``doc_id`` may have any type.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
