@@ -1,13 +1,18 @@
 """Similarity join of word-shingle sets by PartEnum signatures.
 
 Sizes are cut into bands. Two sets of a band, or of neighbouring ones, that are similar enough differ in at most k elements,
-k following from the band's largest size. The domain of elements is cut by hash into more than k parts, so the sets
-agree on some part. A signature is the hash of what a set has in one part: similar sets share one.
+k following from the band's largest size. The domain of elements is cut by hash into more than k / 2 parts, so in some part the sets
+differ in one element at most. Each part is cut into three; of these, the sets agree on two. A signature is the hash of
+what a set has in one of the three pairs of such a part: similar sets share one.
+
+Signatures that occur once tell nothing. To find the others, each task sends out the high bits of its signatures, sorted and
+as differences, by ranges in which those of all tasks meet. Only signatures that occur again are given with their sets.
 
 Nothing is emitted for all pairs of a signature's sets. Each set is first compared with one leader per signature, and linked
 sets are joined to components; then again with better leaders. Only sets that then share a signature but no component are compared with one
 another, after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
-of similar sets differ in at most k bits. All filters are exact; every link between components is verified on whole sets.
+of similar sets differ in at most k bits. All filters are exact; every link between components is verified on whole sets, which are
+built for the pairs that are left.
 
 Elements are 64-bit hashes of shingles, and equal sets are known by a 64-bit hash: among n different sets, two are mistaken for
 equal with a probability of n² / 2⁶⁵.
@@ -25,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import settled
-from scoreloom.llm.common import few, lookup, text_slices, unused, whole_text
+from scoreloom.llm.common import few, from_gaps, gaps, lookup, text_slices, unused, whole_text
 from scoreloom.llm.components import connected_components
 
 CHUNK = 1 << 20
@@ -36,6 +41,13 @@ SKETCHED_SETS = 200_000
 BAND = 2
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
 SHARED_SIGNATURES = 2_000_000
+# The pairs of the three pieces of a part, and numbers that tell first and second apart.
+PAIRS = np.array([[0, 1], [0, 2], [1, 2]])
+FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+# Signatures that a task holds before it sends them out, those that meet in a range, and bits sent beyond their number's.
+HELD = 1 << 21
+RANGE = 1 << 23
+SPARE_BITS = 10
 # Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
 STAR_ROUNDS = 2
 MASK = (1 << 64) - 1
@@ -97,14 +109,15 @@ class Join:
     def parts(self, high: int) -> tuple[int, int]:
         """Parts of the domain for sets up to this size, and how many of them are spare.
 
-        With as many spare parts as a set has empty ones, its partners agree with it on one that is not empty.
+        Two sets that differ in k elements differ in two or more in at most k / 2 parts. With as many spare parts as a set has
+        weak ones, in which a pair of pieces is empty, its partners agree with it on a pair that is not.
         """
         differ = 2 * high * (100 - self.percent) // (100 + self.percent)
         if not differ:
             return 0, 0
-        need = differ + 1
+        need = differ // 2 + 1
         low = high * self.percent**BAND / 100**BAND
-        spare = 2 + int(2 * need * np.exp(-low / need))
+        spare = 1 + int(6 * need * np.exp(-2 * low / need / 3))
         return need + spare, spare
 
     def signatures(self, elements: np.ndarray) -> np.ndarray:
@@ -115,14 +128,16 @@ class Join:
             if not parts:
                 continue
             spread = mixed(elements + np.uint64(number * 0x9E3779B97F4A7C15 & MASK))
-            part = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            sums = np.zeros(parts, np.uint64)
-            np.add.at(sums, part, mixed(elements))
-            filled = np.bincount(part, minlength=parts) > 0
-            if parts - filled.sum() > spare:
-                filled[:] = True
-            names = np.flatnonzero(filled).astype(np.uint64)
-            found.append(mixed(sums[filled] + mixed(names + np.uint64((number << 32) + (parts << 44)))))
+            piece = ((spread >> np.uint64(32)) * np.uint64(3 * parts) >> np.uint64(32)).astype(np.int64)
+            sums = np.zeros(3 * parts, np.uint64)
+            np.add.at(sums, piece, mixed(elements))
+            empty = (np.bincount(piece, minlength=3 * parts) == 0).reshape(parts, 3)
+            full = ~empty[:, PAIRS].all(axis=2)
+            if parts - full.all(axis=1).sum() > spare:
+                full[:] = True
+            one, two = sums.reshape(parts, 3)[:, PAIRS].transpose(2, 0, 1)
+            names = np.arange(3 * parts, dtype=np.uint64).reshape(parts, 3) + np.uint64((number << 32) + (parts << 44))
+            found.append(mixed(mixed(one + FIRST) * FIRST + mixed(two + SECOND) * SECOND + mixed(names))[full])
         return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
     @staticmethod
@@ -155,27 +170,70 @@ class Join:
         marked = texts.select("doc_id", F.xxhash64("text").alias("mark"), "text")
         return marked.mapInArrow(measure, marked.drop("text").schema.add("n", "long").add("set_id", "long"))
 
-    def signed(self, texts: DataFrame) -> DataFrame:
-        """``signature, set_id`` of all sets. Equal sets that one task meets are signed once."""
+    def each_set(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray]]:
+        """The id and the elements of each set that a task meets, once, if it has any."""
+        seen: set[int] = set()
+        for _, own in text_slices(batches, "text", CHUNK):
+            for elements in self.sets(own):
+                name = self.set_id(elements)
+                if len(elements) and name not in seen:
+                    seen.add(name)
+                    yield name, elements
+
+    def met_again(self, texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
+        """``cell`` of the signatures that occur more than once, by their highest ``bits`` bits. Equal sets of two tasks count as two."""
+        shift = np.uint64(64 - bits)
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+
+            def flush() -> pa.RecordBatch:
+                cells, counts = np.unique(np.concatenate(held), return_counts=True)
+                ranges, firsts = np.unique(cells >> (bits - range_bits), return_index=True)
+                again = [np.packbits(n > 1).tobytes() for n in np.split(counts, firsts[1:])]
+                columns = [pa.array(ranges), pa.array([gaps(c) for c in np.split(cells, firsts[1:])], pa.binary()), pa.array(again, pa.binary())]
+                return pa.RecordBatch.from_arrays(columns, names=["range", "cells", "again"])
+
+            for _, elements in self.each_set(batches):
+                held.append((self.signatures(elements) >> shift).astype(np.int64))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield flush()
+                    held, size = [], 0
+            if size:
+                yield flush()
+
+        def meet(rows: pa.Table) -> pa.Table:
+            sent = [from_gaps(x.as_py()) for x in rows.column("cells")]
+            again = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(c)) for x, c in zip(rows.column("again"), sent)]
+            cells, place, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+            often = (counts > 1) | (np.bincount(place, np.concatenate(again), len(cells)) > 0)
+            return pa.table({"cell": pa.array(cells[often])})
+
+        sent = texts.select("text").mapInArrow(send, "range bigint, cells binary, again binary")
+        return sent.groupBy("range").applyInArrow(meet, "cell bigint")
+
+    def signed(self, texts: DataFrame, cells: DataFrame, bits: int) -> DataFrame:
+        """``signature, set_id`` of all sets, for the signatures in ``cells``; rows may repeat."""
 
         def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
-            for _, own in text_slices(batches, "text", CHUNK):
-                signs, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-                for elements in self.sets(own):
-                    name = self.set_id(elements)
-                    if len(elements) and name not in seen:
-                        seen.add(name)
-                        signs.append(self.signatures(elements))
-                        ids.append(np.full(len(signs[-1]), name, np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(signs).view(np.int64)), pa.array(np.concatenate(ids))], names=["signature", "set_id"]
-                )
-
-        return texts.select("text").mapInArrow(sign, "signature long, set_id long")
-
-    def nodes(self, texts: DataFrame) -> DataFrame:
-        """``set_id, n, s0..., elements`` of the sets of ``texts(text, again)``, each once.
+            signs, ids, size = [], [], 0
+            for name, elements in self.each_set(batches):
+                signs.append(self.signatures(elements).view(np.int64))
+                ids.append(np.full(len(signs[-1]), name, np.int64))
+                size += len(signs[-1])
+                if size >= HELD // 8:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (signs, ids)], names=["signature", "set_id"])
+                    signs, ids, size = [], [], 0
+            if size:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (signs, ids)], names=["signature", "set_id"])
+
+        signed = texts.select("text").mapInArrow(sign, "signature long, set_id long")
+        signed = signed.withColumn("cell", F.shiftrightunsigned("signature", 64 - bits))
+        return lookup(signed, cells, ["cell"], "inner", SHARED_SIGNATURES).drop("cell")
+
+    def built(self, texts: DataFrame, name: str, more: str, columns) -> DataFrame:
+        """``set_id`` and what ``columns`` makes of the sets of ``texts(text, again)``, each set once.
 
         A set that one task meets again is given once. Those that several tasks may meet are marked by ``again``, and shuffled.
         """
@@ -184,23 +242,34 @@ class Join:
             seen: set[int] = set()
             for part, own in text_slices(batches, "text", CHUNK // 4):
                 sets = {self.set_id(s): (s, again) for s, again in zip(self.sets(own), part.column("again").to_pylist())}
-                again = [again for name, (_, again) in sets.items() if name not in seen]
-                sets = [s for name, (s, _) in sets.items() if name not in seen]
-                seen.update(map(self.set_id, sets))
-                sketches = np.array([self.sketch(s) for s in sets]).reshape(-1, SKETCH)
-                columns = [pa.array([self.set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-                columns += [pa.array(np.ascontiguousarray(sketches[:, i])) for i in range(SKETCH)]
-                columns += [pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(again, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, names=["set_id", "n", *[f"s{i}" for i in range(SKETCH)], "elements", "again"])
-
-        sketch = "".join(f", s{i} long" for i in range(SKETCH))
-        schema = f"set_id long, n long{sketch}, elements binary, again boolean"
-        built = settled(texts.select("text", "again").mapInArrow(build, schema), "built")
-        met_again = settled(built.where("again").dropDuplicates(["set_id"]), "again")
-        return built.where("not again").unionByName(met_again).drop("again")
-
-    def verified(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` whose sets are similar, by their whole sets."""
+                new = [name for name in sets if name not in seen]
+                seen.update(new)
+                found = {"set_id": pa.array(new, pa.int64()), **columns([sets[n][0] for n in new]), "again": pa.array([sets[n][1] for n in new], pa.bool_())}
+                yield pa.RecordBatch.from_pydict(found)
+
+        made = settled(texts.select("text", "again").mapInArrow(build, f"set_id long, {more}, again boolean"), name)
+        met_again = settled(made.where("again").dropDuplicates(["set_id"]), f"{name}-again")
+        return made.where("not again").unionByName(met_again).drop("again")
+
+    def light(self, texts: DataFrame) -> DataFrame:
+        """``set_id, n, s0...``: sizes and sketches."""
+        names = [f"s{i}" for i in range(SKETCH)]
+
+        def columns(sets: list[np.ndarray]) -> dict[str, pa.Array]:
+            sketches = np.array([self.sketch(s) for s in sets]).reshape(-1, SKETCH)
+            return {"n": pa.array([len(s) for s in sets], pa.int64()), **{x: pa.array(np.ascontiguousarray(sketches[:, i])) for i, x in enumerate(names)}}
+
+        return self.built(texts, "light", ", ".join(f"{x} long" for x in ["n", *names]), columns)
+
+    def whole(self, texts: DataFrame) -> DataFrame:
+        """``set_id, elements``."""
+        return self.built(texts, "whole", "elements binary", lambda sets: {"elements": pa.array([s.tobytes() for s in sets], pa.binary())})
+
+    def verified(self, pairs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
+        """The pairs ``a, b`` whose sets are similar, by their whole sets.
+
+        ``wanted(set_id, row_key, again)`` names the row of ``keyed`` that a set is built from. Only sets of the pairs are.
+        """
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -208,7 +277,10 @@ class Join:
                 keep = pa.array([self.alike(x, y) for x, y in zip(*sides)], pa.bool_())
                 yield batch.select(["a", "b"]).filter(keep)
 
-        elements = nodes.select("set_id", "elements")
+        pairs = settled(pairs, "pairs")
+        ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "asked")
+        rows = settled(lookup(wanted, ids, ["set_id"], "inner").select("row_key", "again"), "rows")
+        elements = self.whole(lookup(keyed, rows, ["row_key"], "inner"))
         both = pairs.join(elements.toDF("a", "x"), "a").join(elements.toDF("b", "y"), "b").select("a", "b", "x", "y")
         return both.mapInArrow(compare, "a long, b long")
 
@@ -231,32 +303,35 @@ class Join:
             F.min("doc_id").alias("first"), F.min("mark").alias("lead"), F.min(row_key).alias("row_key"), F.count(F.lit(1)).alias("rows")
         )
         firsts = settled(firsts, "sets")
-        signed = self.signed(texts)
+        size = int(measured.agg(F.coalesce(F.sum("n") + 16 * F.count(F.lit(1)), F.lit(0))).first()[0])
+        bits = min(62, size.bit_length() + SPARE_BITS)
+        cells = settled(self.met_again(texts, bits, max(0, (size // RANGE).bit_length())), "cells")
+        signed = settled(self.signed(texts, cells, bits), "signed")
         leaders = signed.groupBy("signature").agg(F.min("set_id").alias("leader"), F.max("set_id").alias("last"))
         leaders = settled(leaders.where("leader != last").drop("last"), "leaders")
         members = settled(lookup(signed, leaders, ["signature"], "inner", SHARED_SIGNATURES).distinct(), "members")
-        wanted = members.select("set_id").distinct().join(firsts, "set_id").select("row_key", (F.col("rows") > 1).alias("again"))
+        wanted = members.select("set_id").distinct().join(firsts, "set_id").select("set_id", "row_key", (F.col("rows") > 1).alias("again"))
+        wanted = settled(wanted, "wanted")
         keyed = texts.withColumn("mark", F.xxhash64("text")).withColumn("row_key", row_key)
-        nodes = self.nodes(lookup(keyed, settled(wanted, "wanted"), ["row_key"], "inner"))
-        light = nodes.drop("elements")
+        light = self.light(lookup(keyed, wanted.drop("set_id"), ["row_key"], "inner"))
         stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
-        links = settled(self.linked(stars, light, nodes), "links")
+        verified = lambda pairs: settled(self.verified(pairs, wanted, keyed), "links")
+        links = verified(self.near(stars, light))
         members = members.drop("leader")
         for _ in range(STAR_ROUNDS):
             stars = self.stars(placed(members, connected_components(links)), links)
-            links = settled(links.unionByName(self.linked(stars, light, nodes)), "links")
+            links = links.unionByName(verified(self.near(stars, light)))
         apart = self.apart(placed(members, connected_components(links)), light)
-        links = links.unionByName(self.verified(apart, nodes))
+        links = links.unionByName(verified(apart))
         found = settled(connected_components(links), "components")
         return self.named(measured, firsts, found)
 
-    def linked(self, pairs: DataFrame, light: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The links among candidate pairs ``a, b``: by sizes and sketches first, then by whole sets."""
+    def near(self, pairs: DataFrame, light: DataFrame) -> DataFrame:
+        """The candidate pairs ``a, b``, each once, whose sizes and sketches let them link."""
         if few(light, SKETCHED_SETS):
             light = F.broadcast(light)
         p, q = light.withColumnRenamed("set_id", "a").alias("p"), light.withColumnRenamed("set_id", "b").alias("q")
-        near = pairs.distinct().join(p, "a").join(q, "b").where(self.possible("p", "q"))
-        return self.verified(near.select("a", "b"), nodes)
+        return pairs.distinct().join(p, "a").join(q, "b").where(self.possible("p", "q")).select("a", "b")
 
     @staticmethod
     def stars(rows: DataFrame, links: DataFrame) -> DataFrame:
