@@ -48,17 +48,22 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     )
 
 
-def copies(rate: Column, doc_id: Column, seed: str = SEED) -> Column:
-    """The whole part of the rate, and one more with the probability of the fraction, drawn from the id's hash."""
-    drawn = uniform(seed, F.coalesce(doc_id.cast("string"), F.lit("")))
+def draw_key(doc_id: str = "doc_id") -> Column:
+    """What a row's draw depends on: its id, or without one its text. So the rows without an id of a source don't share one draw."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text:"), F.md5(whole_text())))
+
+
+def copies(rate: Column, key: Column, seed: str = SEED) -> Column:
+    """The whole part of the rate, and one more with the probability of the fraction, drawn from the key's hash."""
+    drawn = uniform(seed, key)
     return (F.floor(rate) + F.when(drawn < rate - F.floor(rate), 1).otherwise(0)).cast("long")
 
 
-def with_rates(docs: DataFrame, rates: DataFrame, source: str) -> DataFrame:
+def with_rates(docs: DataFrame, rates: DataFrame, draw: Column) -> DataFrame:
     """Join the rates by source, null included; the documents do not move while there are few enough sources."""
     key, salt = unused(docs, "source_key", "salt")
-    named = F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))
-    keyed = docs.withColumn(key, named).withColumn(salt, F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(SALTS)))
+    named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
+    keyed = docs.withColumn(key, named).withColumn(salt, F.pmod(F.xxhash64(draw), F.lit(SALTS)))
     rates = rates.withColumn(key, F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).drop("source")
     rates = rates.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     return lookup(keyed, rates, [key, salt], "inner").drop(key, salt)
@@ -68,18 +73,18 @@ def mixed_sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``doc_id, size, source_size, target, copies, taken`` for each row of ``docs(doc_id, text, source)``.
 
     Size is the number of words; a missing text has none. Rows that repeat a ``doc_id`` in one source share their
-    draw, and so do all rows without a ``doc_id``. An empty table gives no rows.
+    draw, and so do rows without one that repeat a text. An empty table gives no rows.
     """
-    sized = docs.select("doc_id", "source", count_words(whole_text()).alias("size"))
+    sized = docs.select("doc_id", "source", count_words(whole_text()).alias("size"), draw_key().alias("draw"))
     # Text columns are read twice rather than kept: a written table of sizes would move more than it saves.
     rates = source_targets(sized)
-    return with_rates(sized, rates, "source").select(
+    return with_rates(sized, rates, F.col("draw")).select(
         "doc_id",
         "size",
         "source_size",
         "target",
-        copies(F.col("rate"), F.col("doc_id"), seed).alias("copies"),
-        (copies(F.col("rate"), F.col("doc_id"), seed) * F.col("size")).alias("taken"),
+        copies(F.col("rate"), F.col("draw"), seed).alias("copies"),
+        (copies(F.col("rate"), F.col("draw"), seed) * F.col("size")).alias("taken"),
     )
 
 
@@ -88,6 +93,6 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     rates = source_targets(docs.select("source", count_words(whole_text()).alias("size")))
     rate, number = unused(docs, "rate", "number")
     rates = rates.select("source", F.col("rate").alias(rate))
-    taken = with_rates(docs, rates, "source").withColumn(number, copies(F.col(rate), F.col("doc_id"), seed))
+    taken = with_rates(docs, rates, draw_key()).withColumn(number, copies(F.col(rate), draw_key(), seed))
     repeated = F.explode(F.array_repeat(F.lit(True), F.col(number).cast("int")))
     return taken.where(F.col(number) > 0).withColumn(number, repeated).select(*docs.columns)

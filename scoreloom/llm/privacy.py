@@ -25,6 +25,8 @@ from scoreloom.llm.common import text_slices
 
 KEY = "surrogates"
 CHUNK = 1 << 20
+# Characters that are replaced as one number.
+LONGEST = 64
 KINDS = ("email", "iban", "ip", "card", "ssn", "phone", "person")
 
 # Given names by script and gender; forms of address; letters by script, vowels first.
@@ -51,7 +53,7 @@ NAMES = {name.lower(): group for group, names in GIVEN.items() for name in names
 NAME = r"[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?:['’-][^\W\d_]+)*"
 EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}+")
 # Every entity but an address of mail begins with one of these.
-TRIGGER = re.compile(r"[0-9+(A-ZА-Я]")
+TRIGGER = re.compile(r"[\d+(A-ZА-Я]")
 OTHER = re.compile(
     rf"""
     (?P<iban>\b[A-Z]{{2}}\d\d(?:[ ]?[A-Z0-9]{{4}}){{2,7}}(?:[ ]?[A-Z0-9]{{1,3}})?\b)
@@ -106,7 +108,17 @@ class Permutation:
 
 
 def moved(key: bytes, tweak: str, symbols: list[str], text: str, fits: Callable[[str], bool] = lambda s: True) -> str:
-    """The surrogate of ``text``, whose i-th character is one of ``symbols[i]``, among all such texts that ``fits`` accepts."""
+    """The surrogate of ``text``, whose i-th character is one of ``symbols[i]``, among all such texts that ``fits`` accepts.
+
+    A long text is replaced block by block, each in a way that depends on those before it; it must not need ``fits``.
+    """
+    if len(text) > LONGEST:
+        blocks, before = [], hashlib.sha256()
+        for at in range(0, len(text), LONGEST):
+            own = f"{tweak}|{at}|{before.hexdigest()}"
+            blocks.append(moved(key, own, symbols[at : at + LONGEST], text[at : at + LONGEST]))
+            before.update(text[at : at + LONGEST].encode("utf-8", "surrogatepass"))
+        return "".join(blocks)
     n, x = 1, 0
     for options, c in zip(symbols, text):
         n, x = n * len(options), x * len(options) + options.index(c)
@@ -188,9 +200,19 @@ def luhn(digits: str) -> bool:
 
 
 def refilled(mention: str, made: str) -> str:
-    """A mention with its letters and digits replaced by those of ``made``: the separators stay."""
+    """A mention with its letters and digits replaced by those of ``made``: the separators stay, and digits are of the script they were."""
     rest = iter(made)
-    return "".join(next(rest) if c.isalnum() else c for c in mention)
+    return "".join(in_script(next(rest), c) if c.isalnum() else c for c in mention)
+
+
+def in_script(digit: str, c: str) -> str:
+    """A digit in the script of the digit ``c``; other characters as they are."""
+    return chr(ord(c) - unicodedata.decimal(c) + int(digit)) if c.isdecimal() and digit.isdecimal() else digit
+
+
+def plain_digits(text: str) -> str:
+    """A text with the digits of all scripts as those of ASCII."""
+    return text if text.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in text)
 
 
 class Surrogates:
@@ -209,6 +231,7 @@ class Surrogates:
             return lowered(mention)
         if kind == "person":
             return " ".join(name_parts(mention))
+        mention = plain_digits(mention)
         if kind == "ip":
             return mention
         return "".join(filter(str.isalnum, mention[2:] if kind == "phone" and national(mention) else mention))
@@ -315,7 +338,7 @@ class Surrogates:
         if kind == "email":
             return cased(made, mention)
         if kind == "ip":
-            return made
+            return "".join(in_script(c, mention[0]) for c in made)
         if kind == "phone":
             lead = 2 if national(mention) else 0
             return mention[:lead] + refilled(mention[lead:], made)
@@ -328,7 +351,7 @@ class Surrogates:
 
 def national(mention: str) -> bool:
     """Whether a number is written with the country code 1, which the same number may be written without."""
-    return mention.startswith("+1") and sum(map(str.isdigit, mention)) == 11
+    return plain_digits(mention).startswith("+1") and sum(map(str.isdecimal, mention)) == 11
 
 
 def rebuilt(key: bytes) -> Surrogates:

@@ -107,7 +107,8 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(r"""
 with sized as (
-  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size from documents),
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    coalesce(doc_id::varchar, 'text:' || md5(coalesce(text, ''))) as draw from documents),
 totals as (
   select source, sum(size)::bigint as source_size,
     case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
@@ -123,7 +124,7 @@ targets as (
       select max(level) from steps where 3 * source_size >= level * weight)) as target from steps),
 rates as (select *, case when source_size > 0 then target / source_size else 0e0 end as rate from targets)
 select doc_id, size, source_size, target,
-  size * (floor(rate)::bigint + case when cast('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 8)
+  size * (floor(rate)::bigint + case when cast('0x' || substr(md5('mix:' || draw), 1, 8)
     as bigint) / 4294967296e0 < rate - floor(rate) then 1 else 0 end) as taken
 from sized join rates on sized.source is not distinct from rates.source
 """)

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +33,7 @@ BATCH_BYTES = 4 << 20
 
 RECORDS = (
     "page_id long, url string, record_type string, payload_digest string, refers_to long, "
-    "http_length long, payload string, intact boolean"
+    "http_length long, payload binary, intact boolean"
 )
 
 
@@ -120,38 +122,72 @@ def write_archives(records: DataFrame, path: str, date: str = "2024-01-01T00:00:
     writer.option("maxRecordsPerFile", max(1, int(FILE_BYTES / (mean + 500)))).option("compression", compression).text(path)
 
 
+def members(data: bytes) -> Iterator[bytes]:
+    """The content of a file: as it is, or of each of its compressed members, of which archives have one per record or per file."""
+    while data[:2] == b"\x1f\x8b":
+        opened = zlib.decompressobj(31)
+        yield opened.decompress(data) + opened.flush()
+        data = opened.unused_data.lstrip(b"\0")
+    if data:
+        yield data
+
+
+def headers(data: bytes) -> dict[str, str]:
+    """Header lines by name in lower case; the first line, and lines without a colon, are passed over."""
+    lines = [line.partition(":") for line in data.decode("utf-8", "replace").split(LINE)[1:]]
+    return {name.strip().lower(): value.strip() for name, colon, value in lines if colon}
+
+
+def named_page(uri: str | None) -> int | None:
+    """The page that an id of this module's archives names; archives from elsewhere name none."""
+    match = re.fullmatch(r"<urn:page:(-?\d+)>", uri or "")
+    return int(match[1]) if match else None
+
+
 def parsed(data: bytes) -> Iterator[tuple]:
-    """The records of one archive, found by their lengths, so that a payload may hold anything."""
+    """The responses and revisits of an archive, found by their lengths, so that a payload may hold anything. Other records are passed over.
+
+    A block that is no HTTP message is a payload as a whole. Without a digest in SHA-1 nothing is said on whether it is intact.
+    """
     at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in data[at:end].decode().split(LINE)[1:])
-        start = end + 4
-        stop = start + int(head["Content-Length"])
-        http, _, payload = data[start:stop].partition(b"\r\n\r\n")
-        http_head = dict(line.split(": ", 1) for line in http.decode().split(LINE)[1:])
-        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-        kind, response = head["WARC-Type"], head["WARC-Type"] == "response"
-        ids = [head.get(k, "<urn:page:>")[10:-1] for k in ("WARC-Record-ID", "WARC-Refers-To")]
-        page_id, refers_to = (int(x) if x else None for x in ids)
-        intact = base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest if response else None
-        body = payload.decode() if response else None
-        yield page_id, head.get("WARC-Target-URI"), kind, digest, refers_to, int(http_head["Content-Length"]), body, intact
-        at = stop + 4
+    while True:
+        while data.startswith((b"\r", b"\n"), at):
+            at += 1
+        if at >= len(data):
+            return
+        start = data.index(b"\r\n\r\n", at) + 4
+        head = headers(data[at:start])
+        at = start + int(head["content-length"])
+        kind, block = head.get("warc-type"), data[start:at]
+        if kind not in ("response", "revisit"):
+            continue
+        http, payload = {}, block
+        if head.get("content-type", "").startswith("application/http"):
+            first, _, payload = block.partition(b"\r\n\r\n")
+            http = headers(first)
+        length = http.get("content-length", "")
+        digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
+        body = payload if kind == "response" else None
+        intact = None
+        if body is not None and digest and ":" not in digest:
+            intact = base64.b32encode(hashlib.sha1(body).digest()).decode() == digest
+        ids = [named_page(head.get(name)) for name in ("warc-record-id", "warc-refers-to")]
+        yield ids[0], head.get("warc-target-uri"), kind, digest, ids[1], int(length) if length.isdecimal() else len(payload), body, intact
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives under a path, as ``RECORDS``; ``intact`` says whether a response has its digest."""
+    """The responses and revisits of all archives under a path, as ``RECORDS``; ``intact`` says whether a response has its digest.
+
+    Archives may be compressed as a whole or record by record. A record whose id is not one of this module's has no ``page_id``.
+    """
     columns = [c.split()[0] for c in RECORDS.split(", ")]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for data in batch["content"]:
-                if data[:2] == b"\x1f\x8b":
-                    data = zlib.decompress(data, 31)
                 rows, held = [], 0
-                for row in parsed(data):
-                    held += len(row[6] or "") + 500
+                for row in itertools.chain.from_iterable(map(parsed, members(data))):
+                    held += len(row[6] or b"") + 500
                     rows.append(row if payloads else (*row[:6], None, row[7]))
                     if held >= BATCH_BYTES:
                         yield frame(rows)
@@ -183,7 +219,8 @@ def with_originals(records: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:
     """Write the pages as deduplicated archives under ``path`` and give the headers that are read back.
 
-    A missing page counts as empty and a missing address leaves its header line out. An empty table gives no rows.
+    A missing page counts as empty and a missing address leaves its header line out. Rows that repeat a page are records each. A
+    payload is written whole, however long; a reader holds one file. An empty table gives no rows.
     """
     write_archives(resolved(captured(pages), least_bytes), path)
     heads = settled(read_archives(pages.sparkSession, path, payloads=False).drop("payload"), "heads")

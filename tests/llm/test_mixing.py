@@ -70,3 +70,10 @@ def test_odd_rows(spark):
     assert {k: r["source_size"] for k, r in got.items()} == {(1, 0): 0, (2, 0): 0, (3, 3): 6, (None, 500): 500}
     assert mix(docs).columns == docs.columns
     assert mixed_sizes(docs.limit(0)).count() == 0 and mix(docs.limit(0)).count() == 0
+
+
+def test_rows_without_an_id_meet_the_target(spark):
+    rows = [(None, f"w{i} x y z", "a") for i in range(1500)] + [(i, "x y z v", "b") for i in range(1500)]
+    sizes = mixed_sizes(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    for r in sizes.selectExpr("doc_id is null as a", "taken", "target").groupBy("a").agg({"taken": "sum", "target": "max"}).collect():
+        assert abs(r["sum(taken)"] / r["max(target)"] - 1) < 0.1

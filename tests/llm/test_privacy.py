@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import pytest
 from odd import docs, none
@@ -128,3 +129,27 @@ def test_an_entity_that_stays_stops_the_job(spark):
     for row in (("person", "王明", "王明"), ("email", "王@-.com", "王@-.com")):
         with pytest.raises(ValueError, match="stay as it is"):
             check_distinct(spark.createDataFrame([*rows, row], "kind string, entity string, surrogate string"))
+
+
+@pytest.mark.parametrize(
+    "text", ["call (555) 123-４５６７ now", "+1 ٢٣٤ ٥٦٧ ٨٩٠١", "123-٤٥-6789", "4１２３ 4567 8901 2345", "१२३-४५-६७८९", "10.٢.3.4", "DE٨٩ 3704 0044 0532 0130 00"]
+)
+def test_digits_of_all_scripts(text):
+    """They are found, replaced, and written in the script they were in; the entity is that of the same ASCII digits."""
+    made, found = S.replaced(text)
+    assert len(found) == 1 and made != text and len(made) == len(text) or found[0][0] == "ip"
+    ascii_text = "".join(str(int(c)) if c.isdecimal() else c for c in text)
+    assert S.replaced(ascii_text)[1] == found
+    scripts = lambda s: [ord(c) - int(c) for c in s if c.isdecimal()]
+    assert scripts(made) == scripts(text) or found[0][0] == "ip"
+
+
+def test_long_entities():
+    """Linear in their length, each letter replaced, and distinct also where only the last letter differs."""
+    started = time.perf_counter()
+    long = ["ab" * 50_000 + c for c in "cd"]
+    made = [S.replaced(f"x {name}@mail.example.com y")[1][0][2] for name in long]
+    assert made[0] != made[1] and all(len(m) == len(name) + 17 for m, name in zip(made, long))
+    name = S.replaced("Mr " + "Q" + "w" * 20_000)[1][0]
+    assert name[0] == "person" and name[1] != name[2] and len(name[1]) == len(name[2])
+    assert time.perf_counter() - started < 4
