@@ -47,6 +47,8 @@ CELL_BITS = 4
 BUCKET_CELLS = 1 << 22
 # Phrases in a trie.
 SHARD = 1 << 19
+# Places that are tried for a node's children, and slots that are looked at together.
+TRIES, TRIED_SLOTS = 1 << 12, 1 << 20
 # Counters that are sent in one row.
 BLOCK = 1 << 14
 
@@ -235,27 +237,33 @@ class Trie:
         self.place(np.concatenate(parents), np.concatenate(steps), ends)
 
     def place(self, parents: np.ndarray, steps: np.ndarray, ends: np.ndarray) -> None:
-        """Give the children of each node free slots. Nodes with many come first; those with one fill what is left."""
+        """Give the children of each node free slots.
+
+        Nodes with many children come first, at some place between the others where they fit, or else behind them. Such places are
+        easily found while the array is sparse, and later for few children. Those with one fill what is left.
+        """
         nodes, widest = len(parents) + 1, int(steps.max(initial=0))
         order = np.lexsort((steps, parents))
         heads, firsts, sizes = np.unique(parents[order], return_index=True, return_counts=True)
         base_of = np.zeros(nodes, np.int64)
         used = np.zeros(2 * (widest + nodes) + 64, bool)
-        used[0] = True
-        low, end = 1, 1
+        used[0], end = True, 1
+        # Always the same numbers, so that a task that is run again builds the same array.
+        draw = np.random.default_rng(0)
         for row in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())]:
             codes = steps[order[firsts[row] : firsts[row] + sizes[row]]]
-            while used[low]:
-                low += 1
-            tried = low + np.flatnonzero(~used[low : low + 64]) - codes[0]
-            tried = tried[(tried >= 0) & (tried + codes[-1] < len(used))]
-            fits = ~used[tried[:, None] + codes].any(axis=1)
-            base = int(tried[np.argmax(fits)]) if fits.any() else end
-            if base + widest + 1 >= len(used):
-                used = np.append(used, np.zeros(len(used) + widest, bool))
+            base = end
+            for tries in (TRIES >> 6, TRIES):
+                tried = draw.integers(0, end, min(tries, TRIED_SLOTS // len(codes)))
+                fits = ~used[tried[:, None] + codes].any(axis=1)
+                if fits.any():
+                    base = int(tried[np.argmax(fits)])
+                    break
             base_of[heads[row]] = base
             used[base + codes] = True
             end = max(end, base + int(codes[-1]) + 1)
+            if end + widest >= len(used):
+                used = np.append(used, np.zeros(len(used) + widest, bool))
         single = np.flatnonzero(sizes == 1)
         if len(single):
             codes = steps[order[firsts[single]]]
