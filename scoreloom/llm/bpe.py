@@ -33,9 +33,9 @@ from scoreloom.functions.storage import scratch_path
 from scoreloom.llm.common import from_planes, planes, text_slices, whole_text
 
 # Code points of text in a chunk, distinct words and their characters; code points split at once.
-CHUNK = 8 << 20
-CHUNK_WORDS = 1 << 17
-CHUNK_CHARACTERS = 4 << 20
+CHUNK = 16 << 20
+CHUNK_WORDS = 1 << 19
+CHUNK_CHARACTERS = 8 << 20
 SLICE = 1 << 18
 
 
