@@ -11,8 +11,8 @@ as differences, by ranges in which those of all tasks meet. Only signatures that
 Nothing is emitted for all pairs of a signature's sets. Each set is first compared with one leader per signature, and linked
 sets are joined to components; then again with better leaders. Only sets that then share a signature but no component are compared with one
 another, after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
-of similar sets differ in at most k bits. All filters are exact; every link between components is verified on whole sets, which are
-built for the pairs that are left.
+of similar sets differ in at most k bits. For large sets that says little, so pairs that are left are compared by sketches of at least
+4 k bits. All filters are exact; every link between components is verified on whole sets, which are built for the pairs that pass.
 
 Elements are 64-bit hashes of shingles, and equal sets are known by a 64-bit hash: among n different sets, two are mistaken for
 equal with a probability of n² / 2⁶⁵.
@@ -45,7 +45,7 @@ SHARED_SIGNATURES = 2_000_000
 PAIRS = np.array([[0, 1], [0, 2], [1, 2]])
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Signatures that a task holds before it sends them out, those that meet in a range, and bits sent beyond their number's.
-HELD = 1 << 21
+HELD = 1 << 20
 RANGE = 1 << 23
 SPARE_BITS = 10
 # Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
@@ -261,27 +261,46 @@ class Join:
 
         return self.built(texts, "light", ", ".join(f"{x} long" for x in ["n", *names]), columns)
 
-    def whole(self, texts: DataFrame) -> DataFrame:
-        """``set_id, elements``."""
-        return self.built(texts, "whole", "elements binary", lambda sets: {"elements": pa.array([s.tobytes() for s in sets], pa.binary())})
+    @staticmethod
+    def parities(elements: np.ndarray, bits: int) -> np.ndarray:
+        return np.packbits((np.bincount((elements % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8))
+
+    def wide_sketch(self, elements: np.ndarray) -> bytes:
+        """The set's size, and parities in a power of two of classes, at least 2048 and four times the elements that linked sets of this size differ in."""
+        differ = 2 * len(elements) * (100 - self.percent) // (100 + self.percent)
+        return len(elements).to_bytes(8, "little") + self.parities(elements, max(64 * SKETCH, 1 << (4 * differ).bit_length())).tobytes()
+
+    def wide_possible(self, a: bytes, b: bytes) -> bool:
+        """Whether wide sketches let two sets link. The longer one is folded to the length of the other."""
+        sizes = [int.from_bytes(x[:8], "little") for x in (a, b)]
+        one, two = (np.frombuffer(x, np.uint8, offset=8) for x in (a, b))
+        shape = min(len(one), len(two))
+        flips = np.bitwise_xor.reduce(one.reshape(-1, shape)) ^ np.bitwise_xor.reduce(two.reshape(-1, shape))
+        return int(np.bitwise_count(flips).sum()) * (100 + self.percent) <= sum(sizes) * (100 - self.percent)
 
     def verified(self, pairs: DataFrame, wanted: DataFrame, keyed: DataFrame) -> DataFrame:
-        """The pairs ``a, b`` whose sets are similar, by their whole sets.
+        """The pairs ``a, b`` whose sets are similar: by wide sketches first, then by their whole sets.
 
-        ``wanted(set_id, row_key, again)`` names the row of ``keyed`` that a set is built from. Only sets of the pairs are.
+        ``wanted(set_id, row_key, again)`` names the row of ``keyed`` that a set is built from.
         """
+        whole = lambda a, b: self.alike(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+        near = self.compared(pairs, wanted, keyed, "wide", self.wide_sketch, self.wide_possible)
+        return self.compared(near, wanted, keyed, "whole", lambda s: s.tobytes(), whole)
+
+    def compared(self, pairs: DataFrame, wanted: DataFrame, keyed: DataFrame, name: str, value, accepts) -> DataFrame:
+        """The pairs that ``accepts`` by what ``value`` makes of the two sets. Only sets of the pairs are built."""
 
         def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                sides = [[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(c)] for c in ("x", "y")]
-                keep = pa.array([self.alike(x, y) for x, y in zip(*sides)], pa.bool_())
-                yield batch.select(["a", "b"]).filter(keep)
+                sides = [[x.as_buffer() for x in batch.column(c)] for c in ("x", "y")]
+                yield batch.select(["a", "b"]).filter(pa.array([accepts(x, y) for x, y in zip(*sides)], pa.bool_()))
 
         pairs = settled(pairs, "pairs")
         ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "asked")
         rows = settled(lookup(wanted, ids, ["set_id"], "inner").select("row_key", "again"), "rows")
-        elements = self.whole(lookup(keyed, rows, ["row_key"], "inner"))
-        both = pairs.join(elements.toDF("a", "x"), "a").join(elements.toDF("b", "y"), "b").select("a", "b", "x", "y")
+        asked = lookup(keyed, rows, ["row_key"], "inner")
+        values = self.built(asked, name, "value binary", lambda sets: {"value": pa.array([value(s) for s in sets], pa.binary())})
+        both = pairs.join(values.toDF("a", "x"), "a").join(values.toDF("b", "y"), "b").select("a", "b", "x", "y")
         return both.mapInArrow(compare, "a long, b long")
 
     def components(self, docs: DataFrame) -> DataFrame:

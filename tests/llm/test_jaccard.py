@@ -54,6 +54,20 @@ def test_similar_sets_share_a_signature(size, less, more, percent, seed):
         assert len(a) == len(b) == len(np.intersect1d(a, b)) or np.intersect1d(join.signatures(a), join.signatures(b)).size
         flips = np.unpackbits((join.sketch(a) ^ join.sketch(b)).view(np.uint8)).sum()
         assert flips * (100 + percent) <= (len(a) + len(b)) * (100 - percent)
+        assert join.wide_possible(join.wide_sketch(a), join.wide_sketch(b))
+
+
+def test_wide_sketches_tell_large_sets_apart():
+    """Folded ones too: sets on both sides of a size at which sketches get longer."""
+    draw, join = np.random.default_rng(1), Join()
+    for size in (4500, 4700, 20_000):
+        a = np.unique(draw.integers(0, 2**64, size, dtype=np.uint64))
+        more = draw.integers(0, 2**64, size, dtype=np.uint64)
+        linked, not_linked = (np.unique(np.concatenate([a[: int(size * (1 - x))], more[: int(size * x)]])) for x in (0.08, 0.3))
+        linked = np.unique(np.concatenate([linked, more[-size // 40 :]]))
+        assert join.alike(a, linked) and join.wide_possible(join.wide_sketch(a), join.wide_sketch(linked))
+        assert not join.alike(a, not_linked) and not join.wide_possible(join.wide_sketch(a), join.wide_sketch(not_linked))
+    assert len({len(join.wide_sketch(np.arange(n, dtype=np.uint64))) for n in (4500, 4700)}) == 2
 
 
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
