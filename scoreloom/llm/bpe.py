@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from scoreloom.functions.storage import scratch_path
-from scoreloom.llm.common import from_planes, planes, text_slices, whole_text
+from scoreloom.llm.common import from_planes, planes, small_batches, text_slices, whole_text
 
 # Code points of text in a chunk, distinct words and their characters; code points split at once.
 CHUNK = 16 << 20
@@ -227,7 +227,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK) ->
     buckets = max(partitions, length // chunk_size)
     name = f"places_{uuid.uuid4().hex}"
     made = places(docs, shared, buckets, chunk_size).write.bucketBy(partitions, "chunk").option("compression", "zstd")
-    made.option("path", scratch_path(spark, "places")).saveAsTable(name)
+    with small_batches(spark):
+        made.option("path", scratch_path(spark, "places")).saveAsTable(name)
     table = spark.table(name)
 
     def encode_bucket(key: tuple, rows: pa.Table) -> pa.Table:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run of characters other than space, tab, line feed, vertical tab, form feed and carriage return.
@@ -70,6 +71,18 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> It
             yield part, pc.fill_null(part.column(column), "").to_pylist()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Within this, Arrow batches that go to Python have so many rows at most; for jobs that hold more than one batch of whole texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def byte_slices(text: bytes, most: int) -> Iterator[bytes]:
     """A text in parts of about ``most`` bytes, cut before a space or a line feed; one without any is left whole."""
     at = 0

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import settled
-from scoreloom.llm.common import few, from_gaps, gaps, lookup, text_slices, unused, whole_text
+from scoreloom.llm.common import few, from_gaps, gaps, lookup, small_batches, text_slices, unused, whole_text
 from scoreloom.llm.components import connected_components
 
 CHUNK = 1 << 20
@@ -310,7 +310,8 @@ class Join:
         nothing. Rows that repeat an id or a text have equal sets and so one component. Rows without an id take part and
         name no component; one that no row with an id is linked to has none. An empty table gives no rows; other columns are not read.
         """
-        return self.grouped(docs).drop("lead")
+        with small_batches(docs.sparkSession):
+            return self.grouped(docs).drop("lead")
 
     def grouped(self, docs: DataFrame) -> DataFrame:
         """``components``, and as ``lead`` the least mark in the component of a row that is not alone there."""
@@ -402,7 +403,8 @@ class Join:
         one with the text of the least hash stays. Rows that repeat an id are told apart by their text; those that repeat the
         id that names a component all stay.
         """
-        found = self.grouped(docs)
+        with small_batches(docs.sparkSession):
+            found = self.grouped(docs)
         nameless = F.col("doc_id").isNull() & F.col("component_id").isNull() & F.col("lead").isNotNull()
         goes = ~F.col("component_id").eqNullSafe(F.col("doc_id")) | (nameless & (F.col("mark") != F.col("lead")))
         found = settled(found.where(goes | nameless).select("doc_id", "mark", goes.alias("goes")).distinct(), "going")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import scratch_path, settled
-from scoreloom.llm.common import byte_slices, from_gaps, from_planes, gaps, planes, text_slices, whole_text
+from scoreloom.llm.common import byte_slices, from_gaps, from_planes, gaps, planes, small_batches, text_slices, whole_text
 
 LEAST = 30
 WORDS = 4
@@ -361,7 +361,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard: int = SHARD) -> tu
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"chunks_{uuid.uuid4().hex}"
     written = chunked(docs).write.bucketBy(partitions, "chunk").option("compression", "zstd")
-    written.option("path", scratch_path(spark, "chunks")).saveAsTable(name)
+    with small_batches(spark):
+        written.option("path", scratch_path(spark, "chunks")).saveAsTable(name)
     table = spark.table(name)
     totals = settled(table.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
     words = int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
