@@ -10,7 +10,6 @@ table bucketed by chunk, so they don't move either.
 from __future__ import annotations
 
 import functools
-import hashlib
 import itertools
 import json
 import re
@@ -135,6 +134,10 @@ class Vocabulary:
             table[i] = piece.encode() if i in self.special.values() else bytes(self.letters[c] for c in piece)
         return table
 
+    def text_of(self, ids: list[int]) -> str:
+        piece = self.piece_bytes
+        return b"".join([piece[i] for i in ids]).decode("utf-8", "replace")
+
 
 def pieces(text: str) -> Iterator[str]:
     """A long text in parts of about ``SLICE``, cut where a word begins whatever stands around it.
@@ -214,9 +217,12 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(split, schema)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, decoded: bool = False) -> DataFrame:
     """``doc_id, ids`` of each row of ``docs(doc_id, text)``: the ids that the vocabulary gives the whole text.
 
+    With ``decoded`` also ``packed``, the ids as little-endian unsigned 32-bit integers, and ``decoded``, the text that they
+    stand for, as ``decode`` gives it. They are made where the ids are put back, which spares a further pass through Python.
+
     A missing or empty text has no ids. Rows that repeat an id or a text are encoded like any other. An empty
     table gives no rows; other columns are not read. ``doc_id`` may have any type.
     """
@@ -266,12 +272,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK) ->
         runs = [slots[at : at + SLICE] for at in range(0, len(slots), SLICE)]
         text_ids = np.concatenate([np.zeros(0, np.int32), *[ids[ragged(starts[run], counts[run])] for run in runs]])
         rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(text_ids, pa.int32()))
-        return pa.table({"doc_id": docs.column("doc_ids")[0].values, "ids": rows})
+        made = {"doc_id": docs.column("doc_ids")[0].values, "ids": rows}
+        if decoded:
+            spans = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+            made["packed"] = pa.array([text_ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
+            made["decoded"] = pa.array([shared.value.text_of(text_ids[a:b].tolist()) for a, b in spans], pa.string())
+        return pa.table(made)
 
     kept = table.where(F.col("bucket").isNull()).select("chunk", "doc_ids", "sizes", "ranks", "slots")
     kind = docs.schema["doc_id"].dataType.simpleString()
     together = kept.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    return together.applyInArrow(put_back, f"doc_id {kind}, ids array<int>")
+    more = ", packed binary, decoded string" if decoded else ""
+    return together.applyInArrow(put_back, f"doc_id {kind}, ids array<int>{more}")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -284,29 +296,22 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     @F.pandas_udf(T.StringType())
     def text_of(ids: pd.Series) -> pd.Series:
-        piece = shared.value.piece_bytes
-        return ids.map(lambda x: None if x is None else b"".join([piece[i] for i in x.tolist()]).decode("utf-8", "replace"))
+        return ids.map(lambda x: None if x is None else shared.value.text_of(x.tolist()))
 
     return encoded.withColumn("decoded", text_of("ids"))
 
 
-@F.pandas_udf(T.StringType())
-def ids_digest(ids: pd.Series) -> pd.Series:
-    """SHA-256 of ids as little-endian unsigned 32-bit integers, in lowercase hex."""
-    return ids.map(lambda x: hashlib.sha256(np.asarray(x, "<u4").tobytes()).hexdigest())
-
-
 def encoding_report(docs: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the texts encoded and decoded with the vocabulary at ``path``.
 
     The digests are missing for no row: an empty list of ids has that of no bytes. ``keep_ids`` adds the ids.
     """
     vocabulary = Vocabulary(path)
-    both = decode(encode(docs, vocabulary), vocabulary)
+    both = encode(docs, vocabulary, decoded=True)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest("ids").alias("ids_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         *(["ids"] if keep_ids else []),
     )
