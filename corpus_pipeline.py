@@ -12,8 +12,18 @@ from scoreloom.llm.language import recognised
 from scoreloom.llm.mixing import mix
 
 
+# Texts in an Arrow batch that goes to Python: the default of 10,000 may be hundreds of megabytes, and two batches are held at once.
+BATCH = 500
+
+
+def tuned(spark: SparkSession) -> None:
+    """Stages are written by whoever calls them, so the setting stays for the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; those without any letter go."""
+    """Documents in a learned language; those without any letter go, and those whose language is less likely than not."""
+    tuned(spark)
     return recognised(docs)
 
 
@@ -34,6 +44,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document of the mix, with digests of the ids and of the text they decode to."""
+    tuned(spark)
     return encoding_report(docs, default_vocabulary(), keep_ids=True)
 
 

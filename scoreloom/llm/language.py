@@ -17,6 +17,8 @@ UNKNOWN = "und"
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
+# Texts whose best language has a lower score are in none; see `recognised`.
+LEAST_SCORE = 0.5
 # The classifier is fitted on about this many labelled documents of each language, chosen by a hash of the id.
 SAMPLE_PER_LANGUAGE = 3000
 # Code points scored at once by one task.
@@ -147,10 +149,11 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
     return identify(rows, languages, matrix, ["doc_id", "held_out"])
 
 
-def recognised(docs: DataFrame) -> DataFrame:
-    """The documents that are in some language: those without any letter go. Columns and values stay as they are.
+def recognised(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
+    """The documents that are in some language. Columns and values stay as they are.
 
-    The label columns are only used to learn from.
+    Those without any letter go, and those for which no language has a score of ``least``: by default, the best must be likelier than all
+    others together. The label columns are only used to learn from.
     """
     languages, matrix = fit(docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     if not languages:
@@ -158,4 +161,4 @@ def recognised(docs: DataFrame) -> DataFrame:
     columns = [f"_{i}" for i in range(len(docs.columns))]
     renamed = docs.toDF(*columns).withColumn("text", F.col(columns[docs.columns.index("text")]))
     found = identify(renamed, languages, matrix, columns)
-    return found.where(F.col("lang_pred") != UNKNOWN).drop("lang_pred", "score").toDF(*docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score").toDF(*docs.columns)
