@@ -8,21 +8,28 @@ all rows. The scans here cut each sequence into consecutive blocks and work in t
 3. an equi-join of the summary back on (key, block), which is already how the rows are partitioned.
 
 Callers pick the block so that its size has a bound: a number of grid steps for a melody (one note per step),
-or a number of pre-aggregated time cells. Where a whole key is known to be small (``SeqSet.bounded``) they pass
+or a number of pre-aggregated time cells. A stretch of time has no such bound: blocks of time that hold too many rows are counted
+first and cut again at quantiles of their rows' times (``cut_dense``), so a second with a million events is many blocks. Where a whole key is known to be small (``SeqSet.bounded``) they pass
 ``block=None``: the plan is then a single window that shares its exchange with its neighbours.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from scoreloom.functions.storage import settled
+
 BLOCK_STEPS = 4096
 BLOCK_CELLS = 4096
 BLOCK_SECONDS = 16.0
 PART_ROWS = 1_000_000
+# A block of time with more rows than this is cut into parts of about so many, up to this number of parts.
+DENSE_ROWS = 100_000
+DENSE_PARTS = 1024
 
 StartsRun = Callable[[Column, Column], Column]
 
@@ -38,10 +45,12 @@ def scan(
     reach: str | None = None,
     look_back: int = 1,
     look_ahead: bool = False,
+    time: str | None = None,
 ) -> DataFrame:
     """Add what each row needs from the rows around it.
 
-    ``order`` must be unique within ``keys`` and increase with ``block``. Added columns, with rows given as
+    ``order`` must be unique within ``keys`` and increase with ``block``. If ``block`` is a stretch of the column ``time``, of which
+    ``order`` is a finer order, dense blocks are cut again. Added columns, with rows given as
     structs of ``order`` and ``state``:
 
     * ``prev`` (and ``prev2`` if ``look_back`` is 2): the rows before; ``next`` if ``look_ahead``;
@@ -54,6 +63,8 @@ def scan(
     inside = keys if block is None else [*keys, "_block"]
     if block is not None:
         df = df.withColumn("_block", block)
+        if time is not None:
+            (df,) = cut_dense([df], keys, time)
     base = df.columns
     ordered = Window.partitionBy(*inside).orderBy(order)
     upto, before = ordered.rowsBetween(Window.unboundedPreceding, 0), ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -113,6 +124,32 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, equal, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def cut_dense(tables: Sequence[DataFrame], keys: Sequence[str], time: str) -> list[DataFrame]:
+    """The tables with dense blocks cut again: ``_block`` becomes a pair of the block and the part of it.
+
+    Blocks are counted over all tables, which share ``keys``, ``_block`` and ``time``. Where none is dense, the
+    usual case, the tables are returned as they are. Cuts are quantiles of the rows' times, so rows of one time stay together.
+    """
+    keys = [*keys, "_block"]
+    every = functools.reduce(DataFrame.unionByName, [t.select(*keys, F.col(time).alias("_time")) for t in tables])
+    dense = every.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > DENSE_ROWS)
+    if dense.isEmpty():
+        return list(tables)
+    dense = settled(dense, "dense")
+    fractions = F.array(*[F.lit(i / DENSE_PARTS) for i in range(1, DENSE_PARTS)])
+    cuts = same_keys(every, dense, keys).groupBy(*keys, "_n").agg(F.percentile_approx("_time", fractions, F.lit(10 * DENSE_PARTS)).alias("_cuts"))
+    # Of the quantiles every so manieth, for parts of about DENSE_ROWS.
+    step = F.greatest(F.floor(F.lit(DENSE_PARTS * DENSE_ROWS) / F.col("_n")), F.lit(1))
+    cuts = settled(cuts.select(*keys, F.filter("_cuts", lambda _, i: (i + 1) % step == 0).alias("_cuts")), "cuts")
+
+    def cut(table: DataFrame) -> DataFrame:
+        part = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col(time))), F.lit(0))
+        found = same_keys(table, cuts, keys, "left").withColumn("_block", F.struct(F.col("_block").alias("block"), part.alias("part")))
+        return found.select(*table.columns)
+
+    return [cut(t) for t in tables]
+
+
 def _carry(rows, keys, order, starts_run, reach, look_back, look_ahead) -> DataFrame:
     """One row per (key, block): what the blocks before and after hand over."""
     summary = [F.max_by("_row", order).alias("_last"), F.count(F.lit(1)).alias("_n")]
@@ -172,9 +209,9 @@ def asof(
     """Add to each left row the struct ``name`` of the latest right row with ``right_time <= left_time``.
 
     ``right`` must be unique on (keys, right_time). A row without a time matches nothing, and a missing key matches a
-    missing key. If a key is not known to be small, time is cut into blocks,
-    and a block with many left rows into parts of about ``rows_per_part``, each of which sees the block's right
-    rows; earlier blocks reach a block through one carried row. Either way the rows are sorted, and no
+    missing key. If a key is not known to be small, time is cut into blocks, and dense ones are cut again. A
+    block that still has many left rows, as many have one time, is dealt to parts of about ``rows_per_part``, each of
+    which sees the block's right rows; earlier blocks reach a block through one carried row. Either way the rows are sorted, and no
     left-right pairs are formed.
     """
     keys = list(keys)
@@ -194,6 +231,7 @@ def asof(
         F.floor(F.col(right_time) / block_seconds).alias("_block"),
         hit.alias("_hit"),
     )
+    lefts, rights = cut_dense([lefts, rights], keys, "_t")
     # One row per (key, block): what earlier blocks hand over, and in how many parts to order its left rows.
     sizes = (
         lefts.select(*keys, "_block", F.lit(1).alias("_left"))

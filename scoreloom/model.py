@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
-from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,10 +91,15 @@ EVENTS = T.StructType(
 )
 
 
-@dataclass(frozen=True)
+Table = DataFrame | Callable[[], DataFrame]
+
+
 class SeqSet:
     """A set of sequences as three lazy tables keyed by ``seq_id``.
 
+    A table may be given as a function, which is called when the table is first read: building and analysing a plan takes
+    time, and a chain whose result is read for its notes alone never builds the events of its steps.
+
     Quantizing adds ``q_start, q_end, steps_per_bar, total_steps`` to ``notes``. The last two repeat the
     sequence header on each note, so that later operators need no join to know the grid.
 
@@ -103,18 +108,54 @@ class SeqSet:
     ``monophonic`` once at most one note can start per step. See ``bounded`` and ``functions.ordered``.
     """
 
-    sequences: DataFrame
-    notes: DataFrame
-    events: DataFrame
-    max_rows: int | None = None
-    max_bars: int | None = None
-    monophonic: bool = False
+    def __init__(
+        self,
+        sequences: Table,
+        notes: Table,
+        events: Table,
+        max_rows: int | None = None,
+        max_bars: int | None = None,
+        monophonic: bool = False,
+    ) -> None:
+        self._tables = {"sequences": sequences, "notes": notes, "events": events}
+        self._tables = {n: functools.cache(t) if callable(t) else t for n, t in self._tables.items()}
+        self.max_rows, self.max_bars, self.monophonic = max_rows, max_bars, monophonic
+        self._derived: tuple[DataFrame, Callable[[DataFrame], SeqSet]] | None = None
+
+    @classmethod
+    def derived(
+        cls, notes: DataFrame, sequences: Callable[[DataFrame], DataFrame], events: Callable[[DataFrame], DataFrame], **bounds
+    ) -> SeqSet:
+        """A set whose headers and events follow from its notes, which have ``parent_id`` and ``start_offset`` here.
+
+        When such a set is settled its notes are written first, and the other two tables are made from what was written.
+        """
+        made = cls(lambda: sequences(notes), notes.drop("parent_id", "start_offset"), lambda: events(notes), **bounds)
+        made._derived = notes, lambda written: cls.derived(written, sequences, events, **bounds)
+        return made
+
+    def _table(self, name: str) -> DataFrame:
+        table = self._tables[name]
+        return table() if callable(table) else table
+
+    @property
+    def sequences(self) -> DataFrame:
+        return self._table("sequences")
+
+    @property
+    def notes(self) -> DataFrame:
+        return self._table("notes")
+
+    @property
+    def events(self) -> DataFrame:
+        return self._table("events")
 
     def transform(self, fn: Callable[..., SeqSet], *args, **kwargs) -> SeqSet:
         return fn(self, *args, **kwargs)
 
     def with_(self, **changes) -> SeqSet:
-        return replace(self, **changes)
+        """The same set but for what is given. Tables that are not given are passed on unread."""
+        return SeqSet(**{**self._tables, "max_rows": self.max_rows, "max_bars": self.max_bars, "monophonic": self.monophonic, **changes})
 
     @property
     def bounded(self) -> bool:
@@ -154,11 +195,12 @@ class SeqSet:
 
     def settled(self) -> SeqSet:
         """The same set, written once to the shared folder, so that later branches do not compute it again."""
-        return self.with_(
-            sequences=settled(self.sequences, "sequences"),
-            notes=settled(self.notes.drop(ROOT), "notes"),
-            events=settled(self.events, "events"),
-        )
+        if self._derived is None:
+            written = self.with_(notes=settled(self.notes.drop(ROOT), "notes"))
+        else:
+            notes, again = self._derived
+            written = again(settled(notes.drop(ROOT), "notes"))
+        return written.with_(sequences=settled(written.sequences, "sequences"), events=settled(written.events, "events"))
 
     @property
     def quantized(self) -> bool:
@@ -166,11 +208,11 @@ class SeqSet:
 
     def without_empty(self) -> SeqSet:
         """Drop sequences that have no note, and their events."""
-        sounding = self.notes.select("seq_id").distinct()
-        return self.with_(
-            sequences=self.sequences.join(sounding, "seq_id", "left_semi"),
-            events=self.events.join(sounding, "seq_id", "left_semi"),
-        )
+
+        def sounding(table: DataFrame) -> DataFrame:
+            return table.join(self.notes.select("seq_id").distinct(), "seq_id", "left_semi")
+
+        return self.with_(sequences=lambda: sounding(self.sequences), events=lambda: sounding(self.events))
 
     def union(self, other: SeqSet) -> SeqSet:
         """Both sets together; their ids must differ."""
@@ -182,9 +224,9 @@ class SeqSet:
             return a.drop(*[c for c in (*GRID, ROOT) if c not in b.columns])
 
         return SeqSet(
-            self.sequences.unionByName(other.sequences, allowMissingColumns=True),
-            alike(self.notes, other.notes).unionByName(alike(other.notes, self.notes), allowMissingColumns=True),
-            self.events.unionByName(other.events, allowMissingColumns=True),
+            lambda: self.sequences.unionByName(other.sequences, allowMissingColumns=True),
+            lambda: alike(self.notes, other.notes).unionByName(alike(other.notes, self.notes), allowMissingColumns=True),
+            lambda: self.events.unionByName(other.events, allowMissingColumns=True),
             max_rows=larger(self.max_rows, other.max_rows),
             max_bars=larger(self.max_bars, other.max_bars),
             monophonic=self.monophonic and other.monophonic,

@@ -188,6 +188,9 @@ def attribute_table(seqs: SeqSet, config: Mapping[str, Mapping[str, Any]] | Sequ
 
 def compute_attributes(seqs: SeqSet, config: Mapping[str, Mapping[str, Any]] | Sequence[str] | None = None) -> SeqSet:
     """Write the attributes onto the sequence headers; a sequence without notes keeps nulls."""
-    table = attribute_table(seqs, config)
-    stale = [c for c in table.columns if c != "seq_id" and c in seqs.sequences.columns]
-    return seqs.with_(sequences=seqs.sequences.drop(*stale).join(table, "seq_id", "left"))
+
+    def sequences() -> DataFrame:
+        table = attribute_table(seqs, config)
+        return seqs.sequences.drop(*table.columns[1:]).join(table, "seq_id", "left")
+
+    return seqs.with_(sequences=sequences)

@@ -6,6 +6,7 @@ state, the same result on any number of partitions, and independent between purp
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping
 from typing import Any
 
@@ -122,7 +123,10 @@ def augment_transpose(seqs: SeqSet, **given) -> SeqSet:
     """
     o = {**TRANSPOSER_DEFAULTS, **given}
     amount = F.coalesce("amount", F.lit(0))
-    plan = amounts(seqs, o).select("seq_id", "outcome", "amount")
+
+    @functools.cache
+    def plan() -> DataFrame:
+        return amounts(seqs, o).select("seq_id", "outcome", "amount")
 
     def emitted(table: DataFrame) -> DataFrame:
         """Rows of kept sequences with ``moving``: once, or a second time for the added transposed form."""
@@ -147,19 +151,22 @@ def augment_transpose(seqs: SeqSet, **given) -> SeqSet:
     elif seqs.bounded and split_known:
         notes = decided(with_group(seqs.notes, seqs.keys, pitch_extent(o), bounded=True), o)
     else:
-        notes = seqs.notes.join(plan, "seq_id")
+        notes = seqs.notes.join(plan(), "seq_id")
     notes = emitted(notes)
     pitch = F.when(F.col("moving"), moved_pitch(amount)).otherwise(F.col("pitch"))
     outside = out_of_band(moved_pitch(amount), o["min_allowed_pitch"], o["max_allowed_pitch"])
     notes = notes.filter(~F.col("moving") | F.col("amount").isNull() | ~outside).withColumn("pitch", pitch.cast("int"))
 
-    events = emitted(seqs.events.join(plan, "seq_id"))
-    if o["transpose_chords"]:
-        events = transpose_events(events, F.when(F.col("moving"), amount).otherwise(F.lit(0)))
+    def events() -> DataFrame:
+        found = emitted(seqs.events.join(plan(), "seq_id"))
+        if o["transpose_chords"]:
+            found = transpose_events(found, F.when(F.col("moving"), amount).otherwise(F.lit(0)))
+        return finished(found)
+
     return seqs.with_(
-        sequences=finished(emitted(seqs.sequences.join(plan, "seq_id"))),
+        sequences=lambda: finished(emitted(seqs.sequences.join(plan(), "seq_id"))),
         notes=finished(notes, notes=True),
-        events=finished(events),
+        events=events,
     )
 
 
@@ -209,7 +216,7 @@ def split_of(ratios: Mapping[str, float], seq_id: Column, seed: int = DEFAULT_SE
 def assign_splits(seqs: SeqSet, ratios: Mapping[str, float], seed: int = DEFAULT_SEED) -> SeqSet:
     """Give each sequence header, and its notes, their ``split``."""
     split = split_of(ratios, F.col("seq_id"), seed)
-    return seqs.with_(sequences=seqs.sequences.withColumn("split", split), notes=seqs.notes.withColumn("split", split))
+    return seqs.with_(sequences=lambda: seqs.sequences.withColumn("split", split), notes=lambda: seqs.notes.withColumn("split", split))
 
 
 def split_report(sequences: DataFrame, ratios: Mapping[str, float]) -> DataFrame:

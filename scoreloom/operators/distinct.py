@@ -50,7 +50,7 @@ def distinct_sequences(seqs: SeqSet, keys: str = "record") -> SeqSet:
             number = F.ceil(F.col("_rows") / F.coalesce("_records", F.lit(1))).cast("int")
             return counted.withColumn("_rows", F.explode(F.array_repeat(F.lit(1), number))).select(*table.columns)
 
-        return seqs.with_(sequences=seqs.sequences.distinct(), notes=once(seqs.notes), events=once(seqs.events))
+        return seqs.with_(sequences=lambda: seqs.sequences.distinct(), notes=lambda: once(seqs.notes), events=lambda: once(seqs.events))
     if keys != "content":
         raise ValueError("keys must be 'record' or 'content'")
     kept = content_keys(seqs).groupBy("content").agg(F.min("seq_id").alias("seq_id")).select("seq_id")

@@ -182,22 +182,26 @@ def extract_melodies(seqs: SeqSet, **given) -> SeqSet:
         q_end=F.least(F.col("q_end") - start, F.col("melody_steps")),
         total_steps=F.col("melody_steps"),
     ).drop("voices", "melody_start", "last_end", "pitches", "bars", "melody_steps", "reason", "truncated")
-    sequences = derive_sequences(seqs.sequences, notes)
-    events = melody_events(seqs, kept, melody_id)
-    return SeqSet(sequences, notes.drop("parent_id", "start_offset"), events, max_rows=seqs.max_rows, monophonic=True)
+    return SeqSet.derived(
+        notes,
+        lambda made: derive_sequences(seqs.sequences, made),
+        lambda made: melody_events(seqs, made),
+        max_rows=seqs.max_rows,
+        monophonic=True,
+    )
 
 
-def melody_events(seqs: SeqSet, kept: DataFrame, melody_id: Column) -> DataFrame:
+def melody_events(seqs: SeqSet, melodies: DataFrame) -> DataFrame:
     """Events of the melodies: tempo and signature in force at a start, and what lies inside, moved to the melody's time.
 
     The melodies of a track follow one another, so an event is in one per track at most. Controls count for their instrument.
     """
-    starts = kept.select(
-        "seq_id",
+    starts = melodies.select(
+        F.col("parent_id").alias("seq_id"),
         "instrument",
-        melody_id.alias("new_id"),
-        F.col("melody_start").cast("double").alias("begin"),
-        (F.col("melody_start") + F.col("melody_steps")).cast("double").alias("end"),
+        F.col("seq_id").alias("new_id"),
+        F.col("start_offset").alias("begin"),
+        (F.col("start_offset") + F.col("total_steps")).alias("end"),
     ).distinct()
     events = on_grid(seqs)
     states = state_events(starts.drop("instrument", "end"), events.withColumn("time", F.col("at")), "begin", seqs.bounded)

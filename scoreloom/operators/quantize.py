@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,7 +131,11 @@ def quantize(
     the steps per second.
     """
     columns = grid_columns(steps_per_quarter, steps_per_second)
-    grid = grid_headers(seqs, steps_per_quarter, steps_per_second).filter("reason is null").drop("reason")
+
+    @functools.cache
+    def grid() -> DataFrame:
+        return grid_headers(seqs, steps_per_quarter, steps_per_second).filter("reason is null").drop("reason")
+
     rate = F.col("step_rate")
     start = to_step(F.col("start_time"), rate)
     if seqs.bounded:
@@ -141,21 +147,23 @@ def quantize(
         gridded = with_group(header, seqs.keys, extent(), bounded=True).withColumns(columns).filter("reason is null")
         gridded = gridded.drop(*HEADER, *EXTENT, "reason")
     else:
-        gridded = seqs.notes.drop(*GRID).join(grid, "seq_id")
+        gridded = seqs.notes.drop(*GRID).join(grid(), "seq_id")
     notes = gridded.withColumns(
         {"q_start": start, "q_end": F.greatest(to_step(F.col("end_time"), rate), start + 1)}
     ).drop("step_rate")
-    events = (
-        seqs.events.join(grid.select("seq_id", "step_rate"), "seq_id")
-        .withColumn("q_step", to_step(F.col("time"), rate))
-        .drop("step_rate")
-    )
-    sequences = seqs.sequences.join(grid.select("seq_id", "total_steps", "step_rate"), "seq_id").withColumns(
-        {
-            "steps_per_quarter": F.lit(steps_per_quarter).cast("int"),
-            "steps_per_second": F.lit(steps_per_second).cast("double"),
-        }
-    )
+
+    def events() -> DataFrame:
+        with_rate = seqs.events.join(grid().select("seq_id", "step_rate"), "seq_id")
+        return with_rate.withColumn("q_step", to_step(F.col("time"), rate)).drop("step_rate")
+
+    def sequences() -> DataFrame:
+        return seqs.sequences.join(grid().select("seq_id", "total_steps", "step_rate"), "seq_id").withColumns(
+            {
+                "steps_per_quarter": F.lit(steps_per_quarter).cast("int"),
+                "steps_per_second": F.lit(steps_per_second).cast("double"),
+            }
+        )
+
     return SeqSet(sequences, notes, events, max_rows=seqs.max_rows)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.ordered import BLOCK_STEPS, block_of, scan
-from scoreloom.model import ATTRIBUTES, SeqSet
+from scoreloom.model import ATTRIBUTES, EVENTS, SeqSet
 from scoreloom.operators.melody import one_note_per_step
 from scoreloom.registry import operator
 
@@ -204,3 +204,25 @@ def decode(examples: DataFrame, chunk_steps: int | None = None) -> DataFrame:
     )
     whole = runs.groupBy("seq_id", F.col("run_head.q_start").alias("q_start"), "pitch").agg(F.max("q_end").alias("q_end"))
     return whole.select("seq_id", "q_start", "q_end", "pitch")
+
+
+def decode_sequences(examples: DataFrame, chunk_steps: int | None = None) -> SeqSet:
+    """Decoded examples as a set: melodies of one note per step, and headers with the length and the stored attributes.
+
+    What an example does not store, as velocities, tempo and signature, is missing in the set.
+    """
+
+    def sequences() -> DataFrame:
+        found = {"total_steps": F.sum(F.size("pitch_seq")).cast("bigint")}
+        if "context" in examples.columns:
+            # All chunks of a sequence have the same attributes.
+            found["context"] = F.first("context")
+        headers = examples.groupBy("seq_id").agg(*[c.alias(n) for n, c in found.items()])
+        return headers.select("seq_id", "total_steps", "context.*") if "context" in found else headers
+
+    def notes() -> DataFrame:
+        placed = decode(examples, chunk_steps)
+        return placed.withColumn("note_idx", F.col("q_start")).join(sequences().select("seq_id", "total_steps"), "seq_id")
+
+    events = examples.sparkSession.createDataFrame([], EVENTS)
+    return SeqSet(sequences, notes, events, monophonic=True)

@@ -90,34 +90,34 @@ def slice_bars(seqs: SeqSet, **given) -> SeqSet:
     begin, end = F.col("slice_start").cast("bigint"), F.col("slice_end").cast("bigint")
     last_bar = F.ceil(F.col("total_steps") / F.col("steps_per_bar")) * F.col("steps_per_bar")
     selected = select_slices(seqs, **given)
-    slice_id = F.concat("seq_id", F.lit("#slice"), "slice")
     notes = seqs.renamed(
         selected,
-        slice_id,
+        slice_id(),
         start_offset=begin.cast("double"),
         q_end=F.least("q_end", end) - begin,
         q_start=F.col("q_start") - begin,
         total_steps=F.least(F.col("slice_end"), last_bar).cast("bigint") - begin,
     ).drop("slice", "slice_start", "slice_end", "is_short", "crosses_end", "start_time", "end_time")
-    sequences = derive_sequences(seqs.sequences, notes)
-    return SeqSet(
-        sequences,
-        notes.drop("parent_id", "start_offset"),
-        slice_events(seqs, selected, slice_id, o["slice_size_bars"], o["hop_size_bars"], o["start_time"]),
+    return SeqSet.derived(
+        notes,
+        lambda made: derive_sequences(seqs.sequences, made),
+        lambda made: slice_events(seqs, made, o["slice_size_bars"], o["hop_size_bars"], o["start_time"]),
         max_rows=seqs.max_rows,
         max_bars=o["slice_size_bars"],
         monophonic=seqs.monophonic,
     )
 
 
-def slice_events(
-    seqs: SeqSet, selected: DataFrame, slice_id: Column, size_bars: int, hop_bars: int, start_time: int
-) -> DataFrame:
+def slice_id() -> Column:
+    return F.concat("seq_id", F.lit("#slice"), "slice")
+
+
+def slice_events(seqs: SeqSet, slices: DataFrame, size_bars: int, hop_bars: int, start_time: int) -> DataFrame:
     """Events of the slices: tempo and signature in force where a slice starts, and the events inside it, moved to its time.
 
     As with notes, the slices of an event follow from its own step.
     """
-    starts = selected.select("seq_id", slice_id.alias("new_id"), F.col("slice_start").cast("double").alias("begin")).distinct()
+    starts = slices.select(F.col("parent_id").alias("seq_id"), F.col("seq_id").alias("new_id"), F.col("start_offset").alias("begin")).distinct()
     events = on_grid(seqs)
     states = state_events(starts, events.withColumn("time", F.col("at")), "begin", seqs.bounded)
     bars = seqs.notes.groupBy("seq_id").agg(F.max("steps_per_bar").alias("bar"))
@@ -127,7 +127,7 @@ def slice_events(
     spread = events.join(bars, "seq_id").withColumn("slice", F.explode(F.when((since >= 0) & (first <= last), F.sequence(first, last))))
     begin = F.floor(start_time + F.col("slice") * hop).cast("bigint")
     spread = spread.filter(~F.col("kind").isin("tempo", "time_signature") | (F.col("at") > begin))
-    placed = moved_events(spread.withColumns({"new_id": slice_id, "begin": begin}), seqs, F.col("begin"))
+    placed = moved_events(spread.withColumns({"new_id": slice_id(), "begin": begin}), seqs, F.col("begin"))
     placed = placed.join(starts.select("new_id"), "new_id", "left_semi").withColumn("seq_id", F.col("new_id"))
     if "q_step" in seqs.events.columns:
         states = states.withColumn("q_step", F.lit(0).cast("bigint"))

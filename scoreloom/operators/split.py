@@ -40,11 +40,10 @@ def rebase(seqs: SeqSet, assigned: DataFrame, op: str, *extra: str) -> DataFrame
 def assemble(seqs: SeqSet, assigned: DataFrame, op: str, bounds: DataFrame) -> SeqSet:
     """Build the segments' three tables from notes with ``seg_start, seg_end`` and the distinct ``bounds``."""
     notes = rebase(seqs, assigned, op)
-    sequences = derive_sequences(seqs.sequences, notes)
     # A segment has its share of the notes and events, and two more events where it starts.
     grown = None if seqs.max_rows is None else seqs.max_rows + 2
-    return SeqSet(
-        sequences, notes.drop("parent_id", "start_offset"), segment_events(seqs, bounds, op), max_rows=grown
+    return SeqSet.derived(
+        notes, lambda made: derive_sequences(seqs.sequences, made), lambda _: segment_events(seqs, bounds, op), max_rows=grown
     )
 
 
@@ -117,7 +116,7 @@ def fill_forward(df: DataFrame, column: str, bounded: bool) -> DataFrame:
     pair = f"{column}_at"
     tagged = df.withColumn(pair, F.when(F.col(column).isNotNull(), F.struct("time", F.col(column).alias("value"))))
     block = block_of("time", BLOCK_SECONDS, bounded)
-    filled = scan(tagged, ["seq_id"], "time", [], block=block, reach=pair)
+    filled = scan(tagged, ["seq_id"], "time", [], block=block, reach=pair, time="time")
     before = F.col("reach")["value"]
     return filled.withColumns({f"{column}_before": before, f"{column}_now": F.coalesce(column, before)}).drop(
         pair, "prev", "reach"
@@ -254,6 +253,7 @@ def open_cuts(cuts: DataFrame, notes: DataFrame, bounded: bool = False) -> DataF
         [],
         block=block_of("time", BLOCK_SECONDS, bounded),
         reach="end_time",
+        time="time",
     )
     free = F.col("reach").isNull() | (F.col("reach") <= F.col("time"))
     return scanned.filter((F.col("_side") == 0) & (free | (F.col("time") <= 0))).select(*cuts.columns)
@@ -271,13 +271,15 @@ def split_time_changes(
     assigned = time_change_segments(seqs, cuts).filter(kept)
     # A segment has one tempo and one signature, if no change is left out. They stay on its notes, so that the grid needs no events.
     notes = rebase(seqs, assigned, "change", *(() if skip_splits_inside_notes else GRID))
-    sequences = derive_sequences(seqs.sequences, notes)
-    events = change_events(seqs, cuts, kept)
-    if skip_splits_inside_notes:
-        events = events.unionByName(left_out_changes(seqs, cuts, kept))
-    events = events.join(notes.select("seq_id").distinct(), "seq_id", "left_semi").select(*events.columns)
+
+    def events(made: DataFrame) -> DataFrame:
+        found = change_events(seqs, cuts, kept)
+        if skip_splits_inside_notes:
+            found = found.unionByName(left_out_changes(seqs, cuts, kept))
+        return found.join(made.select("seq_id").distinct(), "seq_id", "left_semi").select(*found.columns)
+
     grown = None if seqs.max_rows is None else seqs.max_rows + 2
-    return SeqSet(sequences, notes.drop("parent_id", "start_offset"), events, max_rows=grown)
+    return SeqSet.derived(notes, lambda made: derive_sequences(seqs.sequences, made), events, max_rows=grown)
 
 
 def filtered_sequences(
@@ -365,7 +367,7 @@ def segment_cuts(seqs: SeqSet, skip_splits_inside_notes: bool = False) -> DataFr
     late = cuts.groupBy("seq_id").agg(F.min("time").alias("first")).filter(F.col("first") > 0)
     cuts = cuts.unionByName(late.select("seq_id", F.lit(0.0).alias("time")), allowMissingColumns=True)
     block = block_of("time", BLOCK_SECONDS, bounded)
-    cuts = scan(cuts, ["seq_id"], "time", [], block=block, look_ahead=True)
+    cuts = scan(cuts, ["seq_id"], "time", [], block=block, look_ahead=True, time="time")
     cuts = cuts.select("seq_id", "time", "qpm", "num", "den", F.col("next.time").alias("cut_end"))
     # Notes, events and headers all look cuts up; with blocks each use would repeat the whole scan.
     return cuts if bounded else settled(cuts, "cuts")

@@ -32,11 +32,11 @@ def stretch(seqs: SeqSet, stretch_factor: float = 1.0, in_place: bool = False) -
     factor = F.lit(float(stretch_factor))
     tempo = {"qpm": F.col("qpm") / factor} if "qpm" in seqs.notes.columns else {}
     return seqs.with_(
-        sequences=seqs.sequences.withColumn("total_time", F.col("total_time") * factor),
+        sequences=lambda: seqs.sequences.withColumn("total_time", F.col("total_time") * factor),
         notes=seqs.notes.withColumns(
             {"start_time": F.col("start_time") * factor, "end_time": F.col("end_time") * factor, **tempo}
         ),
-        events=seqs.events.withColumns({"time": F.col("time") * factor, "qpm": F.col("qpm") / factor}),
+        events=lambda: seqs.events.withColumns({"time": F.col("time") * factor, "qpm": F.col("qpm") / factor}),
     )
 
 
@@ -51,9 +51,9 @@ def pedal_changes(events: DataFrame, control_number: int, bounded: bool = False)
         .agg((F.max("cc_value") >= 64).alias("down"))
     )
     keys, block = ["seq_id", "instrument"], block_of("time", BLOCK_SECONDS, bounded)
-    states = scan(values, keys, "time", ["down"], block=block)
+    states = scan(values, keys, "time", ["down"], block=block, time="time")
     changes = states.filter(F.col("prev").isNull() | (F.col("prev.down") != F.col("down"))).drop("prev")
-    ahead = scan(changes, keys, "time", [], block=block, look_ahead=True)
+    ahead = scan(changes, keys, "time", [], block=block, look_ahead=True, time="time")
     return ahead.select(*keys, "time", "down", F.col("next.time").alias("until"))
 
 
@@ -62,7 +62,7 @@ def restrikes(notes: DataFrame, bounded: bool = False) -> DataFrame:
     keys = ["seq_id", "instrument", "pitch"]
     starts = notes.select(*keys, "start_time").distinct()
     block = block_of("start_time", BLOCK_SECONDS, bounded)
-    ahead = scan(starts, keys, "start_time", [], block=block, look_ahead=True)
+    ahead = scan(starts, keys, "start_time", [], block=block, look_ahead=True, time="start_time")
     return ahead.select(*keys, "start_time", F.col("next.start_time").alias("restrike"))
 
 
@@ -143,8 +143,8 @@ def transpose(seqs: SeqSet, **given) -> SeqSet:
     o = {**TRANSPOSE_DEFAULTS, **given}
     amount = F.lit(o["amount"])
     notes = transpose_notes(seqs.notes, amount, o["min_allowed_pitch"], o["max_allowed_pitch"], o["delete_notes"])
-    events = transpose_events(seqs.events, amount) if o["transpose_chords"] else seqs.events
-    return seqs.with_(notes=notes, events=events).without_empty()
+    moved = {"events": lambda: transpose_events(seqs.events, amount)} if o["transpose_chords"] else {}
+    return seqs.with_(notes=notes, **moved).without_empty()
 
 
 def deleted_per_sequence(

@@ -30,8 +30,8 @@ from scoreloom.operators.transform import transpose_audit
 from scoreloom.registry import apply_chain, lookup, names, ordered_steps
 from scoreloom.representations import Representation
 from scoreloom.sinks import complete, mark_complete, unmark, write_dataset, write_debug, write_splits
-from scoreloom.sources.canonical import canonicalize
-from scoreloom.sources.files import import_tree, read_entry_files
+from scoreloom.sources.canonical import canonicalize, dataset_format, to_files
+from scoreloom.sources.files import import_tree, read_entry_files, suffix
 from scoreloom.sources.index import entries_of_type, read_index
 from scoreloom.sources.tables import read_seqset, write_seqset
 
@@ -112,13 +112,15 @@ def canonicalize_datasets(
 ) -> dict[str, dict[str, Any]]:
     """Read each dataset's ``index.json`` and files, decode each file once, and write sequences and a quarantine table.
 
-    With ``debug_pattern`` the records whose id matches are written as JSON as well.
+    The report names the dataset's format, that of its first supported file by path, and says whether the files are of several. With ``debug_pattern`` the records whose id matches are written as JSON as well.
     """
 
     def run(source: Source, path: str) -> dict[str, Any]:
         root = f"{input_root}/{source.name}-{source.mode}"
         entries = entries_of_type(read_index(spark, f"{root}/index.json"), source.file_type)
         files, lost = read_entry_files(spark, entries, root)
+        # Decided on the entries alone: no file is read for it.
+        agreed = dataset_format(entries.filter("filepath is not null").withColumn("source_type", suffix(F.col("filepath")))).first()
         canonical = canonicalize(files, once=True)
         counts = write_seqset(canonical.seqs, path, "overwrite")
         if debug_pattern is not None:
@@ -128,11 +130,35 @@ def canonicalize_datasets(
         )
         failed, seen = count_elements(failed, "conversion_errors")
         failed.write.mode("overwrite").parquet(f"{path}/quarantine")
-        return {**counts, **seen.get}
+        kinds = {"format": agreed["format"], "mixed_formats": agreed["formats"] > 1, "unsupported_files": agreed["unsupported"]}
+        return {**counts, **seen.get, **kinds}
 
     return _each(spark, datasets, lambda s: f"{output_root}/canonical/{s.folder}", force_overwrite, run)
 
 
+def export_datasets(
+    spark: SparkSession,
+    input_root: str,
+    output_root: str,
+    datasets: Sequence[Source],
+    fmt: str = "json",
+    input_prefix: str = "",
+    force_overwrite: bool = False,
+) -> dict[str, dict[str, Any]]:
+    """Write each dataset's sequences back in a format that has an encoder, as the table ``exported/<dataset>`` of paths and contents.
+
+    The table has the columns of the raw files that ``canonicalize`` reads, so it can be read again as a source.
+    """
+
+    def run(source: Source, path: str) -> dict[str, Any]:
+        folder = "/".join(p for p in (input_root, source.folder, input_prefix) if p)
+        files, seen = count_elements(to_files(read_seqset(spark, folder, measure=False), fmt), "files")
+        write_dataset(files, path, True)
+        return dict(seen.get)
+
+    return _each(spark, datasets, lambda s: f"{output_root}/exported/{s.folder}", force_overwrite, run)
+
+
 def stage_counters(name: str, options: dict[str, Any], before: SeqSet, after: SeqSet) -> DataFrame:
     """``stage, metric, value``: sequences in and out, and the counters that are particular to the operator."""
     rows = stage_audit(name, before, after)
@@ -213,7 +239,7 @@ def process_datasets(
             if debug_pattern is not None:
                 write_debug(result, path, f"processors/{name}", debug_pattern)
 
-        result = apply_chain(read_seqset(spark, folder), "processor", processors, after)
+        result = apply_chain(read_seqset(spark, folder), "processor", processors, after, once=True)
         if attributes:
             result = compute_attributes(result, attributes)
             if debug_pattern is not None:

@@ -346,7 +346,8 @@ ORACLE["melody_events"] = (
         "there as (select c.*, s.num from mel_check c join sigs s using (seq_id) where reason is null)",
         """handed as (
   select t.seq_id || '#melody' || t.instrument || '@' || m0 as seq_id, kind, step - m0 as time, qpm, e.num
-    from there t join stepped e on e.seq_id = t.seq_id and step >= m0 and step < m0 + steps and e.instrument = t.instrument
+    from there t join stepped e on e.seq_id = t.seq_id and step >= m0 and step < m0 + steps
+      and case when kind = 'control' then e.instrument = t.instrument else step > m0 end
   union all select seq_id || '#melody' || instrument || '@' || m0, 'tempo', 0, 60e0, null from there
   union all select seq_id || '#melody' || instrument || '@' || m0, 'time_signature', 0, null, num from there)""",
     )
@@ -447,6 +448,14 @@ ORACLE["transpose"] = (
 IDS = """i as (
   select seq_id || '#silence@' || cast(floor(seg_start * 1e6 + 0.5e0) as bigint) as seq_id, note_idx, pitch, is_drum from seg)"""
 SILENT = (notes(), SILENCE.format(gap="3e0"), IDS)
+ORACLE["two_sources"] = (
+    with_(
+        *SILENT,
+        """d as (select seq_id, count(*) as notes,
+    case split_part(seq_id, '#', 1)::bigint % 2 when 1 then 'odd-full' else 'even-full' end as dataset from i group by seq_id)""",
+    )
+    + "select seq_id, notes, dataset, count(*) over (partition by dataset) as reported from d"
+)
 ORACLE["transpose_chords"] = (
     with_(*SILENT)
     + """select seq_id, cast(j - 1 as double) as time, ['D#', 'Am7', 'C#', 'N.C.'][j] as text
@@ -633,6 +642,20 @@ LONG = with_(notes(), quantized(), line("q"), tokens("l", chunk=256))
 ORACLE["encode_long"] = LONG + "select seq_id, chunk, held, tokens from tok"
 ORACLE["distinct_long"] = LONG + "select seq_id, chunk, tokens, 2::bigint as copies from tok"
 ORACLE["decode_long"] = with_(notes(), quantized(), line("q")) + "select seq_id, q_start, q_end, pitch from l"
+ORACLE["encode_files"] = (
+    with_(
+        VARIED,
+        "stated as (select seq_id, time from ev union all select seq_id, time from pedal)",
+        "e as (select seq_id, count(*) as events, round(sum(time), 3) as times from stated group by seq_id)",
+    )
+    + """select seq_id, count(*) as notes, sum(pitch)::bigint as pitches, round(sum(start_time), 3) as starts,
+  round(sum(end_time), 3) as ends, any_value(events) as events, any_value(times) as times from n join e using (seq_id) group by seq_id"""
+)
+ORACLE["custom_format"] = (
+    with_(notes())
+    + """select seq_id, row_number() over (partition by seq_id order by note_idx) - 1 as note_idx, pitch,
+  round(start_time, 6) as start_time, round(end_time, 6) as end_time from n"""
+)
 ORACLE["write_splits"] = (
     with_(*sliced(), tokens("l"))
     + f"select seq_id, {SPLIT} as split, tokens from tok"
@@ -642,6 +665,12 @@ ORACLE["encode_with_context"] = (
     + """select seq_id, tokens, round(pitch_range::float::double, 5) as pitch_range, round(contour::float::double, 5) as contour
 from tok join a using (seq_id)"""
 )
+ORACLE["decode_with_context"] = (
+    with_(*sliced(), BEFORE, f"a as ({attribute_select(['pitch_range', 'contour'])})")
+    + """select seq_id, 64::bigint as total_steps, count(*) as notes, sum(pitch)::bigint as pitches,
+  round(any_value(pitch_range)::float::double, 5) as pitch_range, round(any_value(contour)::float::double, 5) as contour
+from l join a using (seq_id) group by seq_id"""
+)
 ORACLE["parse_features"] = (
     with_(*sliced(), BEFORE, f"a as ({attribute_select(['contour'])})")
     + "select seq_id, round(contour::float::double, 5) as contour, -1e0 as toussaint from a"

@@ -24,7 +24,7 @@ from scoreloom.operators import (
     transform,
 )
 from scoreloom.operators import histogram as hist
-from scoreloom.plans.datasets import Source, import_datasets, represented
+from scoreloom.plans.datasets import Source, import_datasets, process_datasets, represented
 from scoreloom.registry import apply_chain, operator
 from scoreloom.representations import PitchSequence
 from scoreloom.sinks import write_dataset, write_splits
@@ -202,6 +202,60 @@ def _(spark, folder):
     return files.groupBy("source_type", fmt.alias("format")).agg(F.count(F.lit(1)).alias("files"))
 
 
+def _heights(seqs: SeqSet) -> DataFrame:
+    """What notes and stated events a set has, per sequence."""
+    notes = seqs.notes.groupBy("seq_id").agg(
+        F.count(F.lit(1)).alias("notes"), F.sum("pitch").alias("pitches"), F.round(F.sum("start_time"), 3).alias("starts"), F.round(F.sum("end_time"), 3).alias("ends")
+    )
+    events = seqs.events.groupBy("seq_id").agg(F.count(F.lit(1)).alias("events"), F.round(F.sum("time"), 3).alias("times"))
+    return notes.join(events, "seq_id")
+
+
+@query("encode_files")
+def _(spark, folder):
+    """Sequences written as JSON documents, one file's content each, and decoded again."""
+    files = canonical.to_files(plain(spark, folder, varied=True))
+    path = scratch_path(spark, "exported")
+    write_table(files, path)
+    return _heights(canonical.canonicalize(spark.read.parquet(path), once=True).seqs)
+
+
+@query("custom_format")
+def _(spark, folder):
+    """A user's own format, one line per note, through a registered encoder and decoder."""
+
+    def render(document: dict) -> bytes:
+        return "\n".join(f"{n['pitch']} {n['start']!r} {n['end']!r}" for n in document["notes"]).encode()
+
+    def parse(content: bytes) -> dict:
+        lines = [line.split(" ") for line in content.decode().split("\n")]
+        return {"notes": [{"pitch": int(p), "start": float(a), "end": float(b)} for p, a, b in lines]}
+
+    operator("encoder", "lines", suffix=".lines")(canonical.bytes_encoder(render))
+    operator("decoder", "lines", suffixes=(".lines",))(canonical.bytes_decoder(parse))
+    files = canonical.to_files(plain(spark, folder), "lines")
+    return timed(canonical.canonicalize(files, once=True).seqs)
+
+
+@query("two_sources")
+def _(spark, folder):
+    """One job over two datasets, each with its own folder of input and output."""
+    path = scratch_path(spark, "sources")
+    seqs = plain(spark, folder)
+    given = [Source("odd"), Source("even")]
+    for source, rest in zip(given, (1, 0)):
+        part = F.col("seq_id").cast("bigint") % 2 == rest
+        write_seqset(SeqSet(seqs.sequences.filter(part), seqs.notes.filter(part), seqs.events.filter(part)), f"{path}/canonical/{source.folder}")
+    config = {"silence_splitter": {"order": 1, "gap_seconds": 3.0}}
+    report = process_datasets(spark, f"{path}/canonical", path, given, config, "segments")
+    made = [
+        per_sequence.withColumns({"dataset": F.lit(source.folder), "reported": F.lit(report[source.folder]["sequences"]).cast("bigint")})
+        for source in given
+        for per_sequence in [read_seqset(spark, report[source.folder]["path"], measure=False).notes.groupBy("seq_id").agg(F.count(F.lit(1)).alias("notes"))]
+    ]
+    return made[0].unionByName(made[1])
+
+
 @query("write_splits")
 def _(spark, folder):
     path = scratch_path(spark, "splits")
@@ -417,7 +471,7 @@ def _(spark, folder):
 def _(spark, folder):
     """A chain's result written as three tables and read again."""
     path = scratch_path(spark, "processed")
-    write_seqset(apply_chain(plain(spark, folder, varied=True), "processor", CHAIN), path)
+    write_seqset(apply_chain(plain(spark, folder, varied=True), "processor", CHAIN, once=True), path)
     seqs = read_seqset(spark, path)
     stated = seqs.events.groupBy("seq_id").agg(F.count_if(F.col("kind").isin("tempo", "time_signature")).alias("stated"))
     return per_slice(seqs).join(seqs.sequences.select("seq_id"), "seq_id").join(stated, "seq_id")
@@ -635,6 +689,15 @@ def _(spark, folder):
     return as_text(with_context(spark, folder)).select("seq_id", "tokens", *values)
 
 
+@query("decode_with_context")
+def _(spark, folder):
+    """Notes and stored attributes of decoded examples."""
+    seqs = represent.decode_sequences(with_context(spark, folder))
+    notes = seqs.notes.groupBy("seq_id").agg(F.count(F.lit(1)).alias("notes"), F.sum("pitch").alias("pitches"))
+    values = [F.round(F.col(a).cast("double"), 5).alias(a) for a in CONTEXT]
+    return seqs.sequences.select("seq_id", "total_steps", *values).join(notes, "seq_id")
+
+
 @query("parse_features")
 def _(spark, folder):
     parsed = represent.parse(with_context(spark, folder), ["contour", "toussaint"], -1.0)

@@ -9,7 +9,7 @@ from typing import Any
 
 from scoreloom.model import SeqSet
 
-KINDS = ("processor", "attribute", "augmenter", "decoder", "representation")
+KINDS = ("processor", "attribute", "augmenter", "decoder", "encoder", "representation")
 
 
 @dataclass(frozen=True)
@@ -74,18 +74,24 @@ def ordered_steps(config: Steps) -> list[tuple[str, dict[str, Any]]]:
 
 
 def apply_chain(
-    seqs: SeqSet, kind: str, config: Steps, after: Callable[[str, dict, SeqSet, SeqSet], None] | None = None
+    seqs: SeqSet,
+    kind: str,
+    config: Steps,
+    after: Callable[[str, dict, SeqSet, SeqSet], None] | None = None,
+    once: bool = False,
 ) -> SeqSet:
     """Apply the configured operators of one kind in order. ``after`` is shown each step's input and output.
 
     The chain is one lazy plan where sequences are known to be small. Where they are not, operators read their
-    input more than once, so each step is settled in the shared folder before the next.
+    input more than once, so each step is settled in the shared folder before the next. With ``once`` this is always done: a
+    job that goes on to use all three tables then runs each step a single time, where a lazy plan would be run again
+    for each table, and for each use of a table by a later step.
     """
 
     def step(current: SeqSet, item: tuple[str, dict[str, Any]]) -> SeqSet:
         op = lookup(kind, item[0])
         result = op.fn(current, **op.options(item[1]))
-        result = result if result.bounded else result.settled()
+        result = result.settled() if once or not result.bounded else result
         if after:
             after(item[0], op.options(item[1]), current, result)
         return result

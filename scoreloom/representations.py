@@ -59,3 +59,7 @@ class PitchSequence:
 
     def decode(self, examples: DataFrame) -> DataFrame:
         return represent.decode(examples, self.chunk_steps)
+
+    def decode_sequences(self, examples: DataFrame) -> SeqSet:
+        """Notes, and headers with the attributes that the examples keep."""
+        return represent.decode_sequences(examples, self.chunk_steps)

@@ -1,4 +1,4 @@
-"""Turn raw files into sequences: choose a decoder by file suffix, decode, set failures apart."""
+"""Turn raw files into sequences and back: choose a decoder by file suffix, decode, set failures apart; encode in a format."""
 
 from __future__ import annotations
 
@@ -55,10 +55,14 @@ def format_of(source_type: Column) -> Column:
 
 
 def dataset_format(files: DataFrame) -> DataFrame:
-    """One row on whether all files agree on a format: ``format, formats, unsupported``."""
+    """One row on whether all files agree on a format: ``format, formats, unsupported``.
+
+    The format is that of the first file by path that has one.
+    """
     fmt = format_of(F.col("source_type"))
+    first = F.min(F.when(fmt.isNotNull(), F.struct("filepath", fmt.alias("format"))))
     return files.agg(
-        F.min(fmt).alias("format"),
+        first["format"].alias("format"),
         F.count_distinct(fmt).alias("formats"),
         F.count_if(fmt.isNull()).alias("unsupported"),
     )
@@ -185,3 +189,64 @@ def to_tables(decoded: DataFrame) -> SeqSet:
     return SeqSet(
         sequences.select(*SEQUENCES.names), notes.select(*NOTES.names), events.select(*EVENTS.names)
     )
+
+
+def documents(seqs: SeqSet) -> DataFrame:
+    """``seq_id, document``: each sequence's notes and events as the nested value that decoders deliver, all in one exchange.
+
+    A file holds a whole sequence, so its document is one value: this is the one place where a sequence is gathered.
+    """
+    note = F.struct("note_idx", "pitch", "velocity", F.col("start_time").alias("start"), F.col("end_time").alias("end"), "instrument", "program", "is_drum")
+    lists = {
+        "tempos": ("tempo", F.struct("time", "qpm")),
+        "time_signatures": ("time_signature", F.struct("time", "num", "den")),
+        "controls": ("control", F.struct("time", F.col("cc_number").alias("number"), F.col("cc_value").alias("value"), "instrument")),
+        "chords": ("chord", F.struct("time", "text")),
+    }
+    events = [F.when(F.col("kind") == kind, value).alias(name) for name, (kind, value) in lists.items()]
+    rows = seqs.sequences.select("seq_id").unionByName(seqs.notes.select("seq_id", note.alias("notes")), allowMissingColumns=True)
+    rows = rows.unionByName(seqs.events.select("seq_id", *events), allowMissingColumns=True)
+    # Missing values are not collected: each row adds to one list at most.
+    whole = rows.groupBy("seq_id").agg(*[F.sort_array(F.collect_list(name)).alias(name) for name in ("notes", *lists)])
+    in_order = F.transform("notes", lambda n: n.dropFields("note_idx"))
+    return whole.select("seq_id", F.struct(in_order.alias("notes"), *lists).cast(DOCUMENT).alias("document"))
+
+
+@operator("encoder", "json", suffix=".json")
+def encode_json(documents: DataFrame) -> DataFrame:
+    """Note documents in JSON, as ``decode_json`` reads them: ``content`` in place of ``document``."""
+    return documents.withColumn("content", F.encode(F.to_json("document"), "UTF-8")).drop("document")
+
+
+def bytes_encoder(render: Callable[[dict], bytes]) -> Callable[[DataFrame], DataFrame]:
+    """An encoder from a function of one document, as a dict, that returns a file's bytes.
+
+    For binary formats, the counterpart of ``bytes_decoder``. Register it with its suffix, as
+    ``operator("encoder", "midi", suffix=".mid")(bytes_encoder(render))``. A document that it fails on stops the job.
+    """
+
+    def encode(documents: DataFrame) -> DataFrame:
+        def batches(frames: Iterator) -> Iterator:
+            for frame in frames:
+                yield frame.drop(columns=["_text"]).assign(content=[render(json.loads(text)) for text in frame["_text"]])
+
+        kept = [f for f in documents.schema.fields if f.name != "document"]
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", content binary"
+        return documents.select(*[f.name for f in kept], F.to_json("document").alias("_text")).mapInPandas(batches, schema)
+
+    return encode
+
+
+def to_files(seqs: SeqSet, fmt: str = "json") -> DataFrame:
+    """The sequences as files of a format: ``seq_id, filepath, source_type, collection_name, metadata_json, content``.
+
+    The columns are those that ``canonicalize`` reads. A file is named after its sequence's file, with the format's suffix, or
+    after its id if there is none.
+    """
+    encoder = lookup("encoder", fmt)
+    suffix = encoder.defaults["suffix"]
+    headers = seqs.sequences.select("seq_id", "filepath", "collection_name", "metadata_json")
+    stem = F.regexp_replace(F.coalesce("filepath", "seq_id"), r"\.[^./]+$", "")
+    headers = headers.withColumns({"filepath": F.concat(stem, F.lit(suffix)), "source_type": F.lit(suffix)})
+    columns = ["seq_id", "filepath", "source_type", "collection_name", "metadata_json", "content"]
+    return encoder.fn(documents(seqs)).join(headers, "seq_id").select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,13 +99,13 @@ def varied_events(headers: DataFrame, events: DataFrame) -> DataFrame:
 def read_events(spark: SparkSession, folder: str, *, varied: bool = False, few_pitches: bool = False) -> SeqSet:
     """Sequences from ``<folder>/events.parquet``, plain or with the changes of ``varied_events``."""
     events = spark.read.parquet(f"{folder}/events.parquet")
-    notes = notes_of(events, few_pitches)
-    headers = headers_of(notes)
+    original = notes = notes_of(events, few_pitches)
+    headers = functools.cache(lambda: headers_of(original))
     # A sequence has one note and at most one pedal event per instrument for each row of its user.
     largest = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)))
     rows = largest.first()[0]
     if not varied:
-        return SeqSet(headers, notes, plain_events(headers), max_rows=rows + 2)
+        return SeqSet(headers, notes, lambda: plain_events(headers()), max_rows=rows + 2)
     # The first note of every seventeenth user is moved before time 0.
     first = notes.groupBy("seq_id").agg(F.min("note_idx").alias("note_idx"), F.lit(10.0).alias("_early"))
     first = first.filter(F.col("seq_id").cast("bigint") % 17 == 0)
@@ -113,4 +115,4 @@ def read_events(spark: SparkSession, folder: str, *, varied: bool = False, few_p
             "end_time": F.col("end_time") - F.coalesce("_early", F.lit(0.0)),
         }
     ).drop("_early")
-    return SeqSet(headers, notes, varied_events(headers, events), max_rows=rows * (1 + len(INSTRUMENTS)) + 4)
+    return SeqSet(headers, notes, lambda: varied_events(headers(), events), max_rows=rows * (1 + len(INSTRUMENTS)) + 4)

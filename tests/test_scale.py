@@ -9,12 +9,15 @@ from build import rows
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from scoreloom.functions import ordered
 from scoreloom.functions.ordered import asof, scan
 from scoreloom.model import SeqSet
 from scoreloom.operators import attributes, melody, quantize, represent, slicing, split, transform
+from scoreloom.plans.datasets import Source, process_datasets
 from scoreloom.plans.queries import CHAIN, MELODIES, SLICES
-from scoreloom.registry import apply_chain
+from scoreloom.registry import apply_chain, operator
 from scoreloom.sources.events import headers_of, plain_events, read_events
+from scoreloom.sources.tables import read_seqset, write_seqset
 
 
 def plan(df) -> str:
@@ -150,3 +153,97 @@ def test_asof_matches_plain_windows(spark, data):
     for size in (0.5, 30.0, 1000.0):
         found = asof(notes, marks, **options, block_seconds=size, rows_per_part=5)
         assert rows(found, "seq_id", "note_idx", "match") == plain
+
+
+@pytest.fixture
+def crowded(spark):
+    """A hundred thousand notes of one sequence within a second, some at the same time, and as many marks."""
+    notes = spark.range(100_000).select(
+        F.lit("s").alias("seq_id"), F.col("id").alias("note_idx"), (F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)).alias("start_time")
+    )
+    same = spark.range(100_000, 103_000).select(F.lit("s").alias("seq_id"), F.col("id").alias("note_idx"), F.lit(0.5).alias("start_time"))
+    marks = spark.range(60_000).select(F.lit("s").alias("seq_id"), (F.col("id") / 60_000 + 0.1).alias("time"), F.col("id").alias("mark"))
+    few = spark.createDataFrame([("t", 1, 0.25), ("t", 2, 40.0), (None, 3, 0.5)], "seq_id string, note_idx long, start_time double")
+    return notes.unionByName(same).unionByName(few).cache(), marks.cache()
+
+
+def test_dense_blocks_are_cut_again(crowded, monkeypatch):
+    notes, marks = crowded
+    monkeypatch.setattr(ordered, "DENSE_ROWS", 4_000)
+    blocked = notes.withColumn("_block", F.floor(F.col("start_time") / 16))
+    (cut,) = ordered.cut_dense([blocked], ["seq_id"], "start_time")
+    sizes = cut.groupBy("seq_id", "_block").count().collect()
+    assert max(r["count"] for r in sizes) <= 7_500 and len(sizes) > 20
+    assert cut.count() == notes.count() and cut.columns == blocked.columns
+    sparse = blocked.filter("seq_id = 't'")
+    assert ordered.cut_dense([sparse], ["seq_id"], "start_time") == [sparse]
+
+
+def test_asof_and_scan_in_dense_blocks(crowded, monkeypatch):
+    notes, marks = crowded
+    sums = [F.count("*"), F.sum("note_idx"), F.sum(F.xxhash64("note_idx", "found") % 1000)]
+    options = dict(keys=["seq_id"], left_time="start_time", right_time="time", values=["mark"], name="found")
+    plain = asof(notes, marks, **options, bounded=True).agg(*sums).first()
+    starts = marks.withColumn("end", F.col("time") + F.pmod(F.xxhash64("mark"), F.lit(97)) / 10_000)
+    scanned = dict(keys=["seq_id"], order="time", state=["mark"], look_ahead=True, reach="end")
+    seen = [F.count("*"), F.sum(F.xxhash64("mark", "prev", "next", "reach") % 1000)]
+    whole = scan(starts, **scanned).agg(*seen).first()
+    monkeypatch.setattr(ordered, "DENSE_ROWS", 4_000)
+    assert asof(notes, marks, **options, rows_per_part=2_000).agg(*sums).first() == plain
+    assert scan(starts, **scanned, block=F.floor(F.col("time") / 16), time="time").agg(*seen).first() == whole
+
+
+def test_events_that_nobody_reads_are_never_built(spark, data, monkeypatch):
+    def built(*_):
+        raise AssertionError("built")
+
+    for module, name in ((melody, "melody_events"), (slicing, "slice_events"), (split, "change_events")):
+        monkeypatch.setattr(module, name, built)
+    seqs = apply_chain(read_events(spark, data, varied=True), "processor", CHAIN)
+    assert seqs.notes.count() > 0
+    assert attributes.attribute_table(seqs, ["contour"]).count() > 0
+    with pytest.raises(AssertionError, match="built"):
+        seqs.events
+
+
+def test_tables_are_made_once(spark):
+    calls = []
+
+    def table():
+        calls.append(1)
+        return spark.range(1)
+
+    seqs = SeqSet(table, table, table)
+    assert not calls
+    again = seqs.with_(max_rows=3)
+    assert again.notes is seqs.notes and len(calls) == 1
+    assert again.max_rows == 3 and again.with_(notes=spark.range(2)).notes.count() == 2
+    assert len(calls) == 1
+
+
+def test_a_job_runs_each_step_once(spark, data, tmp_path):
+    """Three tables are written, and used again by later steps; a user's step still sees each note once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @operator("processor", "counting")
+    def counting(seqs: SeqSet) -> SeqSet:
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        counted = seqs.notes.withColumns({"parent_id": F.col("seq_id"), "start_offset": F.lit(0.0)})
+        return SeqSet.derived(
+            counted.mapInArrow(count, counted.schema),
+            lambda made: seqs.sequences.join(made.select("seq_id").distinct(), "seq_id", "left_semi"),
+            lambda made: seqs.events.join(made.select("seq_id").distinct(), "seq_id", "left_semi"),
+            max_rows=seqs.max_rows,
+        )
+
+    write_seqset(read_events(spark, data), str(tmp_path / "in" / "a-full"))
+    chain = [("counting", {}), ("quantizer", {}), ("melody_extractor", {"min_bars": 1}), ("slicer", {})]
+    report = process_datasets(spark, str(tmp_path / "in"), str(tmp_path), [Source("a")], chain, "out")["a-full"]
+    assert seen.value == read_events(spark, data).notes.count()
+    made = read_seqset(spark, report["path"], measure=False)
+    assert made.sequences.count() == report["sequences"] == made.notes.select("seq_id").distinct().count()
+    assert made.events.join(made.sequences, "seq_id", "left_anti").count() == 0
