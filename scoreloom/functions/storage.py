@@ -35,6 +35,14 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists", partition
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def rows_written(spark: SparkSession, path: str) -> int:
+    """Rows of a written table, from its files' footers.
+
+    Unlike a count that tasks add up while they write, it says nothing twice for a task that was run again.
+    """
+    return spark.read.parquet(path).count()
+
+
 def settled(df: DataFrame, name: str = "settled") -> DataFrame:
     """The same rows, written once to the shared folder and read back.
 

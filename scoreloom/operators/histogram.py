@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scoreloom.functions.storage import settled
 from scoreloom.model import ATTRIBUTES
 
 DEFAULT_BINS = (30,)
@@ -29,12 +30,12 @@ def histogram(
     """``metric, bins, bin, lo, hi, count`` with every bin of every metric, empty ones too.
 
     Bins have equal width over [min, max] and the last is closed; if min equals max the range is widened by
-    half on both sides. The values are first counted, then binned, so what is shuffled is one row per distinct
-    value and the two passes over it (range, bins) share that exchange.
+    half on both sides. The values are counted in one pass over the table, and the counts, a row per distinct value, are
+    written; ranges and bins come from those, so the table is not read again.
     """
     if not bins or min(bins) < 1:
         raise ValueError("bins must be positive")
-    counted = attribute_values(table, attributes).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = settled(attribute_values(table, attributes).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n")), "counted")
     low, high = F.min("value"), F.max("value")
     pad = F.when(low == high, 0.5).otherwise(0.0)
     # One row per metric, of which there are at most as many as attributes: safe to broadcast.

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import scoreloom.operators  # noqa: F401  (registers the operators)
+from scoreloom.functions.storage import rows_written
 from scoreloom.model import SeqSet
 from scoreloom.operators.attributes import compute_attributes
-from scoreloom.operators.audit import count_elements, stage_audit
+from scoreloom.operators.audit import stage_audit
 from scoreloom.operators.augment import DEFAULT_SEED, assign_splits, augment_audit, check_ratios, original_id, split_of
 from scoreloom.operators.distinct import distinct_examples, distinct_sequences
 from scoreloom.operators.histogram import DEFAULT_BINS, histogram
@@ -31,7 +32,7 @@ from scoreloom.registry import apply_chain, lookup, names, ordered_steps
 from scoreloom.representations import Representation
 from scoreloom.sinks import complete, mark_complete, unmark, write_dataset, write_debug, write_splits
 from scoreloom.sources.canonical import canonicalize, dataset_format, to_files
-from scoreloom.sources.files import import_tree, read_entry_files, suffix
+from scoreloom.sources.files import binary_files, import_tree, read_entry_files, suffix
 from scoreloom.sources.index import entries_of_type, read_index
 from scoreloom.sources.tables import read_seqset, write_seqset
 
@@ -92,12 +93,12 @@ def import_datasets(
     """
 
     def run(source: Source, path: str) -> dict[str, Any]:
-        files = import_tree(spark, f"{input_root}/{source.name}-{source.mode}", checksums, True)
-        seen = Observation("imported")
-        wrong = F.count_if(~F.col("checksum_ok"))
-        files = files.observe(seen, F.count(F.lit(1)).alias("files"), wrong.alias("invalid_checksums"))
-        write_dataset(files if allow_invalid_checksum else files.filter("checksum_ok"), path, True)
-        return dict(seen.get)
+        root = f"{input_root}/{source.name}-{source.mode}"
+        write_dataset(import_tree(spark, root, checksums, allow_invalid_checksum), path, True)
+        # Contents are not read again for these counts.
+        total = binary_files(spark, root).count()
+        wrong = spark.read.parquet(path).filter("not checksum_ok").count() if allow_invalid_checksum else total - rows_written(spark, path)
+        return {"files": total, "invalid_checksums": wrong}
 
     return _each(spark, datasets, lambda s: f"{output_root}/raw/{s.folder}", force_overwrite, run)
 
@@ -128,10 +129,9 @@ def canonicalize_datasets(
         failed = canonical.quarantine.select("seq_id", "filepath", "error").unionByName(
             lost.select("seq_id", "filepath", "error")
         )
-        failed, seen = count_elements(failed, "conversion_errors")
         failed.write.mode("overwrite").parquet(f"{path}/quarantine")
         kinds = {"format": agreed["format"], "mixed_formats": agreed["formats"] > 1, "unsupported_files": agreed["unsupported"]}
-        return {**counts, **seen.get, **kinds}
+        return {**counts, "conversion_errors": rows_written(spark, f"{path}/quarantine"), **kinds}
 
     return _each(spark, datasets, lambda s: f"{output_root}/canonical/{s.folder}", force_overwrite, run)
 
@@ -152,9 +152,8 @@ def export_datasets(
 
     def run(source: Source, path: str) -> dict[str, Any]:
         folder = "/".join(p for p in (input_root, source.folder, input_prefix) if p)
-        files, seen = count_elements(to_files(read_seqset(spark, folder, measure=False), fmt), "files")
-        write_dataset(files, path, True)
-        return dict(seen.get)
+        write_dataset(to_files(read_seqset(spark, folder, measure=False), fmt), path, True)
+        return {"files": rows_written(spark, path)}
 
     return _each(spark, datasets, lambda s: f"{output_root}/exported/{s.folder}", force_overwrite, run)
 
@@ -246,13 +245,15 @@ def process_datasets(
                 write_debug(result, path, "attributes", debug_pattern)
         report = {}
         if distinct:
-            before, seen = count_elements(result.sequences, "total_sequences")
-            result = distinct_sequences(result.with_(sequences=before))
+            result = result.settled()
+            report["total_sequences"] = result.sequences.count()
+            result = distinct_sequences(result)
         counts = write_seqset(result, path, "overwrite")
-        report["total_sequences"] = seen.get["total_sequences"] if distinct else counts["sequences"]
         if distinct:
             report["distinct_sequences"] = counts["sequences"]
             report |= duplicates(report["total_sequences"], counts["sequences"])
+        else:
+            report["total_sequences"] = counts["sequences"]
         if audits:
             reduce(DataFrame.unionByName, audits).write.mode("overwrite").parquet(f"{path}/audit")
         return {**counts, **report}
@@ -405,8 +406,7 @@ def histogram_datasets(
 
     def run(source: Source, path: str) -> dict[str, Any]:
         headers = spark.read.parquet(f"{root}/{source.folder}/{input_prefix}/sequences")
-        rows, seen = count_elements(histogram(headers, attributes, bins), "bins")
-        write_dataset(rows, path, True)
-        return dict(seen.get)
+        write_dataset(histogram(headers, attributes, bins), path, True)
+        return {"bins": rows_written(spark, path)}
 
     return _each(spark, datasets, lambda s: f"{root}/{s.folder}/{input_prefix}/histograms", force_overwrite, run)

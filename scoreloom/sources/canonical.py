@@ -112,12 +112,11 @@ def bytes_decoder(parse: Callable[[bytes], dict]) -> Callable[[DataFrame], DataF
     return decode
 
 
-def canonicalize(files: DataFrame, once: bool = False) -> Canonical:
-    """Decode files (``seq_id, filepath, source_type, collection_name, metadata_json, content``).
+def decoded(files: DataFrame) -> DataFrame:
+    """Files with their ``document``, or the ``error`` that kept it from being read; contents are left out.
 
-    Files of unsupported types, of formats without a registered decoder, and files a decoder fails on go to
-    the quarantine; none of them fails the job. Four tables come from the decoded files: with ``once`` these are written
-    to the shared folder first, so that each file is read and decoded a single time.
+    Files of unsupported types, of formats without a registered decoder, and files a decoder fails on have an error; none of
+    them fails the job.
     """
     tagged = files.withColumn("_format", format_of(F.col("source_type")))
     known = [name for name in formats() if name in names("decoder")]
@@ -132,12 +131,32 @@ def canonicalize(files: DataFrame, once: bool = False) -> Canonical:
     for name in known:
         part = lookup("decoder", name).fn(tagged.filter(F.col("_format") == name))
         outcome = outcome.unionByName(part.select(*columns))
-    if once:
-        outcome = settled(outcome, "decoded")
+    return outcome
+
+
+def document_key() -> Column:
+    """Equal for documents with the same notes and events in any order: a hash of all lists, sorted."""
+    document = F.col("document").cast(DOCUMENT)
+    lists = ("notes", "tempos", "time_signatures", "controls", "chords")
+    return F.sha2(F.to_json(F.struct(*[F.sort_array(document[name]).alias(name) for name in lists])), 256)
+
+
+def separated(outcome: DataFrame) -> Canonical:
+    """The sequences of decoded files, and those that could not be decoded."""
     quarantine = outcome.filter("error is not null").select("seq_id", "filepath", "source_type", "error")
     return Canonical(to_tables(outcome.filter("error is null")), quarantine)
 
 
+def canonicalize(files: DataFrame, once: bool = False) -> Canonical:
+    """Decode files (``seq_id, filepath, source_type, collection_name, metadata_json, content``).
+
+    Files that cannot be decoded go to the quarantine. Four tables come from the decoded files: with ``once`` these are written
+    to the shared folder first, so that each file is read and decoded a single time.
+    """
+    outcome = decoded(files)
+    return separated(settled(outcome, "decoded") if once else outcome)
+
+
 def to_tables(decoded: DataFrame) -> SeqSet:
     """The three flat tables of decoded documents."""
     doc = F.col("document")

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scoreloom.functions.storage import write_table
+from scoreloom.functions.storage import rows_written, write_table
 from scoreloom.model import ROOT, SeqSet
-from scoreloom.operators import audit
 
 TABLES = ("sequences", "notes", "events")
 
 
 def write_seqset(seqs: SeqSet, path: str, mode: str = "errorifexists") -> dict[str, int]:
-    """Write the three tables and return how many rows each got, counted while they were written."""
+    """Write the three tables and return how many rows each has, by the files that were committed."""
     counts = {}
     for name in TABLES:
-        rows, seen = audit.count_elements(getattr(seqs, name).drop(ROOT), name)
-        write_table(rows, f"{path}/{name}", mode)
-        counts[name] = seen.get[name]
+        write_table(getattr(seqs, name).drop(ROOT), f"{path}/{name}", mode)
+        counts[name] = rows_written(seqs.notes.sparkSession, f"{path}/{name}")
     return counts
 
 
