@@ -39,7 +39,7 @@ LEAST = 30
 WORDS = 4
 # Code points of text that are split at once; words of a chunk, and distinct words and bytes of them, before it is written.
 SLICE = 1 << 18
-CHUNK_WORDS = 1 << 20
+CHUNK_WORDS = 1 << 22
 CHUNK_DISTINCT = 1 << 18
 CHUNK_BYTES = 1 << 24
 # Cells per word of the corpus, as a power of two; cells met in one bucket.
@@ -111,7 +111,7 @@ def chunked(docs: DataFrame) -> DataFrame:
                 chunk = held.setdefault(lang, Chunk())
                 chunk.add(text)
                 # Many languages share what one may hold.
-                over = sum(c.words for c in held.values()) >= 4 * CHUNK_WORDS or sum(c.size for c in held.values()) >= 4 * CHUNK_BYTES
+                over = sum(c.words for c in held.values()) >= 2 * CHUNK_WORDS or sum(c.size for c in held.values()) >= 4 * CHUNK_BYTES
                 for name in list(held) if over else [lang] if chunk.full else []:
                     yield row(number, name, held.pop(name))
                     number += 1
