@@ -46,7 +46,7 @@ PAIRS = np.array([[0, 1], [0, 2], [1, 2]])
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # Signatures that a task holds before it sends them out, those that meet in a range, and bits sent beyond their number's.
 HELD = 1 << 20
-RANGE = 1 << 23
+RANGE = 1 << 20
 SPARE_BITS = 10
 # Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
 STAR_ROUNDS = 2
