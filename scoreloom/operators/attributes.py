@@ -72,11 +72,11 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 @operator("attribute", "toussaint", bars=2, binary=True)
 def toussaint(bars: int = 2, binary: bool = True) -> Column:
-    """Share of the metrical weight of ``bars`` bars that falls on onsets."""
+    """Share of the metrical weight of ``bars`` bars that falls on onsets; null where no onset lies in them, as in SQL a sum of nothing."""
     weights = _weights(binary)
     weight = F.get(F.array(*map(F.lit, weights)), (grid_position(F.col("q_start"), len(weights)) % len(weights)).cast("int"))
     taken = F.sum(F.when(on_grid(bars, len(weights)), weight))
-    return _ratio(F.coalesce(taken, F.lit(0)), F.lit(bars * sum(weights)))
+    return F.try_divide(taken.cast("double"), F.lit(float(bars * sum(weights))))
 
 
 @operator("attribute", "note_density", bars=2, binary=True)

@@ -338,6 +338,13 @@ def test_attributes_of_a_single_note_and_of_none(spark):
     ]
 
 
+def test_toussaint_of_bars_without_an_onset(spark):
+    """A sequence that starts after the bars that are weighed, as user 1378 of sf0.1 does: SQL sums nothing there."""
+    seqs = grid(spark, [n("late", 64, 66, 60), n("in time", 63, 66, 60)], total_steps=80)
+    table = attributes.attribute_table(seqs, {"toussaint": {"bars": 4}, "note_density": {"bars": 4}})
+    assert rows(table, "seq_id", "toussaint", "note_density") == [("in time", 0.00806, 0.01563), ("late", None, 0.0)]
+
+
 def test_attribute_options(spark):
     seqs = grid(spark, [n("a", 0, 1, 60), n("a", 1, 2, 61), n("a", 2, 3, 61)])
     one = attributes.attribute_table(seqs, {"note_change_ratio": {"round_digits": 1, "order": 3}})
