@@ -5,12 +5,15 @@ k following from the band's largest size. The domain of elements is cut by hash
 differ in one element at most. Each part is cut into three; of these, the sets agree on two. A signature is the hash of
 what a set has in one of the three pairs of such a part: similar sets share one.
 
-Signatures that occur once tell nothing. To find the others, each task sends out the high bits of its signatures, sorted and
-as differences, by ranges in which those of all tasks meet. Only signatures that occur again are given with their sets.
-
-Nothing is emitted for all pairs of a signature's sets. Each set is first compared with one leader per signature, and linked
-sets are joined to components; then again with better leaders. Only sets that then share a signature but no component are compared with one
-another, after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
+Signatures that occur once tell nothing. The signatures of many sets are a chunk, a row of a table bucketed by chunk. To find those
+that occur again, each chunk sends out the high bits of its signatures, sorted and as differences, by ranges in which those of all
+chunks meet. A bit for each goes back to the chunk, and only signatures that occur again leave it with their sets. Signatures of the same
+sets tell the same, so one of them is kept.
+
+Nothing is emitted for all pairs of a signature's sets. In each signature the set that shares most with others leads, and each set is
+compared with one of its leaders, so a round has no more pairs than sets. Linked sets are joined to components; then again with leaders of other
+components. Only sets that then share a signature but no component are compared with one another,
+after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
 of similar sets differ in at most k bits. For large sets that says little, so pairs that are left are compared by sketches of at least
 4 k bits. All filters are exact; every link between components is verified on whole sets, which are built for the pairs that pass.
 
@@ -20,17 +23,19 @@ equal with a probability of n² / 2⁶⁵.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.storage import settled
-from scoreloom.llm.common import few, from_gaps, gaps, lookup, small_batches, text_slices, unused, whole_text
+from scoreloom.functions.storage import scratch_path, settled
+from scoreloom.llm.common import few, from_gaps, from_planes, gaps, lookup, planes, small_batches, text_slices, unused, whole_text
 from scoreloom.llm.components import connected_components
 
 CHUNK = 1 << 20
@@ -41,15 +46,17 @@ SKETCHED_SETS = 200_000
 BAND = 2
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
 SHARED_SIGNATURES = 2_000_000
+# Bits of a signature that are kept: two that agree in these make a candidate, which is verified like any other.
+SIGNATURE_BITS = 62
 # The pairs of the three pieces of a part, and numbers that tell first and second apart.
 PAIRS = np.array([[0, 1], [0, 2], [1, 2]])
 FIRST, SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-# Signatures that a task holds before it sends them out, those that meet in a range, and bits sent beyond their number's.
+# Signatures of a chunk, those that meet in a range, and bits sent beyond their number's.
 HELD = 1 << 20
 RANGE = 1 << 20
 SPARE_BITS = 10
-# Rounds in which the set with the most links leads. They only spare comparisons: what they don't join is compared afterwards.
-STAR_ROUNDS = 2
+# Rounds in which sets are compared with a leader. They only spare comparisons: what they don't join is compared afterwards.
+STAR_ROUNDS = 3
 MASK = (1 << 64) - 1
 
 
@@ -180,57 +187,79 @@ class Join:
                     seen.add(name)
                     yield name, elements
 
-    def met_again(self, texts: DataFrame, bits: int, range_bits: int) -> DataFrame:
-        """``cell`` of the signatures that occur more than once, by their highest ``bits`` bits. Equal sets of two tasks count as two."""
-        shift = np.uint64(64 - bits)
+    def chunks(self, texts: DataFrame) -> DataFrame:
+        """``chunk, ids, owners, signatures``: the sorted signatures of many sets, and for each the place of its set's id. Equal sets of two tasks count as two."""
 
-        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, size = [], 0
-
-            def flush() -> pa.RecordBatch:
-                cells, counts = np.unique(np.concatenate(held), return_counts=True)
-                ranges, firsts = np.unique(cells >> (bits - range_bits), return_index=True)
-                again = [np.packbits(n > 1).tobytes() for n in np.split(counts, firsts[1:])]
-                columns = [pa.array(ranges), pa.array([gaps(c) for c in np.split(cells, firsts[1:])], pa.binary()), pa.array(again, pa.binary())]
-                return pa.RecordBatch.from_arrays(columns, names=["range", "cells", "again"])
-
-            for _, elements in self.each_set(batches):
-                held.append((self.signatures(elements) >> shift).astype(np.int64))
-                size += len(held[-1])
+        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            number, ids, held, size = TaskContext.get().partitionId() << 32, [], [], 0
+
+            def row() -> pa.RecordBatch:
+                signatures = (np.concatenate(held) >> np.uint64(64 - SIGNATURE_BITS)).astype(np.int64)
+                order = np.argsort(signatures)
+                owners = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x) for x in held])[order]
+                values = [np.array(ids, np.int64).tobytes(), planes(owners), gaps(signatures[order])]
+                columns = [pa.array([number], pa.int64()), *[pa.array([v], pa.binary()) for v in values]]
+                return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "owners", "signatures"])
+
+            for name, elements in self.each_set(batches):
+                signatures = self.signatures(elements)
+                if len(signatures):
+                    ids.append(name)
+                    held.append(signatures)
+                    size += len(signatures)
                 if size >= HELD:
-                    yield flush()
-                    held, size = [], 0
+                    yield row()
+                    number, ids, held, size = number + 1, [], [], 0
             if size:
-                yield flush()
+                yield row()
+
+        spark, name = texts.sparkSession, f"signatures_{uuid.uuid4().hex}"
+        made = texts.select("text").mapInArrow(sign, "chunk bigint, ids binary, owners binary, signatures binary")
+        written = made.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+        written.option("path", scratch_path(spark, "signatures")).saveAsTable(name)
+        return spark.table(name)
+
+    @staticmethod
+    def signed(chunks: DataFrame, bits: int, range_bits: int) -> DataFrame:
+        """``signature, set_id`` of the signatures whose highest ``bits`` bits occur more than once; rows may repeat."""
+
+        def cells_of(signatures: bytes) -> tuple[np.ndarray, ...]:
+            """The cells of a chunk, where each signature's is, how many it has, and the ranges of cells and where they start."""
+            cells, place, counts = np.unique(from_gaps(signatures) >> (SIGNATURE_BITS - bits), return_inverse=True, return_counts=True)
+            return cells, place, counts, *np.unique(cells >> (bits - range_bits), return_index=True)
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for chunk, signatures in zip(batch.column("chunk").to_pylist(), batch.column("signatures")):
+                    cells, _, counts, ranges, firsts = cells_of(signatures.as_py())
+                    again = [np.packbits(n > 1).tobytes() for n in np.split(counts, firsts[1:])]
+                    sent = [gaps(c) for c in np.split(cells, firsts[1:])]
+                    columns = [pa.array([chunk] * len(ranges), pa.int64()), pa.array(ranges), pa.array(sent, pa.binary()), pa.array(again, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["chunk", "range", "cells", "again"])
 
         def meet(rows: pa.Table) -> pa.Table:
             sent = [from_gaps(x.as_py()) for x in rows.column("cells")]
             again = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(c)) for x, c in zip(rows.column("again"), sent)]
             cells, place, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
             often = (counts > 1) | (np.bincount(place, np.concatenate(again), len(cells)) > 0)
-            return pa.table({"cell": pa.array(cells[often])})
-
-        sent = texts.select("text").mapInArrow(send, "range bigint, cells binary, again binary")
-        return sent.groupBy("range").applyInArrow(meet, "cell bigint")
-
-    def signed(self, texts: DataFrame, cells: DataFrame, bits: int) -> DataFrame:
-        """``signature, set_id`` of all sets, for the signatures in ``cells``; rows may repeat."""
-
-        def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            signs, ids, size = [], [], 0
-            for name, elements in self.each_set(batches):
-                signs.append(self.signatures(elements).view(np.int64))
-                ids.append(np.full(len(signs[-1]), name, np.int64))
-                size += len(signs[-1])
-                if size >= HELD // 8:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (signs, ids)], names=["signature", "set_id"])
-                    signs, ids, size = [], [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (signs, ids)], names=["signature", "set_id"])
-
-        signed = texts.select("text").mapInArrow(sign, "signature long, set_id long")
-        signed = signed.withColumn("cell", F.shiftrightunsigned("signature", 64 - bits))
-        return lookup(signed, cells, ["cell"], "inner", SHARED_SIGNATURES).drop("cell")
+            ends = np.cumsum([len(c) for c in sent])[:-1]
+            answers = [np.packbits(x).tobytes() for x in np.split(often[place], ends)]
+            return pa.table([rows.column("chunk"), rows.column("range"), pa.array(answers, pa.binary())], names=["chunk", "range", "often"])
+
+        def pick(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+            signatures = chunk.column("signatures")[0].as_py()
+            cells, place, _, ranges, firsts = cells_of(signatures)
+            told = dict(zip(answers.column("range").to_pylist(), answers.column("often").to_pylist()))
+            sizes = np.diff(np.append(firsts, len(cells)))
+            often = np.concatenate([np.unpackbits(np.frombuffer(told[r], np.uint8), count=n) for r, n in zip(ranges.tolist(), sizes)])
+            kept = often[place] > 0
+            owners = from_planes(chunk.column("owners")[0].as_py())[kept]
+            ids = np.frombuffer(chunk.column("ids")[0].as_py(), np.int64)
+            return pa.table({"signature": from_gaps(signatures)[kept], "set_id": ids[owners]})
+
+        sent = chunks.select("chunk", "signatures").mapInArrow(send, "chunk bigint, range bigint, cells binary, again binary")
+        answers = sent.groupBy("range").applyInArrow(meet, "chunk bigint, range bigint, often binary")
+        return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(pick, "signature long, set_id long")
 
     def built(self, texts: DataFrame, name: str, more: str, columns) -> DataFrame:
         """``set_id`` and what ``columns`` makes of the sets of ``texts(text, again)``, each set once.
@@ -296,6 +325,8 @@ class Join:
                 yield batch.select(["a", "b"]).filter(pa.array([accepts(x, y) for x, y in zip(*sides)], pa.bool_()))
 
         pairs = settled(pairs, "pairs")
+        if pairs.isEmpty():
+            return pairs
         ids = settled(pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "asked")
         rows = settled(lookup(wanted, ids, ["set_id"], "inner").select("row_key", "again"), "rows")
         asked = lookup(keyed, rows, ["row_key"], "inner")
@@ -325,49 +356,60 @@ class Join:
         firsts = settled(firsts, "sets")
         size = int(measured.agg(F.coalesce(F.sum("n") + 16 * F.count(F.lit(1)), F.lit(0))).first()[0])
         bits = min(62, size.bit_length() + SPARE_BITS)
-        cells = settled(self.met_again(texts, bits, max(0, (size // RANGE).bit_length())), "cells")
-        signed = settled(self.signed(texts, cells, bits), "signed")
-        leaders = signed.groupBy("signature").agg(F.min("set_id").alias("leader"), F.max("set_id").alias("last"))
-        leaders = settled(leaders.where("leader != last").drop("last"), "leaders")
-        members = settled(lookup(signed, leaders, ["signature"], "inner", SHARED_SIGNATURES).distinct(), "members")
+        signed = self.signed(self.chunks(texts), bits, max(0, (size // RANGE).bit_length()))
+        members = settled(self.shared(settled(signed.repartition("signature").distinct(), "signed")), "members")
         wanted = members.select("set_id").distinct().join(firsts, "set_id").select("set_id", "row_key", (F.col("rows") > 1).alias("again"))
         wanted = settled(wanted, "wanted")
         keyed = texts.withColumn("mark", F.xxhash64("text")).withColumn("row_key", row_key)
         light = self.light(lookup(keyed, wanted.drop("set_id"), ["row_key"], "inner"))
-        stars = members.where("leader != set_id").select(F.col("leader").alias("a"), F.col("set_id").alias("b"))
         verified = lambda pairs: settled(self.verified(pairs, wanted, keyed), "links")
-        links = verified(self.near(stars, light))
-        members = members.drop("leader")
-        for _ in range(STAR_ROUNDS):
-            stars = self.stars(placed(members, connected_components(links)), links)
-            links = links.unionByName(verified(self.near(stars, light)))
-        apart = self.apart(placed(members, connected_components(links)), light)
+        tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
+        for number in range(STAR_ROUNDS):
+            rows = placed(members, settled(connected_components(links), "places")) if number else members.withColumn("component", F.col("set_id"))
+            stars = settled(self.stars(rows, tried, light), "stars")
+            if stars.isEmpty():
+                break
+            tried, links = tried.unionByName(stars), links.unionByName(verified(stars))
+        apart = self.apart(placed(members, settled(connected_components(links), "places")), light)
         links = links.unionByName(verified(apart))
         found = settled(connected_components(links), "components")
         return self.named(measured, firsts, found)
 
-    def near(self, pairs: DataFrame, light: DataFrame) -> DataFrame:
-        """The candidate pairs ``a, b``, each once, whose sizes and sketches let them link."""
+    @staticmethod
+    def shared(signed: DataFrame) -> DataFrame:
+        """``signature, set_id, weight`` of ``signed`` for signatures of several sets; of signatures of the same sets, one.
+
+        The weight says how many other sets a set meets in the signature and in those left out.
+        """
+        name = lambda seed: F.bit_xor(F.xxhash64("set_id", F.lit(seed)))
+        same = [F.min("set_id").alias("least"), F.max("set_id").alias("most"), F.count(F.lit(1)).alias("sets"), name(1).alias("x"), name(2).alias("y")]
+        groups = signed.groupBy("signature").agg(*same).where("sets > 1").groupBy("least", "most", "sets", "x", "y")
+        groups = groups.agg(F.min("signature").alias("signature"), F.count(F.lit(1)).alias("times"))
+        groups = settled(groups.select("signature", ((F.col("sets") - 1) * F.col("times")).alias("weight")), "groups")
+        return lookup(signed, groups, ["signature"], "inner", SHARED_SIGNATURES)
+
+    def possible_pairs(self, pairs: DataFrame, light: DataFrame) -> DataFrame:
+        """The rows of ``pairs(a, b)`` whose sizes and sketches let their sets link."""
         if few(light, SKETCHED_SETS):
             light = F.broadcast(light)
         p, q = light.withColumnRenamed("set_id", "a").alias("p"), light.withColumnRenamed("set_id", "b").alias("q")
-        return pairs.distinct().join(p, "a").join(q, "b").where(self.possible("p", "q")).select("a", "b")
+        return pairs.join(p, "a").join(q, "b").where(self.possible("p", "q")).select(*pairs.columns)
 
-    @staticmethod
-    def stars(rows: DataFrame, links: DataFrame) -> DataFrame:
-        """In each signature with several components, the set with the most links so far, paired with the sets of other components.
+    def stars(self, rows: DataFrame, tried: DataFrame, light: DataFrame) -> DataFrame:
+        """Pairs ``a, b`` of a leader and a set of another component: for each set one, of the leaders it may link with that with which it shares most.
 
-        The first leaders are any sets. Where a group of copies surrounds its original, these are sets nearer to it.
+        In each signature the set leads that meets the most others in all of its own. Where a group of copies surrounds its original,
+        that is the original or a set near it.
         """
-        degree = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count(F.lit(1)).alias("degree"))
-        rows = rows.join(degree, "set_id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        leaders = rows.groupBy("signature").agg(
-            F.max(F.struct("degree", "set_id", "component")).alias("leader"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        leaders = leaders.where("low != high").select("signature", F.col("leader.set_id").alias("a"), F.col("leader.component").alias("own"))
-        return rows.join(leaders, "signature").where("component != own").select("a", F.col("set_id").alias("b"))
+        meets = rows.groupBy("set_id").agg(F.sum("weight").alias("meets"))
+        known = rows.join(meets, "set_id")
+        leaders = known.groupBy("signature").agg(F.max(F.struct("meets", "set_id", "component")).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high"))
+        leaders = leaders.where("low != high").select("signature", "lead")
+        found = rows.join(leaders, "signature").where(F.col("component") != F.col("lead.component"))
+        found = found.groupBy(F.col("lead.set_id").alias("a"), F.col("set_id").alias("b"), F.col("lead.meets").alias("meets")).agg(F.sum("weight").alias("share"))
+        found = self.possible_pairs(found.join(tried, ["a", "b"], "left_anti"), light)
+        best = found.groupBy("b").agg(F.max(F.struct("share", "meets", "a")).alias("best"))
+        return best.select(F.col("best.a").alias("a"), "b")
 
     def apart(self, rows: DataFrame, light: DataFrame) -> DataFrame:
         """Pairs of sets that share a signature and are in different components, if sizes and sketches let them link.
@@ -378,8 +420,11 @@ class Join:
         sizes = rows.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("sets"))
         largest = sizes.groupBy("signature").agg(F.max(F.struct("sets", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("parts"))
         mixed_up = largest.where("parts > 1").drop("parts")
-        rows = settled(rows.join(mixed_up, "signature").join(light, "set_id"), "apart")
-        p, q = rows.where("component != most").alias("p"), rows.alias("q")
+        rows = settled(rows.join(mixed_up, "signature").select("signature", "set_id", "component", "most"), "apart")
+        # Few sketches are looked up after rows have met by signature, so that they are not shuffled with each of them.
+        light = F.broadcast(light) if few(light, SKETCHED_SETS) else light
+        known = lambda side: side.repartition("signature").join(light, "set_id")
+        p, q = known(rows.where("component != most")).alias("p"), known(rows).alias("q")
         once = (F.col("q.component") == F.col("q.most")) | (F.col("p.set_id") < F.col("q.set_id"))
         other = F.col("p.component") != F.col("q.component")
         pairs = p.join(q, (F.col("p.signature") == F.col("q.signature")) & other & once & self.possible("p", "q"))

@@ -70,6 +70,19 @@ def test_wide_sketches_tell_large_sets_apart():
     assert len({len(join.wide_sketch(np.arange(n, dtype=np.uint64))) for n in (4500, 4700)}) == 2
 
 
+def test_pairs_of_a_round_are_no_more_than_its_sets(spark):
+    """Each signature of a group has a leader of its own; a set is compared with one of them, and same signatures count once."""
+    signed = [(g, g) for g in range(30)] + [(g, s) for g in range(30) for s in range(100, 140) if (s * g) % 7] + [(99, s) for s in (1, 101, 102)]
+    signed += [(g + 1000, s) for g, s in signed]
+    members = Join().shared(spark.createDataFrame(signed, "signature long, set_id long"))
+    kept = {r["signature"]: r["weight"] for r in members.collect()}
+    assert all(g < 1000 for g in kept) and kept[99] == 4
+    light = spark.createDataFrame([(s, 500, *[0] * 32) for s in {s for _, s in signed}], ["set_id", "n", *[f"s{i}" for i in range(32)]])
+    tried = spark.createDataFrame([], "a long, b long")
+    pairs = Join().stars(members.selectExpr("*", "set_id as component"), tried, light).collect()
+    assert pairs and len({r["b"] for r in pairs}) == len(pairs) and all(r["a"] != r["b"] for r in pairs)
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
 def test_table(spark, data, words, percent):
     table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
