@@ -6,7 +6,8 @@ four words are counted in two steps.
 1. Each chunk sends out the counts of its phrases by cells, high bits of a hash of language and words. In a bucket of cells
    the counts of all chunks meet; cells that reach the least count go back to the chunks that named them. A phrase can only be
    frequent if its own cell and those of all its parts are (Apriori): each chunk lists the phrases for which this
-   holds. None is missing; some that share a cell may be too many.
+   holds. None is missing; some that share a cell may be too many. Chunks pack what they list by buckets, in each of
+   which a phrase is kept once, however many chunks list it.
 2. The candidates are cut into shards of a bounded number. For each shard a double-array trie is broadcast. All text
    positions start at the root of their language, and numpy moves all of them one word on, level by level; the states they
    reach are counted. The counts of all tasks are summed. These are the exact numbers of occurrences.
@@ -138,8 +139,11 @@ def phrase_hashes(lang: str, words: list[bytes], codes: np.ndarray) -> Iterator[
         yield length, at, rolled
 
 
-def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, least: int) -> DataFrame:
-    """``lang, phrase`` of all phrases whose cell, and the cells of whose parts, are counted ``least`` times or more; each once."""
+def named_phrases(table: DataFrame, cell_bits: int, bucket_bits: int, least: int) -> DataFrame:
+    """``bucket, lang, phrases``: of each chunk, those whose cell, and the cells of whose parts, are counted ``least`` times or more.
+
+    The phrases of a chunk are packed by buckets of their hashes, so there are as many rows as chunks and buckets at most.
+    """
     shift = np.uint64(64 - cell_bits)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +176,7 @@ def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, leas
         codes = from_planes(chunk.column("codes")[0].as_py()).astype(np.int64)
         order = np.argsort(answers.column("bucket").to_numpy())
         frequent = np.concatenate([np.zeros(0, np.int64), *[from_gaps(answers.column("cells")[int(i)].as_py()) for i in order]])
-        phrases, parts = [], None
+        phrases, buckets, parts = [], [], None
         for length, at, rolled in phrase_hashes(lang, words, codes):
             if parts is not None:
                 safe = parts[at] & parts[at + 1]
@@ -183,16 +187,35 @@ def frequent_candidates(table: DataFrame, cell_bits: int, bucket_bits: int, leas
             at, rolled = at[often], rolled[often]
             parts = np.zeros(len(codes) + 1, bool)
             parts[at] = True
-            _, firsts = np.unique(rolled, return_index=True)
+            rolled, firsts = np.unique(rolled, return_index=True)
             phrases += [b" ".join([words[c] for c in codes[i : i + length]]) for i in at[firsts]]
-        phrases = pa.array(phrases, pa.binary()).cast(pa.string())
-        return pa.table({"lang": pa.array([lang] * len(phrases), pa.string()), "phrase": phrases})
+            buckets.append((rolled >> shift).astype(np.int64) >> (cell_bits - bucket_bits))
+        packed: dict[int, list[bytes]] = {}
+        for bucket, phrase in zip(np.concatenate(buckets).tolist(), phrases):
+            packed.setdefault(bucket, []).append(phrase)
+        # Sorted phrases begin alike, which packs them closer.
+        blobs = [zstandard.compress(b"\n".join(sorted(own)), 3) for own in packed.values()]
+        langs = pa.array([lang] * len(packed), pa.string())
+        return pa.table({"bucket": pa.array(list(packed), pa.int64()), "lang": langs, "phrases": pa.array(blobs, pa.binary())})
 
     asked = table.mapInArrow(ask, "chunk bigint, bucket bigint, cells binary, counts binary")
     answers = asked.groupBy("bucket").applyInArrow(answer, "chunk bigint, bucket bigint, cells binary")
     kept = table.select("chunk", "lang", "words", "codes")
-    named = kept.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(name, "lang string, phrase string")
-    return named.distinct()
+    return kept.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(name, "bucket bigint, lang string, phrases binary")
+
+
+def frequent_candidates(named: DataFrame) -> DataFrame:
+    """``lang, phrase`` of all phrases that chunks have named, each once."""
+
+    def once(rows: pa.Table) -> pa.Table:
+        found: dict[str, set[bytes]] = {}
+        for lang, phrases in zip(rows.column("lang").to_pylist(), rows.column("phrases")):
+            found.setdefault(lang, set()).update(zstandard.decompress(phrases.as_py()).split(b"\n"))
+        langs = pa.array([lang for lang, own in found.items() for _ in own], pa.string())
+        phrases = pa.array([phrase for own in found.values() for phrase in own], pa.binary()).cast(pa.string())
+        return pa.table({"lang": langs, "phrase": phrases})
+
+    return named.groupBy("bucket").applyInArrow(once, "lang string, phrase string")
 
 
 class Trie:
@@ -368,7 +391,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, shard: int = SHARD) -> tu
     words = int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     cell_bits = min(62, max(16, words.bit_length() + CELL_BITS))
     bucket_bits = min(cell_bits, (max(partitions, WORDS * words // BUCKET_CELLS) - 1).bit_length())
-    candidates = settled(frequent_candidates(table, cell_bits, bucket_bits, least), "candidates")
+    candidates = settled(frequent_candidates(named_phrases(table, cell_bits, bucket_bits, least)), "candidates")
     placed = settled(tries(candidates, shard), "tries")
     found = [
         settled(shard_counts(table, row["shard"], row["trie"]), "counts")

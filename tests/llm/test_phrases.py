@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from compare import connect, differences
 
+from scoreloom.functions.storage import settled
 from scoreloom.llm import phrases
 from scoreloom.llm.phrases import Trie, collocations
 from scoreloom.llm.queries import ORACLE, QUERIES
@@ -64,6 +65,20 @@ def test_against_plain_counts(spark, monkeypatch, shard):
     assert len(got) > 50
 
 
+def test_phrases_of_many_chunks_leave_them_packed(spark):
+    text = " ".join(f"w{i % 90}" for i in range(900)) + ". the end"
+    docs = spark.createDataFrame([("en", text), ("de", text)] * 40, "lang string, text string").repartition(8)
+    table = settled(phrases.chunked(docs), "chunks")
+    chunks, bits = table.count(), 3
+    assert chunks >= 12
+    named = phrases.named_phrases(table, 30, bits, 30)
+    assert chunks <= named.count() <= chunks << bits
+    got = sorted(tuple(r) for r in phrases.frequent_candidates(named).collect())
+    pieces = [piece.split() for piece in text.split(".")]
+    own = {" ".join(w[i : i + k]) for w in pieces for k in range(1, 5) for i in range(len(w) - k + 1)}
+    assert got == sorted((lang, phrase) for lang in ("de", "en") for phrase in own)
+
+
 def test_query(spark, data):
     assert differences(QUERIES["op11_collocations"](spark, data), connect(data), ORACLE["op11_collocations"]) == []
 
