@@ -194,10 +194,15 @@ class Join:
             number, ids, held, size = TaskContext.get().partitionId() << 32, [], [], 0
 
             def row() -> pa.RecordBatch:
-                signatures = (np.concatenate(held) >> np.uint64(64 - SIGNATURE_BITS)).astype(np.int64)
+                owners = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x) for x in held])
+                signatures = np.concatenate(held)
+                held.clear()
+                signatures >>= np.uint64(64 - SIGNATURE_BITS)
                 order = np.argsort(signatures)
-                owners = np.repeat(np.arange(len(held), dtype=np.uint32), [len(x) for x in held])[order]
-                values = [np.array(ids, np.int64).tobytes(), planes(owners), gaps(signatures[order])]
+                owners = planes(owners[order])
+                signatures = signatures.view(np.int64)[order]
+                del order
+                values = [np.array(ids, np.int64).tobytes(), owners, gaps(signatures)]
                 columns = [pa.array([number], pa.int64()), *[pa.array([v], pa.binary()) for v in values]]
                 return pa.RecordBatch.from_arrays(columns, names=["chunk", "ids", "owners", "signatures"])
 
@@ -364,9 +369,11 @@ class Join:
         light = self.light(lookup(keyed, wanted.drop("set_id"), ["row_key"], "inner"))
         verified = lambda pairs: settled(self.verified(pairs, wanted, keyed), "links")
         tried = links = docs.sparkSession.createDataFrame([], "a long, b long")
+        # Leaders stay the same in all rounds, so sketches are compared, and sent to all tasks, once.
+        led = settled(self.led(members.withColumn("component", F.col("set_id")), light), "led")
         for number in range(STAR_ROUNDS):
-            rows = placed(members, settled(connected_components(links), "places")) if number else members.withColumn("component", F.col("set_id"))
-            stars = settled(self.stars(rows, tried, light), "stars")
+            left = self.parted(led, settled(connected_components(links), "places")) if number else led
+            stars = settled(self.nearest(left, tried), "stars")
             if stars.isEmpty():
                 break
             tried, links = tried.unionByName(stars), links.unionByName(verified(stars))
@@ -396,7 +403,11 @@ class Join:
         return pairs.join(p, "a").join(q, "b").where(self.possible("p", "q")).select(*pairs.columns)
 
     def stars(self, rows: DataFrame, tried: DataFrame, light: DataFrame) -> DataFrame:
-        """Pairs ``a, b`` of a leader and a set of another component: for each set one, of the leaders it may link with that with which it shares most.
+        """Pairs ``a, b`` of a leader and a set of another component: for each set one, of the leaders it may link with that with which it shares most."""
+        return self.nearest(self.led(rows, light), tried)
+
+    def led(self, rows: DataFrame, light: DataFrame) -> DataFrame:
+        """``a, b, meets, share`` of all pairs of a leader and a set of another component, if sizes and sketches let them link.
 
         In each signature the set leads that meets the most others in all of its own. Where a group of copies surrounds its original,
         that is the original or a set near it.
@@ -407,8 +418,18 @@ class Join:
         leaders = leaders.where("low != high").select("signature", "lead")
         found = rows.join(leaders, "signature").where(F.col("component") != F.col("lead.component"))
         found = found.groupBy(F.col("lead.set_id").alias("a"), F.col("set_id").alias("b"), F.col("lead.meets").alias("meets")).agg(F.sum("weight").alias("share"))
-        found = self.possible_pairs(found.join(tried, ["a", "b"], "left_anti"), light)
-        best = found.groupBy("b").agg(F.max(F.struct("share", "meets", "a")).alias("best"))
+        return self.possible_pairs(found, light)
+
+    @staticmethod
+    def parted(pairs: DataFrame, found: DataFrame) -> DataFrame:
+        """The rows of ``pairs(a, b)`` whose sets are in different components. A set without a link is its own."""
+        both = pairs.join(found.toDF("a", "x"), "a", "left").join(found.toDF("b", "y"), "b", "left")
+        return both.where(F.coalesce("x", "a") != F.coalesce("y", "b")).select(*pairs.columns)
+
+    @staticmethod
+    def nearest(led: DataFrame, tried: DataFrame) -> DataFrame:
+        """For each set ``b`` the leader ``a`` with which it shares most, of those it was not tried with."""
+        best = led.join(tried, ["a", "b"], "left_anti").groupBy("b").agg(F.max(F.struct("share", "meets", "a")).alias("best"))
         return best.select(F.col("best.a").alias("a"), "b")
 
     def apart(self, rows: DataFrame, light: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ SMOOTHING = 0.5
 LEAST_SCORE = 0.5
 # The classifier is fitted on about this many labelled documents of each language, chosen by a hash of the id.
 SAMPLE_PER_LANGUAGE = 3000
-# Code points scored at once by one task.
-CHUNK = 1 << 20
+# Code points scored at once by one task; each takes about 150 bytes there, and a worker keeps the memory it once had.
+CHUNK = 1 << 18
 
 
 @functools.cache

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from odd import docs, none
 
 from scoreloom.llm.components import connected_components
-from scoreloom.llm.jaccard import Join
+from scoreloom.llm.jaccard import Join, placed
 
 
 def shingles(text, words):
@@ -83,6 +83,25 @@ def test_pairs_of_a_round_are_no_more_than_its_sets(spark):
     assert pairs and len({r["b"] for r in pairs}) == len(pairs) and all(r["a"] != r["b"] for r in pairs)
 
 
+def test_rounds_share_one_comparison_of_sketches(spark, monkeypatch):
+    """Further rounds take their pairs from those of the first, which are the same as if they were looked for again."""
+    signed = [(g, s) for g in range(20) for s in range(100, 130) if (s * 31 + g * 17) % 5 < 2]
+    members = Join().shared(spark.createDataFrame(signed, "signature long, set_id long"))
+    light = spark.createDataFrame([(s, 500, *[0] * 32) for s in range(100, 130)], ["set_id", "n", *[f"s{i}" for i in range(32)]])
+    tried = spark.createDataFrame([(129, 100), (128, 101)], "a long, b long")
+    found = spark.createDataFrame([(s, 100 + s % 3) for s in range(100, 118)], "node long, component long")
+    led = Join().led(members.selectExpr("*", "set_id as component"), light)
+    again = Join().stars(placed(members, found), tried, light)
+    assert sorted(Join.nearest(Join.parted(led, found), tried).collect()) == sorted(again.collect()) != []
+
+    calls, possible = [], Join.possible_pairs
+    monkeypatch.setattr(Join, "possible_pairs", lambda *args: calls.append(1) or possible(*args))
+    text = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(text[: 100 - i] + [f"x{i}_{k}" for k in range(i)])) for i in range(0, 40, 2)]
+    assert got(Join(1, 90).components(spark.createDataFrame(rows, "doc_id long, text string"))) == joined(rows, 1, 90)
+    assert len(calls) == 1
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
 def test_table(spark, data, words, percent):
     table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
