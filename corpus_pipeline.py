@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scoreloom.functions.storage import settled
 from scoreloom.llm.bpe import default_vocabulary, encoding_report
+from scoreloom.llm.common import BATCH_SETTINGS
 from scoreloom.llm.dedup import deduplicated
 from scoreloom.llm.jaccard import Join
 from scoreloom.llm.language import recognised
 from scoreloom.llm.mixing import mix
 
 
-# Texts in an Arrow batch that goes to Python: the default of 10,000 may be hundreds of megabytes, and two batches are held at once.
+# Texts in a batch that is read or goes to Python: the defaults of 4,096 and 10,000 may be hundreds of megabytes, and two batches are held at once.
 BATCH = 500
 
 
 def tuned(spark: SparkSession) -> None:
-    """Stages are written by whoever calls them, so the setting stays for the session."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+    """Stages are written by whoever calls them, so the settings stay for the session."""
+    for name in BATCH_SETTINGS:
+        spark.conf.set(name, str(BATCH))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

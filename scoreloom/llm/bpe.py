@@ -29,13 +29,15 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from scoreloom.functions.storage import scratch_path
-from scoreloom.llm.common import from_planes, planes, small_batches, text_slices, whole_text
+from scoreloom.llm.common import from_planes, give_back, planes, small_batches, text_slices, whole_text
 
 # Code points of text in a chunk, distinct words and their characters; code points split at once.
 CHUNK = 16 << 20
 CHUNK_WORDS = 1 << 19
 CHUNK_CHARACTERS = 8 << 20
 SLICE = 1 << 18
+# Documents of a batch that goes back to Spark.
+BATCH_ROWS = 500
 
 
 # Code points below this one, whose categories are the same in every version of Unicode.
@@ -211,8 +213,11 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
                     yield rows(number, known, doc_ids, slots)
                     number, held, letters = number + 1, 0, 0
                     known, doc_ids, slots = {}, [], []
+                    give_back()
         if doc_ids:
             yield rows(number, known, doc_ids, slots)
+        known, doc_ids, slots = {}, [], []
+        give_back()
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(split, schema)
 
@@ -249,6 +254,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, dec
         starts = np.append(0, np.cumsum(sizes))[:-1]
         counts = [planes(sizes[own]) for own in asked]
         ids = [planes(flat[ragged(starts[own], sizes[own])]) for own in asked]
+        del known, asked, coded
+        give_back()
         columns = [rows.column("chunk"), rows.column("first"), pa.array(counts, pa.binary()), pa.array(ids, pa.binary())]
         return pa.table(columns, names=["chunk", "first", "counts", "ids"])
 
@@ -263,21 +270,30 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, dec
         """The ids of a chunk's words at the words' positions."""
         order = np.argsort(found.column("first").to_numpy())
         part = lambda name: np.concatenate([np.zeros(0, "<u4"), *[from_planes(found.column(name)[int(i)].as_py()) for i in order]])
-        counts, ids = part("counts").astype(np.int64), part("ids").astype(np.int32)
-        starts = np.append(0, np.cumsum(counts))[:-1]
+        # A chunk has fewer ids than 2 ** 31, as its lists do.
+        counts, ids = part("counts").astype(np.int32), part("ids").astype(np.int32)
+        starts = np.append(0, np.cumsum(counts, dtype=np.int32))[:-1]
         place = from_planes(docs.column("ranks")[0].as_py())
         slots = place[from_planes(docs.column("slots")[0].as_py())] if len(place) else place
         word_ends = np.append(0, np.cumsum(docs.column("sizes")[0].values.to_numpy()))
-        ends = np.append(0, np.cumsum(counts[slots]))[word_ends]
-        runs = [slots[at : at + SLICE] for at in range(0, len(slots), SLICE)]
-        text_ids = np.concatenate([np.zeros(0, np.int32), *[ids[ragged(starts[run], counts[run])] for run in runs]])
-        rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(text_ids, pa.int32()))
-        made = {"doc_id": docs.column("doc_ids")[0].values, "ids": rows}
-        if decoded:
-            spans = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
-            made["packed"] = pa.array([text_ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
-            made["decoded"] = pa.array([shared.value.text_of(text_ids[a:b].tolist()) for a, b in spans], pa.string())
-        return pa.table(made)
+        doc_ids, batches = docs.column("doc_ids")[0].values, []
+        # Several batches, so that Spark holds one of them at a time.
+        for first in range(0, max(1, len(doc_ids)), BATCH_ROWS):
+            words = word_ends[first : first + BATCH_ROWS + 1]
+            own = slots[words[0] : words[-1]]
+            ends = np.append(0, np.cumsum(counts[own]))[words - words[0]]
+            runs = [own[at : at + SLICE] for at in range(0, len(own), SLICE)]
+            text_ids = np.concatenate([np.zeros(0, np.int32), *[ids[ragged(starts[run], counts[run])] for run in runs]])
+            rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(text_ids, pa.int32()))
+            made = {"doc_id": doc_ids.slice(first, BATCH_ROWS), "ids": rows}
+            if decoded:
+                spans = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+                made["packed"] = pa.array([text_ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
+                made["decoded"] = pa.array([shared.value.text_of(text_ids[a:b].tolist()) for a, b in spans], pa.string())
+            batches.append(pa.RecordBatch.from_pydict(made))
+        del counts, ids, starts, place, slots
+        give_back()
+        return pa.Table.from_batches(batches)
 
     kept = table.where(F.col("bucket").isNull()).select("chunk", "doc_ids", "sizes", "ranks", "slots")
     kind = docs.schema["doc_id"].dataType.simpleString()

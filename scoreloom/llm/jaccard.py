@@ -35,13 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.storage import scratch_path, settled
-from scoreloom.llm.common import few, from_gaps, from_planes, gaps, lookup, planes, small_batches, text_slices, unused, whole_text
+from scoreloom.llm.common import few, from_gaps, from_planes, gaps, give_back, lookup, planes, small_batches, text_slices, unused, whole_text
 from scoreloom.llm.components import connected_components
 
 CHUNK = 1 << 20
 # Longs of parities; broadcast for up to so many sets, else shuffled with the pairs.
 SKETCH = 32
 SKETCHED_SETS = 200_000
+# Rows of sets with their sketches that a task compares by signature, some 300 bytes each, twice.
+COMPARED_ROWS = 1 << 16
 # A band ends where its first size has grown by the least ratio of linked sizes so many times.
 BAND = 2
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
@@ -67,6 +69,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def starts(values: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins. Sorting is left out, whose copies of millions of numbers workers would keep."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+
+
 def placed(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of signatures with their component, which is the set itself while it has no link."""
     rows = members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
@@ -217,6 +224,7 @@ class Join:
                     number, ids, held, size = number + 1, [], [], 0
             if size:
                 yield row()
+            give_back()
 
         spark, name = texts.sparkSession, f"signatures_{uuid.uuid4().hex}"
         made = texts.select("text").mapInArrow(sign, "chunk bigint, ids binary, owners binary, signatures binary")
@@ -229,35 +237,50 @@ class Join:
         """``signature, set_id`` of the signatures whose highest ``bits`` bits occur more than once; rows may repeat."""
 
         def cells_of(signatures: bytes) -> tuple[np.ndarray, ...]:
-            """The cells of a chunk, where each signature's is, how many it has, and the ranges of cells and where they start."""
-            cells, place, counts = np.unique(from_gaps(signatures) >> (SIGNATURE_BITS - bits), return_inverse=True, return_counts=True)
-            return cells, place, counts, *np.unique(cells >> (bits - range_bits), return_index=True)
+            """The cells of a chunk, how many signatures each has, and the ranges of cells and where they start."""
+            cells = from_gaps(signatures)
+            cells >>= SIGNATURE_BITS - bits
+            own = starts(cells)
+            counts, cells = np.diff(own, append=len(cells)), cells[own]
+            ranges = cells >> (bits - range_bits)
+            firsts = starts(ranges)
+            return cells, counts, ranges[firsts], firsts
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for chunk, signatures in zip(batch.column("chunk").to_pylist(), batch.column("signatures")):
-                    cells, _, counts, ranges, firsts = cells_of(signatures.as_py())
+                    cells, counts, ranges, firsts = cells_of(signatures.as_py())
                     again = [np.packbits(n > 1).tobytes() for n in np.split(counts, firsts[1:])]
                     sent = [gaps(c) for c in np.split(cells, firsts[1:])]
                     columns = [pa.array([chunk] * len(ranges), pa.int64()), pa.array(ranges), pa.array(sent, pa.binary()), pa.array(again, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=["chunk", "range", "cells", "again"])
+            give_back()
 
         def meet(rows: pa.Table) -> pa.Table:
             sent = [from_gaps(x.as_py()) for x in rows.column("cells")]
-            again = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(c)) for x, c in zip(rows.column("again"), sent)]
-            cells, place, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
-            often = (counts > 1) | (np.bincount(place, np.concatenate(again), len(cells)) > 0)
+            again = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(c)) for x, c in zip(rows.column("again"), sent)])
             ends = np.cumsum([len(c) for c in sent])[:-1]
-            answers = [np.packbits(x).tobytes() for x in np.split(often[place], ends)]
+            cells = np.concatenate(sent)
+            sent.clear()
+            order = np.argsort(cells)
+            firsts = starts(cells[order])
+            counts = np.diff(firsts, append=len(cells))
+            often = np.empty(len(cells), bool)
+            often[order] = np.repeat((counts > 1) | (np.maximum.reduceat(again[order], firsts) > 0), counts)
+            answers = [np.packbits(x).tobytes() for x in np.split(often, ends)]
+            del cells, order, again, firsts, counts, often
+            give_back()
             return pa.table([rows.column("chunk"), rows.column("range"), pa.array(answers, pa.binary())], names=["chunk", "range", "often"])
 
         def pick(chunk: pa.Table, answers: pa.Table) -> pa.Table:
             signatures = chunk.column("signatures")[0].as_py()
-            cells, place, _, ranges, firsts = cells_of(signatures)
+            cells, counts, ranges, firsts = cells_of(signatures)
             told = dict(zip(answers.column("range").to_pylist(), answers.column("often").to_pylist()))
             sizes = np.diff(np.append(firsts, len(cells)))
             often = np.concatenate([np.unpackbits(np.frombuffer(told[r], np.uint8), count=n) for r, n in zip(ranges.tolist(), sizes)])
-            kept = often[place] > 0
+            kept = np.repeat(often > 0, counts)
+            del cells, counts, often
+            give_back()
             owners = from_planes(chunk.column("owners")[0].as_py())[kept]
             ids = np.frombuffer(chunk.column("ids")[0].as_py(), np.int64)
             return pa.table({"signature": from_gaps(signatures)[kept], "set_id": ids[owners]})
@@ -280,6 +303,7 @@ class Join:
                 seen.update(new)
                 found = {"set_id": pa.array(new, pa.int64()), **columns([sets[n][0] for n in new]), "again": pa.array([sets[n][1] for n in new], pa.bool_())}
                 yield pa.RecordBatch.from_pydict(found)
+            give_back()
 
         made = settled(texts.select("text", "again").mapInArrow(build, f"set_id long, {more}, again boolean"), name)
         met_again = settled(made.where("again").dropDuplicates(["set_id"]), f"{name}-again")
@@ -328,6 +352,7 @@ class Join:
             for batch in batches:
                 sides = [[x.as_buffer() for x in batch.column(c)] for c in ("x", "y")]
                 yield batch.select(["a", "b"]).filter(pa.array([accepts(x, y) for x, y in zip(*sides)], pa.bool_()))
+            give_back()
 
         pairs = settled(pairs, "pairs")
         if pairs.isEmpty():
@@ -444,7 +469,9 @@ class Join:
         rows = settled(rows.join(mixed_up, "signature").select("signature", "set_id", "component", "most"), "apart")
         # Few sketches are looked up after rows have met by signature, so that they are not shuffled with each of them.
         light = F.broadcast(light) if few(light, SKETCHED_SETS) else light
-        known = lambda side: side.repartition("signature").join(light, "set_id")
+        # They are ten times as wide as the rows, whose bytes would otherwise say how many a task sorts.
+        tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // COMPARED_ROWS)
+        known = lambda side: side.repartition(tasks, "signature").join(light, "set_id")
         p, q = known(rows.where("component != most")).alias("p"), known(rows).alias("q")
         once = (F.col("q.component") == F.col("q.most")) | (F.col("p.set_id") < F.col("q.set_id"))
         other = F.col("p.component") != F.col("q.component")

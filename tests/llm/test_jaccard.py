@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -8,6 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd import docs, none
 
+from scoreloom.llm import jaccard
+from scoreloom.llm.common import give_back
 from scoreloom.llm.components import connected_components
 from scoreloom.llm.jaccard import Join, placed
 
@@ -102,6 +105,31 @@ def test_rounds_share_one_comparison_of_sketches(spark, monkeypatch):
     assert len(calls) == 1
 
 
+def test_a_task_compares_a_bounded_number_of_rows(spark, monkeypatch):
+    """However few bytes the rows have before they get their sketches."""
+    monkeypatch.setattr(jaccard, "COMPARED_ROWS", 10)
+    rows = spark.createDataFrame([(g, s, s) for g in range(40) for s in (2 * g, 2 * g + 1, 200)], "signature long, set_id long, component long")
+    light = spark.createDataFrame([(s, 500, *[0] * 32) for s in [*range(80), 200]], ["set_id", "n", *[f"s{i}" for i in range(32)]])
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 12)
+    pairs = Join().apart(rows, light)
+    assert f"hashpartitioning(signature, {tasks})" in re.sub(r"#\d+L?", "", pairs._jdf.queryExecution().toString()).replace(", REPARTITION", "")
+    assert {frozenset(p) for p in pairs.collect()} == {frozenset(p) for g in range(40) for p in [(2 * g, 2 * g + 1), (2 * g, 200), (2 * g + 1, 200)]}
+
+
+def test_workers_return_what_they_freed():
+    """Also what lies below blocks that are still held."""
+
+    def held():
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    blocks = [bytes(60_000) for _ in range(5000)]
+    full, kept = held(), blocks[::500] + blocks[-1:]
+    blocks.clear()
+    give_back()
+    assert full - held() > 150_000_000 and len(kept) == 11
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
 def test_table(spark, data, words, percent):
     table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
