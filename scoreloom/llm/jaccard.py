@@ -42,6 +42,8 @@ CHUNK = 1 << 20
 # Longs of parities; broadcast for up to so many sets, else shuffled with the pairs.
 SKETCH = 32
 SKETCHED_SETS = 200_000
+# Longs of the parities that large sets have besides: those whose linked partners may differ in a quarter of the first ones' bits.
+MORE = 128
 # Rows of sets with their sketches that a task compares by signature, some 300 bytes each, twice.
 COMPARED_ROWS = 1 << 16
 # A band ends where its first size has grown by the least ratio of linked sizes so many times.
@@ -171,6 +173,15 @@ class Join:
         flips = sum((F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(SKETCH)), F.lit(0))
         return sizes & (flips * (100 + self.percent) <= (x + y) * (100 - self.percent))
 
+    def large(self, size: int) -> bool:
+        return 8 * size * (100 - self.percent) // (100 + self.percent) > 64 * SKETCH
+
+    def still_possible(self, a: str, b: str) -> Column:
+        """Whether the longer sketches of two rows let their sets link. Sets that are not large have none."""
+        both = F.zip_with(F.col(f"{a}.more"), F.col(f"{b}.more"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        flips = F.aggregate(both, F.lit(0), lambda total, x: total + x)
+        return F.coalesce(flips * (100 + self.percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - self.percent), F.lit(True))
+
     def documents(self, texts: DataFrame) -> DataFrame:
         """``doc_id, mark, n, set_id`` of ``texts(doc_id, text)``, with a hash of the text as its mark."""
 
@@ -310,14 +321,16 @@ class Join:
         return made.where("not again").unionByName(met_again).drop("again")
 
     def light(self, texts: DataFrame) -> DataFrame:
-        """``set_id, n, s0...``: sizes and sketches."""
+        """``set_id, n, s0..., more``: sizes, sketches, and longer sketches of large sets."""
         names = [f"s{i}" for i in range(SKETCH)]
 
         def columns(sets: list[np.ndarray]) -> dict[str, pa.Array]:
             sketches = np.array([self.sketch(s) for s in sets]).reshape(-1, SKETCH)
-            return {"n": pa.array([len(s) for s in sets], pa.int64()), **{x: pa.array(np.ascontiguousarray(sketches[:, i])) for i, x in enumerate(names)}}
+            more = [self.parities(s, 64 * MORE).view(np.int64) if self.large(len(s)) else None for s in sets]
+            own = {"n": pa.array([len(s) for s in sets], pa.int64()), "more": pa.array(more, pa.list_(pa.int64()))}
+            return {**own, **{x: pa.array(np.ascontiguousarray(sketches[:, i])) for i, x in enumerate(names)}}
 
-        return self.built(texts, "light", ", ".join(f"{x} long" for x in ["n", *names]), columns)
+        return self.built(texts, "light", "n long, more array<long>, " + ", ".join(f"{x} long" for x in names), columns)
 
     @staticmethod
     def parities(elements: np.ndarray, bits: int) -> np.ndarray:
@@ -475,7 +488,8 @@ class Join:
         p, q = known(rows.where("component != most")).alias("p"), known(rows).alias("q")
         once = (F.col("q.component") == F.col("q.most")) | (F.col("p.set_id") < F.col("q.set_id"))
         other = F.col("p.component") != F.col("q.component")
-        pairs = p.join(q, (F.col("p.signature") == F.col("q.signature")) & other & once & self.possible("p", "q"))
+        possible = self.possible("p", "q") & self.still_possible("p", "q") if "more" in light.columns else self.possible("p", "q")
+        pairs = p.join(q, (F.col("p.signature") == F.col("q.signature")) & other & once & possible)
         return pairs.select(F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b")).distinct()
 
     @staticmethod

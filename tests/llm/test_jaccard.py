@@ -116,6 +116,19 @@ def test_a_task_compares_a_bounded_number_of_rows(spark, monkeypatch):
     assert {frozenset(p) for p in pairs.collect()} == {frozenset(p) for g in range(40) for p in [(2 * g, 2 * g + 1), (2 * g, 200), (2 * g + 1, 200)]}
 
 
+def test_large_sets_are_told_apart_where_they_meet(spark):
+    """Else each pair of large sets with a common signature would be a row."""
+    join = Join(1, 80)
+    texts = [" ".join(f"{name}{i}" for i in range(6000)) for name in "abcd"]
+    texts += [" ".join(f"a{i}" for i in range(200, 6200)), "e f g", "e f h"]
+    ids = [join.set_id(s) for s in join.sets(texts)]
+    light = join.light(spark.createDataFrame([(t, False) for t in texts], "text string, again boolean"))
+    assert {r["set_id"] for r in light.collect() if r["more"]} == set(ids[:5])
+    rows = spark.createDataFrame([(g, i, i) for g in range(3) for i in ids], "signature long, set_id long, component long")
+    found = {frozenset(p) for p in join.apart(rows, light).collect()}
+    assert frozenset((ids[0], ids[4])) in found and not any(len(p & set(ids[:4])) > 1 for p in found)
+
+
 def test_workers_return_what_they_freed():
     """Also what lies below blocks that are still held."""
 
