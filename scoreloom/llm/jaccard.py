@@ -14,8 +14,8 @@ Nothing is emitted for all pairs of a signature's sets. In each signature the se
 compared with one of its leaders, so a round has no more pairs than sets. Linked sets are joined to components; then again with leaders of other
 components. Only sets that then share a signature but no component are compared with one another,
 after parity sketches have ruled out nearly all: each element flips one of 2048 bits, so the sketches
-of similar sets differ in at most k bits. For large sets that says little, so pairs that are left are compared by sketches of at least
-4 k bits. All filters are exact; every link between components is verified on whole sets, which are built for the pairs that pass.
+of similar sets differ in at most k bits. For large sets that says little, so they have sketches of 8192 bits besides, and pairs
+that are left are compared by sketches of at least 4 k bits. All filters are exact; every link between components is verified on whole sets, which are built for the pairs that pass.
 
 Elements are 64-bit hashes of shingles, and equal sets are known by a 64-bit hash: among n different sets, two are mistaken for
 equal with a probability of n² / 2⁶⁵.
@@ -44,7 +44,7 @@ SKETCH = 32
 SKETCHED_SETS = 200_000
 # Longs of the parities that large sets have besides: those whose linked partners may differ in a quarter of the first ones' bits.
 MORE = 128
-# Rows of sets with their sketches that a task compares by signature, some 300 bytes each, twice.
+# Rows of sets with their sketches that a task compares by signature, some 300 bytes each and 1 KB more for large sets, twice.
 COMPARED_ROWS = 1 << 16
 # A band ends where its first size has grown by the least ratio of linked sizes so many times.
 BAND = 2
