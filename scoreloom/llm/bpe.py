@@ -10,6 +10,7 @@ table bucketed by chunk, so they don't move either.
 from __future__ import annotations
 
 import functools
+import hashlib
 import itertools
 import json
 import re
@@ -222,11 +223,11 @@ def places(docs: DataFrame, vocabulary, buckets: int, chunk_size: int) -> DataFr
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(split, schema)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, digests: bool = False) -> DataFrame:
     """``doc_id, ids`` of each row of ``docs(doc_id, text)``: the ids that the vocabulary gives the whole text.
 
-    With ``decoded`` also ``packed``, the ids as little-endian unsigned 32-bit integers, and ``decoded``, the text that they
-    stand for, as ``decode`` gives it. They are made where the ids are put back, which spares a further pass through Python.
+    With ``digests`` also ``ids_sha256``, of the ids as little-endian unsigned 32-bit integers, and ``decoded_sha256``, of the text
+    that they stand for, as ``decode`` gives it. They are made where the ids are put back, so that neither goes back to Spark.
 
     A missing or empty text has no ids. Rows that repeat an id or a text are encoded like any other. An empty
     table gives no rows; other columns are not read. ``doc_id`` may have any type.
@@ -286,10 +287,11 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, dec
             text_ids = np.concatenate([np.zeros(0, np.int32), *[ids[ragged(starts[run], counts[run])] for run in runs]])
             rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(text_ids, pa.int32()))
             made = {"doc_id": doc_ids.slice(first, BATCH_ROWS), "ids": rows}
-            if decoded:
-                spans = list(zip(ends[:-1].tolist(), ends[1:].tolist()))
-                made["packed"] = pa.array([text_ids[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary())
-                made["decoded"] = pa.array([shared.value.text_of(text_ids[a:b].tolist()) for a, b in spans], pa.string())
+            if digests:
+                own = [text_ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                made["ids_sha256"] = pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in own], pa.string())
+                texts = (shared.value.text_of(x.tolist()) for x in own)
+                made["decoded_sha256"] = pa.array([hashlib.sha256(x.encode()).hexdigest() for x in texts], pa.string())
             batches.append(pa.RecordBatch.from_pydict(made))
         del counts, ids, starts, place, slots
         give_back()
@@ -298,7 +300,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, chunk_size: int = CHUNK, dec
     kept = table.where(F.col("bucket").isNull()).select("chunk", "doc_ids", "sizes", "ranks", "slots")
     kind = docs.schema["doc_id"].dataType.simpleString()
     together = kept.groupBy("chunk").cogroup(answers.groupBy("chunk"))
-    more = ", packed binary, decoded string" if decoded else ""
+    more = ", ids_sha256 string, decoded_sha256 string" if digests else ""
     return together.applyInArrow(put_back, f"doc_id {kind}, ids array<int>{more}")
 
 
@@ -323,14 +325,9 @@ def encoding_report(docs: DataFrame, path: str, keep_ids: bool = False) -> DataF
     The digests are missing for no row: an empty list of ids has that of no bytes. ``keep_ids`` adds the ids.
     """
     vocabulary = Vocabulary(path)
-    both = encode(docs, vocabulary, decoded=True)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        *(["ids"] if keep_ids else []),
-    )
+    both = encode(docs, vocabulary, digests=True)
+    tokens = F.size("ids").cast("long").alias("n_tokens")
+    return both.select("doc_id", tokens, "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else []))
 
 
 def default_vocabulary() -> str:

@@ -44,8 +44,14 @@ SKETCH = 32
 SKETCHED_SETS = 200_000
 # Longs of the parities that large sets have besides: those whose linked partners may differ in a quarter of the first ones' bits.
 MORE = 128
-# Rows of sets with their sketches that a task compares by signature, some 300 bytes each and 1 KB more for large sets, twice.
+# Rows of sets with their sketches that a task compares by signature, some 300 bytes each and 1 KB more for large sets.
 COMPARED_ROWS = 1 << 16
+# The sets of a signature are compared block by block. Rows of a block, those a worker gathers, at least, before it compares, pairs it
+# holds at once, and longs of sketches after which it goes on with the pairs that are left.
+BLOCK_ROWS = 1 << 11
+GATHERED_ROWS = 1 << 13
+HELD_PAIRS = 1 << 15
+LOOKS = (8, 16)
 # A band ends where its first size has grown by the least ratio of linked sizes so many times.
 BAND = 2
 # Signatures that more than one set has are broadcast up to this number, else shuffled.
@@ -176,11 +182,81 @@ class Join:
     def large(self, size: int) -> bool:
         return 8 * size * (100 - self.percent) // (100 + self.percent) > 64 * SKETCH
 
-    def still_possible(self, a: str, b: str) -> Column:
-        """Whether the longer sketches of two rows let their sets link. Sets that are not large have none."""
-        both = F.zip_with(F.col(f"{a}.more"), F.col(f"{b}.more"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        flips = F.aggregate(both, F.lit(0), lambda total, x: total + x)
-        return F.coalesce(flips * (100 + self.percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - self.percent), F.lit(True))
+    def meeting(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs ``a, b`` of rows ``signature, side, set_id, component, n, s0..., more`` of one signature, if sizes and sketches let them link.
+
+        Rows come sorted by signature. Those of side 0 meet one another and those of side 2, those of side 1 only the latter.
+        """
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += len(batch)
+            if size >= GATHERED_ROWS:
+                rows = pa.Table.from_batches(held)
+                last = int(starts(rows.column("signature").to_numpy())[-1])
+                yield from self.met(rows.slice(0, last))
+                held = rows.slice(last).to_batches()
+                size = len(rows) - last
+        if size:
+            yield from self.met(pa.Table.from_batches(held))
+        give_back()
+
+    def met(self, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not len(rows):
+            return
+        signature, side, ids, component, n = (rows.column(c).to_numpy() for c in ("signature", "side", "set_id", "component", "n"))
+        # Bits are counted in numbers without a sign.
+        sketch = [rows.column(f"s{i}").to_numpy().view(np.uint64) for i in range(SKETCH)]
+        longer, more = np.zeros(len(rows), bool), np.zeros((0, MORE), np.uint64)
+        if "more" in rows.column_names:
+            lists = rows.column("more").combine_chunks()
+            longer, more = lists.is_valid().to_numpy(zero_copy_only=False), lists.flatten().to_numpy().view(np.uint64).reshape(-1, MORE)
+        more_at = np.where(longer, np.cumsum(longer) - 1, -1)
+        found = []
+        firsts = starts(signature)
+        for a, b in zip(firsts.tolist(), [*firsts[1:].tolist(), len(rows)]):
+            own, one, two = (a + np.flatnonzero(side[a:b] == x) for x in range(3))
+            for left, right, among in ((own, own, True), (np.concatenate([own, one]), two, False)):
+                if not len(left) or not len(right):
+                    continue
+                step = max(1, HELD_PAIRS // len(right))
+                for at in range(0, len(left), step):
+                    x, y = left[at : at + step], right[at:] if among else right
+                    found.append(self.possible_of(x, y, among, component, n, sketch, more, more_at))
+        pairs = np.concatenate(found, axis=1)
+        pairs = np.sort(ids[pairs], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    def possible_of(self, x, y, among: bool, component, n, sketch, more, more_at) -> np.ndarray:
+        """Places of the pairs of a row in ``x`` and one in ``y`` whose sizes and sketches let their sets link. ``among`` takes pairs that come later in both."""
+        p, q = n[x], n[y]
+        may = np.not_equal.outer(component[x], component[y])
+        may &= np.greater_equal.outer(100 * p, self.percent * q)
+        may &= np.less_equal.outer(self.percent * p, 100 * q)
+        if among:
+            may = np.triu(may, 1)
+        shape, most = may.shape, (p + q[:, None]).T * (100 - self.percent) // (100 + self.percent)
+        flips, own, bits = np.zeros(shape, np.uint16), np.empty(shape, np.uint64), np.empty(shape, np.uint8)
+        for word in sketch[: LOOKS[0]]:
+            np.bitwise_count(np.bitwise_xor.outer(word[x], word[y], out=own), out=bits)
+            flips += bits
+        may &= flips <= np.minimum(most, 64 * SKETCH).astype(np.uint16)
+        one, two = np.nonzero(may)
+        one, two, flips, most = x[one], y[two], flips[one, two], most[one, two]
+        for first, end in zip(LOOKS, [*LOOKS[1:], SKETCH]):
+            for word in sketch[first:end]:
+                flips += np.bitwise_count(word[one] ^ word[two])
+            left = flips <= most
+            one, two, flips, most = one[left], two[left], flips[left], most[left]
+        # Sets that are not large have no longer sketches.
+        large = np.flatnonzero((more_at[one] >= 0) & (more_at[two] >= 0))
+        left = np.ones(len(one), bool)
+        for at in range(0, len(large), HELD_PAIRS // MORE):
+            part = large[at : at + HELD_PAIRS // MORE]
+            flips = np.bitwise_count(more[more_at[one[part]]] ^ more[more_at[two[part]]]).sum(axis=1)
+            left[part] = flips <= most[part]
+        one, two = one[left], two[left]
+        return np.stack([one, two])
 
     def documents(self, texts: DataFrame) -> DataFrame:
         """``doc_id, mark, n, set_id`` of ``texts(doc_id, text)``, with a hash of the text as its mark."""
@@ -477,20 +553,42 @@ class Join:
         copies costs nothing here once its sets are joined.
         """
         sizes = rows.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("sets"))
-        largest = sizes.groupBy("signature").agg(F.max(F.struct("sets", "component"))["component"].alias("most"), F.count(F.lit(1)).alias("parts"))
-        mixed_up = largest.where("parts > 1").drop("parts")
-        rows = settled(rows.join(mixed_up, "signature").select("signature", "set_id", "component", "most"), "apart")
+        largest = sizes.groupBy("signature").agg(
+            F.max(F.struct("sets", "component"))["component"].alias("most"),
+            F.count(F.lit(1)).alias("parts"),
+            F.max("sets").alias("alike"),
+            F.sum("sets").alias("all"),
+        )
+        blocks = lambda sets: F.ceil(sets / BLOCK_ROWS).cast("int")
+        mixed_up = largest.where("parts > 1").select("signature", "most", blocks(F.col("all") - F.col("alike")).alias("others"), blocks(F.col("alike")).alias("alike"))
+        rows = rows.join(mixed_up, "signature").select("signature", "set_id", "component", "most", "others", "alike")
+        rows = settled(self.dealt(rows), "apart")
         # Few sketches are looked up after rows have met by signature, so that they are not shuffled with each of them.
-        light = F.broadcast(light) if few(light, SKETCHED_SETS) else light
+        narrow = few(light, SKETCHED_SETS)
         # They are ten times as wide as the rows, whose bytes would otherwise say how many a task sorts.
         tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // COMPARED_ROWS)
-        known = lambda side: side.repartition(tasks, "signature").join(light, "set_id")
-        p, q = known(rows.where("component != most")).alias("p"), known(rows).alias("q")
-        once = (F.col("q.component") == F.col("q.most")) | (F.col("p.set_id") < F.col("q.set_id"))
-        other = F.col("p.component") != F.col("q.component")
-        possible = self.possible("p", "q") & self.still_possible("p", "q") if "more" in light.columns else self.possible("p", "q")
-        pairs = p.join(q, (F.col("p.signature") == F.col("q.signature")) & other & once & possible)
-        return pairs.select(F.col("p.set_id").alias("a"), F.col("q.set_id").alias("b")).distinct()
+        known = rows.repartition(tasks, "signature").join(F.broadcast(light), "set_id") if narrow else rows.join(light, "set_id").repartition(tasks, "signature")
+        return known.sortWithinPartitions("signature").mapInArrow(self.meeting, "a long, b long").distinct()
+
+    @staticmethod
+    def dealt(rows: DataFrame) -> DataFrame:
+        """``signature, side, set_id, component`` of ``rows(signature, set_id, component, most, others, alike)``.
+
+        Sets outside the component with the most are in ``others`` blocks, those in it in ``alike``. For each two blocks to be compared there
+        is a signature of its own, unless there is one of each kind.
+        """
+        cut = (F.col("others") > 1) | (F.col("alike") > 1)
+        other = F.col("component") != F.col("most")
+        block = F.pmod(F.xxhash64("set_id"), F.when(other, F.col("others")).otherwise(F.col("alike"))).cast("int")
+        rows = rows.withColumn("block", block)
+        ends = F.when(other, F.col("others") + F.col("alike") - 2).otherwise(F.col("others") - 1)
+        rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), ends)))
+        k, own, among = F.col("k"), F.col("block"), F.col("k") < F.col("others")
+        left = F.when(~other, k).when(among, F.least(own, k)).otherwise(own)
+        right = F.when(~other, F.when(own == 0, k).otherwise(F.col("others") + own)).when(among, F.greatest(own, k)).otherwise(k + 1)
+        side = F.when(~other, 2).when(~among, 1).when(k == own, 0).when(k > own, 1).otherwise(2)
+        name = F.when(cut, F.xxhash64("signature", left, right)).otherwise(F.col("signature"))
+        return rows.select(name.alias("signature"), side.alias("side"), "set_id", "component")
 
     @staticmethod
     def named(measured: DataFrame, firsts: DataFrame, found: DataFrame) -> DataFrame:

@@ -129,6 +129,39 @@ def test_large_sets_are_told_apart_where_they_meet(spark):
     assert frozenset((ids[0], ids[4])) in found and not any(len(p & set(ids[:4])) > 1 for p in found)
 
 
+@pytest.mark.parametrize(("block", "gathered", "pairs"), [(1 << 11, 1 << 13, 1 << 15), (7, 20, 30)])
+def test_sets_of_a_signature_meet_in_blocks(spark, monkeypatch, block, gathered, pairs):
+    """Where 200 sets share a signature, each pair in two components is compared, by bits of all longs, whatever the blocks."""
+    for name, value in (("BLOCK_ROWS", block), ("GATHERED_ROWS", gathered), ("HELD_PAIRS", pairs)):
+        monkeypatch.setattr(jaccard, name, value)
+    join, draw = Join(1, 80), random.Random(3)
+    texts = []
+    for group in range(20):
+        start = [f"g{group}w{i}" for i in range(40 + 60 * group)]
+        start = start if group else [f"w{i}" for i in range(2500)]
+        for edits in range(10):
+            texts.append(" ".join([f"x{group}y{edits}z{i}" if draw.random() < edits / 40 else w for i, w in enumerate(start)]))
+    ids = [join.set_id(x) for x in join.sets(texts)]
+    sets = dict(zip(ids, join.sets(texts)))
+    light = join.light(spark.createDataFrame([(t, False) for t in texts], "text string, again boolean"))
+    # One large component, small ones, and a second signature of a few sets.
+    part = {i: 1 if k % 10 < 3 or k < 10 else i for k, i in enumerate(ids)}
+    signed = [(1, i) for i in ids] + [(2, i) for i in ids[5:12]]
+    found = spark.createDataFrame([(g, i, part[i]) for g, i in signed], "signature long, set_id long, component long")
+
+    def possible(a, b):
+        most = (len(a) + len(b)) * 20 // 180
+        flips = lambda x, y: np.unpackbits((x ^ y).view(np.uint8)).sum()
+        near = 100 * len(a) >= 80 * len(b) and 100 * len(b) >= 80 * len(a) and flips(join.sketch(a), join.sketch(b)) <= most
+        large = join.large(len(a)) and join.large(len(b))
+        return near and (not large or flips(join.parities(a, 64 * jaccard.MORE), join.parities(b, 64 * jaccard.MORE)) <= most)
+
+    wanted = {(min(a, b), max(a, b)) for a in ids for b in ids if part[a] != part[b] and possible(sets[a], sets[b])}
+    assert len(wanted) > 50
+    got_pairs = [(r["a"], r["b"]) for r in join.apart(found, light).collect()]
+    assert len(got_pairs) == len(set(got_pairs)) and set(got_pairs) == wanted
+
+
 def test_workers_return_what_they_freed():
     """Also what lies below blocks that are still held."""
 
